@@ -1,0 +1 @@
+"""Empty on purpose: every run reads one bounded snapshot; there is no stream to process."""
