@@ -1,0 +1,180 @@
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import types as T
+
+from tidemark import schemas
+from tidemark.sources import (
+    NoSnapshotError,
+    latest_file,
+    latest_snapshot,
+    list_files,
+    list_snapshots,
+    newest,
+    read_latest_file,
+    read_pages,
+    read_snapshot,
+    snapshot_id,
+    snapshot_path,
+    table_path,
+    write_parquet,
+    write_raw,
+)
+
+RECORD = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def put(folder, name, text, mtime):
+    path = os.path.join(folder, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    os.utime(path, (mtime, mtime))
+
+
+def test_snapshot_id():
+    from datetime import datetime
+
+    assert snapshot_id(datetime(2024, 1, 2, 3, 4, 5)) == "20240102_030405"
+    assert len(snapshot_id()) == 15
+
+
+def test_list_files_is_recursive_and_by_extension(spark, tmp_path, base):
+    put(tmp_path, "x/a.json", "[]", 10)
+    put(tmp_path, "x/deep/er/b.json", "[]", 20)
+    put(tmp_path, "x/c.parquet", "", 30)
+    put(tmp_path, "x/djson", "", 40)
+    put(tmp_path, "xx/e.json", "[]", 50)
+    listing = list_files(spark, f"{base}/x")
+    assert listing.columns == ["path", "modificationTime"]
+    assert sorted(os.path.basename(r.path) for r in listing.collect()) == ["a.json", "b.json"]
+
+
+def test_listing_reads_no_content(spark, tmp_path, base):
+    put(tmp_path, "x/a.json", "[]", 10)
+    plan = list_files(spark, f"{base}/x")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in plan
+
+
+def test_latest_file(spark, tmp_path, base):
+    put(tmp_path, "x/b.json", "[]", 20)
+    put(tmp_path, "x/sub/a.json", "[]", 20)
+    put(tmp_path, "x/z.json", "[]", 10)
+    assert latest_file(spark, f"{base}/x").endswith("/x/b.json")
+    put(tmp_path, "x/sub/a.json", "[]", 30)
+    assert latest_file(spark, f"{base}/x").endswith("/x/sub/a.json")
+
+
+def test_newest_tie_goes_to_the_first_path(spark):
+    listing = spark.createDataFrame([("b", 2), ("a", 2), ("c", 1)], "path string, modificationTime int")
+    assert newest(listing).collect() == [("a", 2)]
+
+
+def test_nothing_to_read(spark, tmp_path, base):
+    put(tmp_path, "x/a.json", "[]", 10)
+    for folder, fmt in ((f"{base}/x", "parquet"), (f"{base}/absent", "json")):
+        with pytest.raises(NoSnapshotError, match=folder):
+            latest_file(spark, folder, fmt)
+    with pytest.raises(NoSnapshotError, match=base):
+        latest_snapshot(spark, f"{base}/absent")
+    with pytest.raises(ValueError, match="csv"):
+        list_files(spark, f"{base}/x", "csv")
+
+
+def test_read_latest_json_file(spark, tmp_path, base):
+    put(tmp_path, "x/x_1.json", json.dumps([{"id": "old"}]), 10)
+    records = [{"id": "ação", "n": 1, "more": {"a": [1]}}, {"id": "b"}]
+    put(tmp_path, "x/x_2.json", json.dumps(records, ensure_ascii=False, indent=4), 20)
+    got = read_latest_file(spark, f"{base}/x", "json", RECORD)
+    assert got.columns == [*schemas.ORDINAL_COLUMNS, "id", "n"]
+    assert [tuple(r) for r in got.orderBy("pos").collect()] == [([], 0, 0, "ação", 1), ([], 0, 1, "b", None)]
+
+
+def test_corrupt_file_raises(spark, tmp_path, base):
+    put(tmp_path, "x/x.json", "{oops", 10)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_latest_file(spark, f"{base}/x", "json", RECORD).collect()
+
+
+def test_read_latest_parquet_file_drops_the_pandas_index(spark, tmp_path, base):
+    import pandas as pd
+
+    os.makedirs(tmp_path / "x")
+    frame = pd.DataFrame({"id": ["a", "b", "a"]}).drop_duplicates("id", keep="last")
+    frame.to_parquet(tmp_path / "x" / "x.parquet")
+    got = read_latest_file(spark, f"{base}/x", "parquet")
+    assert got.columns == ["id"] and sorted(r.id for r in got.collect()) == ["a", "b"]
+
+
+def test_raw_round_trip(spark, tmp_path, base):
+    df = spark.createDataFrame([("ação", 1), ("b", None), ("c", 3)], RECORD)
+    assert write_raw(df, base, "things", "20240101_000000") == 3
+    table = table_path(base, "bronze", "things")
+    got = read_snapshot(spark, table, "json", RECORD)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+    parts = (tmp_path / "bronze/things/snapshot_ts=20240101_000000").glob("*.json")
+    lines = [line for p in parts for line in p.read_text(encoding="utf-8").splitlines()]
+    assert len(lines) == 3 and any("ação" in line for line in lines)
+
+
+def test_empty_snapshot_keeps_its_columns(spark, base):
+    df = spark.createDataFrame([], RECORD)
+    assert write_raw(df, base, "things", "20240101_000000") == 0
+    got = read_snapshot(spark, table_path(base, "bronze", "things"), "json", RECORD)
+    assert got.schema == RECORD and got.count() == 0
+
+
+def test_corrupt_snapshot_raises(spark, tmp_path, base):
+    write_raw(spark.createDataFrame([("a", 1)], RECORD), base, "things", "1")
+    put(tmp_path, "bronze/things/snapshot_ts=1/part-x.json", "{oops\n", 10)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_snapshot(spark, table_path(base, "bronze", "things"), "json", RECORD).collect()
+
+
+def test_parquet_snapshots(spark, tmp_path, base):
+    table = table_path(base, "silver", "things")
+    for ts, rows in (("20240102_000000", 5), ("20240101_000000", 7)):
+        assert write_parquet(spark.range(rows), base, "things", ts) == rows
+        time.sleep(0.01)
+    # The stamp decides, not the time of writing.
+    assert list_snapshots(spark, table) == ["20240101_000000", "20240102_000000"]
+    assert read_snapshot(spark, table, "parquet").count() == 5
+    assert read_snapshot(spark, table, "parquet", snapshot_ts="20240101_000000").count() == 7
+    assert all(
+        ".snappy." in p.name for p in (tmp_path / "silver/things").rglob("*.parquet")
+    )
+
+
+def test_incomplete_snapshot_is_not_read_and_may_be_replaced(spark, tmp_path, base):
+    table = table_path(base, "silver", "things")
+    write_parquet(spark.range(1), base, "things", "20240101_000000")
+    put(tmp_path, "silver/things/snapshot_ts=20240102_000000/_temporary/part-0.parquet", "half", 10)
+    assert latest_snapshot(spark, table) == "20240101_000000"
+    write_parquet(spark.range(2), base, "things", "20240102_000000")
+    assert read_snapshot(spark, table, "parquet").count() == 2
+    with pytest.raises(FileExistsError):
+        write_parquet(spark.range(3), base, "things", "20240102_000000")
+    assert snapshot_path(table, "x") == f"{table}/snapshot_ts=x"
+
+
+def test_failed_write_raises(spark, base):
+    broken = spark.range(3).selectExpr("id", "raise_error('no') as e")
+    with pytest.raises(Exception, match="no"):
+        write_parquet(broken, base, "things", "20240101_000000")
+    with pytest.raises(NoSnapshotError):
+        latest_snapshot(spark, table_path(base, "silver", "things"))
+
+
+def test_json_needs_a_schema(spark, base):
+    with pytest.raises(ValueError):
+        read_latest_file(spark, base, "json")
+    with pytest.raises(ValueError):
+        read_snapshot(spark, base, "json")
+
+
+def test_read_pages(spark, tmp_path, base):
+    body = {"parent_id": "p", "parent_ord": 0, "offset": 0, "limit": 2, "total": 1, "items": [{"id": "a", "n": 1}]}
+    put(tmp_path, "pages/x.json", json.dumps(body) + "\n", 10)
+    assert read_pages(spark, f"{base}/pages", RECORD).first()["items"] == [("a", 1)]

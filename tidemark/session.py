@@ -18,6 +18,9 @@ SETTINGS = {
 BYTES_PER_SHUFFLE_PARTITION = 512 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000
 
+# Spark's estimate for a frame whose size it cannot know.
+UNKNOWN_SIZE = (1 << 63) - 1
+
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
@@ -49,9 +52,12 @@ def sized_for(df: DataFrame) -> Iterator[None]:
 
     The session's own number is the lower bound; adaptive execution merges what
     turns out small, into files of the advisory size instead of one per core.
+    A frame of unknown size changes nothing.
     """
     spark = df.sparkSession
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate >= UNKNOWN_SIZE:
+        estimate = 0
     before = {key: spark.conf.get(key, None) for key in (_INITIAL, _PARALLELISM_FIRST)}
     at_least = int(before[_INITIAL] or spark.conf.get("spark.sql.shuffle.partitions"))
     try:

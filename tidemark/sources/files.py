@@ -67,7 +67,7 @@ def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> Data
     in one string (2 GB). It is for importing what others wrote; raw snapshots
     written here are JSON Lines and split.
     """
-    documents = spark.read.option("wholetext", True).text(path)
+    documents = spark.read.text(path, wholetext=True)
     records = unwrap_json(documents, "value", record)
     return records.select(
         F.array().cast("array<bigint>").alias("parent_ord"),
