@@ -24,7 +24,9 @@ def unwrapped(spark, text):
     "text, rows",
     [
         ('[{"id":"a"},{"id":"b","n":1}]', [(0, "a", None), (1, "b", 1)]),
-        (' \n [{"id":"a"}]', [(0, "a", None)]),
+        (' \r\n\t[{"id":"a"}]', [(0, "a", None)]),
+        ('\n{"items":[{"id":"a"}]}', [(0, "a", None)]),
+        ('{"id":"a","more":{"items":[]}}', [(0, "a", None)]),
         ('{"items":[{"id":"a"},{"id":"b"}],"limit":50}', [(0, "a", None), (1, "b", None)]),
         ('{"limit":50,"items":[{"id":"ação"}]}', [(0, "ação", None)]),
         ('{"items":[]}', []),
@@ -36,7 +38,7 @@ def test_unwrap_json(spark, text, rows):
     assert unwrapped(spark, text) == rows
 
 
-@pytest.mark.parametrize("text", ["{oops", '[{"id":"a"},', '{"items":[{"id"]}', '{"items":null}', "", "  "])
+@pytest.mark.parametrize("text", ["{oops", "nonsense", "[] x", '[{"id":"a"}]]', '[{"id":"a"}],[{"id":"b"}]', '{"id":"a"}\n{"id":"b"}', '{"items":[]}]', "null", "5", '{"id":"a"} x', '[{"id":"a"},', '{"items":[{"id"]}', '{"items":null}', "", "  "])
 def test_unwrap_json_refuses(spark, text):
     with pytest.raises(Exception) as e:
         unwrapped(spark, text)

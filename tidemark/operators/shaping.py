@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 FAILFAST = {"mode": "FAILFAST"}
 
+# Fixed value: the white space JSON allows before a document.
+JSON_SPACE = " \t\r\n"
+
 
 def quoted(name: str) -> str:
     """``name`` as one column reference, even if it holds dots."""
@@ -20,24 +23,32 @@ def json_items(text: Column, record: T.StructType) -> Column:
     """The records of one whole JSON document, as an array.
 
     A document is an array of records, an object wrapping them under
-    ``items``, or one record. Corrupt, empty and null-``items`` documents raise.
+    ``items``, or one record. Anything else raises: corrupt or empty text, null
+    ``items``, and text after the document.
     """
-    wrapper = T.StructType([T.StructField("items", T.ArrayType(record))])
-    keys = F.from_json(text, T.MapType(T.StringType(), T.StringType()), FAILFAST)
+    # The parser stops after one value and would pass over text that follows.
+    # So parse an array of the document and an end mark: two elements, or corrupt.
+    marked = F.concat(F.lit("["), text, F.lit(",null]"))
 
-    def refuse(what: str) -> Column:
-        return F.raise_error(F.lit(f"JSON document {what}"))
+    def parsed(shape: T.DataType) -> Column:
+        return F.from_json(marked, T.ArrayType(shape), FAILFAST)
 
+    records = T.ArrayType(record)
+    wrapper = T.StructType([T.StructField("items", records)])
     # Test the shape first: under FAILFAST, parsing an array as an object raises.
-    return (
-        F.when(text.rlike(r"^\s*$"), refuse("is empty"))
-        .when(text.rlike(r"^\s*\["), F.from_json(text, T.ArrayType(record), FAILFAST))
-        .when(
-            F.map_contains_key(keys, "items"),
-            F.coalesce(F.from_json(text, wrapper, FAILFAST)["items"], refuse("has null items")),
-        )
-        .otherwise(F.array(F.from_json(text, record, FAILFAST)))
+    # The keys of a corrupt object are NULL, which leaves it to the last parse.
+    candidates = (
+        F.when(F.ltrim(text, F.lit(JSON_SPACE)).startswith("["), parsed(records))
+        .when(F.array_contains(F.json_object_keys(text), "items"), parsed(wrapper)["items"])
+        .otherwise(F.transform(parsed(record), lambda r: F.when(r.isNotNull(), F.array(r))))
+    )
+    refused = F.raise_error(F.lit("JSON document without items, or with text after it"))
+    # A lambda, so that the parse is evaluated once.
+    checked = F.transform(
+        F.array(candidates),
+        lambda c: F.coalesce(F.when(F.size(c) == 2, F.get(c, F.lit(0))), refused),
     )
+    return F.get(checked, F.lit(0))
 
 
 def unwrap_json(
