@@ -168,3 +168,19 @@ def test_shuffle_sizing(spark):
     assert spark.conf.get(key, None) is None
     with sized_for(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")):
         assert int(spark.conf.get(key)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_command_line(spark, base, capsys):
+    from tidemark.__main__ import main
+
+    albums, tracks = bodies("x")
+    pages(spark, schemas.ALBUM, albums, 2).write.json(f"{base}/pages/albums")
+    pages(spark, schemas.TRACK, tracks, 2).write.json(f"{base}/pages/tracks")
+    main(
+        f"land --album-pages {base}/pages/albums --track-pages {base}/pages/tracks --base {base} "
+        "--album-limit 2 --track-limit 2 --snapshot-ts 20240101_000000".split()
+    )
+    main(f"run --base {base} --strict".split())
+    out = capsys.readouterr().out
+    assert "albums: 4 rows in snapshot 20240101_000000" in out and "tracks: 4 rows" in out
+    assert read(spark, base, "albums").count() == 3

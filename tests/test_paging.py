@@ -81,6 +81,29 @@ def test_null_items_count_as_empty(spark):
     assert ids(merge_pages(df, 2)) == ["a", "a"]
 
 
+def test_pages_of_one_source(spark):
+    df = make(spark, {"p": CASES["p"]}, 2).drop("parent_id", "parent_ord")
+    assert ids(merge_pages(df, 2)) == expected({"p": CASES["p"]}, 2)
+
+
+def test_parents_are_joined_without_another_shuffle(spark, base):
+    make(spark, CASES, 2).write.parquet(f"{base}/pages")
+    pages = spark.read.parquet(f"{base}/pages")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    plans = []
+    staged = paging.staged
+    paging.staged = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df)
+    spark.conf.set(key, "-1")
+    try:
+        merge_child_pages(parents(spark, [("p", [0], 0, 0)]), pages, 2)
+    finally:
+        spark.conf.set(key, before)
+        paging.staged = staged
+    # Two for the page sizes (per run, per parent), one for the parents.
+    assert plans[0].count("Exchange ") == 3 and "items:array<struct<id:string>>" in plans[0]
+
+
 def parents(spark, rows):
     return spark.createDataFrame(rows, "id string, parent_ord array<bigint>, page_offset bigint, pos bigint")
 
@@ -118,6 +141,24 @@ def test_source_filter(spark):
     assert sorted(r[0] for r in source_filter(df).collect()) == ["album", "single"]
 
 
+def test_shared_folder_is_needed_on_a_cluster():
+    class Fake:
+        def __init__(self, master):
+            self.sparkContext = self
+            self.master = master
+            self.conf = self
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Fake("yarn"))
+    assert staging.shared_folder(Fake("local[2]")).startswith("file:///")
+
+
 def test_shared_folder_is_the_sessions(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert staging.new_folder(spark, "x").startswith(named + "/x-")

@@ -99,22 +99,29 @@ def attach_parent_key(pages: DataFrame, attach_as: str | None = None) -> DataFra
     )
 
 
+def _of_one_source(pages: DataFrame) -> DataFrame:
+    """Pages that name no parent are those of one source."""
+    defaults = {"parent_id": F.lit(None).cast("string"), "parent_ord": F.lit(0).cast("bigint")}
+    return pages.withColumns({c: v for c, v in defaults.items() if c not in pages.columns})
+
+
 def merge_pages(pages: DataFrame, limit: int, attach_as: str | None = None) -> DataFrame:
     """The items of every parent's pages, up to its first empty or short page.
 
-    ``pages`` has ``parent_id``, ``parent_ord`` (place of the parent among the
-    sources), ``offset`` and ``items``.
+    ``pages`` has ``offset`` and ``items``, and unless it is of one source
+    ``parent_id`` and ``parent_ord``, the parent's place among the sources.
     """
+    pages = _of_one_source(pages)
     # Only runs with pages past the stop are listed: none, for a source that
     # was read to its end and no further.
     cut = staged(
         page_runs(pages, limit)
         .where(F.col("last_offset") > F.col("stop_offset"))
-        .select("parent_id", "run", "stop_offset")
+        .select(F.col("parent_id").alias("cut_id"), F.col("run").alias("cut_run"), "stop_offset")
     )
+    same_run = F.col("parent_id").eqNullSafe(F.col("cut_id")) & (_run(limit) == F.col("cut_run"))
     kept = (
-        pages.withColumn("run", _run(limit))
-        .join(cut, ["parent_id", "run"], "left")
+        pages.join(cut, same_run, "left")
         .where(F.col("stop_offset").isNull() | (F.col("offset") <= F.col("stop_offset")))
         .withColumn("parent_ord", F.array(F.col("parent_ord").cast("bigint")))
     )
