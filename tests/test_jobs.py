@@ -162,12 +162,25 @@ def test_shuffle_sizing(spark):
     assert shuffle_partitions_for(10 << 20, 200) == 200
     assert shuffle_partitions_for(1 << 40, 200) == 2048
     assert shuffle_partitions_for(100 << 40, 200) == MAX_SHUFFLE_PARTITIONS
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    keys = [
+        "spark.sql.shuffle.partitions",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst",
+        "spark.sql.files.maxPartitionNum",
+    ]
+
+    def settings():
+        return [spark.conf.get(key, None) for key in keys]
+
+    before = settings()
     with sized_for(spark.range(1 << 38)):
-        assert int(spark.conf.get(key)) == 4096
-    assert spark.conf.get(key, None) is None
-    with sized_for(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")):
-        assert int(spark.conf.get(key)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert settings() == ["4096", None, "false", "100000"]
+    assert settings() == before
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    with pytest.raises(KeyError), sized_for(unknown):
+        assert settings()[0] == before[0]
+        raise KeyError
+    assert settings() == before
 
 
 def test_command_line(spark, base, capsys):

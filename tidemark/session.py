@@ -1,4 +1,4 @@
-"""Session settings, and shuffle sizing for the jobs."""
+"""Session settings, and task sizing for the jobs."""
 
 from __future__ import annotations
 
@@ -17,14 +17,19 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+# A shuffle partition per this many scanned bytes, and bounds that keep the
+# number of shuffle blocks (scan tasks x shuffle partitions) in hand at 100 TB.
 BYTES_PER_SHUFFLE_PARTITION = 512 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
 
 # Spark's estimate for a frame whose size it cannot know.
 UNKNOWN_SIZE = (1 << 63) - 1
 
+_SHUFFLE = "spark.sql.shuffle.partitions"
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+_SCAN = "spark.sql.files.maxPartitionNum"
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
@@ -36,37 +41,44 @@ def build_session(app: str = "tidemark", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer expects ``df`` to read; 0 if it cannot tell."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 if size >= UNKNOWN_SIZE else size
+
+
 def shuffle_partitions_for(size_in_bytes: int, at_least: int) -> int:
     wanted = -(-size_in_bytes // BYTES_PER_SHUFFLE_PARTITION)
     return max(at_least, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
-def _set(spark: SparkSession, key: str, value: str | None) -> None:
-    if value is None:
-        spark.conf.unset(key)
-    else:
-        spark.conf.set(key, value)
-
-
 @contextmanager
 def sized_for(df: DataFrame) -> Iterator[None]:
-    """Run an action on ``df`` with as many shuffle partitions as its scan size asks for.
+    """Run actions on ``df`` with as many tasks as its estimated size asks for.
 
-    The session's own number is the lower bound; adaptive execution merges what
-    turns out small, into files of the advisory size instead of one per core.
-    A frame of unknown size changes nothing.
+    The session's own shuffle partitions are the lower bound; adaptive execution
+    merges what turns out small. A large input is merged into partitions of the
+    advisory size rather than into one per core, for files of a good size.
     """
-    spark = df.sparkSession
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate >= UNKNOWN_SIZE:
-        estimate = 0
-    before = {key: spark.conf.get(key, None) for key in (_INITIAL, _PARALLELISM_FIRST)}
-    at_least = int(before[_INITIAL] or spark.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    size = estimated_bytes(df)
+    wanted = {
+        key: str(shuffle_partitions_for(size, int(conf.get(key))))
+        for key in (_SHUFFLE, _INITIAL)
+        if conf.get(key, None) is not None
+    }
+    if size > BYTES_PER_SHUFFLE_PARTITION:
+        wanted[_PARALLELISM_FIRST] = "false"
+    if conf.get(_SCAN, None) is None:
+        wanted[_SCAN] = str(MAX_SCAN_TASKS)
+    before = {key: conf.get(key, None) for key in wanted}
     try:
-        spark.conf.set(_INITIAL, str(shuffle_partitions_for(estimate, at_least)))
-        if estimate > BYTES_PER_SHUFFLE_PARTITION:
-            spark.conf.set(_PARALLELISM_FIRST, "false")
+        for key, value in wanted.items():
+            conf.set(key, value)
         yield
     finally:
         for key, value in before.items():
-            _set(spark, key, value)
+            if value is None:
+                conf.unset(key)
+            else:
+                conf.set(key, value)

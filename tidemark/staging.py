@@ -38,8 +38,11 @@ def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet and read back.
 
     The lineage ends here, so a lost executor costs no recomputation above this
-    point, and the optimizer sees the table's real size when it picks a join.
+    point, and the optimizer sees the table's size when it picks a join. The
+    files are plain (no compression, no dictionary), so their size is that of
+    the values, and a broadcast is bounded by it.
     """
     path = new_folder(df.sparkSession, "staged")
-    df.write.parquet(path)
+    plain = {"compression": "none", "parquet.enable.dictionary": "false"}
+    df.write.options(**plain).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
