@@ -41,8 +41,8 @@ OLDER, NEWER = "20240101_000000", "20240102_000000"
 
 
 def shown(column: str) -> F.Column:
-    """A timestamp as text, so that both engines return the same type."""
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
+    """A timestamp without zone as text, so that both engines return the same type."""
+    return F.col(column).cast("timestamp_ntz").cast("string").alias(column)
 
 
 def _ordinal(*path: str) -> list[F.Column]:
@@ -245,7 +245,7 @@ def bronze_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_tracks",
         "release_date",
         "album_group",
-        F.size("images").cast("bigint").alias("n_images"),
+        F.coalesce(F.size("images"), F.lit(0)).cast("bigint").alias("n_images"),
         F.col("external_urls.spotify").alias("url"),
     )
 

@@ -67,7 +67,7 @@ TRACK_ITEMS = f"""
             'id', concat({TRACK_ID}, '-b'),
             'name', concat('Interlude ', l_suppkey),
             'track_number', cast(l_linenumber AS bigint),
-            'is_playable', cast(NULL AS boolean),
+            'is_playable', l_linestatus = 'F',
             'duration_ms', cast(l_quantity * 1000 AS bigint),
             'explicit', false,
             'external_urls', named_struct('spotify', concat('interlude/', l_suppkey)),
@@ -96,7 +96,7 @@ def track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document per line item: an array, a wrapped array, or one record."""
     first = "named_struct('id', cast(l_partkey AS string), 'n', cast(l_quantity AS bigint))"
-    second = "named_struct('id', concat('s', l_suppkey), 'n', cast(NULL AS bigint))"
+    second = "named_struct('id', concat('s', l_suppkey), 'n', cast(l_linenumber AS bigint))"
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",

@@ -52,7 +52,7 @@ def albums(name: str, pages: str) -> str:
   UNION ALL
   SELECT o_custkey, o_orderkey, 1, 'collection-' || o_custkey, 'Collection ' || o_orderkey, 1,
          strftime(o_orderdate, '%Y'), date_trunc('year', o_orderdate),
-         'single', NULL, 'collection/' || o_orderkey
+         'single', 0, 'collection/' || o_orderkey
   FROM {pages} WHERE n >= 2
 )"""
 
@@ -72,7 +72,7 @@ def tracks(name: str, pages: str) -> str:
   FROM {pages} WHERE n >= 1
   UNION ALL
   SELECT l_orderkey, l_linenumber, 1, track_id || '-b', 'Interlude ' || l_suppkey,
-         l_linenumber, NULL, CAST(l_quantity * 1000 AS BIGINT), false, 'interlude/' || l_suppkey,
+         l_linenumber, l_linestatus = 'F', CAST(l_quantity * 1000 AS BIGINT), false, 'interlude/' || l_suppkey,
          CAST(l_orderkey AS VARCHAR)
   FROM {pages} WHERE n >= 2
 )"""
@@ -140,7 +140,7 @@ SELECT l_orderkey, l_linenumber, CAST(0 AS BIGINT) AS pos, CAST(l_partkey AS VAR
        CAST(l_quantity AS BIGINT) AS n
 FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber, 1, 's' || l_suppkey, NULL
+SELECT l_orderkey, l_linenumber, 1, 's' || l_suppkey, l_linenumber
 FROM lineitem WHERE l_returnflag IN ('A', 'N')""",
     "flatten_props": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, user_id, event_type, value
