@@ -159,6 +159,18 @@ def test_shared_folder_is_needed_on_a_cluster():
     assert staging.shared_folder(Fake("local[2]")).startswith("file:///")
 
 
+def test_job_folder_is_removed(spark):
+    import os
+
+    with pytest.raises(KeyError), staging.job_folder(spark) as folder:
+        assert staging.staged(spark.range(3)).count() == 3
+        local = folder.removeprefix("file://")
+        assert len(os.listdir(local)) == 1
+        raise KeyError
+    assert not os.path.exists(local)
+    assert "/job-" not in staging.new_folder(spark, "x")
+
+
 def test_shared_folder_is_the_sessions(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert staging.new_folder(spark, "x").startswith(named + "/x-")

@@ -29,6 +29,7 @@ from tidemark.sources import (
     write_raw,
 )
 from tidemark.sources.snapshots import BRONZE
+from tidemark.staging import job_folder
 
 ALBUMS, TRACKS = "albums", "tracks"
 
@@ -112,13 +113,13 @@ def land(
     its album's arrival order.
     """
     spark = album_pages.sparkSession
-    with sized_for(album_pages):
+    with job_folder(spark), sized_for(album_pages):
         albums = source_filter(merge_pages(album_pages, album_limit))
         n_albums = write_raw(albums, base, ALBUMS, snapshot_ts)
     landed = read_snapshot(
         spark, table_path(base, BRONZE, ALBUMS), "json", schemas.raw(schemas.ALBUM), snapshot_ts
     )
-    with sized_for(track_pages):
+    with job_folder(spark), sized_for(track_pages):
         tracks = merge_child_pages(landed, track_pages, track_limit, attach_as="album_id")
         n_tracks = write_raw(tracks, base, TRACKS, snapshot_ts)
     return {ALBUMS: n_albums, TRACKS: n_tracks}

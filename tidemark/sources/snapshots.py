@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import files
 from tidemark.sources.files import NoSnapshotError, check_format
 
 BRONZE, SILVER = "bronze", "silver"
@@ -33,17 +34,10 @@ def snapshot_path(table: str, snapshot_ts: str) -> str:
     return f"{table}/{_PARTITION}{snapshot_ts}"
 
 
-def _glob(spark: SparkSession, pattern: str) -> list:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [status.getPath() for status in (fs.globStatus(path) or [])]
-
-
 def list_snapshots(spark: SparkSession, table: str) -> list[str]:
     """Stamps of the complete snapshots, oldest first (one listing, one entry per run)."""
-    done = _glob(spark, f"{table}/{_PARTITION}*/_SUCCESS")
-    return sorted(p.getParent().getName().removeprefix(_PARTITION) for p in done)
+    done = files.glob(spark, f"{table}/{_PARTITION}*/_SUCCESS")
+    return sorted(path.split("/")[-2].removeprefix(_PARTITION) for path in done)
 
 
 def latest_snapshot(spark: SparkSession, table: str) -> str:

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import files
+
 _local_folder: str | None = None
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,8 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path (not yet created) below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path (not yet created) below the job's folder or else the shared one."""
+    parent = _job_folder.get() or shared_folder(spark)
+    return f"{parent}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Stage below one new folder, and remove it when the job is done with its tables."""
+    folder = new_folder(spark, "job")
+    token = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(token)
+        files.delete(spark, folder)
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Pages and records made from the driver tables, row by row (no shuffle).
+"""Pages and records made from the driver tables, row by row.
 
 ``orders`` are pages of albums of their customer, ``lineitem`` rows are pages
 of tracks of their order. A page holds up to ``LIMIT`` items; some are short or
@@ -9,7 +9,8 @@ about a third of all tracks share one name.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tidemark.staging import new_folder
 
 LIMIT = 2
 
@@ -18,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores where its files give fewer scan tasks than there are cores.
+
+    A driver table is one row group, hence one task, whatever its size. Tables
+    that scan in parallel anyway are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 RELEASE_DATE = """
     CASE WHEN o_orderstatus = 'F' THEN date_format(o_orderdate, 'yyyy')
          WHEN o_orderstatus = 'O' THEN date_format(o_orderdate, 'yyyy-MM')
@@ -75,29 +86,47 @@ TRACK_ITEMS = f"""
         1, CASE WHEN l_quantity = 50 THEN 0 WHEN l_quantity <= 5 THEN 1 ELSE {LIMIT} END)"""
 
 
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, pages: DataFrame) -> DataFrame:
+    """``pages`` as they would be found in storage: written once per session, then read.
+
+    So ``items`` is a column of a file, not an expression over the driver table.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path = new_folder(spark, name)
+        pages.write.parquet(path)
+        _landed[key] = path
+    return spark.read.schema(pages.schema).parquet(_landed[key])
+
+
 def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+    pages = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "cast(o_custkey AS string) AS parent_id",
         "o_custkey AS parent_ord",
         "o_orderkey AS offset",
         f"{ALBUM_ITEMS} AS items",
     )
+    return landed(spark, sf_dir, "album-pages", pages)
 
 
 def track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    pages = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(
         "cast(l_orderkey AS string) AS parent_id",
         "l_orderkey AS parent_ord",
         "cast(l_linenumber AS bigint) AS offset",
         f"{TRACK_ITEMS} AS items",
     )
+    return landed(spark, sf_dir, "track-pages", pages)
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document per line item: an array, a wrapped array, or one record."""
     first = "named_struct('id', cast(l_partkey AS string), 'n', cast(l_quantity AS bigint))"
     second = "named_struct('id', concat('s', l_suppkey), 'n', cast(l_linenumber AS bigint))"
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(
         "l_orderkey",
         "l_linenumber",
         f"""CASE l_returnflag
