@@ -9,10 +9,10 @@ page sizes decide first, and the bodies move only if they must:
    the parent's first short page is taken over its runs. Only keys, offsets and
    sizes are read (column pruning reaches into ``items``), and a parent with a
    third of all pages is spread over its runs.
-2. The outcome is staged as a table, so Catalyst knows its size: it is
-   broadcast if it is under ``spark.sql.autoBroadcastJoinThreshold``, and bodies
-   are not shuffled at all; otherwise the join is by (parent, run), which
-   splits a hot parent.
+2. The outcome is staged as a table when the frame is built (the one eager
+   job), so Catalyst knows its size: it is broadcast if it is under
+   ``spark.sql.autoBroadcastJoinThreshold``, and bodies are not shuffled at all;
+   otherwise the join is by (parent, run), which splits a hot parent.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import keep_first
-from tidemark.operators.shaping import quoted
+from tidemark.operators.shaping import explode_items, quoted
 from tidemark.schemas import ORDINAL_COLUMNS
 from tidemark.staging import staged
 
@@ -82,20 +82,10 @@ def attach_parent_key(pages: DataFrame, attach_as: str | None = None) -> DataFra
     ``pages`` has ``parent_id, parent_ord, offset, items``. A parent without
     items gives no rows. An item field named ``attach_as`` is overwritten.
     """
-    exploded = pages.select(
-        "parent_id",
-        "parent_ord",
-        F.col("offset").cast("bigint").alias("page_offset"),
-        F.posexplode("items").alias("pos", "item"),
-    )
     fields = [f for f in pages.schema["items"].dataType.elementType.names if f != attach_as]
     key = [F.col("parent_id").alias(attach_as)] if attach_as else []
-    return exploded.select(
-        "parent_ord",
-        "page_offset",
-        F.col("pos").cast("bigint").alias("pos"),
-        *[F.col("item").getField(f).alias(f) for f in fields],
-        *key,
+    return explode_items(pages, F.col("parent_id")).select(
+        *ORDINAL_COLUMNS, *[F.col("item").getField(f).alias(f) for f in fields], *key
     )
 
 

@@ -62,6 +62,21 @@ def unwrap_json(
     return exploded.select(*keep, F.col("pos").cast("bigint").alias("pos"), "item.*")
 
 
+def explode_items(pages: DataFrame, *keys: Column) -> DataFrame:
+    """``item`` per item of ``pages``, with its arrival order and the page's ``keys``.
+
+    ``pages`` has ``parent_ord`` (a path), ``offset`` and ``items``. A page
+    without items gives no rows.
+    """
+    exploded = pages.select(
+        "parent_ord",
+        F.col("offset").cast("bigint").alias("page_offset"),
+        F.posexplode("items").alias("pos", "item"),
+        *keys,
+    )
+    return exploded.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def unwrap_items(df: DataFrame) -> DataFrame:
     """Records of a frame that wraps them under ``items``; any other frame as it is.
 
@@ -70,21 +85,13 @@ def unwrap_items(df: DataFrame) -> DataFrame:
     """
     if "items" not in df.columns:
         return df
-    parent_ord, offset = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
-    if "parent_ord" in df.columns:
-        parent_ord = F.col("parent_ord")
-        if not isinstance(df.schema["parent_ord"].dataType, T.ArrayType):
-            parent_ord = F.array(parent_ord.cast("bigint"))
-    if "offset" in df.columns:
-        offset = F.col("offset").cast("bigint")
-    exploded = df.select(
-        parent_ord.alias("parent_ord"),
-        offset.alias("page_offset"),
-        F.posexplode("items").alias("pos", "item"),
-    )
-    return exploded.select(
-        "parent_ord", "page_offset", F.col("pos").cast("bigint").alias("pos"), "item.*"
-    )
+    if "offset" not in df.columns:
+        df = df.withColumn("offset", F.lit(0))
+    if "parent_ord" not in df.columns:
+        df = df.withColumn("parent_ord", F.array().cast("array<bigint>"))
+    elif not isinstance(df.schema["parent_ord"].dataType, T.ArrayType):
+        df = df.withColumn("parent_ord", F.array(F.col("parent_ord").cast("bigint")))
+    return explode_items(df).select("parent_ord", "page_offset", "pos", "item.*")
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
