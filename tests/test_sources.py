@@ -92,6 +92,56 @@ def test_read_latest_json_file(spark, tmp_path, base):
     assert [tuple(r) for r in got.orderBy("pos").collect()] == [([], 0, 0, "ação", 1), ([], 0, 1, "b", None)]
 
 
+TRICKY = [
+    {"id": "plain", "n": 0},
+    {"id": 'a },\n    {\n "b": [', "n": 1},
+    {"id": "ação", "n": 2, "more": [{"x": {}}, {"y": [{"z": 1}, {"z": 2}]}], "e": []},
+    {"id": None},
+    {"id": "]", "deep": {"id": "no", "n": 9}, "n": 4},
+]
+
+
+@pytest.mark.parametrize("split", [16, 37, 64, 101, 250, 1000, 1 << 20])
+@pytest.mark.parametrize("indent", [4, 1, "\t"])
+def test_indented_array_is_split_between_records(spark, tmp_path, base, split, indent):
+    records = [{**r, "n": i} for i, r in enumerate(TRICKY * 6)]
+    text = json.dumps(records, ensure_ascii=False, indent=indent)
+    put(tmp_path, "x/x.json", text, 10)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set(key, str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_latest_file(spark, f"{base}/x", "json", RECORD)
+        rows = df.orderBy(*schemas.ORDINAL_COLUMNS).collect()
+        tasks = df.rdd.getNumPartitions()
+    finally:
+        spark.conf.set(key, before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert [(r.id, r.n) for r in rows] == [(r["id"], r["n"]) for r in records]
+    assert tasks >= min(len(text.encode()) // split, 2)
+
+
+@pytest.mark.parametrize("records", [[], [{"id": "a"}], [{}], [{}, {"id": "a"}], {"items": [{"id": "a"}]}, {"id": "a"}])
+@pytest.mark.parametrize("indent", [None, 4])
+def test_small_documents(spark, tmp_path, base, records, indent):
+    put(tmp_path, "x/x.json", json.dumps(records, indent=indent), 10)
+    want = records if isinstance(records, list) else records.get("items", [records])
+    got = read_latest_file(spark, f"{base}/x", "json", RECORD)
+    assert [r.id for r in got.orderBy("pos").collect()] == [r.get("id") for r in want]
+
+
+def test_corrupt_indented_arrays_raise(spark, tmp_path, base):
+    text = json.dumps([{"id": "a", "n": 1}, {"id": "b"}], indent=4)
+    cut = text.index("    {\n", 5) + len("    {\n")
+    for i, bad in enumerate(
+        [text[:-1], text[:cut], text[:-9], text + text, text + "\n" + text, text + "x", text.replace(":", ""), ""]
+    ):
+        put(tmp_path, f"x{i}/x.json", bad, 10)
+        with pytest.raises(Exception, match="MALFORMED|JSON document"):
+            read_latest_file(spark, f"{base}/x{i}", "json", RECORD).collect()
+
+
 def test_corrupt_file_raises(spark, tmp_path, base):
     put(tmp_path, "x/x.json", "{oops", 10)
     with pytest.raises(Exception, match="MALFORMED"):

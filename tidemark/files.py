@@ -16,6 +16,21 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in (fs.globStatus(path) or [])]
 
 
+def ends(spark: SparkSession, file: str, n: int) -> tuple[bytes, bytes]:
+    """The first and last ``n`` bytes of a file (all of it, if it is shorter)."""
+    fs, path = _path(spark, file)
+    size = fs.getFileStatus(path).getLen()
+    n = min(n, size)
+    read = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray
+    stream = fs.open(path)
+    try:
+        head = bytes(read(stream, n))
+        stream.seek(size - n)
+        return head, bytes(read(stream, n))
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     fs, path = _path(spark, folder)
     fs.delete(path, True)

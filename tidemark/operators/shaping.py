@@ -19,6 +19,31 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _marked(text: Column) -> Column:
+    """An array of a JSON document and an end mark.
+
+    The parser stops after one value and would pass over text that follows. In
+    this array that text makes the document corrupt or the length other than two.
+    """
+    return F.concat(F.lit("["), text, F.lit(",null]"))
+
+
+def _sole(parsed: Column) -> Column:
+    """The document of a parsed ``_marked`` array; anything but one document raises."""
+    refused = F.raise_error(F.lit("JSON document without items, or with text after it"))
+    # A lambda, so that the parse is evaluated once.
+    checked = F.transform(
+        F.array(parsed),
+        lambda p: F.coalesce(F.when(F.size(p) == 2, F.get(p, F.lit(0))), refused),
+    )
+    return F.get(checked, F.lit(0))
+
+
+def json_record(text: Column, record: T.StructType) -> Column:
+    """The one record that ``text`` is; anything else raises."""
+    return _sole(F.from_json(_marked(text), T.ArrayType(record), FAILFAST))
+
+
 def json_items(text: Column, record: T.StructType) -> Column:
     """The records of one whole JSON document, as an array.
 
@@ -26,29 +51,19 @@ def json_items(text: Column, record: T.StructType) -> Column:
     ``items``, or one record. Anything else raises: corrupt or empty text, null
     ``items``, and text after the document.
     """
-    # The parser stops after one value and would pass over text that follows.
-    # So parse an array of the document and an end mark: two elements, or corrupt.
-    marked = F.concat(F.lit("["), text, F.lit(",null]"))
 
     def parsed(shape: T.DataType) -> Column:
-        return F.from_json(marked, T.ArrayType(shape), FAILFAST)
+        return F.from_json(_marked(text), T.ArrayType(shape), FAILFAST)
 
     records = T.ArrayType(record)
     wrapper = T.StructType([T.StructField("items", records)])
     # Test the shape first: under FAILFAST, parsing an array as an object raises.
     # The keys of a corrupt object are NULL, which leaves it to the last parse.
-    candidates = (
+    return _sole(
         F.when(F.ltrim(text, F.lit(JSON_SPACE)).startswith("["), parsed(records))
         .when(F.array_contains(F.json_object_keys(text), "items"), parsed(wrapper)["items"])
         .otherwise(F.transform(parsed(record), lambda r: F.when(r.isNotNull(), F.array(r))))
     )
-    refused = F.raise_error(F.lit("JSON document without items, or with text after it"))
-    # A lambda, so that the parse is evaluated once.
-    checked = F.transform(
-        F.array(candidates),
-        lambda c: F.coalesce(F.when(F.size(c) == 2, F.get(c, F.lit(0))), refused),
-    )
-    return F.get(checked, F.lit(0))
 
 
 def unwrap_json(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import schemas
-from tidemark.operators.shaping import unwrap_json
+from tidemark import files, schemas
+from tidemark.operators.shaping import JSON_SPACE, json_record, unwrap_json
 
 FORMATS = ("json", "parquet")
 
@@ -60,15 +62,48 @@ def latest_file(spark: SparkSession, folder: str, fmt: str = "json") -> str:
     return row.path
 
 
+def _record_indent(spark: SparkSession, path: str) -> str | None:
+    """The indent of the records, if the file is an indented array with a line per brace."""
+    head, tail = (part.decode("utf-8", "replace") for part in files.ends(spark, path, 64))
+    opening = re.match(r"\[\n([ \t]+)\{\n", head)
+    if opening and re.search(rf"\n{opening[1]}\}}\n\]\s*$", tail):
+        return opening[1]
+    return None
+
+
+def _read_indented_array(
+    spark: SparkSession, path: str, record: T.StructType, indent: str
+) -> DataFrame:
+    # A line break inside a JSON string is escaped, so what stands between two
+    # records stands nowhere else, and the file splits there.
+    opening, closing = f"[\n{indent}{{\n", f"\n{indent}}}\n]"
+    chunk = F.rtrim("value", F.lit(JSON_SPACE))
+    chunk = F.when(chunk.startswith(opening), F.substr(chunk, F.lit(len(opening) + 1))).otherwise(chunk)
+    chunk = F.when(
+        chunk.endswith(closing), F.left(chunk, F.length(chunk) - len(closing))
+    ).otherwise(chunk)
+    lines = spark.read.text(path, lineSep=f"\n{indent}}},\n{indent}{{\n")
+    # Arrival order: by split, then by row in the split.
+    records = lines.select(
+        F.array().cast("array<bigint>").alias("parent_ord"),
+        F.col("_metadata.file_block_start").alias("page_offset"),
+        F.monotonically_increasing_id().alias("pos"),
+        json_record(F.concat(F.lit("{"), chunk, F.lit("}")), record).alias("item"),
+    )
+    return records.select("parent_ord", "page_offset", "pos", "item.*")
+
+
 def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """The records of whole-document JSON files, with ``pos`` and an outermost arrival order.
+    """The records of a JSON file others wrote, with their arrival order.
 
-    A document does not split, so this is one task per file and a file must fit
-    in one string (2 GB). It is for importing what others wrote; raw snapshots
-    written here are JSON Lines and split.
+    An indented array of records, one line per brace, is split between records
+    and read in parallel. Any other document is read whole, in one task, and
+    must fit in one string (2 GB).
     """
-    documents = spark.read.text(path, wholetext=True)
-    records = unwrap_json(documents, "value", record)
+    indent = _record_indent(spark, path)
+    if indent is not None:
+        return _read_indented_array(spark, path, record, indent)
+    records = unwrap_json(spark.read.text(path, wholetext=True), "value", record)
     return records.select(
         F.array().cast("array<bigint>").alias("parent_ord"),
         F.lit(0).cast("bigint").alias("page_offset"),
