@@ -45,7 +45,8 @@ def test_list_files_is_recursive_and_by_extension(spark, tmp_path, base):
     put(tmp_path, "x/a.json", "[]", 10)
     put(tmp_path, "x/deep/er/b.json", "[]", 20)
     put(tmp_path, "x/c.parquet", "", 30)
-    put(tmp_path, "x/djson", "", 40)
+    put(tmp_path, "x/djson", "[]", 40)
+    put(tmp_path, "x/empty.json", "", 60)
     put(tmp_path, "xx/e.json", "[]", 50)
     listing = list_files(spark, f"{base}/x")
     assert listing.columns == ["path", "modificationTime"]
@@ -135,7 +136,7 @@ def test_corrupt_indented_arrays_raise(spark, tmp_path, base):
     text = json.dumps([{"id": "a", "n": 1}, {"id": "b"}], indent=4)
     cut = text.index("    {\n", 5) + len("    {\n")
     for i, bad in enumerate(
-        [text[:-1], text[:cut], text[:-9], text + text, text + "\n" + text, text + "x", text.replace(":", ""), ""]
+        [text[:-1], text[:cut], text[:-9], text + text, text + "\n" + text, text + "x", text.replace(":", ""), " "]
     ):
         put(tmp_path, f"x{i}/x.json", bad, 10)
         with pytest.raises(Exception, match="MALFORMED|JSON document"):

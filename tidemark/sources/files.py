@@ -31,8 +31,8 @@ def check_format(fmt: str) -> str:
 def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame:
     """``path, modificationTime`` of the ``.fmt`` files anywhere below ``folder``.
 
-    Only the listing is read, no content. As for all Spark sources, names
-    starting with ``_`` or ``.`` are not listed.
+    Only the listing is read, no content. As for all Spark sources, empty files
+    and names starting with ``_`` or ``.`` are not listed.
     """
     check_format(fmt)
     try:
