@@ -174,3 +174,42 @@ def test_job_folder_is_removed(spark):
 def test_shared_folder_is_the_sessions(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert staging.new_folder(spark, "x").startswith(named + "/x-")
+
+
+def test_copies_of_one_page_are_split(spark):
+    """A third of all pages are copies of one page: the join by run is split, and no row is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    pages = spark.range(0, 30000, 1, 12).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('p', id) END AS parent_id",
+        "0L AS parent_ord",
+        "CASE WHEN id % 3 = 0 THEN 4L ELSE 0L END AS offset",
+        "array(named_struct('id', uuid(), 'album_id', '?')) AS items",
+    )
+    pages = staging.staged(pages)
+    albums = staging.staged(
+        pages.select("parent_id").distinct().selectExpr(
+            "parent_id AS id", "array(0L) AS parent_ord", "xxhash64(parent_id) AS page_offset", "0L AS pos"
+        )
+    )
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = merge_child_pages(albums, pages, 1, attach_as="album_id")
+        query = got.select("id", "album_id")
+        ids = [r.id for r in query.collect()]
+        plan = query._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    assert "skewed" in plan
+    assert len(ids) == 30000 == len(set(ids))

@@ -11,6 +11,14 @@ duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
 
@@ -39,17 +47,12 @@ def test_query(spark, db, name):
     rows = df.collect()
     want = db.execute(driver.oracle_sql()[name])
     names = [d[0] for d in want.description]
+    expected = multiset(names, want.fetchall())
     assert sorted(df.columns) == sorted(names)
+    types = db.execute(f"DESCRIBE {driver.oracle_sql()[name]}").fetchall()
+    assert {t[0]: TYPES[t[1]] for t in types} == dict(df.dtypes)
     assert rows
-    assert multiset(df.columns, rows) == multiset(names, want.fetchall())
-
-
-def test_types_agree(spark, db):
-    kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
-    for name in ("silver_tracks", "silver_albums", "merge_pages", "unwrap_items", "flatten_props"):
-        df = driver.queries()[name](spark, SF_DIR)
-        rows = db.execute(f"DESCRIBE {driver.oracle_sql()[name]}").fetchall()
-        assert {r[0]: kinds[r[1]] for r in rows} == dict(df.dtypes), name
+    assert multiset(df.columns, rows) == expected
 
 
 def test_entry(spark):
