@@ -146,13 +146,15 @@ def test_shared_folder_is_needed_on_a_cluster():
         def __init__(self, master):
             self.sparkContext = self
             self.master = master
-            self.conf = self
 
         def getConf(self):
             return self
 
-        def get(self, key, default=None):
-            return default
+        def get(self, key):
+            return None
+
+        def getCheckpointDir(self):
+            return None
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_folder(Fake("yarn"))

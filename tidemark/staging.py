@@ -17,18 +17,17 @@ _job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names.
+    """The folder ``spark.checkpoint.dir`` names, or the one set on the context.
 
     Only a local session may go without: it gets one temporary folder. On a
     cluster such a folder is not shared, so a missing setting is an error.
     """
     global _local_folder
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_folder is None:
         _local_folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
