@@ -38,7 +38,26 @@ def test_unwrap_json(spark, text, rows):
     assert unwrapped(spark, text) == rows
 
 
-@pytest.mark.parametrize("text", ["{oops", "nonsense", "[] x", '[{"id":"a"}]]', '[{"id":"a"}],[{"id":"b"}]', '{"id":"a"}\n{"id":"b"}', '{"items":[]}]', "null", "5", '{"id":"a"} x', '[{"id":"a"},', '{"items":[{"id"]}', '{"items":null}', "", "  "])
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{oops',
+        'nonsense',
+        '[] x',
+        '[{"id":"a"}]]',
+        '[{"id":"a"}],[{"id":"b"}]',
+        '{"id":"a"}\n{"id":"b"}',
+        '{"items":[]}]',
+        'null',
+        '5',
+        '{"id":"a"} x',
+        '[{"id":"a"},',
+        '{"items":[{"id"]}',
+        '{"items":null}',
+        '',
+        '  ',
+    ],
+)
 def test_unwrap_json_refuses(spark, text):
     with pytest.raises(Exception) as e:
         unwrapped(spark, text)
