@@ -61,6 +61,9 @@ def _run(limit: int) -> Column:
 def page_runs(pages: DataFrame, limit: int) -> DataFrame:
     """Per parent and run of pages: first and last offset, and the parent's first short page.
 
+    Offsets advance by ``limit``, so a run is ``RUN_PAGES`` pages, and the window
+    sees a parent's pages divided by that, as rows of one key and four numbers.
+
     Columns: ``parent_id, run, first_offset, last_offset, stop_offset``;
     ``stop_offset`` is NULL if no page of the parent is short.
     """

@@ -1,4 +1,7 @@
-"""Record schemas. Reads are always given one of these; nothing is inferred."""
+"""Record schemas. Reads are always given one of these; nothing is inferred.
+
+Fixed values: the field names are those the source sends.
+"""
 
 from __future__ import annotations
 

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Report hot shuffle blocks exactly: beyond 2000 partitions only averages are
+    # kept, and a hot partition would go unseen.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     # Join by hash instead of sorting page bodies where every build side is this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.compression.codec": "snappy",
