@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import staging
 from tidemark.operators import merge_child_pages, merge_pages, page_runs, paging, source_filter
@@ -178,6 +179,27 @@ def test_shared_folder_is_the_sessions(spark):
     assert staging.new_folder(spark, "x").startswith(named + "/x-")
 
 
+def test_hot_parent_is_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(paging, "RUN_PAGES", 3)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    sizes = {"hot": [3] * 120 + [1, 3, 3], "p": [3, 1, 3], "q": [3]}
+    albums = parents(spark, [("hot", [0], 0, 0), ("p", [0], 0, 1)])
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = merge_child_pages(albums, make(spark, sizes, 3), 3, attach_as="album_id")
+        hot = got.where("album_id = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(hot) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in hot) == 361
+
+
 def test_copies_of_one_page_are_split(spark):
     """A third of all pages are copies of one page: the join by run is split, and no row is lost."""
     settings = {

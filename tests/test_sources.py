@@ -87,7 +87,7 @@ def test_nothing_to_read(spark, tmp_path, base):
 def test_read_latest_json_file(spark, tmp_path, base):
     put(tmp_path, "x/x_1.json", json.dumps([{"id": "old"}]), 10)
     records = [{"id": "ação", "n": 1, "more": {"a": [1]}}, {"id": "b"}]
-    put(tmp_path, "x/x_2.json", json.dumps(records, ensure_ascii=False, indent=4), 20)
+    put(tmp_path, "x/x (new)_2.json", json.dumps(records, ensure_ascii=False, indent=4), 20)
     got = read_latest_file(spark, f"{base}/x", "json", RECORD)
     assert got.columns == [*schemas.ORDINAL_COLUMNS, "id", "n"]
     assert [tuple(r) for r in got.orderBy("pos").collect()] == [([], 0, 0, "ação", 1), ([], 0, 1, "b", None)]
@@ -154,7 +154,7 @@ def test_read_latest_parquet_file_drops_the_pandas_index(spark, tmp_path, base):
 
     os.makedirs(tmp_path / "x")
     frame = pd.DataFrame({"id": ["a", "b", "a"]}).drop_duplicates("id", keep="last")
-    frame.to_parquet(tmp_path / "x" / "x.parquet")
+    frame.to_parquet(tmp_path / "x" / "x(transform)_2024 01 ção.parquet")
     got = read_latest_file(spark, f"{base}/x", "parquet")
     assert got.columns == ["id"] and sorted(r.id for r in got.collect()) == ["a", "b"]
 
