@@ -183,15 +183,16 @@ def test_shuffle_sizing(spark):
     assert settings() == before
 
 
-def test_command_line(spark, base, capsys):
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_command_line(spark, base, capsys, fmt):
     from tidemark.__main__ import main
 
     albums, tracks = bodies("x")
-    pages(spark, schemas.ALBUM, albums, 2).write.json(f"{base}/pages/albums")
-    pages(spark, schemas.TRACK, tracks, 2).write.json(f"{base}/pages/tracks")
+    pages(spark, schemas.ALBUM, albums, 2).write.format(fmt).save(f"{base}/pages/albums")
+    pages(spark, schemas.TRACK, tracks, 2).write.format(fmt).save(f"{base}/pages/tracks")
     main(
         f"land --album-pages {base}/pages/albums --track-pages {base}/pages/tracks --base {base} "
-        "--album-limit 2 --track-limit 2 --snapshot-ts 20240101_000000".split()
+        f"--pages-format {fmt} --album-limit 2 --track-limit 2 --snapshot-ts 20240101_000000".split()
     )
     main(f"run --base {base} --strict".split())
     out = capsys.readouterr().out

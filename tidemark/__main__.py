@@ -9,14 +9,16 @@ from tidemark.plans import land, run
 from tidemark.plans.jobs import ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
 from tidemark.session import build_session
 from tidemark.sources import read_pages, snapshot_id
+from tidemark.sources.files import FORMATS
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark")
     jobs = parser.add_subparsers(dest="job", required=True)
-    landing = jobs.add_parser("land", help="merge pages (JSON Lines) into raw snapshots")
+    landing = jobs.add_parser("land", help="merge pages into raw snapshots")
     landing.add_argument("--album-pages", required=True)
     landing.add_argument("--track-pages", required=True)
+    landing.add_argument("--pages-format", choices=FORMATS, default="json")
     landing.add_argument("--album-limit", type=int, default=ALBUM_PAGE_LIMIT)
     landing.add_argument("--track-limit", type=int, default=TRACK_PAGE_LIMIT)
     cleaning = jobs.add_parser("run", help="clean the latest raw snapshots")
@@ -30,8 +32,8 @@ def main(argv: list[str] | None = None) -> None:
     stamp = args.snapshot_ts or snapshot_id()
     if args.job == "land":
         rows = land(
-            read_pages(spark, args.album_pages, schemas.ALBUM),
-            read_pages(spark, args.track_pages, schemas.TRACK),
+            read_pages(spark, args.album_pages, schemas.ALBUM, args.pages_format),
+            read_pages(spark, args.track_pages, schemas.TRACK, args.pages_format),
             args.base,
             stamp,
             args.album_limit,

@@ -111,9 +111,18 @@ def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> Data
     )
 
 
-def read_pages(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Response bodies landed as JSON Lines, one page per line."""
-    return spark.read.schema(schemas.page(record)).option("mode", "FAILFAST").json(path)
+def read_pages(
+    spark: SparkSession, path: str, record: T.StructType, fmt: str = "json"
+) -> DataFrame:
+    """Response bodies as they were landed: JSON Lines with a page per line, or Parquet.
+
+    Merging reads pages twice, sizes first. From Parquet the first reading is
+    one field; JSON is parsed in full both times.
+    """
+    reader = spark.read.schema(schemas.page(record))
+    if check_format(fmt) == "json":
+        return reader.option("mode", "FAILFAST").json(path)
+    return reader.parquet(path)
 
 
 def read_parquet_file(spark: SparkSession, path: str) -> DataFrame:
