@@ -51,7 +51,7 @@ def _page_size(pages: DataFrame, items: str) -> Column:
         flat = [f.name for f in element if not isinstance(f.dataType, (T.StructType, T.ArrayType))]
         if flat:
             array = array.getField(flat[0])
-    return F.coalesce(F.size(array), F.lit(0))
+    return F.coalesce(F.array_size(array), F.lit(0))
 
 
 def _run(limit: int) -> Column:

@@ -245,7 +245,7 @@ def bronze_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_tracks",
         "release_date",
         "album_group",
-        F.coalesce(F.size("images"), F.lit(0)).cast("bigint").alias("n_images"),
+        F.coalesce(F.array_size("images"), F.lit(0)).cast("bigint").alias("n_images"),
         F.col("external_urls.spotify").alias("url"),
     )
 
