@@ -33,8 +33,8 @@ MIN_SHARE = 1 / 256
 MIN_CHARS = 200
 MIN_WORDS = 100
 #: Limits of the two distances.
-MAX_CLASS_DISTANCE = 0.2
-MAX_WORD_DISTANCE = 0.35
+MAX_CLASS_DISTANCE = 0.21
+MAX_WORD_DISTANCE = 0.38
 
 # The symbols and rules of the contract.
 SYMBOLS = b"#*$%&|<>"

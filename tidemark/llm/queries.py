@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, licenses, quality, token_counts
+from tidemark.llm import ann, bpe, language_id, licenses, lm_score, mixing, quality, simhash, token_counts
 from tidemark.llm.common import documents, is_remainder
 
 
@@ -23,6 +23,28 @@ def pre_token_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return lm_score.score(docs, is_remainder(7, 2), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(documents(spark, sf_dir, "doc_id", "text"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.repetitions(documents(spark, sf_dir, "doc_id", "source", "text"))
+    taken = F.col("size") * F.col("times")
+    return mixed.select(F.col("key").alias("doc_id"), "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     return quality.judge(docs, quality.learn(docs))
@@ -70,6 +92,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality_rules, op6_byte_bpe, op7_license_scan, op9_token_counts, op10_language_id)
+    f.__name__: f
+    for f in (
+        op1_lm_score,
+        op2_simhash,
+        op3_nearest_neighbours,
+        op4_source_mix,
+        op5_quality_rules,
+        op6_byte_bpe,
+        op7_license_scan,
+        op9_token_counts,
+        op10_language_id,
+    )
 }
 ORACLE: dict[str, str] = {}
