@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, language_id, licenses, lm_score, mixing, quality, simhash, token_counts
+from tidemark.llm import ann, bpe, language_id, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts
 from tidemark.llm.common import documents, is_remainder
 
 
@@ -81,6 +81,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir, "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_quality_rules,
         op6_byte_bpe,
         op7_license_scan,
+        op8_line_dedup,
         op9_token_counts,
         op10_language_id,
     )
