@@ -305,16 +305,17 @@ def dedup(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFra
     kept = kept_lines(keyed(docs, key, column))
     low = (1 << LINE_BITS) - 1
     marks = kept.groupBy("doc", F.shiftrightunsigned("line", LINE_BITS).alias("text_hash")).agg(
-        F.sort_array(F.collect_list(F.col("line").bitwiseAND(F.lit(low)))).alias("__kept")
+        F.collect_list(F.col("line").bitwiseAND(F.lit(low))).alias("kept")
     )
     names = [c for c in docs.columns if c not in STAYED.fieldNames()]
-    rows = docs.select(*names, _doc(key).alias("__doc"), _text_hash(column).alias("__hash"))
-    joined = rows.join(marks, (F.col("__doc") == F.col("doc")) & (F.col("__hash") == F.col("text_hash")), "left")
+    rows = docs.select(F.struct(*names).alias("row"), _doc(key).alias("doc"), _text_hash(column).alias("text_hash"))
+    joined = rows.join(marks, ["doc", "text_hash"], "left").select("row", "kept")
     schema = T.StructType([*(docs.schema[c] for c in names), *STAYED.fields])
 
     def each(batch: pa.RecordBatch) -> dict:
         texts, found, gone = [], [], []
-        for text, stay in zip(utf8(batch.column(column)), batch.column("__kept").to_pylist()):
+        row = dict(zip(names, batch.column("row").flatten()))
+        for text, stay in zip(utf8(row[column]), batch.column("kept").to_pylist()):
             stay = set(stay or ())
             lines = text.split(b"\n") if text else []
             worded = [bool(line.strip(b" \t\n\r\x0b\x0c")) for line in lines]
@@ -322,7 +323,6 @@ def dedup(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFra
             found.append(sum(worded))
             gone.append(len(lines) - len(left))
             texts.append(None if text is None else b"\n".join(left))
-        out = {c: batch.column(c) for c in names if c != column}
-        return out | {column: pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": found, "n_removed": gone}
+        return row | {column: pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": found, "n_removed": gone}
 
-    return arrow_map(joined.select(*names, "__kept"), each, schema)
+    return arrow_map(joined, each, schema)

@@ -12,8 +12,7 @@ the hash, and only the part in which the sum is reached is put in order. So no
 task orders a whole source, and the words taken differ from the target by half a
 document at most.
 
-Defined results: null texts have no words and are taken as often as their source
-is repeated, which is no words. Null sources are one source, the last. A source
+Defined results: null texts have no words, whatever they are repeated. Null sources are one source, the last. A source
 without words has target 0. Documents of equal hashes go in the order of their
 key, and rows equal in all are exchangeable, so reruns agree.
 """
@@ -127,3 +126,12 @@ def repetitions(docs: DataFrame, key: str = "doc_id", source: str = "source", co
     edge = edge.withColumn("extra", reached <= F.col("rest"))
     times = F.col("whole") + (F.col("extra") & (F.col("rest") > 0)).cast("int")
     return inside.unionByName(edge).select("key", "source", "size", "source_size", "target", times.cast("int").alias("times"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", column: str = "text", seed: int = SEED) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; rows that share key and source are taken equally often."""
+    found = repetitions(docs, key, source, column, seed)
+    times = found.groupBy(F.col("key").alias("__key"), F.col("source").alias("__source")).agg(F.max("times").alias("__times"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(source).eqNullSafe(F.col("__source"))
+    taken = docs.join(times.where("__times > 0"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return taken.select(*docs.columns)

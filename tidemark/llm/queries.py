@@ -50,18 +50,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs))
 
 
-def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    """Encode every text, decode the ids again: ``doc_id, ids, n_tokens, ids_sha256, decoded_sha256``."""
     path, pattern = tokenizer_file("byte_bpe_multi_50k.tiktoken"), pre_token_pattern()
-    encoded = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), path, pattern, keep=["doc_id"])
+    decoded = bpe.decode(bpe.encode(docs, path, pattern, keep=["doc_id"]), path, pattern)
     ids = F.col("ids")
-    digests = encoded.select(
+    return decoded.select(
         "doc_id",
         "ids",
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(digests, path, pattern, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir, "doc_id", "text")).drop("ids")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
