@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from workload.catalog import QUERIES
+from workload.oracle import ORACLE
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -38,10 +40,12 @@ def multiset(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = driver.queries()[name](spark, SF_DIR)
     rows = df.collect()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,26 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import files
 
-_local_folder: str | None = None
-_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+#: Where a local session may stage that was started without a folder.
+LOCAL_FOLDER = "file:///tmp/checkpoints"
 
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names, or the one set on the context.
 
-    Only a local session may go without: it gets one temporary folder. On a
-    cluster such a folder is not shared, so a missing setting is an error.
-    """
-    global _local_folder
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder ``spark.checkpoint.dir`` names, or the one set on the context."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
+    return named.rstrip("/") if named else None
+
+
+def named_or_local(spark: SparkSession) -> None:
+    """Give a local session without a shared folder one; one process has no other machine to share with.
+
+    For the callers that can't ask for a folder (registered queries, tests). On a
+    cluster nothing is set, and staging without a named folder is an error.
+    """
+    master = spark.sparkContext.master
+    if named_folder(spark) is None and (master == "local" or master.startswith("local[")):
+        spark.sparkContext.setCheckpointDir(LOCAL_FOLDER)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The named folder, which all executors share; there is no default."""
+    named = named_folder(spark)
+    if named is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_folder is None:
-        _local_folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return _local_folder
+    return named
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
