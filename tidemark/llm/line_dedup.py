@@ -4,18 +4,23 @@ A line is its words, A-Z lowered, repeats numbered (so "a a" is not "a"). A line
 goes if any line before it has a Jaccard similarity of ``THRESHOLD`` or more with
 it. Lines are ordered by document key, then by place. Lines without words stay.
 
-* Equal lines are one class, met by their 128-bit hash; its first line stands for it.
+* Equal lines are met by their 128-bit hash; the first of them stands for all.
+  A bounded bitmap of first lines lets the next pass leave out the others. (A
+  line that it lets through by chance is met by the join, as similarity 1.)
 * Words are ordered by rarity. How often they occur is counted over all lines in
   ``COUNTERS`` counters, a bounded sketch; words that share a counter rank by
   their own hash. Any order that all lines share gives exact results.
 * Prefix filter: similar lines share one of their ``n - ceil(t n) + 1`` rarest
-  words, so classes meet by those. Length and positional filters follow, and a
-  bit parity of the words bounds how many differ.
-* Classes that share a word are first held against the earliest of them only.
-  Near copies of one line go there, so they never meet all by all. What is left
-  is joined in full, and only where three or more classes share a word.
+  words, so lines meet by those (but not by words that occur once). Length and
+  positional filters follow, and a bit parity of the words bounds how many differ.
+* The lines that share a word are read in their order, each held against those
+  before it. Where two of those are very near, the rest is put off, so near copies
+  of one line never meet all by all; a line that then is not matched after all
+  meets the rest in a second round.
+* Words that occur more than ``HELD`` times could bring together more lines than a
+  task holds. They are joined by Spark instead, which splits such a key.
 * Candidates are verified on their real words, read again from the documents. A
-  bounded bitmap of the lines asked for keeps other lines out of that shuffle.
+  bitmap of the lines asked for keeps other lines out of that shuffle.
 
 Words are hashed to 32 bits until they are verified; words that fall together
 can only bring more candidates, never lose one.
@@ -28,15 +33,15 @@ stays has an empty text. Lines are parted by "\\n" only, and are kept as they ar
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +50,13 @@ from tidemark.llm.common import SLICE_ROWS, arrow_map, ship, utf8, written
 #: Similarity from which a line matches, as a fraction.
 THRESHOLD = (4, 5)
 COUNTERS = 1 << 22
-COUNTER_BLOCK = 1 << 12
-BITMAP_BITS = 1 << 26
-BITMAP_BLOCK = 1 << 15
+BITMAP_BITS = 1 << 25
+#: Entries of a counter or bitmap that travel together.
+BLOCK = 1 << 16
+#: Lines that share a word and are held by one task at most.
+HELD = 1 << 16
+#: Very near lines before a line, after which it meets no more in the first round.
+NEAR = 2
 
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
@@ -90,39 +99,109 @@ def hashes(words: list[list[bytes]]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, flat), np.int64, sum(map(len, words)))
 
 
-# Rarity
+# Bounded tables of all lines
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The rarity class of each counter (a byte): words are counted by hash over all lines."""
-    ship(docs.sparkSession)
+def gathered(
+    df: DataFrame,
+    places: Callable[[pa.RecordBatch], np.ndarray],
+    size: int,
+    kind: type,
+    finish: Callable[[np.ndarray], np.ndarray],
+) -> np.ndarray:
+    """How often ``places`` names each of ``size`` entries, over all rows, through ``finish`` (to bytes).
+
+    A task counts in one array of ``kind`` (in bytes: whether, not how often) and
+    hands it on by blocks; blocks are added up by tasks, so the driver gets what
+    ``finish`` makes of each.
+    """
+    ship(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(size, kind)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                texts = utf8(batch.column(0).slice(at, SLICE_ROWS))
-                found = hashes([t.lower().split() for t in texts if t])
-                np.add.at(counts, found & (COUNTERS - 1), 1)
-        used = np.flatnonzero(counts)
-        for at in range(0, len(used), 1 << 16):
-            part = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["counter", "n"])
-
-    def block(rows: pd.DataFrame) -> pd.DataFrame:
-        classes = np.zeros(COUNTER_BLOCK, np.uint8)
-        classes[rows["counter"] % COUNTER_BLOCK] = np.minimum(255, 1 + np.floor(6 * np.log2(rows["n"])))
-        return pd.DataFrame({"block": [rows["counter"].iloc[0] // COUNTER_BLOCK], "classes": [classes.tobytes()]})
-
-    counts = docs.select("text").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    blocks = counts.groupBy(F.floor(F.col("counter") / COUNTER_BLOCK)).applyInPandas(block, "block long, classes binary")
-    out = np.zeros(COUNTERS, np.uint8)
-    for row in blocks.collect():
-        at = row["block"] * COUNTER_BLOCK
-        out[at : at + COUNTER_BLOCK] = np.frombuffer(row["classes"], np.uint8)
+            for at in range(0, batch.num_rows, SLICE_ROWS * 16):
+                found, times = np.unique(places(batch.slice(at, SLICE_ROWS * 16)), return_counts=True)
+                if kind is np.uint8:
+                    counts[found] = 1
+                else:
+                    counts[found] += times.astype(kind)
+        for block in range(0, size, BLOCK):
+            part = counts[block : block + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block // BLOCK], pa.int64()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                    names=["block", "counts"],
+                )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
+                counts = np.frombuffer(zlib.decompress(part), kind)
+                if block in held:
+                    np.maximum(held[block], counts, held[block]) if kind is np.uint8 else np.add(held[block], counts, held[block])
+                else:
+                    held[block] = counts.astype(kind if kind is np.uint8 else np.uint64)
+        for block, counts in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([finish(counts).tobytes()], pa.binary())],
+                names=["block", "counts"],
+            )
+
+    schema = "block long, counts binary"
+    blocks = df.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect()
+    width = len(finish(np.zeros(BLOCK, kind)))
+    out = np.zeros(size // BLOCK * width, np.uint8)
+    for row in blocks:
+        out[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["counts"], np.uint8)
     return out
 
 
+def rarity_class(counts: np.ndarray) -> np.ndarray:
+    """A byte that grows with the count: 0 for none, 1 for one, 7 for two."""
+    counts = np.asarray(counts, np.float64)
+    classes = np.minimum(255, 1 + np.floor(6 * np.log2(np.maximum(counts, 1))))
+    return np.where(counts > 0, classes, 0).astype(np.uint8)
+
+
+ONCE = 1
+#: Classes from here on are of words that occur more than HELD times.
+HOT = int(1 + 6 * math.log2(HELD))
+
+
+def rarity(docs: DataFrame) -> np.ndarray:
+    """The rarity class of each counter: words are counted by hash over all lines."""
+
+    def places(batch: pa.RecordBatch) -> np.ndarray:
+        return hashes([t.lower().split() for t in utf8(batch.column(0)) if t]) & (COUNTERS - 1)
+
+    return gathered(docs.select("text"), places, COUNTERS, np.uint32, rarity_class)
+
+
+def line_bits(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    mixed = (docs.astype(np.uint64) * _MIX ^ lines.astype(np.uint64)) * _MIX
+    return ((mixed >> np.uint64(20)) & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+
+
+def bitmap(lines: DataFrame) -> np.ndarray:
+    """A bounded bitmap in which every (doc, line) of ``lines`` is set."""
+
+    def places(batch: pa.RecordBatch) -> np.ndarray:
+        return line_bits(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
+
+    return gathered(lines.select("doc", "line"), places, BITMAP_BITS, np.uint8, np.packbits)
+
+
+def in_bitmap(found: list[tuple[int, int, list[bytes]]], bits: np.ndarray) -> list[tuple[int, int, list[bytes]]]:
+    at = line_bits(np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
+    asked = bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
+    return [f for f, a in zip(found, asked.tolist()) if a]
+
+
+# The join
+
+
 def ordered(words: list[list[bytes]], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes and repeat numbers of lines, each line's rarest first, and where each line begins."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -142,60 +221,138 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-top * n // bottom) + 1
 
 
-CLASS = T.StructType(
-    [
-        T.StructField("hash_a", T.LongType()),
-        T.StructField("hash_b", T.LongType()),
-        T.StructField("doc", T.LongType()),
-        T.StructField("line", T.LongType()),
-        T.StructField("pack", T.LongType()),
-        T.StructField("prefix", T.ArrayType(T.IntegerType())),
-    ]
-)
+LINE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line", T.LongType())])
+HASHED = T.StructType([T.StructField("hash_a", T.LongType()), T.StructField("hash_b", T.LongType()), *LINE.fields])
+PREFIX = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("hot", T.BooleanType()), *LINE.fields, T.StructField("pack", T.LongType())])
 
 
-def line_rows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """A row per line: hash of its words, identity, parity and length, and its rarest words."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+def line_map(docs: DataFrame, each: Callable[[list], dict], schema: T.StructType) -> DataFrame:
+    """``each`` on the lines of some documents at a time; it returns arrays by name."""
+    ship(docs.sparkSession)
+    names = schema.fieldNames()
 
-    def described(found: list[tuple[int, int, list[bytes]]]) -> dict:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                found = list(lines_of(batch.slice(at, SLICE_ROWS)))
+                for start in range(0, len(found), BATCH_LINES):
+                    out = each(found[start : start + BATCH_LINES])
+                    yield pa.RecordBatch.from_arrays([pa.array(out[n]) for n in names], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def first_lines(docs: DataFrame) -> DataFrame:
+    """``doc, line`` of the first of each set of equal lines."""
+
+    def each(found: list) -> dict:
         import xxhash
 
+        digests = b"".join(xxhash.xxh3_128_digest(b" ".join(w)) for _, _, w in found)
+        pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
+        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+        return {"hash_a": pairs[:, 0], "hash_b": pairs[:, 1], "doc": docs_, "line": lines}
+
+    first = F.min(F.struct("doc", "line")).alias("first")
+    return line_map(docs, each, HASHED).groupBy("hash_a", "hash_b").agg(first).select("first.*")
+
+
+def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> DataFrame:
+    """``word, hot, doc, line, pack``: the rarest words of every first line, with its parity and length."""
+    shared = docs.sparkSession.sparkContext.broadcast((classes, firsts))
+
+    def each(found: list) -> dict:
+        classes, firsts = shared.value
+        found = in_bitmap(found, firsts)
         words = [w for _, _, w in found]
-        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(w)) for w in words), np.int64).reshape(-1, 2)
-        raw, repeats, starts = ordered(words, shared.value)
+        raw, repeats, starts = ordered(words, classes)
         n = np.diff(starts)
         mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << ((mixed >> np.uint64(32)) % np.uint64(PARITY_BITS)), starts[:-1])
+        bits = np.uint64(1) << ((mixed >> np.uint64(32)) % np.uint64(PARITY_BITS))
+        parity = np.bitwise_xor.reduceat(bits, starts[:-1]) if len(n) else np.empty(0, np.uint64)
         pack = parity.astype(np.int64) << 2 * SIZE_BITS | np.minimum(n, LONGEST) << SIZE_BITS
         length = prefix_length(n)
-        ends = np.concatenate(([0], np.cumsum(length)))
-        at = np.arange(ends[-1]) - np.repeat(ends[:-1], length) + np.repeat(starts[:-1], length)
-        prefix = (mixed[at] >> np.uint64(16)).astype(np.uint32).view(np.int32)
+        line = np.repeat(np.arange(len(n)), length)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
+        at = place + starts[:-1][line]
+        rarity_ = classes[raw[at] & (COUNTERS - 1)]
+        met = rarity_ > ONCE
+        line, place, at = line[met], place[met], at[met]
+        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
         return {
-            "hash_a": pa.array(digests[:, 0]),
-            "hash_b": pa.array(digests[:, 1]),
-            "doc": [d for d, _, _ in found],
-            "line": [i for _, i, _ in found],
-            "pack": pa.array(pack),
-            "prefix": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix)),
+            "word": (mixed[at] >> np.uint64(16)).astype(np.uint32).view(np.int32),
+            "hot": rarity_[met] >= HOT,
+            "doc": docs_[line],
+            "line": lines[line],
+            "pack": pack[line] + np.minimum(place, LONGEST),
         }
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                found = list(lines_of(batch.slice(at, SLICE_ROWS)))
-                for start in range(0, len(found), BATCH_LINES):
-                    out = described(found[start : start + BATCH_LINES])
-                    yield pa.RecordBatch.from_arrays(
-                        [v if isinstance(v, pa.Array) else pa.array(v, pa.int64()) for v in out.values()], names=list(out)
-                    )
+    return line_map(docs, each, PREFIX)
 
-    ship(docs.sparkSession)
-    return docs.mapInArrow(run, CLASS)
 
+def matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For packs met by one word: whether the filters let them through, and whether they look very near."""
+    top, bottom = THRESHOLD
+    size_a, size_b = a >> SIZE_BITS & LONGEST, b >> SIZE_BITS & LONGEST
+    place_a, place_b = a & LONGEST, b & LONGEST
+    total = size_a + size_b
+    needed = -(-top * total // (top + bottom))
+    differ = np.bitwise_count((a ^ b).view(np.uint64) >> np.uint64(2 * SIZE_BITS)).astype(np.int64)
+    through = (
+        (bottom * np.minimum(size_a, size_b) >= top * np.maximum(size_a, size_b))
+        & (np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b) >= needed)
+        & (differ <= total - 2 * needed)
+    )
+    through |= (size_a == LONGEST) | (size_b == LONGEST)
+    return through, through & (2 * differ <= total - 2 * needed)
+
+
+PAIR = T.StructType([*LINE.fields, *(T.StructField(c, T.LongType()) for c in ("a_doc", "a_line")), T.StructField("more", T.BooleanType())])
+
+
+def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
+    """``doc, line, a_doc, a_line, more``: lines with those before them that share a word and may match.
+
+    After ``near`` very near ones (None: never) a line meets no more by that
+    word, and ``more`` says so. ``rows`` have at most ``HELD`` lines a word.
+    """
+
+    def pairs(columns: list[np.ndarray]) -> dict:
+        word, doc, line, pack = columns
+        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
+        active, seen = np.flatnonzero(place), np.zeros(len(word), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        step = 0
+        while len(active):
+            earlier = active - place[active] + step
+            through, close = matches(pack[earlier], pack[active])
+            seen[active] += close
+            step += 1
+            stopped = np.zeros(len(active), bool) if near is None else seen[active] >= near
+            left = place[active] > step
+            found.append((active[through], earlier[through], (stopped & left)[through]))
+            active = active[left & ~stopped]
+        b, a, more = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+        return {"doc": doc[b], "line": line[b], "a_doc": doc[a], "a_line": line[a], "more": more.astype(bool)}
 
-# The join
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                new = [batch.column(c).to_numpy() for c in ("word", "doc", "line", "pack")]
+                held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            if held is None or not len(held[0]):
+                continue
+            # the last word may go on in the next batch
+            cut = int(np.searchsorted(held[0], held[0][-1])) if batch is not None else len(held[0])
+            if cut:
+                out = pairs([x[:cut] for x in held])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in out.values()], names=list(out))
+                held = [x[cut:] for x in held]
+
+    ordered_rows = rows.select("word", "doc", "line", "pack").repartition("word").sortWithinPartitions("word", "doc", "line")
+    return ordered_rows.mapInArrow(run, PAIR)
 
 
 def could_match(a: str, b: str) -> Column:
@@ -220,47 +377,21 @@ def similar(a: list[bytes], b: list[bytes]) -> bool:
     return bottom * shared >= top * (len(a) + len(b) - shared)
 
 
-def wanted_bits(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    mixed = (docs.astype(np.uint64) * _MIX ^ lines.astype(np.uint64)) * _MIX
-    return ((mixed >> np.uint64(20)) & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
-
-
-def bitmap(lines: DataFrame) -> np.ndarray:
-    """A bounded bitmap in which every (doc, line) of ``lines`` is set."""
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bit", T.LongType())])
-
-    def each(batch: pa.RecordBatch) -> dict:
-        bits = np.unique(wanted_bits(batch.column("doc").to_numpy(), batch.column("line").to_numpy()))
-        return {"block": pa.array(bits // BITMAP_BLOCK), "bit": pa.array(bits % BITMAP_BLOCK)}
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        held = np.zeros(BITMAP_BLOCK, bool)
-        held[rows["bit"]] = True
-        return pd.DataFrame({"block": [rows["block"].iloc[0]], "bits": [np.packbits(held).tobytes()]})
-
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    blocks = arrow_map(lines, each, schema).distinct().groupBy("block").applyInPandas(merge, "block long, bits binary")
-    size = BITMAP_BLOCK // 8
-    for row in blocks.collect():
-        out[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc, line`` of the later lines of the pairs (``doc, line, a_doc, a_line``) that really are similar."""
     pairs = written(pairs.distinct(), "candidates")
+    if pairs.isEmpty():
+        return pairs.select("doc", "line")
     ends = pairs.select("doc", "line").union(pairs.select("a_doc", "a_line")).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(ends))
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line", T.LongType()), T.StructField("words", T.BinaryType())])
+    schema = T.StructType([*LINE.fields, T.StructField("words", T.BinaryType())])
 
-    def each(batch: pa.RecordBatch) -> dict:
-        found = list(lines_of(batch))
-        at = wanted_bits(np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
-        asked = shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
-        kept = [f for f, a in zip(found, asked.tolist()) if a]
-        return {"doc": [f[0] for f in kept], "line": [f[1] for f in kept], "words": [b" ".join(f[2]) for f in kept]}
+    def each(found: list) -> dict:
+        found = in_bitmap(found, shared.value)
+        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+        return {"doc": docs_, "line": lines, "words": pa.array([b" ".join(f[2]) for f in found], pa.binary())}
 
-    lines = arrow_map(docs, each, schema).join(ends, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"])
+    lines = line_map(docs, each, schema).join(ends, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"])
     lines = written(lines, "candidate-lines")
     earlier = lines.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("words").alias("a_words"))
     both = pairs.join(lines, ["doc", "line"]).join(earlier, ["a_doc", "a_line"])
@@ -271,30 +402,26 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         hits = [(doc, line) for doc, line, b, a in rows if similar(a.split(), b.split())]
         return {"doc": [h[0] for h in hits], "line": [h[1] for h in hits]}
 
-    return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, T.StructType(schema.fields[:2])).distinct(), "matches")
+    return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
-    first = F.min(F.struct("doc", "line", "pack", "prefix")).alias("first")
-    classes = written(line_rows(docs, rarity(docs)).groupBy("hash_a", "hash_b").agg(first).select("first.*"), "line-classes")
-    rows = classes.select("doc", "line", "pack", F.posexplode("prefix").alias("place", "word"))
-    place = F.least("place", F.lit(LONGEST)).cast("long")
-    rows = rows.select("word", "doc", "line", (F.col("pack") + place).alias("pack"))
-    group = Window.partitionBy("word")
-    order = group.orderBy("doc", "line")
-    head = F.first(F.struct("doc", "line", "pack")).over(order)
-    met = rows.withColumns({"head": head, "place": F.row_number().over(order), "size": F.count("*").over(group)})
-    met = met.where("size > 1").withColumns({"a_doc": F.col("head.doc"), "a_line": F.col("head.line"), "a_pack": F.col("head.pack")})
-    met = met.withColumn("candidate", F.expr("place > 1") & could_match("a_pack", "pack")).drop("head")
-    met = written(met.where("candidate OR size > 2"), "met-classes")
-    gone = verified(docs, met.where("candidate").select("doc", "line", "a_doc", "a_line"))
-    others = met.where("size > 2").select("word", "doc", "line", "pack", "place")
-    late = others.where("place > 2").join(gone, ["doc", "line"], "left_anti")
-    early = others.where("place > 1").select("word", *[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "pack", "place")])
-    further = late.join(early, (late["word"] == early["word"]) & F.expr("a_place < place") & could_match("a_pack", "pack"))
-    more = verified(docs, further.select("doc", "line", "a_doc", "a_line"))
-    return classes.select("doc", "line").join(gone.union(more).distinct(), ["doc", "line"], "left_anti")
+    firsts = written(first_lines(docs), "first-lines")
+    rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
+    cold, hot = rows.where("NOT hot"), rows.where("hot")
+    met = written(near_pairs(cold, NEAR), "met")
+    early = hot.select("word", *[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "pack")])
+    before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
+    of_hot = hot.join(early, (hot["word"] == early["word"]) & before & could_match("a_pack", "pack"))
+    ends = ["doc", "line", "a_doc", "a_line"]
+    gone = verified(docs, met.select(*ends).union(of_hot.select(*ends)))
+    open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
+    if not open_.isEmpty():
+        words = cold.join(open_, ["doc", "line"], "left_semi").select("word").distinct()
+        rest = near_pairs(cold.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
+        gone = gone.union(verified(docs, rest.select(*ends)))
+    return firsts.join(gone.distinct(), ["doc", "line"], "left_anti")
 
 
 STAYED = T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
