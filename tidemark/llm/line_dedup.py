@@ -60,10 +60,11 @@ NEAR = 2
 
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
-#: Parity bits, length and position of a prefix word share a long; longer lines are not filtered.
+#: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
 SIZE_BITS = 12
 LONGEST = (1 << SIZE_BITS) - 1
-PARITY_BITS = 40
+#: The parity of a line's words has two longs.
+PARITY_BITS = 128
 #: Lines whose words are ordered at once.
 BATCH_LINES = 1 << 20
 
@@ -223,7 +224,15 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 LINE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line", T.LongType())])
 HASHED = T.StructType([T.StructField("hash_a", T.LongType()), T.StructField("hash_b", T.LongType()), *LINE.fields])
-PREFIX = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("hot", T.BooleanType()), *LINE.fields, T.StructField("pack", T.LongType())])
+PREFIX = T.StructType(
+    [
+        T.StructField("pack", T.LongType()),
+        T.StructField("hot", T.BooleanType()),
+        *LINE.fields,
+        T.StructField("parity_a", T.LongType()),
+        T.StructField("parity_b", T.LongType()),
+    ]
+)
 
 
 def line_map(docs: DataFrame, each: Callable[[list], dict], schema: T.StructType) -> DataFrame:
@@ -258,7 +267,7 @@ def first_lines(docs: DataFrame) -> DataFrame:
 
 
 def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> DataFrame:
-    """``word, hot, doc, line, pack``: the rarest words of every first line, with its parity and length."""
+    """``pack, hot, doc, line, parity_a, parity_b``: the rarest words of every first line."""
     shared = docs.sparkSession.sparkContext.broadcast((classes, firsts))
 
     def each(found: list) -> dict:
@@ -268,9 +277,13 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> Dat
         raw, repeats, starts = ordered(words, classes)
         n = np.diff(starts)
         mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
-        bits = np.uint64(1) << ((mixed >> np.uint64(32)) % np.uint64(PARITY_BITS))
-        parity = np.bitwise_xor.reduceat(bits, starts[:-1]) if len(n) else np.empty(0, np.uint64)
-        pack = parity.astype(np.int64) << 2 * SIZE_BITS | np.minimum(n, LONGEST) << SIZE_BITS
+        bit = (mixed >> np.uint64(32)) % np.uint64(PARITY_BITS)
+        one = np.uint64(1) << (bit & np.uint64(63))
+        parity = []
+        for half in (0, 1):
+            bits = np.where(bit >> np.uint64(6) == half, one, np.uint64(0))
+            parity.append(np.bitwise_xor.reduceat(bits, starts[:-1]).view(np.int64) if len(n) else np.empty(0, np.int64))
+        size = np.minimum(n, LONGEST) << SIZE_BITS
         length = prefix_length(n)
         line = np.repeat(np.arange(len(n)), length)
         place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
@@ -280,24 +293,25 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> Dat
         line, place, at = line[met], place[met], at[met]
         docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
         return {
-            "word": (mixed[at] >> np.uint64(16)).astype(np.uint32).view(np.int32),
+            "pack": (mixed[at] >> np.uint64(33)).astype(np.int64) << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST),
             "hot": rarity_[met] >= HOT,
             "doc": docs_[line],
             "line": lines[line],
-            "pack": pack[line] + np.minimum(place, LONGEST),
+            "parity_a": parity[0][line],
+            "parity_b": parity[1][line],
         }
 
     return line_map(docs, each, PREFIX)
 
 
-def matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For packs met by one word: whether the filters let them through, and whether they look very near."""
+def matches(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For rows met by one word (pack and parity): whether the filters let them through, and whether they look very near."""
     top, bottom = THRESHOLD
-    size_a, size_b = a >> SIZE_BITS & LONGEST, b >> SIZE_BITS & LONGEST
-    place_a, place_b = a & LONGEST, b & LONGEST
+    size_a, size_b = a[0] >> SIZE_BITS & LONGEST, b[0] >> SIZE_BITS & LONGEST
+    place_a, place_b = a[0] & LONGEST, b[0] & LONGEST
     total = size_a + size_b
     needed = -(-top * total // (top + bottom))
-    differ = np.bitwise_count((a ^ b).view(np.uint64) >> np.uint64(2 * SIZE_BITS)).astype(np.int64)
+    differ = sum(np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64) for x, y in zip(a[1:], b[1:]))
     through = (
         (bottom * np.minimum(size_a, size_b) >= top * np.maximum(size_a, size_b))
         & (np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b) >= needed)
@@ -310,6 +324,9 @@ def matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 PAIR = T.StructType([*LINE.fields, *(T.StructField(c, T.LongType()) for c in ("a_doc", "a_line")), T.StructField("more", T.BooleanType())])
 
 
+MARKS = ("pack", "parity_a", "parity_b")
+
+
 def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
     """``doc, line, a_doc, a_line, more``: lines with those before them that share a word and may match.
 
@@ -318,7 +335,8 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
     """
 
     def pairs(columns: list[np.ndarray]) -> dict:
-        word, doc, line, pack = columns
+        doc, line, *marks = columns
+        word = marks[0] >> 2 * SIZE_BITS
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
         active, seen = np.flatnonzero(place), np.zeros(len(word), np.int64)
@@ -326,7 +344,7 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
         step = 0
         while len(active):
             earlier = active - place[active] + step
-            through, close = matches(pack[earlier], pack[active])
+            through, close = matches([m[earlier] for m in marks], [m[active] for m in marks])
             seen[active] += close
             step += 1
             stopped = np.zeros(len(active), bool) if near is None else seen[active] >= near
@@ -340,34 +358,40 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
         held: list[np.ndarray] | None = None
         for batch in chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(c).to_numpy() for c in ("word", "doc", "line", "pack")]
+                new = [batch.column(c).to_numpy() for c in ("doc", "line", *MARKS)]
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
             if held is None or not len(held[0]):
                 continue
             # the last word may go on in the next batch
-            cut = int(np.searchsorted(held[0], held[0][-1])) if batch is not None else len(held[0])
+            words = held[2] >> 2 * SIZE_BITS
+            cut = int(np.searchsorted(words, words[-1])) if batch is not None else len(words)
             if cut:
                 out = pairs([x[:cut] for x in held])
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in out.values()], names=list(out))
                 held = [x[cut:] for x in held]
 
-    ordered_rows = rows.select("word", "doc", "line", "pack").repartition("word").sortWithinPartitions("word", "doc", "line")
-    return ordered_rows.mapInArrow(run, PAIR)
+    dealt = rows.select("doc", "line", *MARKS).repartition(WORD).sortWithinPartitions(WORD, "doc", "line")
+    return dealt.mapInArrow(run, PAIR)
+
+
+WORD = F.shiftright("pack", 2 * SIZE_BITS)
 
 
-def could_match(a: str, b: str) -> Column:
-    """Length, positional and parity filter on two packs, at the first word they were met by."""
+def could_match() -> Column:
+    """Length, positional and parity filter on rows met by one word, the earlier one's columns named ``a_...``."""
     top, bottom = THRESHOLD
-    size = lambda p: f"(shiftrightunsigned({p}, {SIZE_BITS}) & {LONGEST})"
+    size = lambda p: f"(shiftright({p}, {SIZE_BITS}) & {LONGEST})"
     place = lambda p: f"({p} & {LONGEST})"
+    a, b = "a_pack", "pack"
     total = f"({size(a)} + {size(b)})"
     needed = f"(({top} * {total} + {top + bottom - 1}) div {top + bottom})"
     left = f"least({size(a)} - {place(a)}, {size(b)} - {place(b)})"
+    differ = "bit_count(a_parity_a ^ parity_a) + bit_count(a_parity_b ^ parity_b)"
     return F.expr(
         f"""{size(a)} = {LONGEST} OR {size(b)} = {LONGEST} OR (
             {bottom} * least({size(a)}, {size(b)}) >= {top} * greatest({size(a)}, {size(b)})
             AND least({place(a)}, {place(b)}) + {left} >= {needed}
-            AND bit_count(shiftrightunsigned({a} ^ {b}, {2 * SIZE_BITS})) <= {total} - 2 * {needed})"""
+            AND {differ} <= {total} - 2 * {needed})"""
     )
 
 
@@ -411,13 +435,15 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
     cold, hot = rows.where("NOT hot"), rows.where("hot")
     met = written(near_pairs(cold, NEAR), "met")
-    early = hot.select("word", *[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "pack")])
+    hot = hot.withColumn("word", WORD)
+    early = hot.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
     before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
-    of_hot = hot.join(early, (hot["word"] == early["word"]) & before & could_match("a_pack", "pack"))
+    of_hot = hot.join(early, (F.col("word") == F.col("a_word")) & before & could_match())
     ends = ["doc", "line", "a_doc", "a_line"]
     gone = verified(docs, met.select(*ends).union(of_hot.select(*ends)))
     open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
     if not open_.isEmpty():
+        cold = cold.withColumn("word", WORD)
         words = cold.join(open_, ["doc", "line"], "left_semi").select("word").distinct()
         rest = near_pairs(cold.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
         gone = gone.union(verified(docs, rest.select(*ends)))
