@@ -370,11 +370,12 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in out.values()], names=list(out))
                 held = [x[cut:] for x in held]
 
-    dealt = rows.select("doc", "line", *MARKS).repartition(WORD).sortWithinPartitions(WORD, "doc", "line")
+    dealt = rows.select("doc", "line", *MARKS).repartition(_word()).sortWithinPartitions(_word(), "doc", "line")
     return dealt.mapInArrow(run, PAIR)
 
 
-WORD = F.shiftright("pack", 2 * SIZE_BITS)
+def _word() -> Column:
+    return F.shiftright("pack", 2 * SIZE_BITS)
 
 
 def could_match() -> Column:
@@ -435,7 +436,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
     cold, hot = rows.where("NOT hot"), rows.where("hot")
     met = written(near_pairs(cold, NEAR), "met")
-    hot = hot.withColumn("word", WORD)
+    hot = hot.withColumn("word", _word())
     early = hot.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
     before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
     of_hot = hot.join(early, (F.col("word") == F.col("a_word")) & before & could_match())
@@ -443,7 +444,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     gone = verified(docs, met.select(*ends).union(of_hot.select(*ends)))
     open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
     if not open_.isEmpty():
-        cold = cold.withColumn("word", WORD)
+        cold = cold.withColumn("word", _word())
         words = cold.join(open_, ["doc", "line"], "left_semi").select("word").distinct()
         rest = near_pairs(cold.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
         gone = gone.union(verified(docs, rest.select(*ends)))
