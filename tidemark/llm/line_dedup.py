@@ -17,8 +17,8 @@ it. Lines are ordered by document key, then by place. Lines without words stay.
   before it. Where two of those are very near, the rest is put off, so near copies
   of one line never meet all by all; a line that then is not matched after all
   meets the rest in a second round.
-* Words that occur more than ``HELD`` times could bring together more lines than a
-  task holds. They are joined by Spark instead, which splits such a key.
+* A task holds ``HELD`` lines of one word at most. A word that brings together
+  more is joined by Spark instead, which splits such a key.
 * Candidates are verified on their real words, read again from the documents. A
   bitmap of the lines asked for keeps other lines out of that shuffle.
 
@@ -33,7 +33,6 @@ stays has an empty text. Lines are parted by "\\n" only, and are kept as they ar
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -55,8 +54,10 @@ BITMAP_BITS = 1 << 25
 BLOCK = 1 << 16
 #: Lines that share a word and are held by one task at most.
 HELD = 1 << 16
-#: Very near lines before a line, after which it meets no more in the first round.
+#: Very near lines before a line, after which it meets no more in the first round,
+#: and the parity bits that very near lines differ in at most.
 NEAR = 2
+NEAR_BITS = 16
 
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
@@ -167,8 +168,6 @@ def rarity_class(counts: np.ndarray) -> np.ndarray:
 
 
 ONCE = 1
-#: Classes from here on are of words that occur more than HELD times.
-HOT = int(1 + 6 * math.log2(HELD))
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -227,7 +226,6 @@ HASHED = T.StructType([T.StructField("hash_a", T.LongType()), T.StructField("has
 PREFIX = T.StructType(
     [
         T.StructField("pack", T.LongType()),
-        T.StructField("hot", T.BooleanType()),
         *LINE.fields,
         T.StructField("parity_a", T.LongType()),
         T.StructField("parity_b", T.LongType()),
@@ -267,7 +265,7 @@ def first_lines(docs: DataFrame) -> DataFrame:
 
 
 def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> DataFrame:
-    """``pack, hot, doc, line, parity_a, parity_b``: the rarest words of every first line."""
+    """``pack, doc, line, parity_a, parity_b``: the rarest words of every first line."""
     shared = docs.sparkSession.sparkContext.broadcast((classes, firsts))
 
     def each(found: list) -> dict:
@@ -288,13 +286,11 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> Dat
         line = np.repeat(np.arange(len(n)), length)
         place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
         at = place + starts[:-1][line]
-        rarity_ = classes[raw[at] & (COUNTERS - 1)]
-        met = rarity_ > ONCE
+        met = classes[raw[at] & (COUNTERS - 1)] > ONCE
         line, place, at = line[met], place[met], at[met]
         docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
         return {
             "pack": (mixed[at] >> np.uint64(33)).astype(np.int64) << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST),
-            "hot": rarity_[met] >= HOT,
             "doc": docs_[line],
             "line": lines[line],
             "parity_a": parity[0][line],
@@ -318,20 +314,23 @@ def matches(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.nd
         & (differ <= total - 2 * needed)
     )
     through |= (size_a == LONGEST) | (size_b == LONGEST)
-    return through, through & (2 * differ <= total - 2 * needed)
+    return through, through & (2 * differ <= total - 2 * needed) & (differ <= NEAR_BITS)
 
 
-PAIR = T.StructType([*LINE.fields, *(T.StructField(c, T.LongType()) for c in ("a_doc", "a_line")), T.StructField("more", T.BooleanType())])
+PAIR = T.StructType(
+    [*(T.StructField(c, T.LongType()) for c in ("doc", "line", "a_doc", "a_line")), T.StructField("more", T.BooleanType()), T.StructField("full", T.LongType())]
+)
 
 
 MARKS = ("pack", "parity_a", "parity_b")
 
 
 def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
-    """``doc, line, a_doc, a_line, more``: lines with those before them that share a word and may match.
+    """``doc, line, a_doc, a_line, more, full``: lines with those before them that share a word and may match.
 
     After ``near`` very near ones (None: never) a line meets no more by that
-    word, and ``more`` says so. ``rows`` have at most ``HELD`` lines a word.
+    word, and ``more`` says so. A row with ``full`` names a word of more than
+    ``HELD`` lines, which has no pairs here.
     """
 
     def pairs(columns: list[np.ndarray]) -> dict:
@@ -355,20 +354,29 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
         return {"doc": doc[b], "line": line[b], "a_doc": doc[a], "a_line": line[a], "more": more.astype(bool)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held = [np.empty(0, np.int64) for _ in range(2 + len(MARKS))]
+        full: int | None = None
         for batch in chain(batches, [None]):
             if batch is not None:
                 new = [batch.column(c).to_numpy() for c in ("doc", "line", *MARKS)]
-                held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            if held is None or not len(held[0]):
-                continue
-            # the last word may go on in the next batch
+                held = [np.concatenate(x) for x in zip(held, new)]
             words = held[2] >> 2 * SIZE_BITS
-            cut = int(np.searchsorted(words, words[-1])) if batch is not None else len(words)
+            if full is not None:  # the rest of a word that was given up
+                rest = int(np.searchsorted(words, full, "right"))
+                held, words = [x[rest:] for x in held], words[rest:]
+            # the last word may go on in the next batch
+            cut = int(np.searchsorted(words, words[-1])) if batch is not None and len(words) else len(words)
             if cut:
                 out = pairs([x[:cut] for x in held])
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in out.values()], names=list(out))
-                held = [x[cut:] for x in held]
+                n = len(out["doc"])
+                arrays = [pa.array(v) for v in out.values()]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(n, pa.int64())], names=PAIR.fieldNames())
+                held, words = [x[cut:] for x in held], words[cut:]
+            if len(words) > HELD:
+                full = int(words[0])
+                row = [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.bool_()), pa.array([full])]
+                yield pa.RecordBatch.from_arrays(row, names=PAIR.fieldNames())
+                held = [x[:0] for x in held]
 
     dealt = rows.select("doc", "line", *MARKS).repartition(_word()).sortWithinPartitions(_word(), "doc", "line")
     return dealt.mapInArrow(run, PAIR)
@@ -434,19 +442,21 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
     firsts = written(first_lines(docs), "first-lines")
     rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
-    cold, hot = rows.where("NOT hot"), rows.where("hot")
-    met = written(near_pairs(cold, NEAR), "met")
-    hot = hot.withColumn("word", _word())
-    early = hot.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
-    before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
-    of_hot = hot.join(early, (F.col("word") == F.col("a_word")) & before & could_match())
+    met = written(near_pairs(rows, NEAR), "met")
     ends = ["doc", "line", "a_doc", "a_line"]
-    gone = verified(docs, met.select(*ends).union(of_hot.select(*ends)))
+    found = met.where("full IS NULL").select(*ends)
+    rows = rows.withColumn("word", _word())
+    full = met.where("full IS NOT NULL").select(F.col("full").alias("word"))
+    if not full.isEmpty():
+        held = rows.join(full, "word", "left_semi")
+        early = held.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
+        before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
+        found = found.union(held.join(early, (F.col("word") == F.col("a_word")) & before & could_match()).select(*ends))
+    gone = verified(docs, found)
     open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
     if not open_.isEmpty():
-        cold = cold.withColumn("word", _word())
-        words = cold.join(open_, ["doc", "line"], "left_semi").select("word").distinct()
-        rest = near_pairs(cold.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
+        words = rows.join(open_, ["doc", "line"], "left_semi").select("word").distinct().join(full, "word", "left_anti")
+        rest = near_pairs(rows.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
         gone = gone.union(verified(docs, rest.select(*ends)))
     return firsts.join(gone.distinct(), ["doc", "line"], "left_anti")
 
