@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -37,9 +38,9 @@ from tidemark.llm.common import arrow_map
 #: Characters that one state map covers.
 CHUNK = 1 << 16
 #: Units (white space and what follows it) with known counts, and states of the tree, that a worker keeps.
-CACHED_UNITS = 1 << 19
+CACHED_UNITS = 1 << 20
 CACHED_LENGTH = 64
-TREE_STATES = 1 << 18
+TREE_STATES = 1 << 19
 
 # Unicode's White_Space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -104,6 +105,21 @@ class ChunkMap(NamedTuple):
     tail: str | None
 
 
+class Units(dict):
+    """Counts of units, worked out when first asked for; long units are not kept."""
+
+    def __init__(self, count: Callable[[str], int]) -> None:
+        self.count = count
+
+    def __missing__(self, unit: str) -> int:
+        known = self.count(unit)
+        if len(unit) <= CACHED_LENGTH:
+            if len(self) >= CACHED_UNITS:
+                self.clear()
+            self[unit] = known
+        return known
+
+
 def _byte_letters() -> dict[str, int]:
     """The character that stands for each byte: itself if it is printable Latin-1, else one above 255."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -147,7 +163,7 @@ class Transducer:
         self.whole: dict[bytes, bool] = {}
         #: State after each prefix of a pre-token: its number of tokens, and the last of them.
         self.states: dict[bytes, tuple[int, bytes]] = {b"": (0, b"")}
-        self.units: dict[str, int] = {}
+        self.units = Units(self.count_unit)
 
     def class_of(self, char: str) -> int:
         """The class of a character, as the library's own tables have it."""
@@ -256,22 +272,10 @@ class Transducer:
 
     def count_unit(self, unit: str) -> int:
         """Tokens of a text that begins where a pre-token begins, and after which one ends."""
-        known = self.units.get(unit)
-        if known is None:
-            known = sum(self.count_pre_token(p.encode()) for p in self.pre_tokens(unit))
-            if len(unit) <= CACHED_LENGTH:
-                if len(self.units) >= CACHED_UNITS:
-                    self.units.clear()
-                self.units[unit] = known
-        return known
+        return sum([self.count_pre_token(p.encode()) for p in self.pre_tokens(unit)])
 
     def count_closed(self, text: str) -> int:
-        known, count = self.units.get, self.count_unit
-        total = 0
-        for unit in _UNITS(text):
-            n = known(unit)
-            total += count(unit) if n is None else n
-        return total
+        return sum(map(self.units.__getitem__, _UNITS(text)))
 
     def chunk_map(self, chunk: str) -> ChunkMap:
         first = _SAFE.search(chunk)
