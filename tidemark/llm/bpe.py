@@ -111,7 +111,7 @@ class Codec:
         """A pre-token that is a token stays whole, the others are merged by the model."""
         raw = [p.encode() for p in pre_tokens]
         ids = [[self.ranks[r]] if r in self.ranks else None for r in raw]
-        merged = iter(self.model.encode([as_piece(r) for r, i in zip(raw, ids) if i is None]))
+        merged = iter(self.model.encode([as_piece(r) for r, i in zip(raw, ids) if i is None], num_threads=1))
         return [next(merged) if i is None else i for i in ids]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:

@@ -55,7 +55,7 @@ class Vocabulary:
 
     def uses(self, words: list[str], times: list[int]) -> Counter:
         used: Counter = Counter()
-        for ids, n in zip(self.model.encode(words), times):
+        for ids, n in zip(self.model.encode(words, num_threads=1), times):
             for i in ids:
                 used[i] += n
         return Counter({self.names[i]: n for i, n in used.items()})
