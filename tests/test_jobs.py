@@ -74,7 +74,7 @@ def read(spark, base, name):
 
 
 def test_land_and_run_twice(spark, base):
-    assert land_bodies(spark, base, "20240101_000000", "old") == {"albums": 4, "tracks": 6}
+    assert land_bodies(spark, base, "20240101_000000", "old") == {"albums": 4, "tracks": 9}
     assert run(spark, base, "20240101_000100", strict=True) == {"albums": 3, "tracks": 4}
     land_bodies(spark, base, "20240102_000000", "new")
     assert run(spark, base, "20240102_000100") == {"albums": 3, "tracks": 4}
@@ -97,6 +97,38 @@ def test_land_and_run_twice(spark, base):
     ]
 
 
+def test_a_broken_snapshot_is_never_cleaned(spark, base, tmp_path):
+    land_bodies(spark, base, "20240101_000000")
+    (tmp_path / "bronze/tracks/snapshot_ts=20240101_000000/_SUCCESS").unlink()
+    with pytest.raises(NoSnapshotError):
+        run(spark, base, "20240101_000100")
+    # nor is a foreign file read beside it
+    (tmp_path / "bronze/tracks/other.json").write_text(json.dumps([{"id": "x"}]))
+    with pytest.raises(NoSnapshotError):
+        run(spark, base, "20240101_000100")
+
+
+def test_albums_without_a_group(spark, base):
+    albums = [("artist", 0, [{**album("a1"), "album_group": None}])]
+    tracks = [("a1", 0, [track("t1", "one")])]
+
+    def landed(**options):
+        given = pages(spark, schemas.ALBUM, albums, 2), pages(spark, schemas.TRACK, tracks, 2)
+        return land(*given, base, "20240101_000000", 2, 2, **options)
+
+    with pytest.raises(Exception, match="record without album_group"):
+        landed()
+    assert landed(album_groups=None) == {"albums": 1, "tracks": 1}
+
+
+def test_extra_formats_and_strict(spark, base):
+    albums = [("artist", 0, [{**album("a1", date="1998/05/12"), "external_urls": None}])]
+    tracks = [("a1", 0, [track("t1", "one")])]
+    land(pages(spark, schemas.ALBUM, albums, 2), pages(spark, schemas.TRACK, tracks, 2), base, "20240101_000000", 2, 2)
+    run(spark, base, "20240101_000100", strict=True, extra_formats=["yyyy/MM/dd"])
+    assert read(spark, base, "albums").first()["data_lançamento"] == datetime(1998, 5, 12)
+
+
 def test_run_on_whole_document_files(spark, base, tmp_path):
     files = {"albums": {"items": [album("b"), album("a"), album("b", "again")]}, "tracks": []}
     files["tracks"] = [{**track(f"t{i}", n), "album_id": "b"} for i, n in enumerate("xyx")]

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.sources import (
+    EmptyFileError,
     NoSnapshotError,
     latest_file,
     latest_snapshot,
@@ -49,14 +50,71 @@ def test_list_files_is_recursive_and_by_extension(spark, tmp_path, base):
     put(tmp_path, "x/empty.json", "", 60)
     put(tmp_path, "xx/e.json", "[]", 50)
     listing = list_files(spark, f"{base}/x")
-    assert listing.columns == ["path", "modificationTime"]
-    assert sorted(os.path.basename(r.path) for r in listing.collect()) == ["a.json", "b.json"]
+    assert listing.columns == ["path", "modificationTime", "length"]
+    found = sorted((os.path.basename(r.path), r.length) for r in listing.collect())
+    assert found == [("a.json", 2), ("b.json", 2), ("empty.json", 0)]
+
+
+def test_an_empty_newest_file_raises(spark, tmp_path, base):
+    put(tmp_path, "x/old.json", '[{"id": "old"}]', 10)
+    put(tmp_path, "x/new.json", "", 20)
+    with pytest.raises(EmptyFileError, match="new.json"):
+        latest_file(spark, f"{base}/x")
+    put(tmp_path, "x/newer é%20.json", '[{"id": "newer"}]', 30)
+    assert [r.id for r in read_latest_file(spark, f"{base}/x", "json", RECORD).collect()] == ["newer"]
+
+
+def test_paths_are_no_patterns(spark, tmp_path, base):
+    put(tmp_path, "b[1]/x1.json", '[{"id": "other"}]', 10)
+    put(tmp_path, "b[1]/x[1].json", '[{"id": "this"}]', 20)
+    assert [r.id for r in read_latest_file(spark, f"{base}/b[1]", "json", RECORD).collect()] == ["this"]
+    write_parquet(spark.range(3), f"{base}/b[1]", "things", "20240101_000000")
+    table = table_path(f"{base}/b[1]", "silver", "things")
+    assert list_snapshots(spark, table) == ["20240101_000000"]
+    assert read_snapshot(spark, table, "parquet").count() == 3
+
+
+def test_a_named_snapshot_must_be_complete(spark, tmp_path, base):
+    table = table_path(base, "silver", "things")
+    write_parquet(spark.range(3), base, "things", "20240101_000000")
+    (tmp_path / "silver/things/snapshot_ts=20240101_000000/_SUCCESS").unlink()
+    for stamp in (None, "20240101_000000"):
+        with pytest.raises(NoSnapshotError):
+            read_snapshot(spark, table, "parquet", snapshot_ts=stamp)
+
+
+@pytest.mark.parametrize("split", [16, 101, 1 << 20])
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("place", [0, 1, 3])
+@pytest.mark.parametrize("odd", [{}, None])
+@pytest.mark.parametrize("wrapped", [False, True])
+def test_layouts_agree(spark, tmp_path, base, split, newline, place, odd, wrapped):
+    records = [{"id": "a"}, {"id": "b"}, {"id": "c"}]
+    records.insert(place, odd)
+    text = json.dumps({"items": records} if wrapped else records, indent=4).replace("\n", newline)
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "x.json").write_bytes(text.encode())
+    (tmp_path / "y").mkdir()
+    (tmp_path / "y" / "y.json").write_text(json.dumps(json.loads(text)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set(key, str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = [
+            [r.id for r in read_latest_file(spark, f"{base}/{d}", "json", RECORD).orderBy(*schemas.ORDINAL_COLUMNS).collect()]
+            for d in "xy"
+        ]
+    finally:
+        spark.conf.set(key, before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert got[0] == got[1] == [(r or {}).get("id") for r in records]
 
 
 def test_listing_reads_no_content(spark, tmp_path, base):
     put(tmp_path, "x/a.json", "[]", 10)
     plan = list_files(spark, f"{base}/x")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in plan
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
 
 
 def test_latest_file(spark, tmp_path, base):
@@ -90,7 +148,7 @@ def test_read_latest_json_file(spark, tmp_path, base):
     put(tmp_path, "x/x (new)_2.json", json.dumps(records, ensure_ascii=False, indent=4), 20)
     got = read_latest_file(spark, f"{base}/x", "json", RECORD)
     assert got.columns == [*schemas.ORDINAL_COLUMNS, "id", "n"]
-    assert [tuple(r) for r in got.orderBy("pos").collect()] == [([], 0, 0, "ação", 1), ([], 0, 1, "b", None)]
+    assert [tuple(r) for r in got.orderBy(*schemas.ORDINAL_COLUMNS).collect()] == [([0], 0, 0, "ação", 1), ([0], 1, 0, "b", None)]
 
 
 TRICKY = [
@@ -129,7 +187,7 @@ def test_small_documents(spark, tmp_path, base, records, indent):
     put(tmp_path, "x/x.json", json.dumps(records, indent=indent), 10)
     want = records if isinstance(records, list) else records.get("items", [records])
     got = read_latest_file(spark, f"{base}/x", "json", RECORD)
-    assert [r.id for r in got.orderBy("pos").collect()] == [r.get("id") for r in want]
+    assert [r.id for r in got.orderBy(*schemas.ORDINAL_COLUMNS).collect()] == [r.get("id") for r in want]
 
 
 def test_corrupt_indented_arrays_raise(spark, tmp_path, base):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timezone
+
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +13,18 @@ def _path(spark: SparkSession, name: str) -> tuple:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def literal(name: str) -> str:
+    """A path as a pattern that matches only itself, for readers that take globs."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)
+
+
+def status(spark: SparkSession, name: str) -> tuple[datetime, int]:
+    """Modification time (UTC) and length of a file."""
+    fs, path = _path(spark, name)
+    found = fs.getFileStatus(path)
+    return datetime.fromtimestamp(found.getModificationTime() / 1000, timezone.utc), found.getLen()
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching ``pattern``."""
     fs, path = _path(spark, pattern)

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.dedupe import keep_first
 from tidemark.operators.shaping import explode_items, quoted
 from tidemark.schemas import ORDINAL_COLUMNS
 from tidemark.staging import staged
@@ -37,10 +36,17 @@ ALBUM_GROUPS = ("album", "single")
 
 
 def source_filter(
-    records: DataFrame, column: str = "album_group", values: Iterable[str] = ALBUM_GROUPS
+    records: DataFrame,
+    column: str = "album_group",
+    values: Iterable[str] = ALBUM_GROUPS,
+    required: bool = False,
 ) -> DataFrame:
-    """Keep the records whose ``column`` is one of ``values``."""
-    return records.where(F.col(quoted(column)).isin(*values))
+    """Keep the records whose ``column`` is one of ``values``; if ``required``, a NULL there raises."""
+    value = F.col(quoted(column))
+    kept = value.isin(*values)
+    if required:
+        kept = F.when(value.isNull(), F.raise_error(F.lit(f"record without {column}"))).otherwise(kept)
+    return records.where(kept)
 
 
 def _page_size(pages: DataFrame, items: str) -> Column:
@@ -55,7 +61,7 @@ def _page_size(pages: DataFrame, items: str) -> Column:
 
 
 def _run(limit: int) -> Column:
-    return F.floor(F.col("offset") / F.lit(limit * RUN_PAGES)).cast("bigint")
+    return F.expr(f"CAST(offset AS BIGINT) DIV {limit * RUN_PAGES}")
 
 
 def page_runs(pages: DataFrame, limit: int) -> DataFrame:
@@ -127,17 +133,17 @@ def merge_child_pages(
     """``merge_pages`` for every parent record: each parent expanded into its children.
 
     ``parents`` has ``id`` and the ordinal columns; ``pages`` has ``parent_id``,
-    ``offset`` and ``items``. A parent listed more than once is expanded at its
-    first arrival only; pages of parents not listed are not read out.
+    ``offset`` and ``items``. A parent listed more than once is expanded at each
+    of its places; pages of parents not listed are not read out.
     """
-    first = keep_first(parents.select("id", *ORDINAL_COLUMNS), ["id"], ORDINAL_COLUMNS).select(
+    listed = parents.select(
         F.col("id").alias("parent_id"),
         F.concat("parent_ord", F.array("page_offset", "pos")).alias("parent_ord"),
     )
     wanted = staged(
         page_runs(pages, limit)
         .where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset")))
-        .join(first, "parent_id")
+        .join(listed, "parent_id")
         .select("parent_id", "run", "stop_offset", "parent_ord")
     )
     kept = (

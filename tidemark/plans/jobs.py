@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
@@ -17,11 +19,11 @@ from tidemark.operators import (
     source_filter,
     unwrap_items,
 )
-from tidemark.operators.paging import ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
+from tidemark.operators.paging import ALBUM_GROUPS, ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
 from tidemark.session import sized_for
 from tidemark.sources import (
     latest_file,
-    list_snapshots,
+    has_runs,
     read_json_file,
     read_snapshot,
     table_path,
@@ -69,11 +71,11 @@ TRACK_COLUMNS = [
 ]
 
 
-def silver_albums(raw: DataFrame) -> DataFrame:
+def silver_albums(raw: DataFrame, extra_formats: Sequence[str] = ()) -> DataFrame:
     """Clean album records: one row per album id, the first to arrive.
 
     ``raw`` holds album records with the ordinal columns, or pages of them
-    under ``items``.
+    under ``items``. ``extra_formats`` are further date formats.
     """
     albums = rename(flatten(unwrap_items(raw)), ALBUM_NAMES)
     covers = {
@@ -83,7 +85,7 @@ def silver_albums(raw: DataFrame) -> DataFrame:
         albums.withColumns(covers), [*ALBUM_COLUMNS, *schemas.ORDINAL_COLUMNS]
     )
     albums = keep_first(albums, ["id_album"], [*schemas.ORDINAL_COLUMNS, "nome_album"])
-    albums = albums.withColumn("data_lançamento", parse_mixed_date("data_lançamento"))
+    albums = albums.withColumn("data_lançamento", parse_mixed_date("data_lançamento", extra_formats))
     return select_columns(albums, ALBUM_COLUMNS)
 
 
@@ -106,15 +108,21 @@ def land(
     snapshot_ts: str,
     album_limit: int = ALBUM_PAGE_LIMIT,
     track_limit: int = TRACK_PAGE_LIMIT,
+    album_groups: Iterable[str] | None = ALBUM_GROUPS,
 ) -> dict[str, int]:
     """Merge the pages of both datasets and land them raw; returns rows per dataset.
 
+    Only albums of ``album_groups`` are landed, and one without a group raises;
+    None lands them all, for pages that were asked for by group.
+
     Tracks are read out for the landed albums, each with its album's key and in
     its album's arrival order.
     """
     spark = album_pages.sparkSession
     with job_folder(spark), sized_for(album_pages):
-        albums = source_filter(merge_pages(album_pages, album_limit))
+        albums = merge_pages(album_pages, album_limit)
+        if album_groups is not None:
+            albums = source_filter(albums, "album_group", album_groups, required=True)
         n_albums = write_raw(albums, base, ALBUMS, snapshot_ts)
     landed = read_snapshot(
         spark, table_path(base, BRONZE, ALBUMS), "json", schemas.raw(schemas.ALBUM), snapshot_ts
@@ -128,27 +136,37 @@ def land(
 def read_bronze(spark: SparkSession, base: str, name: str) -> DataFrame:
     """The latest raw records of a dataset.
 
-    The newest snapshot if any was landed here, else the newest whole-document
-    JSON file under the dataset's folder.
+    The newest complete snapshot. Only where no run of ours ever wrote, the newest
+    whole-document JSON file under the dataset's folder.
     """
     record = {ALBUMS: schemas.ALBUM, TRACKS: schemas.TRACK}[name]
     table = table_path(base, BRONZE, name)
-    if list_snapshots(spark, table):
+    if has_runs(spark, table):
         return read_snapshot(spark, table, "json", schemas.raw(record))
     return read_json_file(spark, latest_file(spark, table), record)
 
 
-def run(spark: SparkSession, base: str, snapshot_ts: str, strict: bool = False) -> dict[str, int]:
+def _selected(names: Mapping[str, str], columns: Iterable[str]) -> list[str]:
+    """The source fields that end up in a cleaned table."""
+    return [field for field, name in names.items() if any(c.startswith(name) for c in columns)]
+
+
+def run(
+    spark: SparkSession, base: str, snapshot_ts: str, strict: bool = False, extra_formats: Sequence[str] = ()
+) -> dict[str, int]:
     """Clean the latest raw snapshot of both datasets; returns rows per cleaned table.
 
     ``strict`` first makes sure every field that ends up in a cleaned table has
-    a value in at least one record.
+    a value in at least one record. ``extra_formats`` are further date formats.
     """
     raw = {name: read_bronze(spark, base, name) for name in (ALBUMS, TRACKS)}
     if strict:
-        for name, fields in ((ALBUMS, ALBUM_NAMES), (TRACKS, TRACK_NAMES)):
-            require_values(flatten(raw[name]), list(fields))
-    cleaned = {ALBUMS: silver_albums(raw[ALBUMS]), TRACKS: silver_tracks(raw[TRACKS])}
+        for name, fields in (
+            (ALBUMS, _selected(ALBUM_NAMES, ALBUM_COLUMNS)),
+            (TRACKS, _selected(TRACK_NAMES, TRACK_COLUMNS)),
+        ):
+            require_values(flatten(raw[name]), fields)
+    cleaned = {ALBUMS: silver_albums(raw[ALBUMS], extra_formats), TRACKS: silver_tracks(raw[TRACKS])}
     rows = {}
     for name, df in cleaned.items():
         with sized_for(raw[name]):

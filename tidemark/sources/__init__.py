@@ -1,4 +1,5 @@
 from tidemark.sources.files import (
+    EmptyFileError,
     NoSnapshotError,
     latest_file,
     list_files,
@@ -9,6 +10,7 @@ from tidemark.sources.files import (
     read_parquet_file,
 )
 from tidemark.sources.snapshots import (
+    has_runs,
     latest_snapshot,
     list_snapshots,
     read_snapshot,
@@ -20,7 +22,9 @@ from tidemark.sources.snapshots import (
 )
 
 __all__ = [
+    "EmptyFileError",
     "NoSnapshotError",
+    "has_runs",
     "latest_file",
     "latest_snapshot",
     "list_files",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,10 @@ class NoSnapshotError(FileNotFoundError):
     """A folder holds nothing to read."""
 
 
+class EmptyFileError(ValueError):
+    """The newest file has no content, as after a write that broke off."""
+
+
 def check_format(fmt: str) -> str:
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
@@ -29,10 +34,10 @@ def check_format(fmt: str) -> str:
 
 
 def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame:
-    """``path, modificationTime`` of the ``.fmt`` files anywhere below ``folder``.
+    """``path, modificationTime, length`` of the ``.fmt`` files anywhere below ``folder``.
 
-    Only the listing is read, no content. As for all Spark sources, empty files
-    and names starting with ``_`` or ``.`` are not listed.
+    Only the listing is read, no content. Empty files are listed; as for all
+    Spark sources, names starting with ``_`` or ``.`` are not.
     """
     check_format(fmt)
     try:
@@ -40,13 +45,21 @@ def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", f"*.{fmt}")
-            .load(folder)
+            .load(files.literal(folder))
         )
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise NoSnapshotError(f"no {fmt} snapshot in {folder}") from e
         raise
-    return listing.select("path", "modificationTime")
+    found = listing.select("path", "modificationTime", "length")
+    # The scan passes over empty files, the index behind it does not.
+    urls = (re.sub("^([a-z0-9]+):///", r"\1:/", f) for f in listing.inputFiles())
+    named = [(unquote(url),) for url in urls if url.endswith(f".{fmt}")]
+    if not named:
+        return found
+    unread = spark.createDataFrame(named, "path string").join(found, "path", "left_anti").collect()
+    empty = [(row.path, *files.status(spark, row.path)) for row in unread]
+    return found.union(spark.createDataFrame(empty, found.schema)) if empty else found
 
 
 def newest(listing: DataFrame) -> DataFrame:
@@ -59,51 +72,61 @@ def latest_file(spark: SparkSession, folder: str, fmt: str = "json") -> str:
     row = newest(list_files(spark, folder, fmt)).first()
     if row is None:
         raise NoSnapshotError(f"no {fmt} snapshot in {folder}")
+    if row.length == 0:
+        raise EmptyFileError(f"the newest {fmt} file is empty: {row.path}")
     return row.path
 
 
-def _record_indent(spark: SparkSession, path: str) -> str | None:
-    """The indent of the records, if the file is an indented array with a line per brace."""
+def _layout(spark: SparkSession, path: str) -> tuple[str, str, str] | None:
+    """What stands before the first record, between records and after the last one.
+
+    None unless the file is an indented array with a line per brace, by itself or
+    as the only value of ``{"items": ...}``.
+    """
     head, tail = (part.decode("utf-8", "replace") for part in files.ends(spark, path, 64))
-    opening = re.match(r"\[\n([ \t]+)\{\n", head)
-    if opening and re.search(rf"\n{opening[1]}\}}\n\]\s*$", tail):
-        return opening[1]
-    return None
+    opening = re.match(r'(?:\{(\r?\n)[ \t]+"items": )?\[(\r?\n)([ \t]+)\{\r?\n', head)
+    if opening is None:
+        return None
+    newline, indent = opening[2], opening[3]
+    closing = re.search(rf"{newline}{indent}\}}{newline}[ \t]*\]" + (rf"{newline}\}}" if opening[1] else "") + r"\s*$", tail)
+    if closing is None:
+        return None
+    return opening[0], f"{newline}{indent}}},{newline}{indent}{{{newline}", closing[0].rstrip(JSON_SPACE)
 
 
 def _read_indented_array(
-    spark: SparkSession, path: str, record: T.StructType, indent: str
+    spark: SparkSession, path: str, record: T.StructType, layout: tuple[str, str, str]
 ) -> DataFrame:
     # A line break inside a JSON string is escaped, so what stands between two
-    # records stands nowhere else, and the file splits there.
-    opening, closing = f"[\n{indent}{{\n", f"\n{indent}}}\n]"
+    # records stands nowhere else, and the file splits there. Other elements
+    # ({} or null) may stand beside a record in its piece.
+    opening, between, closing = layout
     chunk = F.rtrim("value", F.lit(JSON_SPACE))
     chunk = F.when(chunk.startswith(opening), F.substr(chunk, F.lit(len(opening) + 1))).otherwise(chunk)
     chunk = F.when(
         chunk.endswith(closing), F.left(chunk, F.length(chunk) - len(closing))
     ).otherwise(chunk)
-    lines = spark.read.text(path, lineSep=f"\n{indent}}},\n{indent}{{\n")
-    # Arrival order: by split, then by row in the split.
-    records = lines.select(
-        F.array().cast("array<bigint>").alias("parent_ord"),
-        F.col("_metadata.file_block_start").alias("page_offset"),
-        F.monotonically_increasing_id().alias("pos"),
-        json_record(F.concat(F.lit("{"), chunk, F.lit("}")), record).alias("item"),
+    lines = spark.read.text(files.literal(path), lineSep=between)
+    # Arrival order: by split, then by piece in the split, then by place in the piece.
+    pieces = lines.select(
+        F.array("_metadata.file_block_start").alias("parent_ord"),
+        F.monotonically_increasing_id().alias("page_offset"),
+        F.concat(F.lit("[{"), chunk, F.lit("}]")).alias("text"),
     )
-    return records.select("parent_ord", "page_offset", "pos", "item.*")
+    return unwrap_json(pieces, "text", record, keep=["parent_ord", "page_offset"])
 
 
 def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """The records of a JSON file others wrote, with their arrival order.
 
-    An indented array of records, one line per brace, is split between records
-    and read in parallel. Any other document is read whole, in one task, and
+    An indented array of records, one line per brace and with line breaks of
+    either kind, is split between records and read in parallel. Any other document is read whole, in one task, and
     must fit in one string (2 GB).
     """
-    indent = _record_indent(spark, path)
-    if indent is not None:
-        return _read_indented_array(spark, path, record, indent)
-    records = unwrap_json(spark.read.text(path, wholetext=True), "value", record)
+    layout = _layout(spark, path)
+    if layout is not None:
+        return _read_indented_array(spark, path, record, layout)
+    records = unwrap_json(spark.read.text(files.literal(path), wholetext=True), "value", record)
     return records.select(
         F.array().cast("array<bigint>").alias("parent_ord"),
         F.lit(0).cast("bigint").alias("page_offset"),
@@ -127,7 +150,7 @@ def read_pages(
 
 def read_parquet_file(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet file, without the index column pandas may have left in it."""
-    return spark.read.parquet(path).drop(_PANDAS_INDEX)
+    return spark.read.parquet(files.literal(path)).drop(_PANDAS_INDEX)
 
 
 def read_latest_file(

@@ -36,10 +36,15 @@ def snapshot_path(table: str, snapshot_ts: str) -> str:
 
 def list_snapshots(spark: SparkSession, table: str) -> list[str]:
     """Stamps of the complete snapshots, oldest first (one listing, one entry per run)."""
-    done = files.glob(spark, f"{table}/{_PARTITION}*/_SUCCESS")
+    done = files.glob(spark, f"{files.literal(table)}/{_PARTITION}*/_SUCCESS")
     return sorted(path.split("/")[-2].removeprefix(_PARTITION) for path in done)
 
 
+def has_runs(spark: SparkSession, table: str) -> bool:
+    """Whether any run wrote here, complete or not."""
+    return bool(files.glob(spark, f"{files.literal(table)}/{_PARTITION}*"))
+
+
 def latest_snapshot(spark: SparkSession, table: str) -> str:
     """Stamp of the newest complete snapshot."""
     stamps = list_snapshots(spark, table)
@@ -55,10 +60,14 @@ def read_snapshot(
     schema: T.StructType | None = None,
     snapshot_ts: str | None = None,
 ) -> DataFrame:
-    """One snapshot, the latest unless ``snapshot_ts`` names one. JSON needs a schema."""
+    """One complete snapshot, the latest unless ``snapshot_ts`` names one. JSON needs a schema."""
     if check_format(fmt) == "json" and schema is None:
         raise ValueError("reading JSON needs a schema")
-    path = snapshot_path(table, snapshot_ts or latest_snapshot(spark, table))
+    if snapshot_ts is None:
+        snapshot_ts = latest_snapshot(spark, table)
+    elif snapshot_ts not in list_snapshots(spark, table):
+        raise NoSnapshotError(f"no complete snapshot {snapshot_ts} in {table}")
+    path = files.literal(snapshot_path(table, snapshot_ts))
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "json":
         return reader.option("mode", "FAILFAST").json(path)

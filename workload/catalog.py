@@ -27,6 +27,7 @@ from tidemark.sources import (
     list_files,
     newest,
     read_snapshot,
+    snapshot_id,
     table_path,
     write_parquet,
     write_raw,
@@ -174,7 +175,7 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned snapshots: the newer stamp is read, though the older is written last."""
     base = new_folder(spark, "roundtrip")
     orders = table(spark, sf_dir, "orders")
-    write_parquet(orders, base, "orders", NEWER)
+    write_parquet(orders, base, "orders", snapshot_id())
     write_parquet(orders.withColumn("o_totalprice", F.lit(0.0)), base, "orders", OLDER)
     latest = read_snapshot(spark, table_path(base, "silver", "orders"), "parquet")
     return latest.select("o_orderkey", "o_custkey", "o_totalprice", shown("o_orderdate"))
@@ -207,12 +208,21 @@ def latest_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders found by listing the files of a dataset that was written by day."""
-    folder = f"{new_folder(spark, 'listing')}/events"
+    """JSON files by folder: at two depths, beside Parquet files and a folder whose name goes on."""
+    parent = new_folder(spark, "listing")
     events = table(spark, sf_dir, "events")
-    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.partitionBy("day").json(folder)
-    day = F.regexp_extract("path", "/day=([0-9]+)/", 1)
-    return list_files(spark, folder, "json").select(day.alias("day")).distinct()
+
+    def write(unit: str, fmt: str, folder: str) -> None:
+        dated = events.withColumn("day", F.date_format("ts", unit)).repartition(16, "day")
+        dated.write.partitionBy("day").format(fmt).save(f"{parent}/{folder}")
+
+    write("yyyyMMdd", "json", "events/a/deep")
+    write("yyyyMM", "json", "events/flat")
+    write("yyyy", "parquet", "events/other")
+    write("yyyy", "json", "events-old")
+    found = F.regexp_extract("path", "/([a-z]+)/day=", 1), F.regexp_extract("path", "/day=([0-9]+)/", 1)
+    listing = list_files(spark, f"{parent}/events", "json")
+    return listing.groupBy(found[0].alias("folder"), found[1].alias("day")).agg(F.count("*").alias("n_files"))
 
 
 # Jobs
@@ -225,7 +235,7 @@ def silver_albums_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_tracks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_tracks(derive.track_pages(spark, sf_dir))
+    return silver_tracks(attach_parent_key(derive.track_pages(spark, sf_dir), "album_id"))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:

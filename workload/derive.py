@@ -2,8 +2,9 @@
 
 ``orders`` are pages of albums of their customer, ``lineitem`` rows are pages
 of tracks of their order. A page holds up to ``LIMIT`` items; some are short or
-empty. Album ``collection-<customer>`` recurs on all pages of a customer, and
-about a third of all tracks share one name.
+empty. Album ``collection-<customer>`` recurs on all pages of a customer and has
+a page of tracks of its own. About a third of all tracks share one name. The
+``album_id`` of an item on a page is wrong: only the page knows its parent.
 """
 
 from __future__ import annotations
@@ -19,14 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores where its files give fewer scan tasks than there are cores.
-
-    A driver table is one row group, hence one task, whatever its size. Tables
-    that scan in parallel anyway are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the cores; a driver table is one row group, hence one task to scan."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 RELEASE_DATE = """
@@ -73,7 +69,7 @@ TRACK_ITEMS = f"""
             'duration_ms', cast(round(l_extendedprice * 100) AS bigint),
             'explicit', l_discount > 0.05D,
             'external_urls', named_struct('spotify', concat('track/', l_partkey)),
-            'album_id', cast(l_orderkey AS string)),
+            'album_id', concat('not ', l_orderkey)),
         named_struct(
             'id', concat({TRACK_ID}, '-b'),
             'name', concat('Interlude ', l_suppkey),
@@ -82,10 +78,23 @@ TRACK_ITEMS = f"""
             'duration_ms', cast(l_quantity * 1000 AS bigint),
             'explicit', false,
             'external_urls', named_struct('spotify', concat('interlude/', l_suppkey)),
-            'album_id', cast(l_orderkey AS string))),
+            'album_id', concat('not ', l_orderkey))),
         1, CASE WHEN l_quantity = 50 THEN 0 WHEN l_quantity <= 5 THEN 1 ELSE {LIMIT} END)"""
 
 
+# One track of each collection, an album that recurs.
+COLLECTION_ITEMS = """
+    array(named_struct(
+        'id', concat('collected-', c_custkey),
+        'name', concat('Collected ', c_custkey),
+        'track_number', 1L,
+        'is_playable', true,
+        'duration_ms', cast(round(abs(c_acctbal) * 100) AS bigint),
+        'explicit', false,
+        'external_urls', named_struct('spotify', concat('collected/', c_custkey)),
+        'album_id', concat('not ', c_custkey)))"""
+
+
 _landed: dict[tuple[str, str, str], str] = {}
 
 
@@ -103,7 +112,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, pages: DataFrame) -> Dat
 
 
 def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
+    pages = spread(table(spark, sf_dir, "orders")).selectExpr(
         "cast(o_custkey AS string) AS parent_id",
         "o_custkey AS parent_ord",
         "o_orderkey AS offset",
@@ -113,12 +122,19 @@ def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(
+    pages = spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "cast(l_orderkey AS string) AS parent_id",
         "l_orderkey AS parent_ord",
         "cast(l_linenumber AS bigint) AS offset",
         f"{TRACK_ITEMS} AS items",
     )
+    collected = table(spark, sf_dir, "customer").selectExpr(
+        "concat('collection-', c_custkey) AS parent_id",
+        "c_custkey AS parent_ord",
+        "0L AS offset",
+        f"{COLLECTION_ITEMS} AS items",
+    )
+    pages = pages.union(collected)
     return landed(spark, sf_dir, "track-pages", pages)
 
 
@@ -126,7 +142,7 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document per line item: an array, a wrapped array, or one record."""
     first = "named_struct('id', cast(l_partkey AS string), 'n', cast(l_quantity AS bigint))"
     second = "named_struct('id', concat('s', l_suppkey), 'n', cast(l_linenumber AS bigint))"
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey",
         "l_linenumber",
         f"""CASE l_returnflag

@@ -75,6 +75,11 @@ def tracks(name: str, pages: str) -> str:
          l_linenumber, l_linestatus = 'F', CAST(l_quantity * 1000 AS BIGINT), false, 'interlude/' || l_suppkey,
          CAST(l_orderkey AS VARCHAR)
   FROM {pages} WHERE n >= 2
+  UNION ALL
+  SELECT c_custkey, 0, 0, 'collected-' || c_custkey, 'Collected ' || c_custkey, 1, true,
+         CAST(round(abs(c_acctbal) * 100) AS BIGINT), false, 'collected/' || c_custkey,
+         'collection-' || c_custkey
+  FROM customer
 )"""
 
 
@@ -188,7 +193,11 @@ FROM orders""",
 SELECT concat_ws('/', event_type, user_id, event_id) AS path,
        strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS "modificationTime"
 FROM events ORDER BY date_trunc('hour', ts) DESC, path LIMIT 1""",
-    "list_files": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS day FROM events",
+    "list_files": """
+SELECT 'deep' AS folder, strftime(ts, '%Y%m%d') AS day, CAST(1 AS BIGINT) AS n_files
+FROM events GROUP BY ALL
+UNION ALL
+SELECT 'flat', strftime(ts, '%Y%m'), 1 FROM events GROUP BY ALL""",
     "silver_albums": f"WITH {ALBUM_PAGES}, {albums('album', 'album_page')} {silver_albums('album')}",
     "silver_tracks": f"""
 WITH {TRACK_PAGES}, {tracks("track", "track_page")} {silver_tracks("track", "l_orderkey")}""",
