@@ -93,7 +93,8 @@ def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
     once = ~F.col("same") | (F.col("a") < F.col("b"))
-    return ball.join(table, (ball["key"] == table["key"]) & near & once & (F.col("a") != F.col("b"))).select("a", "b")
+    # Both sides are many rows per fingerprint, which the planner's estimate of a table leaves out.
+    return ball.hint("merge").join(table, (ball["key"] == table["key"]) & near & once & (F.col("a") != F.col("b"))).select("a", "b")
 
 
 def groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
