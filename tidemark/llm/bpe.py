@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import arrow_map, with_column
 
 #: Pre-tokens whose ids a worker keeps, and their greatest length in characters.
-CACHED = 1 << 18
+CACHED = 1 << 17
 CACHED_LENGTH = 64
 
 #: Byte b is this far above its code: U+0100 to U+01FF are letters, none is white space.
@@ -140,6 +140,12 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def encode(
     df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids", keep: list[str] | None = None
 ) -> DataFrame:
@@ -151,10 +157,21 @@ def encode(
 
     def each(batch: pa.RecordBatch) -> dict:
         ids = codec(path, pattern).encode(batch.column("__text").to_pylist())
-        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-        arrays = {c: batch.column(c) for c in kept}
-        return arrays | {into: pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+        return {c: batch.column(c) for c in kept} | {into: _lists(ids)}
+
+    return arrow_map(df.select(*kept, F.col(column).alias("__text")), each, schema)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``ids``, and ``decoded`` from them."""
+    kept, with_ids = with_column(df, "ids", T.ArrayType(T.IntegerType()), keep)
+    kept = [c for c in kept if c != "decoded"]
+    schema = T.StructType([*(df.schema[c] for c in kept), with_ids["ids"], T.StructField("decoded", T.BinaryType())])
+
+    def each(batch: pa.RecordBatch) -> dict:
+        one = codec(path, pattern)
+        ids = one.encode(batch.column("__text").to_pylist())
+        return {c: batch.column(c) for c in kept} | {"ids": _lists(ids), "decoded": list(map(one.decode, ids))}
 
     return arrow_map(df.select(*kept, F.col(column).alias("__text")), each, schema)
 

@@ -54,16 +54,17 @@ BITMAP_BITS = 1 << 25
 BLOCK = 1 << 16
 #: Lines that share a word and are held by one task at most.
 HELD = 1 << 16
-#: Very near lines before a line, after which it meets no more in the first round,
-#: and the parity bits that very near lines differ in at most.
-NEAR = 2
-NEAR_BITS = 16
-
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
 #: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
 SIZE_BITS = 12
 LONGEST = (1 << SIZE_BITS) - 1
+#: Very near lines before a line, after which it meets no more in the first round, by
+#: the words it has at most: the parity of a short line says less. And the parity
+#: bits that very near lines differ in at most.
+NEAR = ((8, 32), (17, 8), (LONGEST, 2))
+NEAR_BITS = 16
+
 #: The parity of a line's words has two longs.
 PARITY_BITS = 128
 #: Lines whose words are ordered at once.
@@ -325,10 +326,10 @@ PAIR = T.StructType(
 MARKS = ("pack", "parity_a", "parity_b")
 
 
-def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
+def near_pairs(rows: DataFrame, near: tuple[tuple[int, int], ...] | None) -> DataFrame:
     """``doc, line, a_doc, a_line, more, full``: lines with those before them that share a word and may match.
 
-    After ``near`` very near ones (None: never) a line meets no more by that
+    After as many very near ones as ``near`` says (None: never) a line meets no more by that
     word, and ``more`` says so. A row with ``full`` names a word of more than
     ``HELD`` lines, which has no pairs here.
     """
@@ -339,6 +340,9 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
         active, seen = np.flatnonzero(place), np.zeros(len(word), np.int64)
+        limit = np.full(len(word), len(word) + 1)
+        for most, lines in reversed(near or ()):
+            limit[(marks[0] >> SIZE_BITS & LONGEST) <= most] = lines
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = 0
         while len(active):
@@ -346,7 +350,7 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
             through, close = matches([m[earlier] for m in marks], [m[active] for m in marks])
             seen[active] += close
             step += 1
-            stopped = np.zeros(len(active), bool) if near is None else seen[active] >= near
+            stopped = seen[active] >= limit[active]
             left = place[active] > step
             found.append((active[through], earlier[through], (stopped & left)[through]))
             active = active[left & ~stopped]

@@ -53,7 +53,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_round_trip(docs: DataFrame) -> DataFrame:
     """Encode every text, decode the ids again: ``doc_id, ids, n_tokens, ids_sha256, decoded_sha256``."""
     path, pattern = tokenizer_file("byte_bpe_multi_50k.tiktoken"), pre_token_pattern()
-    decoded = bpe.decode(bpe.encode(docs, path, pattern, keep=["doc_id"]), path, pattern)
+    decoded = bpe.round_trip(docs, path, pattern, keep=["doc_id"])
     ids = F.col("ids")
     return decoded.select(
         "doc_id",
