@@ -62,7 +62,7 @@ LONGEST = (1 << SIZE_BITS) - 1
 #: Very near lines before a line, after which it meets no more in the first round, by
 #: the words it has at most: the parity of a short line says less. And the parity
 #: bits that very near lines differ in at most.
-NEAR = ((8, 32), (17, 8), (LONGEST, 2))
+NEAR = ((8, 512), (17, 32), (LONGEST, 2))
 NEAR_BITS = 16
 
 #: The parity of a line's words has two longs.
@@ -431,7 +431,6 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     lines = line_map(docs, each, schema).join(ends, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"])
     lines = written(lines, "candidate-lines")
     earlier = lines.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("words").alias("a_words"))
-    both = pairs.join(lines, ["doc", "line"]).join(earlier, ["a_doc", "a_line"])
 
     def check(batch: pa.RecordBatch) -> dict:
         names = ("doc", "line", "words", "a_words")
@@ -439,7 +438,15 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         hits = [(doc, line) for doc, line, b, a in rows if similar(a.split(), b.split())]
         return {"doc": [h[0] for h in hits], "line": [h[1] for h in hits]}
 
-    return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
+    def really(some: DataFrame) -> DataFrame:
+        both = some.join(lines, ["doc", "line"]).join(earlier, ["a_doc", "a_line"])
+        return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
+
+    # most lines that match at all match the first line they meet
+    least = pairs.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")).select("doc", "line", "a.*")
+    gone = really(least)
+    rest = pairs.join(gone, ["doc", "line"], "left_anti").join(least, pairs.columns, "left_anti")
+    return gone.union(really(rest))
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
