@@ -20,7 +20,9 @@ it. Lines are ordered by document key, then by place. Lines without words stay.
 * A task holds ``HELD`` lines of one word at most. A word that brings together
   more is joined by Spark instead, which splits such a key.
 * Candidates are verified on their real words, read again from the documents. A
-  bitmap of the lines asked for keeps other lines out of that shuffle.
+  bitmap of the lines asked for keeps other lines out of that shuffle. A line is
+  held against the earliest line it met first, and against others only if counts of
+  words by bins leave room for the words they would have to share.
 
 Words are hashed to 32 bits until they are verified; words that fall together
 can only bring more candidates, never lose one.
@@ -59,14 +61,18 @@ LINE_BITS, TEXT_BITS = 28, 35
 #: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
 SIZE_BITS = 12
 LONGEST = (1 << SIZE_BITS) - 1
-#: Very near lines before a line, after which it meets no more in the first round, by
-#: the words it has at most: the parity of a short line says less. And the parity
-#: bits that very near lines differ in at most.
-NEAR = ((8, 512), (17, 32), (LONGEST, 2))
+#: Very near lines before a line, after which it meets no more in the first round, and
+#: the parity bits that very near lines differ in at most.
+NEAR = 4
 NEAR_BITS = 16
 
-#: The parity of a line's words has two longs.
-PARITY_BITS = 128
+#: The parity of a line's words has two longs. A word turns one of ``PARITY_BITS`` bits,
+#: which tell long lines apart, and up to three of the 16 bits above them: one word put in
+#: the place of another seldom leaves all of these as they were, however short the line.
+PARITY_BITS = 112
+SINGLE = 48
+#: Bins in which the words of a line are counted, to bound what two lines share.
+BINS = 128
 #: Lines whose words are ordered at once.
 BATCH_LINES = 1 << 20
 
@@ -124,11 +130,11 @@ def gathered(
         counts = np.zeros(size, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS * 16):
-                found, times = np.unique(places(batch.slice(at, SLICE_ROWS * 16)), return_counts=True)
+                found = places(batch.slice(at, SLICE_ROWS * 16))
                 if kind is np.uint8:
                     counts[found] = 1
                 else:
-                    counts[found] += times.astype(kind)
+                    np.add.at(counts, found, kind(1))
         for block in range(0, size, BLOCK):
             part = counts[block : block + BLOCK]
             if part.any():
@@ -278,10 +284,13 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> Dat
         mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
         bit = (mixed >> np.uint64(32)) % np.uint64(PARITY_BITS)
         one = np.uint64(1) << (bit & np.uint64(63))
-        parity = []
-        for half in (0, 1):
-            bits = np.where(bit >> np.uint64(6) == half, one, np.uint64(0))
-            parity.append(np.bitwise_xor.reduceat(bits, starts[:-1]).view(np.int64) if len(n) else np.empty(0, np.int64))
+        low, high = np.where(bit < 64, one, np.uint64(0)), np.where(bit < 64, np.uint64(0), one)
+        for shift in (52, 56, 60):
+            high ^= np.uint64(1) << ((mixed >> np.uint64(shift) & np.uint64(15)) + np.uint64(SINGLE))
+        parity = [
+            np.bitwise_xor.reduceat(bits, starts[:-1]).view(np.int64) if len(n) else np.empty(0, np.int64)
+            for bits in (low, high)
+        ]
         size = np.minimum(n, LONGEST) << SIZE_BITS
         length = prefix_length(n)
         line = np.repeat(np.arange(len(n)), length)
@@ -308,11 +317,15 @@ def matches(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     place_a, place_b = a[0] & LONGEST, b[0] & LONGEST
     total = size_a + size_b
     needed = -(-top * total // (top + bottom))
-    differ = sum(np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64) for x, y in zip(a[1:], b[1:]))
+    low, high = ((x ^ y).view(np.uint64) for x, y in zip(a[1:], b[1:]))
+    single = high & np.uint64((1 << SINGLE) - 1)
+    differ = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(single)
+    triple = np.bitwise_count(high >> np.uint64(SINGLE)).astype(np.int64)
     through = (
         (bottom * np.minimum(size_a, size_b) >= top * np.maximum(size_a, size_b))
         & (np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b) >= needed)
         & (differ <= total - 2 * needed)
+        & (triple <= 3 * (total - 2 * needed))
     )
     through |= (size_a == LONGEST) | (size_b == LONGEST)
     return through, through & (2 * differ <= total - 2 * needed) & (differ <= NEAR_BITS)
@@ -326,7 +339,7 @@ PAIR = T.StructType(
 MARKS = ("pack", "parity_a", "parity_b")
 
 
-def near_pairs(rows: DataFrame, near: tuple[tuple[int, int], ...] | None) -> DataFrame:
+def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
     """``doc, line, a_doc, a_line, more, full``: lines with those before them that share a word and may match.
 
     After as many very near ones as ``near`` says (None: never) a line meets no more by that
@@ -340,9 +353,7 @@ def near_pairs(rows: DataFrame, near: tuple[tuple[int, int], ...] | None) -> Dat
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
         active, seen = np.flatnonzero(place), np.zeros(len(word), np.int64)
-        limit = np.full(len(word), len(word) + 1)
-        for most, lines in reversed(near or ()):
-            limit[(marks[0] >> SIZE_BITS & LONGEST) <= most] = lines
+        limit = near or len(word) + 1
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = 0
         while len(active):
@@ -350,7 +361,7 @@ def near_pairs(rows: DataFrame, near: tuple[tuple[int, int], ...] | None) -> Dat
             through, close = matches([m[earlier] for m in marks], [m[active] for m in marks])
             seen[active] += close
             step += 1
-            stopped = seen[active] >= limit[active]
+            stopped = seen[active] >= limit
             left = place[active] > step
             found.append((active[through], earlier[through], (stopped & left)[through]))
             active = active[left & ~stopped]
@@ -399,12 +410,14 @@ def could_match() -> Column:
     total = f"({size(a)} + {size(b)})"
     needed = f"(({top} * {total} + {top + bottom - 1}) div {top + bottom})"
     left = f"least({size(a)} - {place(a)}, {size(b)} - {place(b)})"
-    differ = "bit_count(a_parity_a ^ parity_a) + bit_count(a_parity_b ^ parity_b)"
+    differ = f"bit_count(a_parity_a ^ parity_a) + bit_count((a_parity_b ^ parity_b) & {(1 << SINGLE) - 1}L)"
+    triple = f"bit_count(shiftrightunsigned(a_parity_b ^ parity_b, {SINGLE}))"
     return F.expr(
         f"""{size(a)} = {LONGEST} OR {size(b)} = {LONGEST} OR (
             {bottom} * least({size(a)}, {size(b)}) >= {top} * greatest({size(a)}, {size(b)})
             AND least({place(a)}, {place(b)}) + {left} >= {needed}
-            AND {differ} <= {total} - 2 * {needed})"""
+            AND {differ} <= {total} - 2 * {needed}
+            AND {triple} <= 3 * ({total} - 2 * {needed}))"""
     )
 
 
@@ -414,23 +427,41 @@ def similar(a: list[bytes], b: list[bytes]) -> bool:
     return bottom * shared >= top * (len(a) + len(b) - shared)
 
 
+def binned(words: list[list[bytes]]) -> list[bytes]:
+    """How many words of each line fall into each of ``BINS``, a byte each, 255 for that and more."""
+    at = np.repeat(np.arange(len(words), dtype=np.int64) * BINS, np.fromiter(map(len, words), np.int64, len(words)))
+    counts = np.bincount(at + hashes(words) % BINS, minlength=len(words) * BINS)
+    return [row.tobytes() for row in np.minimum(counts, 255).astype(np.uint8).reshape(-1, BINS)]
+
+
+def bins_match(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether lines of these bins (rows) can be similar: they share at most the lesser count of each bin."""
+    top, bottom = THRESHOLD
+    shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
+    return (bottom * shared >= top * (total - shared)) | (a == 255).any(axis=1) | (b == 255).any(axis=1)
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc, line`` of the later lines of the pairs (``doc, line, a_doc, a_line``) that really are similar."""
     pairs = written(pairs.distinct(), "candidates")
     if pairs.isEmpty():
         return pairs.select("doc", "line")
+    ends_of_pair = pairs.columns
     ends = pairs.select("doc", "line").union(pairs.select("a_doc", "a_line")).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(ends))
-    schema = T.StructType([*LINE.fields, T.StructField("words", T.BinaryType())])
+    schema = T.StructType([*LINE.fields, T.StructField("words", T.BinaryType()), T.StructField("bins", T.BinaryType())])
 
     def each(found: list) -> dict:
         found = in_bitmap(found, shared.value)
         docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
-        return {"doc": docs_, "line": lines, "words": pa.array([b" ".join(f[2]) for f in found], pa.binary())}
+        words = [f[2] for f in found]
+        bins = pa.array(binned(words), pa.binary())
+        return {"doc": docs_, "line": lines, "words": pa.array([b" ".join(w) for w in words], pa.binary()), "bins": bins}
 
     lines = line_map(docs, each, schema).join(ends, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"])
     lines = written(lines, "candidate-lines")
-    earlier = lines.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("words").alias("a_words"))
+    earlier = lines.select(*[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "words", "bins")])
 
     def check(batch: pa.RecordBatch) -> dict:
         names = ("doc", "line", "words", "a_words")
@@ -438,15 +469,24 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         hits = [(doc, line) for doc, line, b, a in rows if similar(a.split(), b.split())]
         return {"doc": [h[0] for h in hits], "line": [h[1] for h in hits]}
 
+    def may(batch: pa.RecordBatch) -> dict:
+        bins = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("bins", "a_bins")]
+        fits = pa.array(bins_match(*bins))
+        return {c: batch.column(c).filter(fits) for c in ends_of_pair}
+
+    def near_enough(some: DataFrame) -> DataFrame:
+        both = some.join(lines.drop("words"), ["doc", "line"]).join(earlier.drop("a_words"), ["a_doc", "a_line"])
+        return written(arrow_map(both.select(*ends_of_pair, "bins", "a_bins"), may, pairs.schema), "bounded")
+
     def really(some: DataFrame) -> DataFrame:
-        both = some.join(lines, ["doc", "line"]).join(earlier, ["a_doc", "a_line"])
+        both = some.join(lines.drop("bins"), ["doc", "line"]).join(earlier.drop("a_bins"), ["a_doc", "a_line"])
         return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
 
     # most lines that match at all match the first line they meet
     least = pairs.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")).select("doc", "line", "a.*")
     gone = really(least)
     rest = pairs.join(gone, ["doc", "line"], "left_anti").join(least, pairs.columns, "left_anti")
-    return gone.union(really(rest))
+    return gone.union(really(near_enough(rest)))
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
