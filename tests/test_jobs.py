@@ -5,9 +5,9 @@ from datetime import datetime
 import pytest
 
 from tidemark import schemas
-from tidemark.plans import land, run, silver_albums, silver_tracks
+from tidemark.plans import bronze_bytes, land, run, silver_albums, silver_tracks
 from tidemark.plans.jobs import ALBUM_COLUMNS, TRACK_COLUMNS
-from tidemark.session import MAX_SHUFFLE_PARTITIONS, shuffle_partitions_for, sized_for
+from tidemark.session import PARALLELISM_FIRST, SHUFFLE_PARTITIONS, settings_for
 from tidemark.sources import NoSnapshotError, read_parquet_file, read_snapshot, snapshot_path, table_path
 
 
@@ -190,29 +190,34 @@ def test_one_shuffle_per_cleaned_table(spark, base):
         assert plan.count("Exchange ") == 1 and "Python" not in plan
 
 
-def test_shuffle_sizing(spark):
-    assert shuffle_partitions_for(10 << 20, 200) == 200
-    assert shuffle_partitions_for(1 << 40, 200) == 2048
-    assert shuffle_partitions_for(100 << 40, 200) == MAX_SHUFFLE_PARTITIONS
-    keys = [
-        "spark.sql.shuffle.partitions",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst",
-        "spark.sql.files.maxPartitionNum",
-    ]
+def test_settings_follow_the_input():
+    small, large, huge = (settings_for(n << 20) for n in (10, 1 << 20, 100 << 20))
+    assert [s[SHUFFLE_PARTITIONS] for s in (small, large, huge)] == ["200", "2048", "50000"]
+    assert PARALLELISM_FIRST not in small and large[PARALLELISM_FIRST] == "false"
+    assert settings_for(100 << 40, max_partitions=300_000)[SHUFFLE_PARTITIONS] == "204800"
+
+
+def test_jobs_leave_the_session_as_it_is(spark, base):
+    before = spark.conf.getAll
+    land_bodies(spark, base, "20240101_000000")
+    run(spark, base, "20240101_000100")
+    assert spark.conf.getAll == before
 
-    def settings():
-        return [spark.conf.get(key, None) for key in keys]
-
-    before = settings()
-    with sized_for(spark.range(1 << 38)):
-        assert settings() == ["4096", None, "false", "100000"]
-    assert settings() == before
-    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
-    with pytest.raises(KeyError), sized_for(unknown):
-        assert settings()[0] == before[0]
-        raise KeyError
-    assert settings() == before
+
+def test_size_of_the_raw_records(spark, base, tmp_path):
+    for stamp in ("20240101_000000", "20240102_000000"):
+        land_bodies(spark, base, stamp)
+    parts = [p for n in ("albums", "tracks") for p in (tmp_path / f"bronze/{n}/snapshot_ts=20240102_000000").iterdir()]
+    assert bronze_bytes(spark, base) == sum(p.stat().st_size for p in parts if not p.name.endswith(".crc"))
+
+
+def test_a_missing_page_is_not_landed_over(spark, base):
+    albums, tracks = bodies("x")
+    for a, t, lost in ((albums[1:], tracks, "artist"), (albums, [b for b in tracks if b[:2] != ("a1", 0)], "a1")):
+        given = pages(spark, schemas.ALBUM, a, 2), pages(spark, schemas.TRACK, t, 2)
+        with pytest.raises(ValueError, match=f"page of parent {lost} is missing"):
+            land(*given, base, "20240101_000000", 2, 2)
+    assert land(*given, base, "20240101_000000", 2, 2, whole=False)["albums"] == 4
 
 
 @pytest.mark.parametrize("fmt", ["json", "parquet"])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import staging
-from tidemark.operators import merge_child_pages, merge_pages, page_runs, paging, source_filter
+from tidemark.operators import merge_child_pages, merge_pages, page_runs, paging, require_whole, source_filter
 
 PAGES = "parent_id string, parent_ord bigint, offset bigint, items array<struct<id:string,album_id:string>>"
 
@@ -105,6 +105,41 @@ def test_parents_are_joined_without_another_shuffle(spark, base):
     assert plans[0].count("Exchange ") == 3 and "items:array<struct<id:string>>" in plans[0]
 
 
+def test_missing_pages_are_found(spark, monkeypatch):
+    monkeypatch.setattr(paging, "RUN_PAGES", 3)
+    sizes = {"p": [2] * 7 + [1] + [2] * 3, "q": [0], "r": [2, 2], "s": [2] * 5}
+    df = make(spark, sizes, 2)
+    require_whole(df.union(df), 2)  # copies are no more pages
+    for lost in range(11):
+        left = df.where(f"NOT (parent_id = 'p' AND offset = {2 * lost})")
+        if lost > 7:  # past the short page
+            require_whole(left, 2)
+        else:
+            with pytest.raises(ValueError, match="parent p"):
+                require_whole(left, 2)
+    with pytest.raises(ValueError, match="parent s"):
+        require_whole(df.where("parent_id <> 's' OR offset >= 6"), 2)
+    with pytest.raises(ValueError, match="parent q"):
+        require_whole(df.withColumn("offset", F.expr("IF(parent_id = 'q', 1, offset)")), 2)
+    require_whole(df.where("parent_id = 'p'").drop("parent_id", "parent_ord"), 2)
+    require_whole(df.limit(0), 2)
+
+
+def test_bodies_are_joined_by_hash(spark, base):
+    """Beyond a broadcast the staged side is built into a map, and no body is sorted."""
+    make(spark, CASES, 2).write.parquet(f"{base}/pages")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        got = merge_child_pages(parents(spark, [("p", [0], 0, 0)]), spark.read.parquet(f"{base}/pages"), 2)
+        assert len(got.collect()) == 3
+        final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+    assert "ShuffledHashJoin" in final and "Sort" not in final
+
+
 def parents(spark, rows):
     return spark.createDataFrame(rows, "id string, parent_ord array<bigint>, page_offset bigint, pos bigint")
 

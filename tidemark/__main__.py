@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import argparse
 
-from tidemark import schemas
-from tidemark.plans import land, run
+from pyspark.sql import SparkSession
+
+from tidemark import files, schemas
+from tidemark.plans import bronze_bytes, land, run
 from tidemark.plans.jobs import ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
-from tidemark.session import build_session
+from tidemark.session import SHUFFLE_PARTITIONS, build_session, settings_for
 from tidemark.sources import read_pages, snapshot_id
 from tidemark.sources.files import FORMATS
 
 
+def _fit(spark: SparkSession, input_bytes: int) -> None:
+    """Fit the session, which is this command's own, to its input."""
+    for key, value in settings_for(input_bytes, int(spark.conf.get(SHUFFLE_PARTITIONS))).items():
+        spark.conf.set(key, value)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -21,8 +29,10 @@ def main(argv: list[str] | None = None) -> None:
     landing.add_argument("--pages-format", choices=FORMATS, default="json")
     landing.add_argument("--album-limit", type=int, default=ALBUM_PAGE_LIMIT)
     landing.add_argument("--track-limit", type=int, default=TRACK_PAGE_LIMIT)
+    landing.add_argument("--any-offsets", action="store_true", help="do not look for missing pages")
     cleaning = jobs.add_parser("run", help="clean the latest raw snapshots")
     cleaning.add_argument("--strict", action="store_true", help="refuse a field no record has")
+    cleaning.add_argument("--date-format", action="append", default=[], help="a further format of release dates")
     for job in (landing, cleaning):
         job.add_argument("--base", required=True, help="folder or URI of the bronze and silver layers")
         job.add_argument("--snapshot-ts", help="stamp of this run; the current UTC time if not given")
@@ -31,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     stamp = args.snapshot_ts or snapshot_id()
     if args.job == "land":
+        _fit(spark, sum(files.total_size(spark, p) for p in (args.album_pages, args.track_pages)))
         rows = land(
             read_pages(spark, args.album_pages, schemas.ALBUM, args.pages_format),
             read_pages(spark, args.track_pages, schemas.TRACK, args.pages_format),
@@ -38,9 +49,11 @@ def main(argv: list[str] | None = None) -> None:
             stamp,
             args.album_limit,
             args.track_limit,
+            whole=not args.any_offsets,
         )
     else:
-        rows = run(spark, args.base, stamp, args.strict)
+        _fit(spark, bronze_bytes(spark, args.base))
+        rows = run(spark, args.base, stamp, args.strict, args.date_format)
     for name, n in rows.items():
         print(f"{name}: {n} rows in snapshot {stamp}")
 

@@ -31,6 +31,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in (fs.globStatus(path) or [])]
 
 
+def total_size(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files at and below the paths matching ``pattern``."""
+    fs, path = _path(spark, pattern)
+    return sum(fs.getContentSummary(status.getPath()).getLength() for status in (fs.globStatus(path) or []))
+
+
 def ends(spark: SparkSession, file: str, n: int) -> tuple[bytes, bytes]:
     """The first and last ``n`` bytes of a file (all of it, if it is shorter)."""
     fs, path = _path(spark, file)

@@ -4,6 +4,7 @@ from tidemark.operators.paging import (
     merge_child_pages,
     merge_pages,
     page_runs,
+    require_whole,
     source_filter,
 )
 from tidemark.operators.shaping import (
@@ -26,6 +27,7 @@ __all__ = [
     "page_runs",
     "rename",
     "require_values",
+    "require_whole",
     "select_columns",
     "source_filter",
     "unwrap_items",

@@ -85,6 +85,43 @@ def page_runs(pages: DataFrame, limit: int) -> DataFrame:
     return runs.withColumn("stop_offset", stop).drop("short_offset")
 
 
+def require_whole(pages: DataFrame, limit: int) -> None:
+    """Raise if a parent lacks a page before its first short page (or its last), or has offsets between pages.
+
+    For offsets that advance by ``limit`` from 0. Copies of a page count once, and
+    pages past the stop may be missing. One job over page sizes, as in
+    ``page_runs``; a group holds the numbers of one run's pages, ``RUN_PAGES``
+    at most.
+    """
+    pages = _of_one_source(pages)
+    offset = F.col("offset").cast("bigint")
+    numbered = pages.select(
+        "parent_id",
+        F.expr(f"CAST(offset AS BIGINT) DIV {limit}").alias("page"),
+        (offset % limit != 0).alias("between"),
+        (_page_size(pages, "items") < limit).alias("short"),
+    )
+    runs = numbered.groupBy("parent_id", F.expr(f"page DIV {RUN_PAGES}").alias("run")).agg(
+        F.collect_set("page").alias("held"),
+        F.max("page").alias("last"),
+        F.min(F.when(F.col("short"), F.col("page"))).alias("stop"),
+        F.max("between").alias("between"),
+    )
+    # A run with a short page is needed up to that page.
+    runs = runs.withColumn("upto", F.coalesce("stop", "last"))
+    held = F.size(F.filter("held", lambda page: page <= F.col("upto")))
+    first_stop = F.min("stop").over(Window.partitionBy("parent_id"))
+    needed = runs.select(
+        "parent_id", "run", "upto", "between", held.alias("n"), first_stop.alias("first_stop")
+    ).where(F.col("first_stop").isNull() | (F.col("run") * RUN_PAGES <= F.col("first_stop")))
+    summed = needed.groupBy("parent_id").agg(
+        F.max("upto").alias("upto"), F.sum("n").alias("n"), F.max("between").alias("between")
+    )
+    lacking = summed.where((F.col("n") <= F.col("upto")) | F.col("between")).select("parent_id").first()
+    if lacking is not None:
+        raise ValueError(f"a page of parent {lacking['parent_id']} is missing, or not at a multiple of {limit}")
+
+
 def attach_parent_key(pages: DataFrame, attach_as: str | None = None) -> DataFrame:
     """One row per item with its arrival order, and the parent's key as ``attach_as``.
 

@@ -1,3 +1,3 @@
-from tidemark.plans.jobs import ALBUMS, TRACKS, land, read_bronze, run, silver_albums, silver_tracks
+from tidemark.plans.jobs import ALBUMS, TRACKS, bronze_bytes, land, read_bronze, run, silver_albums, silver_tracks
 
-__all__ = ["ALBUMS", "TRACKS", "land", "read_bronze", "run", "silver_albums", "silver_tracks"]
+__all__ = ["ALBUMS", "TRACKS", "bronze_bytes", "land", "read_bronze", "run", "silver_albums", "silver_tracks"]

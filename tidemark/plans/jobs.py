@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark import schemas
+from tidemark import files, schemas
 from tidemark.functions import format_mm_ss, parse_mixed_date, pick_nth_field
 from tidemark.operators import (
     flatten,
@@ -15,17 +15,19 @@ from tidemark.operators import (
     merge_pages,
     rename,
     require_values,
+    require_whole,
     select_columns,
     source_filter,
     unwrap_items,
 )
 from tidemark.operators.paging import ALBUM_GROUPS, ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
-from tidemark.session import sized_for
 from tidemark.sources import (
     latest_file,
     has_runs,
+    latest_snapshot,
     read_json_file,
     read_snapshot,
+    snapshot_path,
     table_path,
     write_parquet,
     write_raw,
@@ -109,17 +111,23 @@ def land(
     album_limit: int = ALBUM_PAGE_LIMIT,
     track_limit: int = TRACK_PAGE_LIMIT,
     album_groups: Iterable[str] | None = ALBUM_GROUPS,
+    whole: bool = True,
 ) -> dict[str, int]:
     """Merge the pages of both datasets and land them raw; returns rows per dataset.
 
     Only albums of ``album_groups`` are landed, and one without a group raises;
-    None lands them all, for pages that were asked for by group.
+    None lands them all, for pages that were asked for by group. ``whole`` first
+    makes sure that no page of any parent is missing; without it, offsets need
+    not advance by the limit.
 
     Tracks are read out for the landed albums, each with its album's key and in
     its album's arrival order.
     """
     spark = album_pages.sparkSession
-    with job_folder(spark), sized_for(album_pages):
+    if whole:
+        require_whole(album_pages, album_limit)
+        require_whole(track_pages, track_limit)
+    with job_folder(spark):
         albums = merge_pages(album_pages, album_limit)
         if album_groups is not None:
             albums = source_filter(albums, "album_group", album_groups, required=True)
@@ -127,7 +135,7 @@ def land(
     landed = read_snapshot(
         spark, table_path(base, BRONZE, ALBUMS), "json", schemas.raw(schemas.ALBUM), snapshot_ts
     )
-    with job_folder(spark), sized_for(track_pages):
+    with job_folder(spark):
         tracks = merge_child_pages(landed, track_pages, track_limit, attach_as="album_id")
         n_tracks = write_raw(tracks, base, TRACKS, snapshot_ts)
     return {ALBUMS: n_albums, TRACKS: n_tracks}
@@ -146,6 +154,17 @@ def read_bronze(spark: SparkSession, base: str, name: str) -> DataFrame:
     return read_json_file(spark, latest_file(spark, table), record)
 
 
+def bronze_bytes(spark: SparkSession, base: str) -> int:
+    """Size of the raw records that ``run`` reads."""
+    total = 0
+    for name in (ALBUMS, TRACKS):
+        table = table_path(base, BRONZE, name)
+        own = has_runs(spark, table)
+        path = snapshot_path(table, latest_snapshot(spark, table)) if own else latest_file(spark, table)
+        total += files.total_size(spark, files.literal(path))
+    return total
+
+
 def _selected(names: Mapping[str, str], columns: Iterable[str]) -> list[str]:
     """The source fields that end up in a cleaned table."""
     return [field for field, name in names.items() if any(c.startswith(name) for c in columns)]
@@ -167,8 +186,4 @@ def run(
         ):
             require_values(flatten(raw[name]), fields)
     cleaned = {ALBUMS: silver_albums(raw[ALBUMS], extra_formats), TRACKS: silver_tracks(raw[TRACKS])}
-    rows = {}
-    for name, df in cleaned.items():
-        with sized_for(raw[name]):
-            rows[name] = write_parquet(df, base, name, snapshot_ts)
-    return rows
+    return {name: write_parquet(df, base, name, snapshot_ts) for name, df in cleaned.items()}

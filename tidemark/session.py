@@ -1,11 +1,8 @@
-"""Session settings, and task sizing for the jobs."""
+"""Session settings. Jobs change none of them, so jobs that share a session don't meet."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.ui.enabled": "false",
@@ -20,19 +17,9 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
-# A shuffle partition per this many scanned bytes, and bounds that keep the
-# number of shuffle blocks (scan tasks x shuffle partitions) in hand at 100 TB.
-BYTES_PER_SHUFFLE_PARTITION = 512 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 100_000
-
-# Spark's estimate for a frame whose size it cannot know.
-UNKNOWN_SIZE = (1 << 63) - 1
-
-_SHUFFLE = "spark.sql.shuffle.partitions"
-_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
-_SCAN = "spark.sql.files.maxPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SCAN_TASKS = "spark.sql.files.maxPartitionNum"
+PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
@@ -44,44 +31,25 @@ def build_session(app: str = "tidemark", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """What the optimizer expects ``df`` to read; 0 if it cannot tell."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 0 if size >= UNKNOWN_SIZE else size
-
-
-def shuffle_partitions_for(size_in_bytes: int, at_least: int) -> int:
-    wanted = -(-size_in_bytes // BYTES_PER_SHUFFLE_PARTITION)
-    return max(at_least, min(wanted, MAX_SHUFFLE_PARTITIONS))
-
-
-@contextmanager
-def sized_for(df: DataFrame) -> Iterator[None]:
-    """Run actions on ``df`` with as many tasks as its estimated size asks for.
+def settings_for(
+    input_bytes: int,
+    at_least: int = 200,
+    bytes_per_partition: int = 512 << 20,
+    max_partitions: int = 50_000,
+    max_scan_tasks: int = 100_000,
+) -> dict[str, str]:
+    """Settings for a session whose jobs read ``input_bytes`` of files; adaptive execution merges what turns out small.
 
-    The session's own shuffle partitions are the lower bound; adaptive execution
-    merges what turns out small. A large input is merged into partitions of the
-    advisory size rather than into one per core, for files of a good size.
+    A shuffle has scan tasks times partitions blocks. Both are bounded so that
+    these stay in hand; past the bounds (25 TB by default) tasks grow instead,
+    and spill. A large input is merged into partitions of the advisory size
+    rather than into one per core, for files of a good size.
     """
-    conf = df.sparkSession.conf
-    size = estimated_bytes(df)
-    wanted = {
-        key: str(shuffle_partitions_for(size, int(conf.get(key))))
-        for key in (_SHUFFLE, _INITIAL)
-        if conf.get(key, None) is not None
+    wanted = -(-input_bytes // bytes_per_partition)
+    settings = {
+        SHUFFLE_PARTITIONS: str(max(at_least, min(wanted, max_partitions))),
+        SCAN_TASKS: str(max_scan_tasks),
     }
-    if size > BYTES_PER_SHUFFLE_PARTITION:
-        wanted[_PARALLELISM_FIRST] = "false"
-    if conf.get(_SCAN, None) is None:
-        wanted[_SCAN] = str(MAX_SCAN_TASKS)
-    before = {key: conf.get(key, None) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                conf.unset(key)
-            else:
-                conf.set(key, value)
+    if input_bytes > bytes_per_partition:
+        settings[PARALLELISM_FIRST] = "false"
+    return settings

@@ -241,7 +241,8 @@ def silver_tracks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     base = new_folder(spark, "jobs")
     pages = derive.album_pages(spark, sf_dir), derive.track_pages(spark, sf_dir)
-    land(*pages, base, NEWER, album_limit=LIMIT, track_limit=LIMIT)
+    # offsets are keys of the driver tables here, with others between them
+    land(*pages, base, NEWER, album_limit=LIMIT, track_limit=LIMIT, whole=False)
     return base
 
 
