@@ -376,6 +376,33 @@ def test_quality_rejects_what_diverges(spark):
     assert all(got[i].kept for i in range(60) if not got[i].base_failed)
 
 
+def test_quality_of_rare_languages(spark):
+    rng = random.Random(10)
+    pool = {"en": "the of and house river walked slowly green", "de": "der und das haus ging fluss langsam grün", "fi": "ja on talo joki käveli hitaasti vihreä se"}
+    prose = lambda k, n: " ".join(rng.choices(pool[k].split(), [8, 6, 5, 1, 1, 1, 1, 1], k=n))
+    junk = " ".join(f"@@{rng.random()}##" for _ in range(300))
+    rows = [(i, prose("en", 60), "en") for i in range(6000)]
+    rows += [(6000 + i, prose("de", 700), "de") for i in range(20)] + [(7000, junk, "de")]
+    # too little text, and one document that is most of it
+    rows += [(8000 + i, prose("fi", 300), "fi") for i in range(3)] + [(9000, prose("fi", 300), "xx"), (9001, " ".join(f"y{i}" for i in range(20000)), "xx")]
+    rows += [(9100, junk, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    references = quality.learn(docs)
+    assert references.langs == ["de", "en"]
+    got = {r.doc_id: r for r in quality.judge(docs, references).collect()}
+    rare = [got[i] for i, _, lang in rows if lang in ("de", "fi", "xx") and i != 7000]
+    assert all(r.kept or r.base_failed for r in rare)
+    assert all(r.word_distance is None and r.class_distance is None for r in rare if r.doc_id >= 8000)
+    assert not got[7000].kept and not got[9100].kept and not got[9100].base_failed
+
+
+def test_quality_refuses_too_many_languages(docs, monkeypatch):
+    for name, value in (("MIN_REFERENCE_WORDS", 1), ("MAX_DOCUMENT_SHARE", 1), ("MAX_LANGUAGES", 1)):
+        monkeypatch.setattr(quality, name, value)
+    with pytest.raises(ValueError, match="languages"):
+        quality.learn(docs)
+
+
 def test_js_distance():
     p = np.array([1.0, 0.0])
     assert quality.js_distance(p, p) == 0 and quality.js_distance(p, p[::-1]) == 1

@@ -7,11 +7,16 @@ smallest over the languages of the larger of the two, each divided by its limit.
 Above 1 it is rejected. The guards: a histogram of fewer than ``MIN_CHARS``
 characters or ``MIN_WORDS`` words is not judged, as its distance is mostly noise.
 
-Languages are references from a share ``MIN_SHARE`` of the documents on, so there
-are 1 / ``MIN_SHARE`` at most. Without any reference nothing is rejected.
+A language has a reference if it has enough text, however small its share: at least
+``MIN_REFERENCE_WORDS`` words, of which no document has more than
+``MAX_DOCUMENT_SHARE`` (one long document of junk would make a reference that
+rejects the rest). A document of a language without one is not judged by the
+references of others. More than ``MAX_LANGUAGES`` references are refused with an
+error, as every task holds them.
 
 Defined results: null texts have no words and fail the base rules. Words of
 equal counts rank by their bytes. Repeated rows count as often as they occur.
+Documents without a language are held against every reference.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import arrow_map, lower_words, utf8, written
 
 COMMON = 64
-MIN_SHARE = 1 / 256
+MIN_REFERENCE_WORDS = 10_000
+MAX_DOCUMENT_SHARE = 1 / 16
+MAX_LANGUAGES = 8192
 MIN_CHARS = 200
 MIN_WORDS = 100
 #: Limits of the two distances.
@@ -42,6 +49,7 @@ BASE_MIN_WORDS = 50
 BASE_MAX_REPEATED = 50  # per cent of the words
 
 CLASSES = ("Ll", "Lu", "L", "N", "P", "S", "space", "other")
+LONGEST = len(CLASSES)
 _WHITE = (9, 10, 11, 12, 13, 32)
 _CONTINUATION = bytes(range(128, 192))  # of UTF-8
 _class_of: np.ndarray | None = None
@@ -107,30 +115,32 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class References:
     def __init__(self, classes: dict[str, np.ndarray], words: dict[str, list[tuple[bytes, int]]], totals: dict[str, int]) -> None:
         self.langs = sorted(lang for lang in classes if totals.get(lang))
+        self.known = set(self.langs)
         self.classes = np.array([classes[lang] / classes[lang].sum() for lang in self.langs])
-        self.slots = [{w: i for i, (w, _) in enumerate(words[lang])} for lang in self.langs]
-        self.words = []
-        for lang in self.langs:
-            known = [n for _, n in words[lang]]
-            self.words.append(np.array([*known, totals[lang] - sum(known)]) / totals[lang])
-
-    def distances(self, text: bytes | None) -> tuple[float | None, float | None, bool]:
+        self.slots: dict[bytes, list[tuple[int, int]]] = {}
+        self.words = np.zeros((len(self.langs), COMMON + 1))
+        for i, lang in enumerate(self.langs):
+            for slot, (w, n) in enumerate(words[lang]):
+                self.slots.setdefault(w, []).append((i, slot))
+                self.words[i, slot] = n
+            self.words[i, -1] = totals[lang] - self.words[i].sum()
+            self.words[i] /= totals[lang]
+
+    def distances(self, text: bytes | None, lang: str | None = None) -> tuple[float | None, float | None, bool]:
         """Distances to the nearest reference (None: not judged), and whether they are within the limits."""
-        if not text or not self.langs:
+        if not text or not self.langs or (lang is not None and lang not in self.known):
             return None, None, True
         counts = class_counts(text)
         listed = lower_words(text)
         by_class = js_distance(counts / counts.sum(), self.classes) if counts.sum() >= MIN_CHARS else None
         by_word = None
         if len(listed) >= MIN_WORDS:
-            held = Counter(listed)
-            by_word = np.empty(len(self.langs))
-            for i, (slots, reference) in enumerate(zip(self.slots, self.words)):
-                mine = np.zeros(len(reference))
-                for w, slot in slots.items():
-                    mine[slot] = held[w]
-                mine[-1] = len(listed) - mine.sum()
-                by_word[i] = js_distance(mine / len(listed), reference)
+            mine = np.zeros(self.words.shape)
+            for w, n in Counter(listed).items():
+                for at in self.slots.get(w, ()):
+                    mine[at] = n
+            mine[:, -1] = len(listed) - mine.sum(axis=1)
+            by_word = js_distance(mine / len(listed), self.words)
         zeros = np.zeros(len(self.langs))
         a, b = (zeros if d is None else d for d in (by_class, by_word))
         worst = np.maximum(a / MAX_CLASS_DISTANCE, b / MAX_WORD_DISTANCE)
@@ -143,7 +153,7 @@ class References:
 
 
 def _counts(docs: DataFrame, lang: str, column: str) -> DataFrame:
-    """``lang, class, word, n``: a language's words (``class`` is NULL) and classes of characters."""
+    """``lang, class, word, n``: a language's words (``class`` is NULL), classes of characters, and at ``LONGEST`` the words of its longest text."""
     schema = T.StructType(
         [
             T.StructField("lang", T.StringType()),
@@ -156,38 +166,49 @@ def _counts(docs: DataFrame, lang: str, column: str) -> DataFrame:
     def each(batch: pa.RecordBatch) -> dict:
         words: dict[str, Counter] = {}
         classes: dict[str, np.ndarray] = {}
+        longest: dict[str, int] = {}
         for code, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text"))):
             if text:
-                words.setdefault(code, Counter()).update(lower_words(text))
+                listed = lower_words(text)
+                words.setdefault(code, Counter()).update(listed)
+                longest[code] = max(longest.get(code, 0), len(listed))
                 classes[code] = classes.get(code, 0) + class_counts(text)
         rows = [(code, None, w, n) for code, held in words.items() for w, n in held.items()]
         rows += [(code, i, None, int(n)) for code, held in classes.items() for i, n in enumerate(held)]
+        rows += [(code, LONGEST, None, n) for code, n in longest.items()]
         return dict(zip(schema.fieldNames(), map(list, zip(*rows)))) if rows else {c: [] for c in schema.fieldNames()}
 
     known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(column).alias("text"))
-    return arrow_map(known, each, schema).groupBy("lang", "class", "word").agg(F.sum("n").alias("n"))
+    return arrow_map(known, each, schema).groupBy("lang", "class", "word").agg(
+        F.when(F.col("class") == LONGEST, F.max("n")).otherwise(F.sum("n")).alias("n")
+    )
 
 
 def learn(docs: DataFrame, lang: str = "lang", column: str = "text") -> References:
-    """References of the languages that enough documents have."""
-    total = docs.count()
-    big = docs.groupBy(F.col(lang).alias("lang")).count().where(F.col("lang").isNotNull() & (F.col("count") >= total * MIN_SHARE))
-    langs = [r["lang"] for r in big.collect()]
-    counts = written(_counts(docs.where(F.col(lang).isin(langs)), lang, column), "quality-counts")
+    """References of the languages that have enough text."""
+    counts = written(_counts(docs, lang, column), "quality-counts")
+    held = counts.groupBy("lang").agg(
+        F.sum(F.when(F.col("class").isNull(), F.col("n"))).alias("n"), F.max(F.when(F.col("class") == LONGEST, F.col("n"))).alias("longest")
+    )
+    big = held.where((F.col("n") >= MIN_REFERENCE_WORDS) & (F.col("longest") <= F.col("n") * MAX_DOCUMENT_SHARE))
+    totals = {r["lang"]: r["n"] for r in big.limit(MAX_LANGUAGES + 1).collect()}
+    if len(totals) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    langs = list(totals)
+    counts = counts.where(F.col("lang").isin(langs))
     of_words = counts.where(F.col("class").isNull())
-    totals = {r["lang"]: r["n"] for r in of_words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
     top = of_words.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
     words: dict[str, list[tuple[bytes, int]]] = {code: [] for code in langs}
     for r in top.select("lang", "word", "n").collect():
         words[r["lang"]].append((bytes(r["word"]), r["n"]))
     classes = {code: np.zeros(len(CLASSES)) for code in langs}
-    for r in counts.where(F.col("class").isNotNull()).collect():
+    for r in counts.where(F.col("class") < LONGEST).collect():
         classes[r["lang"]][r["class"]] = r["n"]
     return References(classes, words, totals)
 
 
-def judge(docs: DataFrame, references: References, key: str = "doc_id", column: str = "text") -> DataFrame:
+def judge(docs: DataFrame, references: References, key: str = "doc_id", column: str = "text", lang: str = "lang") -> DataFrame:
     """Per row the base counts, both distances, and the two verdicts."""
     long, double, boolean = T.LongType(), T.DoubleType(), T.BooleanType()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -206,7 +227,7 @@ def judge(docs: DataFrame, references: References, key: str = "doc_id", column:
     def each(batch: pa.RecordBatch) -> dict:
         texts = utf8(batch.column("__text"))
         counts = [base_counts(t) for t in texts]
-        found = [shared.value.distances(t) for t in texts]
+        found = [shared.value.distances(t, code) for t, code in zip(texts, batch.column("__lang").to_pylist())]
         failed = [c[0] < BASE_MIN_WORDS or 100 * c[4] > BASE_MAX_REPEATED * c[0] for c in counts]
         return (
             {key: batch.column(key), "base_failed": failed, "kept": [not b and f[2] for b, f in zip(failed, found)]}
@@ -214,4 +235,4 @@ def judge(docs: DataFrame, references: References, key: str = "doc_id", column:
             | {"class_distance": [f[0] for f in found], "word_distance": [f[1] for f in found]}
         )
 
-    return arrow_map(docs.select(key, F.col(column).alias("__text")), each, schema)
+    return arrow_map(docs.select(key, F.col(column).alias("__text"), F.col(lang).alias("__lang")), each, schema)
