@@ -252,6 +252,29 @@ def test_line_dedup_of_many_near_copies(spark):
     assert {(r.doc_id, r.text) for r in got} == {(i, want[i, t]) for i, t in rows}
 
 
+def lines_with_others(lines, times):
+    """Documents of these lines, then of lines that bring each of their words ``times`` (by word, else 5) more."""
+    words = sorted({w for line in lines for w in line})
+    fill = [[w, *(f"{w}f{n}f{i}" for i in range(9))] for w in words for n in range(times.get(w, 5))]
+    return [(i, " ".join(line)) for i, line in enumerate([*lines, *fill])]
+
+
+def test_line_dedup_holds_no_line_against_itself(spark):
+    import numpy
+
+    # two words that share their 31 bits of a prefix word, the rarest of their line
+    a, b = "w39343", "w68653"
+    raw = numpy.array([zlib.crc32(w.encode()) for w in (a, b)], numpy.uint64)
+    mixed = (raw + numpy.uint64(1)) * line_dedup._MIX >> numpy.uint64(33)
+    assert a != b and mixed[0] == mixed[1]
+    rows = lines_with_others([[a, b, *(f"common{i}" for i in range(8))]], {a: 1, b: 1})
+    rows += [(1000, "a row that stands here two times"), (1000, "a row that stands here two times")]
+    want = brute_dedup(rows)
+    assert all(want[r] == r[1] for r in rows)
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert multiset((r.doc_id, r.text) for r in got) == multiset(rows)
+
+
 # Neighbours
 
 

@@ -25,7 +25,7 @@ it. Lines are ordered by document key, then by place. Lines without words stay.
   words by bins leave room for the words they would have to share.
 
 Words are hashed to 32 bits until they are verified; words that fall together
-can only bring more candidates, never lose one.
+can only bring more candidates, never lose one. A line is no candidate of its own.
 
 Defined results: null texts stay null. Rows that repeat a key and a text are one
 document, and get the same result; other rows of one key go in the order of a
@@ -359,6 +359,9 @@ def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
         while len(active):
             earlier = active - place[active] + step
             through, close = matches([m[earlier] for m in marks], [m[active] for m in marks])
+            # words of one line that fall together, and repeated rows, bring a line to itself
+            other = (doc[earlier] != doc[active]) | (line[earlier] != line[active])
+            through, close = through & other, close & other
             seen[active] += close
             step += 1
             stopped = seen[active] >= limit
