@@ -275,6 +275,44 @@ def test_line_dedup_holds_no_line_against_itself(spark):
     assert multiset((r.doc_id, r.text) for r in got) == multiset(rows)
 
 
+def same_parity():
+    """Four words a, b, c, d of which a and b, and c and d, turn the same bits of a line's parity."""
+    mask, seen, found = (1 << 64) - 1, {}, []
+    for i in range(20000):
+        mixed = (zlib.crc32(f"p{i}".encode()) + 1) * int(line_dedup._MIX) & mask
+        turned = (mixed >> 32) % line_dedup.PARITY_BITS, mixed >> 52
+        if turned in seen:
+            found += [seen.pop(turned), f"p{i}"]
+        else:
+            seen[turned] = f"p{i}"
+    return found[:4]
+
+
+def test_line_dedup_joins_words_given_up_in_the_second_round(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    a, b, c, d = same_parity()
+    common = [f"common{i}" for i in range(8)]
+    # the third line looks very near to the first, with which it shares too little, and matches the second
+    rows = lines_with_others([[*common, a, c], [*common, b, "other"], [*common, b, d]], dict.fromkeys(common, 0) | {w: 9 for w in (a, b, c, d, "other")})
+    want = brute_dedup(rows)
+    assert [want[r] for r in rows[:3]] == [rows[0][1], rows[1][1], ""]
+    once, calls = line_dedup.near_pairs, []
+
+    def near_pairs(rows, near):
+        calls.append(near)
+        if near is not None:
+            return once(rows, near)
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in line_dedup.PAIR.fields[:-1]]
+        return rows.select(line_dedup._word().alias("full")).distinct().select(*nulls, "full")
+
+    monkeypatch.setattr(line_dedup, "NEAR", 1)
+    monkeypatch.setattr(line_dedup, "near_pairs", near_pairs)
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert calls == [1, None]
+    assert {(r.doc_id, r.text) for r in got} == {(i, want[i, t]) for i, t in rows}
+
+
 # Neighbours
 
 

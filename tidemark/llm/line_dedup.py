@@ -337,6 +337,7 @@ PAIR = T.StructType(
 
 
 MARKS = ("pack", "parity_a", "parity_b")
+ENDS = ("doc", "line", "a_doc", "a_line")
 
 
 def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
@@ -492,26 +493,39 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return gone.union(really(near_enough(rest)))
 
 
+def joined_pairs(rows: DataFrame, full: DataFrame, later: DataFrame | None = None) -> DataFrame:
+    """``doc, line, a_doc, a_line``: lines (of ``later`` only, if given) with those before them, by the words ``full``."""
+    held = rows.join(full, "word", "left_semi")
+    early = held.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
+    if later is not None:
+        held = held.join(later, ["doc", "line"], "left_semi")
+    before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
+    return held.join(early, (F.col("word") == F.col("a_word")) & before & could_match()).select(*ENDS)
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
     """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
     firsts = written(first_lines(docs), "first-lines")
     rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
     met = written(near_pairs(rows, NEAR), "met")
-    ends = ["doc", "line", "a_doc", "a_line"]
-    found = met.where("full IS NULL").select(*ends)
+    found = met.where("full IS NULL").select(*ENDS)
     rows = rows.withColumn("word", _word())
     full = met.where("full IS NOT NULL").select(F.col("full").alias("word"))
     if not full.isEmpty():
-        held = rows.join(full, "word", "left_semi")
-        early = held.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
-        before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
-        found = found.union(held.join(early, (F.col("word") == F.col("a_word")) & before & could_match()).select(*ends))
+        found = found.union(joined_pairs(rows, full))
     gone = verified(docs, found)
     open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
     if not open_.isEmpty():
         words = rows.join(open_, ["doc", "line"], "left_semi").select("word").distinct().join(full, "word", "left_anti")
-        rest = near_pairs(rows.join(words, "word", "left_semi"), None).join(open_, ["doc", "line"], "left_semi")
-        gone = gone.union(verified(docs, rest.select(*ends)))
+        again = near_pairs(rows.join(words, "word", "left_semi"), None)
+        again = again.join(open_.withColumn("open", F.lit(True)), ["doc", "line"], "left")
+        again = written(again.where("open OR full IS NOT NULL"), "met-again")
+        rest = again.where("full IS NULL").select(*ENDS)
+        # batches fall otherwise here: a word met in task above may be given up now
+        full = again.where("full IS NOT NULL").select(F.col("full").alias("word"))
+        if not full.isEmpty():
+            rest = rest.union(joined_pairs(rows, full, open_))
+        gone = gone.union(verified(docs, rest))
     return firsts.join(gone.distinct(), ["doc", "line"], "left_anti")
 
 
