@@ -15,8 +15,9 @@ from tidemark.llm import language_id, line_dedup, mixing, simhash
 from tidemark.llm.queries import bpe_round_trip
 from tidemark.staging import named_or_local, new_folder
 
-#: A text is of no known language below this score (1 - out-of-place distance); texts of
-#: the languages learned, also short or noisy ones, score 0.35 and more.
+#: A text with a whole ranking of n-grams is of no known language below this score (1 -
+#: out-of-place distance). Shorter texts are not judged by it: few of their n-grams may be
+#: in any profile, most of all in scripts of thousands of letters.
 MIN_LANGUAGE_SCORE = 0.2
 
 #: What stays of a line dedup is judged by its words.
@@ -24,11 +25,12 @@ _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts whose language can't be told go: null, without letters, or like none of the languages."""
+    """Texts whose language can't be told go: null, without letters, or long enough to rank and like none of the languages."""
     named_or_local(spark)
     profiles = language_id.learn(docs)
-    found = language_id.predict(docs.select(F.struct("*").alias("__doc"), "text"), profiles, keep=["__doc"])
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    found = language_id.predict(docs.select(F.struct("*").alias("__doc"), "text"), profiles, keep=["__doc"], counted="__grams")
+    like = (F.col("score") >= MIN_LANGUAGE_SCORE) | (F.col("__grams") < language_id.PROFILE)
+    known = (F.col("lang_pred") != language_id.UNDETERMINED) & like
     return found.where(known).select("__doc.*")
 
 

@@ -7,7 +7,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from tidemark.llm import mixing, queries  # noqa: E402
+from tidemark.llm import language_id, mixing, queries  # noqa: E402
 
 
 def test_every_operator_is_registered():
@@ -39,6 +39,17 @@ def test_stages(spark, sf_dir):
     assert all(r.n_chars == len(r.text) for r in lengths)
 
 
+def test_short_texts_go_by_their_letters_alone(spark):
+    common = "the river walked slowly to the green house and then the people went home again " * 20
+    junk = "".join(chr(0x4E00 + i) for i in range(2000))
+    rows = [(i, common) for i in range(50)] + [(100, "Buzz Kuzak, Jazz Qubik"), (101, junk), (102, "12 + 3"), (103, None)]
+    docs = spark.createDataFrame([(i, t, "en" if i < 100 else None) for i, t in rows], "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in language_id.predict(docs, language_id.learn(docs)).collect()}
+    assert scores[100] < corpus_pipeline.MIN_LANGUAGE_SCORE and scores[101] < corpus_pipeline.MIN_LANGUAGE_SCORE
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {*range(50), 100}
+
+
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]

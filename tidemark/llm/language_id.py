@@ -73,7 +73,10 @@ class Profiles:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and 1 - distance / greatest distance."""
-        mine = ranked(ngrams(text))
+        return self.nearest(ranked(ngrams(text)))
+
+    def nearest(self, mine: np.ndarray) -> tuple[str, float]:
+        """Language and score of ranked n-grams."""
         if not len(mine) or not self.langs:
             return UNDETERMINED, 0.0
         places = np.arange(len(mine))
@@ -118,19 +121,26 @@ def learn(docs: DataFrame, lang: str = "lang", column: str = "text") -> Profiles
 
 
 def predict(
-    docs: DataFrame, profiles: Profiles, column: str = "text", keep: list[str] | None = None
+    docs: DataFrame, profiles: Profiles, column: str = "text", keep: list[str] | None = None, counted: str | None = None
 ) -> DataFrame:
-    """``docs`` (its columns ``keep``) with ``lang_pred`` and ``score``, in place of columns of those names."""
-    added = ("lang_pred", "score")
+    """``docs`` (its columns ``keep``) with ``lang_pred`` and ``score``, in place of columns of those names.
+
+    A column ``counted``, if asked for, has how many n-grams of a text were ranked.
+    """
+    counts = [counted] if counted else []
+    added = ("lang_pred", "score", *counts)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     schema = T.StructType(
         [*(docs.schema[c] for c in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        + [T.StructField(c, T.LongType()) for c in counts]
     )
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def each(batch: pa.RecordBatch) -> dict:
-        found = [shared.value.predict(t) for t in batch.column("__text").to_pylist()]
-        return {c: batch.column(c) for c in kept} | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+        grams = [ranked(ngrams(t)) for t in batch.column("__text").to_pylist()]
+        found = [shared.value.nearest(g) for g in grams]
+        out = {c: batch.column(c) for c in kept} | {c: [len(g) for g in grams] for c in counts}
+        return out | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
     return arrow_map(docs.select(*kept, F.col(column).alias("__text")), each, schema)
 
