@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, language_id, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts
+from tidemark.llm import ann, bpe, language_id, lexical, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts
 from tidemark.llm.common import documents, is_remainder
 
 
@@ -99,6 +99,42 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical.search(documents(spark, sf_dir, "doc_id", "text"), items)
+
+
+RANKED_SEARCH_SQL = r"""
+WITH terms AS (
+    SELECT rowid_ AS row, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS listed
+    FROM (SELECT doc_id, text, row_number() OVER () AS rowid_ FROM documents)
+), docs AS (
+    SELECT row, doc_id, listed, CAST(len(listed) AS BIGINT) AS n FROM terms WHERE len(listed) > 0
+), corpus AS (
+    SELECT count(*) AS docs_n, CAST(sum(n) AS BIGINT) AS docs_l FROM docs
+), counts AS (
+    SELECT row, doc_id, n, term, count(*) AS tf
+    FROM (SELECT row, doc_id, n, unnest(listed) AS term FROM docs) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM counts, corpus GROUP BY term, docs_n
+), items AS (
+    SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+    FROM (SELECT item_id, text, row_number() OVER () AS item FROM benchmark)
+), scored AS (
+    SELECT item, item_id, row, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs_n) // docs_l)))) AS BIGINT) AS score
+    FROM items JOIN counts USING (term) JOIN weights USING (term), corpus
+    GROUP BY item, item_id, row, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_token_counts,
         op10_language_id,
+        op13_ranked_search,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_ranked_search": RANKED_SEARCH_SQL}
