@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, language_id, lexical, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts
+from tidemark.llm import ann, bpe, language_id, lexical, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts, vector_dedup
 from tidemark.llm.common import documents, is_remainder
 
 
@@ -99,6 +99,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_dedup.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return lexical.search(documents(spark, sf_dir, "doc_id", "text"), items)
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_token_counts,
         op10_language_id,
+        op12_vector_dedup,
         op13_ranked_search,
     )
 }
