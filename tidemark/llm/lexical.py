@@ -67,12 +67,12 @@ FOUND = T.StructType(
 )
 
 
-def pieces(text: bytes | None) -> Iterator[list[bytes]]:
-    """The terms of a text, in lists of those of about ``PIECE`` bytes."""
+def pieces(text: bytes | None, size: int = PIECE) -> Iterator[list[bytes]]:
+    """The terms of a text, in lists of those of about ``size`` bytes."""
     folded = (text or b"").translate(_FOLD)
     at = 0
     while at < len(folded):
-        end = folded.find(b" ", at + PIECE)
+        end = folded.find(b" ", at + size)
         end = len(folded) if end < 0 else end
         yield folded[at:end].split()
         at = end
@@ -119,16 +119,16 @@ class Treap:
         at = 4 * cells + quadrant
         return np.where((cells >= 0) & self.bits[at], self.rank[at], -1)
 
-    def best(self, rows: np.ndarray, weights: np.ndarray, least: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def best(self, rows: np.ndarray, weights: np.ndarray, least: int, k: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
         """Columns and scores that are above 0 and not below ``least`` nor the k-th best here; more than k only on ties."""
         bound = np.array([int((weights * self.maxima[0]).sum())])
         depth, prefix, cells = np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros((1, len(rows)), np.int32)
         found_at, found = np.empty(0, np.int32), np.empty(0, np.int64)
         least = max(least, 1)
         while len(bound):
-            if len(bound) > WIDTH:
-                first = np.argpartition(-bound, WIDTH)
-                now, later = first[:WIDTH], first[WIDTH:]
+            if len(bound) > width:
+                first = np.argpartition(-bound, width)
+                now, later = first[:width], first[width:]
             else:
                 now, later = np.arange(len(bound)), np.empty(0, np.int64)
             row_bit = (rows[None, :] >> (self.height - 1 - depth[now])[:, None] & 1) << 1
@@ -155,7 +155,7 @@ def item_terms(items: DataFrame, key: str = "item_id", column: str = "text") ->
     schema = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("terms", T.ArrayType(T.BinaryType()))])
 
     def each(batch: pa.RecordBatch) -> dict:
-        terms = [sorted(set().union(*pieces(t))) for t in utf8(batch.column("text"))]
+        terms = [sorted(set().union(*pieces(t, PIECE))) for t in utf8(batch.column("text"))]
         return {"item_id": batch.column("item_id"), "terms": terms}
 
     rows = items.select(F.col(key).cast("long").alias("item_id"), F.col(column).alias("text"))
@@ -179,7 +179,7 @@ def postings(docs: DataFrame, numbers: dict[bytes, int], key: str = "doc_id", co
         lengths, terms, counts = [], [], []
         for text in utf8(batch.column("text")):
             n, here = 0, Counter()
-            for listed in pieces(text):
+            for listed in pieces(text, PIECE):
                 n += len(listed)
                 here.update(map(known.value.get, listed))
             here.pop(None, None)
@@ -192,18 +192,18 @@ def postings(docs: DataFrame, numbers: dict[bytes, int], key: str = "doc_id", co
     return written(arrow_map(rows, each, schema).where("n > 0"), "postings")
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of a task, in tables of ``RANGE_DOCS`` rows or ``RANGE_CELLS`` cells and one row more."""
+def _ranges(batches: Iterator[pa.RecordBatch], most_docs: int, most_cells: int) -> Iterator[pa.Table]:
+    """The rows of a task, in tables of so many rows, or so many cells and one row more."""
     held, docs, cells = [], 0, 0
     for batch in batches:
         sizes = np.diff(batch.column("terms").offsets.to_numpy())
         at = 0
         while at < batch.num_rows:
-            room = int(np.searchsorted(np.cumsum(sizes[at:]), RANGE_CELLS - cells)) + 1
-            take = min(RANGE_DOCS - docs, room, batch.num_rows - at)
+            room = int(np.searchsorted(np.cumsum(sizes[at:]), most_cells - cells)) + 1
+            take = min(most_docs - docs, room, batch.num_rows - at)
             held.append(batch.slice(at, take))
             docs, cells, at = docs + take, cells + int(sizes[at : at + take].sum()), at + take
-            if docs >= RANGE_DOCS or cells >= RANGE_CELLS:
+            if docs >= most_docs or cells >= most_cells:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, docs, cells = [], 0, 0
     if held:
@@ -220,7 +220,7 @@ def _best_of(table: DataFrame, asked: list[tuple], weights: np.ndarray, document
 
         asked, weights = given.value
         best: list[list[tuple]] = [[] for _ in asked]  # (-score, key is null, key)
-        for part in _ranges(batches):
+        for part in _ranges(batches, RANGE_DOCS, RANGE_CELLS):
             part = part.take(np.argsort(part.column("n").to_numpy(), kind="stable"))
             terms, keys = part.column("terms").combine_chunks(), part.column("doc_id").to_pylist()
             columns = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(terms.offsets.to_numpy()))
@@ -233,7 +233,7 @@ def _best_of(table: DataFrame, asked: list[tuple], weights: np.ndarray, document
             for i, (_, _, wanted) in enumerate(asked):
                 wanted = wanted[held[wanted]]
                 if len(wanted):
-                    at, scores = treap.best(wanted, weights[wanted], -best[i][-1][0] if len(best[i]) == k else 0, k)
+                    at, scores = treap.best(wanted, weights[wanted], -best[i][-1][0] if len(best[i]) == k else 0, k, WIDTH)
                     new = [(-s, keys[c] is None, keys[c] or 0) for c, s in zip(at.tolist(), scores.tolist())]
                     best[i] = sorted(best[i] + new)[:k]
         out = [(n, key, None if none else doc, -s) for (n, key, _), top in zip(asked, best) for s, none, doc in top]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, language_id, lexical, licenses, line_dedup, lm_score, mixing, quality, simhash, token_counts, vector_dedup
+from tidemark.llm import ann, bpe, language_id, lexical, licenses, line_dedup, lm_score, mixing, prefix_trie, quality, simhash, token_counts, vector_dedup
 from tidemark.llm.common import documents, is_remainder
 
 
@@ -99,6 +99,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns))
+
+
 def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vector_dedup.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
     kept = F.col("id").eqNullSafe(F.col("component_id"))
@@ -154,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_token_counts,
         op10_language_id,
+        op11_prefix_trie,
         op12_vector_dedup,
         op13_ranked_search,
     )
