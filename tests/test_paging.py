@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import staging
-from tidemark.operators import merge_child_pages, merge_pages, page_runs, paging, require_whole, source_filter
+from tidemark.operators import merge_child_pages, merge_pages, page_states, paging, require_whole, source_filter, with_stop
 
 PAGES = "parent_id string, parent_ord bigint, offset bigint, items array<struct<id:string,album_id:string>>"
 
@@ -73,7 +73,7 @@ def test_small_outcome_is_broadcast(spark):
 
 def test_sizes_read_one_leaf_of_the_items(spark, base):
     make(spark, CASES, 2).write.parquet(f"{base}/pages")
-    plan = page_runs(spark.read.parquet(f"{base}/pages"), 2)._jdf.queryExecution().executedPlan().toString()
+    plan = page_states(spark.read.parquet(f"{base}/pages"), 2, True)._jdf.queryExecution().executedPlan().toString()
     assert "items:array<struct<id:string>>" in plan and "album_id" not in plan
 
 
@@ -101,8 +101,22 @@ def test_parents_are_joined_without_another_shuffle(spark, base):
     finally:
         spark.conf.set(key, before)
         paging.staged = staged
-    # Two for the page sizes (per run, per parent), one for the parents.
-    assert plans[0].count("Exchange ") == 3 and "items:array<struct<id:string>>" in plans[0]
+    # One for the page sizes, whose states are staged; from those on only small tables move.
+    assert plans[0].count("Exchange ") == 1 and "items:array<struct<id:string>>" in plans[0]
+    assert f"{base}/pages" not in plans[1]
+
+
+def test_a_hot_parent_sends_a_row_for_each_run_and_task(spark, base, monkeypatch):
+    """Page states are merged map-side."""
+    sizes = {"hot": [3] * 400 + [1], "p": [3, 2]}
+    make(spark, sizes, 3).repartition(4).write.parquet(f"{base}/pages")
+    states = page_states(spark.read.parquet(f"{base}/pages"), 3, True)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "partial_collect_set" in plan and "Window" not in plan
+    assert {r.parent_id: (r.n, r.short_offset) for r in states.collect()} == {"hot": (401, 1200), "p": (2, 3)}
+    stopped = with_stop(states)
+    assert {r.parent_id: r.stop_offset for r in stopped.collect()} == {"hot": 1200, "p": 3}
+    assert "Window" not in stopped._jdf.queryExecution().executedPlan().toString()
 
 
 def test_missing_pages_are_found(spark, monkeypatch):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators import merge_pages
 from tidemark.sources import (
     EmptyFileError,
     NoSnapshotError,
@@ -13,9 +14,12 @@ from tidemark.sources import (
     latest_snapshot,
     list_files,
     list_snapshots,
+    manifest,
     newest,
     read_latest_file,
     read_pages,
+    read_parquet_file,
+    read_raw,
     read_snapshot,
     snapshot_id,
     snapshot_path,
@@ -77,7 +81,7 @@ def test_paths_are_no_patterns(spark, tmp_path, base):
 def test_a_named_snapshot_must_be_complete(spark, tmp_path, base):
     table = table_path(base, "silver", "things")
     write_parquet(spark.range(3), base, "things", "20240101_000000")
-    (tmp_path / "silver/things/snapshot_ts=20240101_000000/_SUCCESS").unlink()
+    (tmp_path / "silver/things/snapshot_ts=20240101_000000/_MANIFEST").unlink()
     for stamp in (None, "20240101_000000"):
         with pytest.raises(NoSnapshotError):
             read_snapshot(spark, table, "parquet", snapshot_ts=stamp)
@@ -223,7 +227,7 @@ def test_raw_round_trip(spark, tmp_path, base):
     table = table_path(base, "bronze", "things")
     got = read_snapshot(spark, table, "json", RECORD)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
-    parts = (tmp_path / "bronze/things/snapshot_ts=20240101_000000").glob("*.json")
+    parts = (tmp_path / "bronze/things/snapshot_ts=20240101_000000").glob("attempt-*/*.json")
     lines = [line for p in parts for line in p.read_text(encoding="utf-8").splitlines()]
     assert len(lines) == 3 and any("ação" in line for line in lines)
 
@@ -237,9 +241,44 @@ def test_empty_snapshot_keeps_its_columns(spark, base):
 
 def test_corrupt_snapshot_raises(spark, tmp_path, base):
     write_raw(spark.createDataFrame([("a", 1)], RECORD), base, "things", "1")
-    put(tmp_path, "bronze/things/snapshot_ts=1/part-x.json", "{oops\n", 10)
+    table = table_path(base, "bronze", "things")
+    for name, _ in manifest(spark, table)["files"]:
+        put(tmp_path, f"bronze/things/snapshot_ts=1/{name}", "{oops\n", 10)
+        (tmp_path / f"bronze/things/snapshot_ts=1/{name}").with_name(f".{os.path.basename(name)}.crc").unlink()
     with pytest.raises(Exception, match="MALFORMED"):
-        read_snapshot(spark, table_path(base, "bronze", "things"), "json", RECORD).collect()
+        read_snapshot(spark, table, "json", RECORD).collect()
+
+
+def test_files_of_other_attempts_are_never_read(spark, tmp_path, base):
+    table = table_path(base, "silver", "things")
+    folder = tmp_path / "silver/things/snapshot_ts=20240101_000000"
+    spark.range(5).write.parquet(f"file://{folder}/attempt-died")
+    with pytest.raises(NoSnapshotError):
+        read_snapshot(spark, table, "parquet")
+    assert write_parquet(spark.range(3), base, "things", "20240101_000000") == 3
+    spark.range(7).write.parquet(f"file://{folder}/attempt-late")
+    (folder / "part-0.parquet").write_text("stray")
+    assert read_snapshot(spark, table, "parquet").count() == 3
+    told = manifest(spark, table)
+    assert told["rows"] == 3 and told["bytes"] == sum(size for _, size in told["files"])
+    assert told["bytes"] == sum((folder / name).stat().st_size for name, _ in told["files"])
+    assert [p.name for p in folder.iterdir() if "MANIFEST" in p.name and not p.name.endswith(".crc")] == ["_MANIFEST"]
+
+
+def test_one_of_two_attempts_is_published(spark, base):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(n):
+        try:
+            return write_parquet(spark.range(n), base, "things", "20240101_000000")
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        ended = list(pool.map(write, (4, 6)))
+    done = [n for n in ended if n is not None]
+    table = table_path(base, "silver", "things")
+    assert len(done) == 1 and read_snapshot(spark, table, "parquet").count() == done[0] == manifest(spark, table)["rows"]
 
 
 def test_parquet_snapshots(spark, tmp_path, base):
@@ -287,3 +326,75 @@ def test_read_pages(spark, tmp_path, base):
     body = {"parent_id": "p", "parent_ord": 0, "offset": 0, "limit": 2, "total": 1, "items": [{"id": "a", "n": 1}]}
     put(tmp_path, "pages/x.json", json.dumps(body) + "\n", 10)
     assert read_pages(spark, f"{base}/pages", RECORD).first()["items"] == [("a", 1)]
+
+
+def test_pages_keep_every_field(spark, tmp_path, base):
+    item = {"id": "a", "n": 1, "new": {"x": [1, {"ç": None}]}, "big": 12345678901234567890, "none": None, "1.0": "é"}
+    body = {"parent_id": "p", "parent_ord": 0, "offset": 0, "items": [item, {"id": "b"}]}
+    put(tmp_path, "pages/x.json", json.dumps(body) + "\n", 10)
+    pages = read_pages(spark, f"{base}/pages")
+    rows = merge_pages(pages, 50, "parent", whole=True, records=True)
+    assert write_raw(rows, base, "things", "1") == 2
+    table = table_path(base, "bronze", "things")
+    typed = read_raw(spark, table, RECORD, "parent").orderBy("pos").collect()
+    assert [(r.parent_ord, r.pos, r.id, r.n, r.parent) for r in typed] == [([0], 0, "a", 1, "p"), ([0], 1, "b", None, "p")]
+    whole = read_raw(spark, table, key="parent").orderBy("pos")
+    assert whole.columns == [*schemas.ORDINAL_COLUMNS, "parent", "record"]
+    assert [json.loads(str(r.record.toJson())) for r in whole.collect()] == [item, {"id": "b"}]
+    spark.createDataFrame([("p", 0, 0, [("a", 1, True)])], "parent_id string, parent_ord bigint, offset bigint, items array<struct<id:string,n:bigint,more:boolean>>").write.parquet(f"{base}/typed")
+    rows = merge_pages(read_pages(spark, f"{base}/typed", fmt="parquet"), 50, records=True)
+    write_raw(rows, base, "others", "1")
+    assert read_raw(spark, table_path(base, "bronze", "others")).selectExpr("variant_get(record, '$.more', 'boolean')").first()[0] is True
+
+
+NANOS = ["2020-01-01 00:00:00.123456789", "1969-12-31 23:59:59.999999999", "1677-09-21 00:12:43.145224193", "2262-04-11 23:47:16.854775807", None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_nanoseconds_are_floored(spark, tmp_path, base, zone):
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    frame = pd.DataFrame({"n": range(5), "local": pd.to_datetime(NANOS), "at": pd.to_datetime(NANOS, utc=True)})
+    nested = pa.array([{"when": [None if pd.isna(t) else t, None], "k": 1} for t in frame["local"]], pa.struct([("when", pa.list_(pa.timestamp("ns"))), ("k", pa.int64())]))
+    whole = pa.Table.from_pandas(frame).append_column("nested", nested).append_column("a.b", pa.array([1] * 5))
+    os.makedirs(tmp_path / "x")
+    pq.write_table(whole, tmp_path / "x" / "new.parquet", version="2.6")
+    before = spark.conf.get("spark.sql.session.timeZone"), spark.conf.getAll
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = read_latest_file(spark, f"{base}/x", "parquet")
+        assert dict(got.dtypes) | {"x": 0} == {
+            "n": "bigint", "local": "timestamp_ntz", "at": "timestamp", "nested": "struct<when:array<timestamp_ntz>,k:bigint>", "a.b": "bigint", "x": 0
+        }
+        micros = "unix_micros(at)", "cast(local AS string)", "cast(nested.when[0] AS string)", "nested.when[1]"
+        rows = got.orderBy("n").selectExpr(*micros).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before[0])
+    assert spark.conf.getAll == before[1]
+    want = [None if t is None else pd.Timestamp(t).value // 1000 for t in NANOS]
+    assert [r[0] for r in rows] == want
+    for column in (1, 2):
+        assert [None if r[column] is None else int(np.datetime64(r[column], "us").astype(int)) for r in rows] == want
+    assert {r[3] for r in rows} == {None}
+
+
+def test_parquet_without_nanoseconds_is_read_as_it_is(spark, base):
+    spark.range(3).selectExpr("id", "timestamp_micros(id) AS t", "id AS `a.b`").write.parquet(f"{base}/plain")
+    got = read_parquet_file(spark, f"{base}/plain")
+    assert dict(got.dtypes) == {"id": "bigint", "t": "timestamp", "a.b": "bigint"} and got.count() == 3
+
+
+def test_listing_keeps_one_entry(spark, tmp_path, base, monkeypatch):
+    from tidemark import files
+
+    for i in range(40):
+        put(tmp_path, f"x/{i % 3}/f{i}.json", "[]", 100 + i % 7)
+    put(tmp_path, "x/_hidden/f.json", "[]", 900)
+    put(tmp_path, "x/.hidden.json", "[]", 900)
+    assert latest_file(spark, f"{base}/x").endswith("/x/0/f27.json")
+    monkeypatch.setattr(files, "walk", lambda *_: iter([]))
+    with pytest.raises(NoSnapshotError):
+        latest_file(spark, f"{base}/x")

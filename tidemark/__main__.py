@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tidemark import files, schemas
+from tidemark import files
 from tidemark.plans import bronze_bytes, land, run
 from tidemark.plans.jobs import ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
 from tidemark.session import SHUFFLE_PARTITIONS, build_session, settings_for
@@ -43,8 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "land":
         _fit(spark, sum(files.total_size(spark, p) for p in (args.album_pages, args.track_pages)))
         rows = land(
-            read_pages(spark, args.album_pages, schemas.ALBUM, args.pages_format),
-            read_pages(spark, args.track_pages, schemas.TRACK, args.pages_format),
+            read_pages(spark, args.album_pages, fmt=args.pages_format),
+            read_pages(spark, args.track_pages, fmt=args.pages_format),
             args.base,
             stamp,
             args.album_limit,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
@@ -52,6 +54,61 @@ def ends(spark: SparkSession, file: str, n: int) -> tuple[bytes, bytes]:
         stream.close()
 
 
+def part(spark: SparkSession, file: str, offset: int, n: int) -> bytes:
+    """Up to ``n`` bytes of a file from ``offset`` on."""
+    fs, path = _path(spark, file)
+    n = max(0, min(n, fs.getFileStatus(path).getLen() - offset))
+    stream = fs.open(path)
+    try:
+        stream.seek(offset)
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+    finally:
+        stream.close()
+
+
+def walk(spark: SparkSession, folder: str) -> Iterator[tuple[str, int, int]]:
+    """Path, modification time (ms) and length of every file below a folder, one at a time.
+
+    As for all Spark sources, what starts with ``_`` or ``.`` is passed over, folders with all below them.
+    """
+    fs, path = _path(spark, folder)
+    root = fs.makeQualified(path).toString().rstrip("/")
+    found = fs.listFiles(path, True)
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().toString()
+        inner = name[len(root) + 1 :].split("/") if name.startswith(f"{root}/") else [name.rsplit("/", 1)[-1]]
+        if not any(part.startswith(("_", ".")) for part in inner):
+            yield name, status.getModificationTime(), status.getLen()
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    fs, path = _path(spark, name)
+    return fs.exists(path)
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    fs, path = _path(spark, file)
+    return part(spark, file, 0, fs.getFileStatus(path).getLen()).decode()
+
+
+def publish(spark: SparkSession, file: str, text: str) -> bool:
+    """Write a file under another name and give it its own in one rename; False if there is one already."""
+    fs, path = _path(spark, file)
+    _, draft = _path(spark, f"{path.getParent().toString()}/_{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        done = not fs.exists(path) and fs.rename(draft, path)
+    finally:
+        if fs.exists(draft):
+            fs.delete(draft, False)
+    return done
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     fs, path = _path(spark, folder)
     fs.delete(path, True)

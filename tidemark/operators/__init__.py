@@ -1,15 +1,18 @@
 from tidemark.operators.dedupe import keep_first
 from tidemark.operators.paging import (
     attach_parent_key,
+    attach_whole,
     merge_child_pages,
     merge_pages,
-    page_runs,
+    page_states,
     require_whole,
     source_filter,
+    with_stop,
 )
 from tidemark.operators.shaping import (
     flatten,
     json_items,
+    record_field,
     rename,
     require_values,
     select_columns,
@@ -19,12 +22,14 @@ from tidemark.operators.shaping import (
 
 __all__ = [
     "attach_parent_key",
+    "attach_whole",
     "flatten",
     "json_items",
     "keep_first",
     "merge_child_pages",
     "merge_pages",
-    "page_runs",
+    "page_states",
+    "record_field",
     "rename",
     "require_values",
     "require_whole",
@@ -32,4 +37,5 @@ __all__ = [
     "source_filter",
     "unwrap_items",
     "unwrap_json",
+    "with_stop",
 ]

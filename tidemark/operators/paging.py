@@ -5,25 +5,28 @@ only if no earlier page of its parent is short. Written as a window over a
 parent's pages, that rule sends every body of a parent to one task. Here the
 page sizes decide first, and the bodies move only if they must:
 
-1. Page sizes are aggregated per parent and run of ``RUN_PAGES`` pages, then
-   the parent's first short page is taken over its runs. Only keys, offsets and
-   sizes are read (column pruning reaches into ``items``), and a parent with a
-   third of all pages is spread over its runs.
-2. The outcome is staged as a table when the frame is built (the one eager
-   job), so Catalyst knows its size: it is broadcast if it is under
+1. One pass over page sizes makes a state for each parent and run of ``RUN_PAGES``
+   pages: first and last offset, first short page, and if wholeness is asked for the pages
+   that are there. States merge, so map tasks send one row for each run, and a parent with a
+   third of all pages is spread over its runs. Only keys, offsets and
+   sizes are read (column pruning reaches into ``items``). The states are staged as a table; a parent's stop, and
+   whether all pages up to it are there, are aggregates of that table.
+2. The outcome is staged as a table when the frame is built, so Catalyst knows its size: it is broadcast if it is under
    ``spark.sql.autoBroadcastJoinThreshold``, and bodies are not shuffled at all;
    otherwise the join is by (parent, run), which splits a hot parent.
+
+So pages are read twice: their sizes once, their bodies once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.shaping import explode_items, quoted
+from tidemark.operators.shaping import explode_items, quoted, record_field
 from tidemark.schemas import ORDINAL_COLUMNS
 from tidemark.staging import staged
 
@@ -40,9 +43,10 @@ def source_filter(
     column: str = "album_group",
     values: Iterable[str] = ALBUM_GROUPS,
     required: bool = False,
+    within: str | None = None,
 ) -> DataFrame:
-    """Keep the records whose ``column`` is one of ``values``; if ``required``, a NULL there raises."""
-    value = F.col(quoted(column))
+    """Keep the records whose ``column`` (or that field of the column ``within``) is one of ``values``; if ``required``, a NULL there raises."""
+    value = F.col(quoted(column)) if within is None else record_field(records, column, within)
     kept = value.isin(*values)
     if required:
         kept = F.when(value.isNull(), F.raise_error(F.lit(f"record without {column}"))).otherwise(kept)
@@ -64,64 +68,62 @@ def _run(limit: int) -> Column:
     return F.expr(f"CAST(offset AS BIGINT) DIV {limit * RUN_PAGES}")
 
 
-def page_runs(pages: DataFrame, limit: int) -> DataFrame:
-    """Per parent and run of pages: first and last offset, and the parent's first short page.
-
-    Offsets advance by ``limit``, so a run is ``RUN_PAGES`` pages, and the window
-    sees a parent's pages divided by that, as rows of one key and four numbers.
+def page_states(pages: DataFrame, limit: int, whole: bool = False) -> DataFrame:
+    """Per parent and run of pages: ``parent_id, run, first_offset, last_offset, short_offset``.
 
-    Columns: ``parent_id, run, first_offset, last_offset, stop_offset``;
-    ``stop_offset`` is NULL if no page of the parent is short.
+    Offsets advance by ``limit``, so a run is ``RUN_PAGES`` pages; ``short_offset`` is that of its
+    first short page. With ``whole`` also ``n``, how many of the run's pages up to its first short one (or its last) are there, copies
+    counted once, and ``between``, whether an offset is no multiple of ``limit``.
     """
-    sizes = pages.select(
-        "parent_id", F.col("offset").cast("bigint").alias("offset"), _page_size(pages, "items").alias("n")
-    )
-    runs = sizes.groupBy("parent_id", _run(limit).alias("run")).agg(
-        F.min("offset").alias("first_offset"),
-        F.max("offset").alias("last_offset"),
-        F.min(F.when(F.col("n") < limit, F.col("offset"))).alias("short_offset"),
-    )
-    stop = F.min("short_offset").over(Window.partitionBy("parent_id"))
-    return runs.withColumn("stop_offset", stop).drop("short_offset")
-
-
-def require_whole(pages: DataFrame, limit: int) -> None:
+    offset = F.col("offset")
+    sizes = pages.select("parent_id", offset.cast("bigint").alias("offset"), _page_size(pages, "items").alias("size"))
+    state = {
+        "first_offset": F.min(offset),
+        "last_offset": F.max(offset),
+        "short_offset": F.min(F.when(F.col("size") < limit, offset)),
+    }
+    if whole:
+        state |= {"held": F.collect_set(offset), "between": F.max(offset % limit != 0)}
+    runs = sizes.groupBy("parent_id", _run(limit).alias("run")).agg(*[v.alias(k) for k, v in state.items()])
+    if not whole:
+        return runs
+    upto = F.coalesce("short_offset", "last_offset")
+    return runs.withColumn("n", F.size(F.filter("held", lambda page: page <= upto)).cast("bigint")).drop("held")
+
+
+def with_stop(states: DataFrame) -> DataFrame:
+    """``states`` with ``stop_offset``, that of the parent's first short page; NULL if none of its pages is short."""
+    stops = states.groupBy("parent_id").agg(F.min("short_offset").alias("stop_offset"))
+    stops = stops.where("stop_offset IS NOT NULL").withColumnRenamed("parent_id", "stopped_id")
+    return states.join(stops, F.col("parent_id").eqNullSafe(F.col("stopped_id")), "left").drop("stopped_id")
+
+
+def check_whole(stopped: DataFrame, limit: int) -> None:
     """Raise if a parent lacks a page before its first short page (or its last), or has offsets between pages.
 
-    For offsets that advance by ``limit`` from 0. Copies of a page count once, and
-    pages past the stop may be missing. One job over page sizes, as in
-    ``page_runs``; a group holds the numbers of one run's pages, ``RUN_PAGES``
-    at most.
+    ``stopped`` is ``with_stop`` of states that count pages. Pages past the stop may be missing.
     """
-    pages = _of_one_source(pages)
-    offset = F.col("offset").cast("bigint")
-    numbered = pages.select(
-        "parent_id",
-        F.expr(f"CAST(offset AS BIGINT) DIV {limit}").alias("page"),
-        (offset % limit != 0).alias("between"),
-        (_page_size(pages, "items") < limit).alias("short"),
-    )
-    runs = numbered.groupBy("parent_id", F.expr(f"page DIV {RUN_PAGES}").alias("run")).agg(
-        F.collect_set("page").alias("held"),
-        F.max("page").alias("last"),
-        F.min(F.when(F.col("short"), F.col("page"))).alias("stop"),
-        F.max("between").alias("between"),
-    )
-    # A run with a short page is needed up to that page.
-    runs = runs.withColumn("upto", F.coalesce("stop", "last"))
-    held = F.size(F.filter("held", lambda page: page <= F.col("upto")))
-    first_stop = F.min("stop").over(Window.partitionBy("parent_id"))
-    needed = runs.select(
-        "parent_id", "run", "upto", "between", held.alias("n"), first_stop.alias("first_stop")
-    ).where(F.col("first_stop").isNull() | (F.col("run") * RUN_PAGES <= F.col("first_stop")))
-    summed = needed.groupBy("parent_id").agg(
-        F.max("upto").alias("upto"), F.sum("n").alias("n"), F.max("between").alias("between")
-    )
-    lacking = summed.where((F.col("n") <= F.col("upto")) | F.col("between")).select("parent_id").first()
+    upto = F.coalesce("short_offset", "last_offset")
+    needed = stopped.where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset")))
+    summed = needed.groupBy("parent_id").agg(F.max(upto).alias("upto"), F.sum("n").alias("n"), F.max("between").alias("between"))
+    lacking = summed.where((F.col("n") * limit <= F.col("upto")) | F.col("between")).select("parent_id").first()
     if lacking is not None:
         raise ValueError(f"a page of parent {lacking['parent_id']} is missing, or not at a multiple of {limit}")
 
 
+def _stopped(pages: DataFrame, limit: int, whole: bool) -> DataFrame:
+    """The one pass over page sizes, staged, and its stops; raises if ``whole`` and a page is missing."""
+    stopped = with_stop(staged(page_states(pages, limit, whole)))
+    if whole:
+        check_whole(stopped, limit)
+    return stopped
+
+
+def require_whole(pages: DataFrame, limit: int) -> None:
+    """Raise if a page is missing before its parent's stop; ``merge_pages(..., whole=True)`` does so in its own pass."""
+    _stopped(_of_one_source(pages), limit, True)
+
+
 def attach_parent_key(pages: DataFrame, attach_as: str | None = None) -> DataFrame:
     """One row per item with its arrival order, and the parent's key as ``attach_as``.
 
@@ -135,23 +137,32 @@ def attach_parent_key(pages: DataFrame, attach_as: str | None = None) -> DataFra
     )
 
 
+def attach_whole(pages: DataFrame, attach_as: str | None = None) -> DataFrame:
+    """``attach_parent_key`` with items as they are, in one column ``record``: a struct or a VARIANT with all fields."""
+    key = [F.col("parent_id").alias(attach_as)] if attach_as else []
+    return explode_items(pages, F.col("parent_id")).select(*ORDINAL_COLUMNS, *key, F.col("item").alias("record"))
+
+
 def _of_one_source(pages: DataFrame) -> DataFrame:
     """Pages that name no parent are those of one source."""
     defaults = {"parent_id": F.lit(None).cast("string"), "parent_ord": F.lit(0).cast("bigint")}
     return pages.withColumns({c: v for c, v in defaults.items() if c not in pages.columns})
 
 
-def merge_pages(pages: DataFrame, limit: int, attach_as: str | None = None) -> DataFrame:
+def merge_pages(
+    pages: DataFrame, limit: int, attach_as: str | None = None, whole: bool = False, records: bool = False
+) -> DataFrame:
     """The items of every parent's pages, up to its first empty or short page.
 
     ``pages`` has ``offset`` and ``items``, and unless it is of one source
     ``parent_id`` and ``parent_ord``, the parent's place among the sources.
+    ``whole`` raises if a page before that is missing; ``records`` gives items as ``attach_whole`` does.
     """
     pages = _of_one_source(pages)
     # Only runs with pages past the stop are listed: none, for a source that
     # was read to its end and no further.
     cut = staged(
-        page_runs(pages, limit)
+        _stopped(pages, limit, whole)
         .where(F.col("last_offset") > F.col("stop_offset"))
         .select(F.col("parent_id").alias("cut_id"), F.col("run").alias("cut_run"), "stop_offset")
     )
@@ -161,11 +172,16 @@ def merge_pages(pages: DataFrame, limit: int, attach_as: str | None = None) -> D
         .where(F.col("stop_offset").isNull() | (F.col("offset") <= F.col("stop_offset")))
         .withColumn("parent_ord", F.array(F.col("parent_ord").cast("bigint")))
     )
-    return attach_parent_key(kept, attach_as)
+    return (attach_whole if records else attach_parent_key)(kept, attach_as)
 
 
 def merge_child_pages(
-    parents: DataFrame, pages: DataFrame, limit: int, attach_as: str | None = None
+    parents: DataFrame,
+    pages: DataFrame,
+    limit: int,
+    attach_as: str | None = None,
+    whole: bool = False,
+    records: bool = False,
 ) -> DataFrame:
     """``merge_pages`` for every parent record: each parent expanded into its children.
 
@@ -178,7 +194,7 @@ def merge_child_pages(
         F.concat("parent_ord", F.array("page_offset", "pos")).alias("parent_ord"),
     )
     wanted = staged(
-        page_runs(pages, limit)
+        _stopped(pages, limit, whole)
         .where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset")))
         .join(listed, "parent_id")
         .select("parent_id", "run", "stop_offset", "parent_ord")
@@ -188,4 +204,4 @@ def merge_child_pages(
         .join(wanted, ["parent_id", "run"])
         .where(F.col("stop_offset").isNull() | (F.col("offset") <= F.col("stop_offset")))
     )
-    return attach_parent_key(kept, attach_as)
+    return (attach_whole if records else attach_parent_key)(kept, attach_as)

@@ -19,6 +19,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def record_field(df: DataFrame, name: str, record: str = "record", kind: str = "string") -> Column:
+    """A field of the column ``record``, a struct or a VARIANT; NULL where a VARIANT lacks it."""
+    if isinstance(df.schema[record].dataType, T.VariantType):
+        escaped = name.replace("\\", "\\\\").replace('"', '\\"')
+        return F.variant_get(F.col(quoted(record)), f'$["{escaped}"]', kind)
+    return F.col(quoted(record)).getField(name).cast(kind)
+
+
 def _marked(text: Column) -> Column:
     """An array of a JSON document and an end mark.
 

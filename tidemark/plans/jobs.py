@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,29 +15,32 @@ from tidemark.operators import (
     merge_child_pages,
     merge_pages,
     rename,
+    record_field,
     require_values,
-    require_whole,
     select_columns,
     source_filter,
     unwrap_items,
 )
 from tidemark.operators.paging import ALBUM_GROUPS, ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
 from tidemark.sources import (
-    latest_file,
     has_runs,
-    latest_snapshot,
+    latest_file,
+    manifest,
     read_json_file,
-    read_snapshot,
-    snapshot_path,
+    read_raw,
     table_path,
     write_parquet,
     write_raw,
 )
+from tidemark.plans.datasets import side_by_side
 from tidemark.sources.snapshots import BRONZE
-from tidemark.staging import job_folder
+from tidemark.staging import job_folder, staged
 
 ALBUMS, TRACKS = "albums", "tracks"
 
+#: Records of a dataset, and the parent's key beside them.
+RECORDS = {ALBUMS: (schemas.ALBUM, None), TRACKS: (schemas.TRACK, "album_id")}
+
 # Source field -> column of the cleaned table, and the columns
 # of the cleaned tables in order.
 ALBUM_NAMES = {
@@ -113,32 +117,29 @@ def land(
     album_groups: Iterable[str] | None = ALBUM_GROUPS,
     whole: bool = True,
 ) -> dict[str, int]:
-    """Merge the pages of both datasets and land them raw; returns rows per dataset.
+    """Merge the pages of both datasets and land them raw, every field of a record; returns rows per dataset.
 
     Only albums of ``album_groups`` are landed, and one without a group raises;
-    None lands them all, for pages that were asked for by group. ``whole`` first
-    makes sure that no page of any parent is missing; without it, offsets need
+    None lands them all, for pages that were asked for by group. ``whole`` makes
+    sure that no page of any parent is missing before its stop; without it, offsets need
     not advance by the limit.
 
-    Tracks are read out for the landed albums, each with its album's key and in
-    its album's arrival order.
+    Tracks are read out for those albums, each with its album's key and in
+    its album's arrival order. Both datasets are written side by side: one that
+    fails leaves the other complete, and raises in the end.
     """
     spark = album_pages.sparkSession
-    if whole:
-        require_whole(album_pages, album_limit)
-        require_whole(track_pages, track_limit)
     with job_folder(spark):
-        albums = merge_pages(album_pages, album_limit)
+        albums = merge_pages(album_pages, album_limit, whole=whole, records=True)
         if album_groups is not None:
-            albums = source_filter(albums, "album_group", album_groups, required=True)
-        n_albums = write_raw(albums, base, ALBUMS, snapshot_ts)
-    landed = read_snapshot(
-        spark, table_path(base, BRONZE, ALBUMS), "json", schemas.raw(schemas.ALBUM), snapshot_ts
-    )
-    with job_folder(spark):
-        tracks = merge_child_pages(landed, track_pages, track_limit, attach_as="album_id")
-        n_tracks = write_raw(tracks, base, TRACKS, snapshot_ts)
-    return {ALBUMS: n_albums, TRACKS: n_tracks}
+            albums = source_filter(albums, "album_group", album_groups, required=True, within="record")
+        parents = staged(albums.select(*schemas.ORDINAL_COLUMNS, record_field(albums, "id").alias("id")))
+
+        def tracks() -> int:
+            merged = merge_child_pages(parents, track_pages, track_limit, "album_id", whole, records=True)
+            return write_raw(merged, base, TRACKS, snapshot_ts)
+
+        return side_by_side(spark, {ALBUMS: lambda: write_raw(albums, base, ALBUMS, snapshot_ts), TRACKS: tracks})
 
 
 def read_bronze(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -147,10 +148,10 @@ def read_bronze(spark: SparkSession, base: str, name: str) -> DataFrame:
     The newest complete snapshot. Only where no run of ours ever wrote, the newest
     whole-document JSON file under the dataset's folder.
     """
-    record = {ALBUMS: schemas.ALBUM, TRACKS: schemas.TRACK}[name]
+    record, key = RECORDS[name]
     table = table_path(base, BRONZE, name)
     if has_runs(spark, table):
-        return read_snapshot(spark, table, "json", schemas.raw(record))
+        return read_raw(spark, table, record, key)
     return read_json_file(spark, latest_file(spark, table), record)
 
 
@@ -159,9 +160,10 @@ def bronze_bytes(spark: SparkSession, base: str) -> int:
     total = 0
     for name in (ALBUMS, TRACKS):
         table = table_path(base, BRONZE, name)
-        own = has_runs(spark, table)
-        path = snapshot_path(table, latest_snapshot(spark, table)) if own else latest_file(spark, table)
-        total += files.total_size(spark, files.literal(path))
+        if has_runs(spark, table):
+            total += manifest(spark, table)["bytes"]
+        else:
+            total += files.status(spark, latest_file(spark, table))[1]
     return total
 
 
@@ -173,17 +175,18 @@ def _selected(names: Mapping[str, str], columns: Iterable[str]) -> list[str]:
 def run(
     spark: SparkSession, base: str, snapshot_ts: str, strict: bool = False, extra_formats: Sequence[str] = ()
 ) -> dict[str, int]:
-    """Clean the latest raw snapshot of both datasets; returns rows per cleaned table.
+    """Clean the latest raw snapshot of both datasets, side by side; returns rows per cleaned table.
 
-    ``strict`` first makes sure every field that ends up in a cleaned table has
+    One that fails leaves the other complete, and raises in the end. ``strict`` first makes sure every field that ends up in a cleaned table has
     a value in at least one record. ``extra_formats`` are further date formats.
     """
-    raw = {name: read_bronze(spark, base, name) for name in (ALBUMS, TRACKS)}
-    if strict:
-        for name, fields in (
-            (ALBUMS, _selected(ALBUM_NAMES, ALBUM_COLUMNS)),
-            (TRACKS, _selected(TRACK_NAMES, TRACK_COLUMNS)),
-        ):
-            require_values(flatten(raw[name]), fields)
-    cleaned = {ALBUMS: silver_albums(raw[ALBUMS], extra_formats), TRACKS: silver_tracks(raw[TRACKS])}
-    return {name: write_parquet(df, base, name, snapshot_ts) for name, df in cleaned.items()}
+    wanted = {ALBUMS: _selected(ALBUM_NAMES, ALBUM_COLUMNS), TRACKS: _selected(TRACK_NAMES, TRACK_COLUMNS)}
+    cleaned = {ALBUMS: lambda raw: silver_albums(raw, extra_formats), TRACKS: silver_tracks}
+
+    def clean(name: str) -> int:
+        raw = read_bronze(spark, base, name)
+        if strict:
+            require_values(flatten(raw), wanted[name])
+        return write_parquet(cleaned[name](raw), base, name, snapshot_ts)
+
+    return side_by_side(spark, {name: partial(clean, name) for name in (ALBUMS, TRACKS)})

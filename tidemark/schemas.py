@@ -59,8 +59,8 @@ ORDINAL = T.StructType(
 ORDINAL_COLUMNS = tuple(ORDINAL.names)
 
 
-def page(record: T.StructType) -> T.StructType:
-    """One response body: a page of ``record``s of one parent."""
+def page(record: T.StructType | None = None) -> T.StructType:
+    """One response body: a page of ``record``s of one parent, or of VARIANT values with all their fields."""
     return T.StructType(
         [
             T.StructField("parent_id", T.StringType()),
@@ -68,11 +68,17 @@ def page(record: T.StructType) -> T.StructType:
             T.StructField("offset", T.LongType()),
             T.StructField("limit", T.LongType()),
             T.StructField("total", T.LongType()),
-            T.StructField("items", T.ArrayType(record)),
+            T.StructField("items", T.ArrayType(record or T.VariantType())),
         ]
     )
 
 
 def raw(record: T.StructType) -> T.StructType:
-    """One raw (bronze) row: a record and its arrival order."""
+    """One raw row as it is cleaned: a record and its arrival order."""
     return T.StructType(ORDINAL.fields + record.fields)
+
+
+def landed(record: T.StructType | None = None, key: str | None = None) -> T.StructType:
+    """One raw (bronze) row as it is stored: arrival order, the parent's key as ``key``, and the whole record."""
+    keys = [T.StructField(key, T.StringType())] if key else []
+    return T.StructType([*ORDINAL.fields, *keys, T.StructField("record", record or T.VariantType())])

@@ -13,6 +13,8 @@ from tidemark.sources.snapshots import (
     has_runs,
     latest_snapshot,
     list_snapshots,
+    manifest,
+    read_raw,
     read_snapshot,
     snapshot_id,
     snapshot_path,
@@ -29,11 +31,13 @@ __all__ = [
     "latest_snapshot",
     "list_files",
     "list_snapshots",
+    "manifest",
     "newest",
     "read_json_file",
     "read_latest_file",
     "read_pages",
     "read_parquet_file",
+    "read_raw",
     "read_snapshot",
     "snapshot_id",
     "snapshot_path",

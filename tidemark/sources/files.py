@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import files, schemas
+from tidemark.sources import compact, foreign
 from tidemark.operators.shaping import JSON_SPACE, json_record, unwrap_json
 
 FORMATS = ("json", "parquet")
@@ -36,8 +37,9 @@ def check_format(fmt: str) -> str:
 def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame:
     """``path, modificationTime, length`` of the ``.fmt`` files anywhere below ``folder``.
 
-    Only the listing is read, no content. Empty files are listed; as for all
-    Spark sources, names starting with ``_`` or ``.`` are not.
+    Only the listing is read, no content. Empty files, which the scan passes over, are found by a
+    streamed listing that keeps nothing else. As for all
+    Spark sources, names starting with ``_`` or ``.`` are not listed.
     """
     check_format(fmt)
     try:
@@ -52,13 +54,11 @@ def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame
             raise NoSnapshotError(f"no {fmt} snapshot in {folder}") from e
         raise
     found = listing.select("path", "modificationTime", "length")
-    # The scan passes over empty files, the index behind it does not.
-    urls = (re.sub("^([a-z0-9]+):///", r"\1:/", f) for f in listing.inputFiles())
-    named = [(unquote(url),) for url in urls if url.endswith(f".{fmt}")]
-    if not named:
-        return found
-    unread = spark.createDataFrame(named, "path string").join(found, "path", "left_anti").collect()
-    empty = [(row.path, *files.status(spark, row.path)) for row in unread]
+    empty = [
+        (path, datetime.fromtimestamp(at / 1000, timezone.utc), 0)
+        for path, at, length in files.walk(spark, folder)
+        if length == 0 and path.endswith(f".{fmt}")
+    ]
     return found.union(spark.createDataFrame(empty, found.schema)) if empty else found
 
 
@@ -68,13 +68,22 @@ def newest(listing: DataFrame) -> DataFrame:
 
 
 def latest_file(spark: SparkSession, folder: str, fmt: str = "json") -> str:
-    """Path of the newest ``.fmt`` file below ``folder``."""
-    row = newest(list_files(spark, folder, fmt)).first()
-    if row is None:
+    """Path of the newest ``.fmt`` file below ``folder``, of a streamed listing that holds one entry.
+
+    The first path wins a tie, as in ``newest``.
+    """
+    check_format(fmt)
+    best: tuple[int, str, int] | None = None
+    if files.exists(spark, folder):
+        for path, at, length in files.walk(spark, folder):
+            later = best is None or at > best[0] or (at == best[0] and path < best[1])
+            if later and path.endswith(f".{fmt}"):
+                best = at, path, length
+    if best is None:
         raise NoSnapshotError(f"no {fmt} snapshot in {folder}")
-    if row.length == 0:
-        raise EmptyFileError(f"the newest {fmt} file is empty: {row.path}")
-    return row.path
+    if best[2] == 0:
+        raise EmptyFileError(f"the newest {fmt} file is empty: {best[1]}")
+    return best[1]
 
 
 def _layout(spark: SparkSession, path: str) -> tuple[str, str, str] | None:
@@ -116,16 +125,26 @@ def _read_indented_array(
     return unwrap_json(pieces, "text", record, keep=["parent_ord", "page_offset"])
 
 
+def _task_bytes(spark: SparkSession) -> int:
+    """What one task reads of a file at most."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """The records of a JSON file others wrote, with their arrival order.
 
     An indented array of records, one line per brace and with line breaks of
-    either kind, is split between records and read in parallel. Any other document is read whole, in one task, and
-    must fit in one string (2 GB).
+    either kind, is split between records and read in parallel. Any other array of records, or
+    object with one under ``items``, is scanned for the ends of records (``compact``) if it is more than one task reads. What is left is
+    read whole, in one task, and must fit in one string (2 GB).
     """
     layout = _layout(spark, path)
     if layout is not None:
         return _read_indented_array(spark, path, record, layout)
+    if files.status(spark, path)[1] > _task_bytes(spark):
+        records = compact.read_compact(spark, path, record, files.part(spark, path, 0, compact.HEAD))
+        if records is not None:
+            return records
     records = unwrap_json(spark.read.text(files.literal(path), wholetext=True), "value", record)
     return records.select(
         F.array().cast("array<bigint>").alias("parent_ord"),
@@ -135,22 +154,26 @@ def read_json_file(spark: SparkSession, path: str, record: T.StructType) -> Data
 
 
 def read_pages(
-    spark: SparkSession, path: str, record: T.StructType, fmt: str = "json"
+    spark: SparkSession, path: str, record: T.StructType | None = None, fmt: str = "json"
 ) -> DataFrame:
     """Response bodies as they were landed: JSON Lines with a page per line, or Parquet.
 
-    Merging reads pages twice, sizes first. From Parquet the first reading is
+    Without ``record`` every field of an item is kept: JSON items are VARIANT values, Parquet ones what the files
+    say. Merging reads pages twice, sizes first. From Parquet the first reading is
     one field; JSON is parsed in full both times.
     """
-    reader = spark.read.schema(schemas.page(record))
     if check_format(fmt) == "json":
-        return reader.option("mode", "FAILFAST").json(path)
-    return reader.parquet(path)
+        return spark.read.schema(schemas.page(record)).option("mode", "FAILFAST").json(path)
+    return spark.read.parquet(path) if record is None else spark.read.schema(schemas.page(record)).parquet(path)
 
 
 def read_parquet_file(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file, without the index column pandas may have left in it."""
-    return spark.read.parquet(files.literal(path)).drop(_PANDAS_INDEX)
+    """A Parquet file, without the index column pandas may have left in it.
+
+    Times in nanoseconds, which Spark has no type for, are read as whole numbers and floored to microseconds: to
+    ``timestamp_ntz``, or to ``timestamp`` where the file says they are instants.
+    """
+    return foreign.read(spark, path).drop(_PANDAS_INDEX)
 
 
 def read_latest_file(

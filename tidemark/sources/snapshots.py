@@ -1,22 +1,28 @@
 """Our own tables: ``<base>/<layer>/<name>/snapshot_ts=<stamp>/``, one folder per run.
 
-A snapshot counts once its folder holds the ``_SUCCESS`` file the job commit
-writes, so a run that died is never read, and a rerun may replace it.
+Every attempt writes to a folder of its own in there. When it is done, a manifest
+of its files, their sizes and the number of rows is published in one rename, the
+first attempt's if there are several. Only files that a manifest names are read, so nothing that a failed or slower
+attempt leaves behind is ever read or counted twice, and a run that died may be repeated.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import files
+from tidemark import files, schemas
 from tidemark.sources.files import NoSnapshotError, check_format
 
 BRONZE, SILVER = "bronze", "silver"
 
+MANIFEST = "_MANIFEST"
+
 _PARTITION = "snapshot_ts="
 _STAMP = "%Y%m%d_%H%M%S"
 
@@ -36,7 +42,7 @@ def snapshot_path(table: str, snapshot_ts: str) -> str:
 
 def list_snapshots(spark: SparkSession, table: str) -> list[str]:
     """Stamps of the complete snapshots, oldest first (one listing, one entry per run)."""
-    done = files.glob(spark, f"{files.literal(table)}/{_PARTITION}*/_SUCCESS")
+    done = files.glob(spark, f"{files.literal(table)}/{_PARTITION}*/{MANIFEST}")
     return sorted(path.split("/")[-2].removeprefix(_PARTITION) for path in done)
 
 
@@ -53,6 +59,15 @@ def latest_snapshot(spark: SparkSession, table: str) -> str:
     return stamps[-1]
 
 
+def manifest(spark: SparkSession, table: str, snapshot_ts: str | None = None) -> dict:
+    """What was published of a snapshot, the latest unless one is named: ``rows``, ``files`` (path in its folder, bytes), ``bytes``."""
+    stamp = latest_snapshot(spark, table) if snapshot_ts is None else snapshot_ts
+    path = f"{snapshot_path(table, stamp)}/{MANIFEST}"
+    if not files.exists(spark, path):
+        raise NoSnapshotError(f"no complete snapshot {stamp} in {table}")
+    return {"snapshot_ts": stamp} | json.loads(files.read_text(spark, path))
+
+
 def read_snapshot(
     spark: SparkSession,
     table: str,
@@ -63,30 +78,49 @@ def read_snapshot(
     """One complete snapshot, the latest unless ``snapshot_ts`` names one. JSON needs a schema."""
     if check_format(fmt) == "json" and schema is None:
         raise ValueError("reading JSON needs a schema")
-    if snapshot_ts is None:
-        snapshot_ts = latest_snapshot(spark, table)
-    elif snapshot_ts not in list_snapshots(spark, table):
-        raise NoSnapshotError(f"no complete snapshot {snapshot_ts} in {table}")
-    path = files.literal(snapshot_path(table, snapshot_ts))
+    found = manifest(spark, table, snapshot_ts)
+    folder = snapshot_path(table, found["snapshot_ts"])
+    paths = [files.literal(f"{folder}/{name}") for name, _ in found["files"]]
+    if not paths:
+        return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "json":
-        return reader.option("mode", "FAILFAST").json(path)
-    return reader.parquet(path)
+        return reader.option("mode", "FAILFAST").json(paths)
+    return reader.parquet(*paths)
+
+
+def read_raw(
+    spark: SparkSession,
+    table: str,
+    record: T.StructType | None = None,
+    key: str | None = None,
+    snapshot_ts: str | None = None,
+) -> DataFrame:
+    """Raw records of a snapshot with their arrival order, and the parent's key as ``key`` if they have one.
+
+    With the schema of a ``record`` its fields are columns; without, ``record`` is a VARIANT of all that was landed.
+    """
+    rows = read_snapshot(spark, table, "json", schemas.landed(record, key), snapshot_ts)
+    if record is None:
+        return rows
+    fields = [F.col("record").getField(f).alias(f) for f in record.names if f != key]
+    return rows.select(*schemas.ORDINAL_COLUMNS, *fields, *([key] if key else []))
 
 
 def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, **options: str) -> int:
-    if snapshot_ts in list_snapshots(df.sparkSession, table):
+    spark, folder = df.sparkSession, snapshot_path(table, snapshot_ts)
+    if files.exists(spark, f"{folder}/{MANIFEST}"):
         raise FileExistsError(f"snapshot {snapshot_ts} of {table} is already complete")
     counted = Observation()
+    attempt = f"attempt-{uuid.uuid4().hex}"
     # The count is taken on the way into the write; no second pass.
-    (
-        df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .format(fmt)
-        .options(**options)
-        .save(snapshot_path(table, snapshot_ts))
-    )
-    return counted.get["rows"]
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).options(**options).save(f"{folder}/{attempt}")
+    written = [(f"{attempt}/{path.rsplit('/', 1)[1]}", size) for path, _, size in files.walk(spark, f"{folder}/{attempt}")]
+    rows = counted.get["rows"]
+    told = {"rows": rows, "bytes": sum(size for _, size in written), "files": sorted(written)}
+    if not files.publish(spark, f"{folder}/{MANIFEST}", json.dumps(told)):
+        raise FileExistsError(f"snapshot {snapshot_ts} of {table} was completed by another attempt")
+    return rows
 
 
 def write_raw(df: DataFrame, base: str, name: str, snapshot_ts: str) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import schemas
+from tidemark import files, schemas
 from tidemark.functions import format_mm_ss, parse_mixed_date, pick_nth_field
 from tidemark.operators import (
     attach_parent_key,
@@ -25,13 +25,18 @@ from tidemark.operators import (
 from tidemark.plans import ALBUMS, TRACKS, land, run, silver_albums, silver_tracks
 from tidemark.sources import (
     list_files,
+    manifest,
     newest,
+    read_pages,
+    read_raw,
     read_snapshot,
     snapshot_id,
+    snapshot_path,
     table_path,
     write_parquet,
     write_raw,
 )
+from tidemark.sources.compact import HEAD, read_compact
 from tidemark.staging import new_folder
 from workload import derive
 from workload.derive import LIMIT, table
@@ -190,6 +195,41 @@ def raw_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, path, "json", documents.schema)
 
 
+def leftover_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot beside files of attempts that were never published, with the rows its manifest counts."""
+    base = new_folder(spark, "attempts")
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    path = table_path(base, "silver", "orders")
+    for stamp in (NEWER, "20240103_000000"):
+        orders.write.parquet(f"{snapshot_path(path, stamp)}/attempt-broken")
+    write_parquet(orders, base, "orders", NEWER)
+    return read_snapshot(spark, path, "parquet").withColumn("n", F.lit(manifest(spark, path)["rows"]).cast("bigint"))
+
+
+def raw_every_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of events with fields that no schema names, landed and read again as VARIANT."""
+    pages = derive.event_pages(spark, sf_dir)
+    base = new_folder(spark, "every-field")
+    write_raw(merge_pages(pages, LIMIT, whole=True, records=True), base, "events", NEWER)
+    rows = read_raw(spark, table_path(base, "bronze", "events"))
+    fields = {"event_id": "bigint", "props.k": "bigint", "seen.by": "bigint", "seen.as": "string", "value": "double"}
+    found = [F.variant_get("record", f"$.{path}", kind).alias(path.split(".")[-1]) for path, kind in fields.items()]
+    return rows.select(F.get("parent_ord", F.lit(0)).alias("user_id"), "page_offset", "pos", *found)
+
+
+def compact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four one-line documents of all events, each cut into records by many tasks."""
+    record = T.StructType([T.StructField(n, t) for n, t in (("id", T.LongType()), ("kind", T.StringType()), ("props", T.StringType()))])
+    parts = []
+    for path in derive.event_documents(spark, sf_dir):
+        rows = read_compact(spark, path, record, files.part(spark, path, 0, HEAD))
+        parts.append(rows.where("id IS NOT NULL").select("id", "kind", "props"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_folder(spark, "latest")
     events = table(spark, sf_dir, "events").drop("ts")
@@ -248,7 +288,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 def bronze_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(_landed(spark, sf_dir), "bronze", ALBUMS)
-    rows = read_snapshot(spark, path, "json", schemas.raw(schemas.ALBUM))
+    rows = read_raw(spark, path, schemas.ALBUM)
     return rows.select(
         *_ordinal("custkey"),
         "id",
@@ -263,7 +303,7 @@ def bronze_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(_landed(spark, sf_dir), "bronze", TRACKS)
-    rows = read_snapshot(spark, path, "json", schemas.raw(schemas.TRACK))
+    rows = read_raw(spark, path, schemas.TRACK, "album_id")
     return rows.select(
         *_ordinal("custkey", "album_offset", "album_pos"),
         "id",
@@ -277,6 +317,27 @@ def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed_whole(spark: SparkSession, sf_dir: str) -> str:
+    """The job as it is run by default: pages found as JSON Lines, no page missing, every field kept."""
+    base = new_folder(spark, "jobs")
+    found = [read_pages(spark, path) for path in derive.json_pages(spark, sf_dir)]
+    land(*found, base, NEWER, album_limit=LIMIT, track_limit=LIMIT)
+    return base
+
+
+def landed_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_raw(spark, table_path(_landed_whole(spark, sf_dir), "bronze", ALBUMS))
+    kinds = {"id": "string", "name": "string", "release_date": "string", "total_tracks": "bigint", "priority.rank": "bigint"}
+    found = [F.variant_get("record", f"$.{path}", kind).alias(path.split(".")[-1]) for path, kind in kinds.items()]
+    return rows.select(*_ordinal("custkey"), *found)
+
+
+def landed_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = table_path(_landed_whole(spark, sf_dir), "bronze", TRACKS)
+    rows = read_raw(spark, path, schemas.TRACK, "album_id")
+    return rows.select(*_ordinal("custkey", "album_offset", "album_pos"), "id", "name", "duration_ms", "album_id")
+
+
 def _cleaned(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     base = _landed(spark, sf_dir)
     run(spark, base, NEWER)
@@ -308,6 +369,9 @@ QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "snapshot_roundtrip": snapshot_roundtrip,
     "raw_snapshot_roundtrip": raw_snapshot_roundtrip,
+    "leftover_attempts": leftover_attempts,
+    "raw_every_field": raw_every_field,
+    "compact_documents": compact_documents,
     "latest_snapshot": latest_snapshot,
     "latest_listed": latest_listed,
     "list_files": list_files_query,
@@ -315,6 +379,8 @@ QUERIES: dict[str, Query] = {
     "silver_tracks": silver_tracks_query,
     "bronze_albums": bronze_albums,
     "bronze_tracks": bronze_tracks,
+    "landed_albums": landed_albums,
+    "landed_tracks": landed_tracks,
     "run_albums": run_albums,
     "run_tracks": run_tracks,
 }

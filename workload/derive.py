@@ -9,8 +9,12 @@ a page of tracks of its own. About a third of all tracks share one name. The
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark import files
 from tidemark.staging import new_folder
 
 LIMIT = 2
@@ -154,3 +158,73 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{RELEASE_DATE} AS release_date")
+
+
+def _numbered(pages: DataFrame, *order: str) -> DataFrame:
+    """Pages with the offsets a paging loop gives them: 0, ``LIMIT``, and so on for each parent."""
+    place = F.row_number().over(Window.partitionBy("parent_id").orderBy(*order)) - 1
+    return pages.withColumn("offset", (place * LIMIT).cast("bigint"))
+
+
+_found: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder that ``write`` filled, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _found:
+        path = new_folder(spark, name)
+        write(path)
+        _found[key] = path
+    return _found[key]
+
+
+def json_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of album and track pages as JSON Lines, with true offsets and a field of albums that no schema names."""
+    priority = F.expr("named_struct('rank', cast(substr(o_orderpriority, 1, 1) AS bigint))")
+    albums = spread(table(spark, sf_dir, "orders")).selectExpr(
+        "cast(o_custkey AS string) AS parent_id", "o_custkey AS parent_ord", "o_orderkey", "o_orderpriority", f"{ALBUM_ITEMS} AS items"
+    )
+    albums = albums.withColumn("items", F.transform("items", lambda item: item.withField("priority", priority)))
+    albums = _numbered(albums, "o_orderkey").drop("o_orderkey", "o_orderpriority")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    tracks = spread(table(spark, sf_dir, "lineitem")).selectExpr(
+        "cast(l_orderkey AS string) AS parent_id", "l_orderkey AS parent_ord", f"{TRACK_ITEMS} AS items", *order
+    )
+    tracks = _numbered(tracks, *order).drop(*order)
+    collected = table(spark, sf_dir, "customer").selectExpr(
+        "concat('collection-', c_custkey) AS parent_id", "c_custkey AS parent_ord", f"{COLLECTION_ITEMS} AS items", "0L AS offset"
+    )
+    return (
+        _written(spark, sf_dir, "album-json", albums.write.json),
+        _written(spark, sf_dir, "track-json", tracks.unionByName(collected).write.json),
+    )
+
+
+def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of one event, two to a page, of their user; an event keeps its props, and fields of its own."""
+    events = spread(table(spark, sf_dir, "events"))
+    item = F.struct(
+        "event_id", "value", F.parse_json("props").alias("props"), F.struct(F.col("user_id").alias("by"), F.col("event_type").alias("as")).alias("seen")
+    )
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    placed = events.select("user_id", place.alias("place"), F.to_variant_object(item).alias("item"))
+    by = F.floor(F.col("place") / LIMIT) * LIMIT
+    listed = placed.groupBy("user_id", by.cast("bigint").alias("offset")).agg(F.collect_list(F.struct("place", F.to_json("item").alias("item"))).alias("found"))
+    items = F.transform(F.sort_array("found"), lambda x: F.parse_json(x["item"]))
+    return listed.select(F.col("user_id").cast("string").alias("parent_id"), F.col("user_id").alias("parent_ord"), "offset", items.alias("items"))
+
+
+def event_documents(spark: SparkSession, sf_dir: str, n: int = 4) -> list[str]:
+    """``n`` files, each one line with an array of a null and a share of the events, written row by row."""
+    item = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("props")))
+    part = (F.col("event_id") % n).cast("int")
+    events = table(spark, sf_dir, "events").select(part.alias("part"), F.lit(1).alias("place"), F.concat(F.lit(","), item).alias("value"))
+    ends = spark.range(n).select(F.col("id").cast("int").alias("part"), F.explode(F.array(F.struct(F.lit(0).alias("place"), F.lit("[null").alias("value")), F.struct(F.lit(2).alias("place"), F.lit("]").alias("value")))).alias("end"))
+    rows = events.unionByName(ends.select("part", "end.*")).repartition(n, "part").sortWithinPartitions("part", "place")
+
+    def write(path: str) -> None:
+        rows.drop("place").write.partitionBy("part").option("lineSep", " ").text(path)
+
+    folder = _written(spark, sf_dir, "event-documents", write)
+    return sorted(name for name, _, _ in files.walk(spark, folder))

@@ -123,6 +123,52 @@ FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY {order}, page_offs
 WHERE arrival = 1"""
 
 
+#: Pages with the offsets of a paging loop, cut at a parent's first short page.
+LANDED = f"""
+numbered_album AS (
+  SELECT * EXCLUDE (o_orderkey), o_orderkey AS album_key,
+         (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) * 2 AS o_orderkey
+  FROM (SELECT *, CASE WHEN day(o_orderdate) = 31 THEN 0
+                       WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 1 ELSE 2 END AS n FROM orders)
+), kept_album AS (
+  SELECT * FROM numbered_album a
+  WHERE NOT EXISTS (SELECT 1 FROM numbered_album b
+                    WHERE b.o_custkey = a.o_custkey AND b.n < 2 AND b.o_orderkey < a.o_orderkey)
+), landed_album AS (
+  SELECT o_custkey AS custkey, o_orderkey AS page_offset, CAST(0 AS BIGINT) AS pos, CAST(album_key AS VARCHAR) AS id,
+         'Album ' || album_key AS name, {RELEASE_DATE} AS release_date,
+         CAST(floor(o_totalprice / 10000) AS BIGINT) AS total_tracks, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS rank,
+         o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') AS landed
+  FROM kept_album WHERE n >= 1
+  UNION ALL
+  SELECT o_custkey, o_orderkey, 1, 'collection-' || o_custkey, 'Collection ' || album_key,
+         strftime(o_orderdate, '%Y'), 1, CAST(substr(o_orderpriority, 1, 1) AS BIGINT), true
+  FROM kept_album WHERE n >= 2
+), numbered_track AS (
+  SELECT *, (row_number() OVER (PARTITION BY l_orderkey
+             ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1) * 2 AS page_offset,
+         CASE WHEN l_quantity = 50 THEN 0 WHEN l_quantity <= 5 THEN 1 ELSE 2 END AS n,
+         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS track_id
+  FROM lineitem
+), stopped AS (
+  SELECT l_orderkey, min(page_offset) AS stop FROM numbered_track WHERE n < 2 GROUP BY l_orderkey
+), kept_track AS (
+  SELECT t.* FROM numbered_track t LEFT JOIN stopped s USING (l_orderkey) WHERE s.stop IS NULL OR t.page_offset <= s.stop
+), landed_track AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS album_id, page_offset, CAST(0 AS BIGINT) AS pos, track_id AS id,
+         CASE WHEN l_returnflag = 'R' THEN 'Intro' WHEN l_quantity <> 7 THEN 'Track ' || l_partkey END AS name,
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS duration_ms
+  FROM kept_track WHERE n >= 1
+  UNION ALL
+  SELECT CAST(l_orderkey AS VARCHAR), page_offset, 1, track_id || '-b', 'Interlude ' || l_suppkey,
+         CAST(l_quantity * 1000 AS BIGINT)
+  FROM kept_track WHERE n >= 2
+  UNION ALL
+  SELECT 'collection-' || c_custkey, 0, 0, 'collected-' || c_custkey, 'Collected ' || c_custkey,
+         CAST(round(abs(c_acctbal) * 100) AS BIGINT)
+  FROM customer
+)"""
+
 ALBUM_ORDER = "custkey, album_offset, album_pos"
 
 ORACLE: dict[str, str] = {
@@ -188,6 +234,20 @@ SELECT o_orderkey, o_custkey, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate
 FROM orders""",
     "raw_snapshot_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "leftover_attempts": """
+SELECT * EXCLUDE (o_orderdate), CAST(count(*) OVER () AS BIGINT) AS n FROM orders""",
+    "raw_every_field": """
+SELECT user_id, (place // 2) * 2 AS page_offset, place % 2 AS pos, event_id,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, user_id AS "by", event_type AS "as", value
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place FROM events)""",
+    "compact_documents": "SELECT event_id AS id, event_type AS kind, props FROM events",
+    "landed_albums": f"""
+WITH {LANDED}
+SELECT custkey, page_offset, pos, id, name, release_date, total_tracks, rank FROM landed_album WHERE landed""",
+    "landed_tracks": f"""
+WITH {LANDED}
+SELECT a.custkey, a.page_offset AS album_offset, a.pos AS album_pos, t.page_offset, t.pos, t.id, t.name, t.duration_ms, t.album_id
+FROM landed_track t JOIN landed_album a ON a.id = t.album_id WHERE a.landed""",
     "latest_snapshot": "SELECT event_id, user_id, event_type, value, props FROM events",
     "latest_listed": """
 SELECT concat_ws('/', event_type, user_id, event_id) AS path,
