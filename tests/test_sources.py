@@ -398,3 +398,28 @@ def test_listing_keeps_one_entry(spark, tmp_path, base, monkeypatch):
     monkeypatch.setattr(files, "walk", lambda *_: iter([]))
     with pytest.raises(NoSnapshotError):
         latest_file(spark, f"{base}/x")
+
+
+def test_sized_writes(spark, tmp_path, base):
+    """A skewed frame: one task has nearly all rows, most have one. Files are within twice the target, either way."""
+    from tidemark.session import ADVISED, settings_for
+
+    target = 2 << 20
+    settings = settings_for(0, 64, file_bytes=target)
+    assert settings[ADVISED] == str(target) and ADVISED not in settings_for(0)
+    skewed = spark.range(0, 400_000, 1, 1).selectExpr("id", "concat(uuid(), uuid()) AS text").union(spark.range(64).selectExpr("id", "uuid()").repartition(64))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plan = skewed.hint("rebalance")._jdf.queryExecution().executedPlan().toString()
+        assert write_parquet(skewed, base, "plain", "1") == write_parquet(skewed, base, "sized", "1", sized=True) == 400_064
+        assert write_raw(skewed, base, "sized", "1", sized=True) == 400_064
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan
+    plain, sized = ([size for _, size in manifest(spark, table_path(base, "silver", n))["files"]] for n in ("plain", "sized"))
+    assert max(plain) > 8 * target and min(plain) < target // 8
+    assert len(sized) > 6 and all(target // 2 <= size <= 2 * target for size in sized)
+    assert all(size <= 2 * target for _, size in manifest(spark, table_path(base, "bronze", "sized"))["files"])

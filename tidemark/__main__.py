@@ -14,9 +14,9 @@ from tidemark.sources import read_pages, snapshot_id
 from tidemark.sources.files import FORMATS
 
 
-def _fit(spark: SparkSession, input_bytes: int) -> None:
-    """Fit the session, which is this command's own, to its input."""
-    for key, value in settings_for(input_bytes, int(spark.conf.get(SHUFFLE_PARTITIONS))).items():
+def _fit(spark: SparkSession, input_bytes: int, file_bytes: int | None) -> None:
+    """Fit the session, which is this command's own, to its input and the files it should write."""
+    for key, value in settings_for(input_bytes, int(spark.conf.get(SHUFFLE_PARTITIONS)), file_bytes=file_bytes).items():
         spark.conf.set(key, value)
 
 
@@ -35,13 +35,14 @@ def main(argv: list[str] | None = None) -> None:
     cleaning.add_argument("--date-format", action="append", default=[], help="a further format of release dates")
     for job in (landing, cleaning):
         job.add_argument("--base", required=True, help="folder or URI of the bronze and silver layers")
+        job.add_argument("--file-bytes", type=int, help="write files of about this size")
         job.add_argument("--snapshot-ts", help="stamp of this run; the current UTC time if not given")
     args = parser.parse_args(argv)
 
     spark = build_session()
     stamp = args.snapshot_ts or snapshot_id()
     if args.job == "land":
-        _fit(spark, sum(files.total_size(spark, p) for p in (args.album_pages, args.track_pages)))
+        _fit(spark, sum(files.total_size(spark, p) for p in (args.album_pages, args.track_pages)), args.file_bytes)
         rows = land(
             read_pages(spark, args.album_pages, fmt=args.pages_format),
             read_pages(spark, args.track_pages, fmt=args.pages_format),
@@ -50,10 +51,11 @@ def main(argv: list[str] | None = None) -> None:
             args.album_limit,
             args.track_limit,
             whole=not args.any_offsets,
+            sized=bool(args.file_bytes),
         )
     else:
-        _fit(spark, bronze_bytes(spark, args.base))
-        rows = run(spark, args.base, stamp, args.strict, args.date_format)
+        _fit(spark, bronze_bytes(spark, args.base), args.file_bytes)
+        rows = run(spark, args.base, stamp, args.strict, args.date_format, bool(args.file_bytes))
     for name, n in rows.items():
         print(f"{name}: {n} rows in snapshot {stamp}")
 

@@ -116,6 +116,7 @@ def land(
     track_limit: int = TRACK_PAGE_LIMIT,
     album_groups: Iterable[str] | None = ALBUM_GROUPS,
     whole: bool = True,
+    sized: bool = False,
 ) -> dict[str, int]:
     """Merge the pages of both datasets and land them raw, every field of a record; returns rows per dataset.
 
@@ -126,7 +127,7 @@ def land(
 
     Tracks are read out for those albums, each with its album's key and in
     its album's arrival order. Both datasets are written side by side: one that
-    fails leaves the other complete, and raises in the end.
+    fails leaves the other complete, and raises in the end. ``sized`` writes files of an advised size (``write_raw``).
     """
     spark = album_pages.sparkSession
     with job_folder(spark):
@@ -137,9 +138,9 @@ def land(
 
         def tracks() -> int:
             merged = merge_child_pages(parents, track_pages, track_limit, "album_id", whole, records=True)
-            return write_raw(merged, base, TRACKS, snapshot_ts)
+            return write_raw(merged, base, TRACKS, snapshot_ts, sized)
 
-        return side_by_side(spark, {ALBUMS: lambda: write_raw(albums, base, ALBUMS, snapshot_ts), TRACKS: tracks})
+        return side_by_side(spark, {ALBUMS: lambda: write_raw(albums, base, ALBUMS, snapshot_ts, sized), TRACKS: tracks})
 
 
 def read_bronze(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -173,12 +174,17 @@ def _selected(names: Mapping[str, str], columns: Iterable[str]) -> list[str]:
 
 
 def run(
-    spark: SparkSession, base: str, snapshot_ts: str, strict: bool = False, extra_formats: Sequence[str] = ()
+    spark: SparkSession,
+    base: str,
+    snapshot_ts: str,
+    strict: bool = False,
+    extra_formats: Sequence[str] = (),
+    sized: bool = False,
 ) -> dict[str, int]:
     """Clean the latest raw snapshot of both datasets, side by side; returns rows per cleaned table.
 
     One that fails leaves the other complete, and raises in the end. ``strict`` first makes sure every field that ends up in a cleaned table has
-    a value in at least one record. ``extra_formats`` are further date formats.
+    a value in at least one record. ``extra_formats`` are further date formats, ``sized`` as in ``land``.
     """
     wanted = {ALBUMS: _selected(ALBUM_NAMES, ALBUM_COLUMNS), TRACKS: _selected(TRACK_NAMES, TRACK_COLUMNS)}
     cleaned = {ALBUMS: lambda raw: silver_albums(raw, extra_formats), TRACKS: silver_tracks}
@@ -187,6 +193,6 @@ def run(
         raw = read_bronze(spark, base, name)
         if strict:
             require_values(flatten(raw), wanted[name])
-        return write_parquet(cleaned[name](raw), base, name, snapshot_ts)
+        return write_parquet(cleaned[name](raw), base, name, snapshot_ts, sized)
 
     return side_by_side(spark, {name: partial(clean, name) for name in (ALBUMS, TRACKS)})

@@ -19,6 +19,7 @@ SETTINGS = {
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCAN_TASKS = "spark.sql.files.maxPartitionNum"
+ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
@@ -37,19 +38,23 @@ def settings_for(
     bytes_per_partition: int = 512 << 20,
     max_partitions: int = 50_000,
     max_scan_tasks: int = 100_000,
+    file_bytes: int | None = None,
 ) -> dict[str, str]:
     """Settings for a session whose jobs read ``input_bytes`` of files; adaptive execution merges what turns out small.
 
     A shuffle has scan tasks times partitions blocks. Both are bounded so that
     these stay in hand; past the bounds (25 TB by default) tasks grow instead,
     and spill. A large input is merged into partitions of the advisory size
-    rather than into one per core, for files of a good size.
+    rather than into one per core, for files of a good size. ``file_bytes`` is what the partitions of a sized write
+    should hold, as rows on their way (compressed); files come out near that.
     """
     wanted = -(-input_bytes // bytes_per_partition)
     settings = {
         SHUFFLE_PARTITIONS: str(max(at_least, min(wanted, max_partitions))),
         SCAN_TASKS: str(max_scan_tasks),
     }
-    if input_bytes > bytes_per_partition:
+    if input_bytes > bytes_per_partition or file_bytes:
         settings[PARALLELISM_FIRST] = "false"
+    if file_bytes:
+        settings[ADVISED] = str(file_bytes)
     return settings

@@ -107,14 +107,17 @@ def read_raw(
     return rows.select(*schemas.ORDINAL_COLUMNS, *fields, *([key] if key else []))
 
 
-def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, **options: str) -> int:
+def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, sized: bool, **options: str) -> int:
     spark, folder = df.sparkSession, snapshot_path(table, snapshot_ts)
     if files.exists(spark, f"{folder}/{MANIFEST}"):
         raise FileExistsError(f"snapshot {snapshot_ts} of {table} is already complete")
     counted = Observation()
     attempt = f"attempt-{uuid.uuid4().hex}"
     # The count is taken on the way into the write; no second pass.
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).options(**options).save(f"{folder}/{attempt}")
+    out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if sized:
+        out = out.hint("rebalance")
+    out.write.format(fmt).options(**options).save(f"{folder}/{attempt}")
     written = [(f"{attempt}/{path.rsplit('/', 1)[1]}", size) for path, _, size in files.walk(spark, f"{folder}/{attempt}")]
     rows = counted.get["rows"]
     told = {"rows": rows, "bytes": sum(size for _, size in written), "files": sorted(written)}
@@ -123,13 +126,15 @@ def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, **options: str
     return rows
 
 
-def write_raw(df: DataFrame, base: str, name: str, snapshot_ts: str) -> int:
-    """Land ``df`` as JSON Lines (UTF-8) under bronze; returns the row count."""
-    return _write(df, table_path(base, BRONZE, name), snapshot_ts, "json", encoding="UTF-8")
+def write_raw(df: DataFrame, base: str, name: str, snapshot_ts: str, sized: bool = False) -> int:
+    """Land ``df`` as JSON Lines (UTF-8) under bronze; returns the row count.
+
+    ``sized`` deals the rows anew before they are written, so that every file is of about the size the session advises
+    for a partition (``settings_for(..., file_bytes)``): small tasks are merged and skewed ones split by adaptive execution.
+    """
+    return _write(df, table_path(base, BRONZE, name), snapshot_ts, "json", sized, encoding="UTF-8")
 
 
-def write_parquet(df: DataFrame, base: str, name: str, snapshot_ts: str) -> int:
-    """Write ``df`` as snappy Parquet under silver; returns the row count."""
-    return _write(
-        df, table_path(base, SILVER, name), snapshot_ts, "parquet", compression="snappy"
-    )
+def write_parquet(df: DataFrame, base: str, name: str, snapshot_ts: str, sized: bool = False) -> int:
+    """Write ``df`` as snappy Parquet under silver; returns the row count. ``sized`` as in ``write_raw``."""
+    return _write(df, table_path(base, SILVER, name), snapshot_ts, "parquet", sized, compression="snappy")
