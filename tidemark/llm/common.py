@@ -51,7 +51,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], dict | None], schema: T.StructType) -> DataFrame:
+def arrow_map(
+    df: DataFrame, each: Callable[[pa.RecordBatch], dict | None], schema: T.StructType, rows: int = SLICE_ROWS
+) -> DataFrame:
     """``each`` on slices of a few rows; it returns the output columns by name, as lists or arrays.
 
     Memory per task is one Arrow batch (64 MB at most, or one row) and the slice's results.
@@ -64,8 +66,8 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], dict | None], sche
 
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                out = each(batch.slice(start, SLICE_ROWS))
+            for start in range(0, batch.num_rows, rows):
+                out = each(batch.slice(start, rows))
                 if out is not None:
                     arrays = [
                         v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, f.type)

@@ -4,33 +4,36 @@ A line is its words, A-Z lowered, repeats numbered (so "a a" is not "a"). A line
 goes if any line before it has a Jaccard similarity of ``THRESHOLD`` or more with
 it. Lines are ordered by document key, then by place. Lines without words stay.
 
-* Equal lines are met by their 128-bit hash; the first of them stands for all.
-  A bounded bitmap of first lines lets the next pass leave out the others. (A
-  line that it lets through by chance is met by the join, as similarity 1.)
-* Words are ordered by rarity. How often they occur is counted over all lines in
-  ``COUNTERS`` counters, a bounded sketch; words that share a counter rank by
+* Equal lines are met by their 128-bit hash. One table holds each distinct line, at
+  the first of its places (map-side partials, so a line on a third of all rows is a
+  row for each task). All further steps read that table, so copies never meet.
+* Words are ordered by rarity among distinct lines. Their counts are kept in counters, a sketch
+  that grows with the number of words up to ``MOST_COUNTERS``; words that share a counter rank by
   their own hash. Any order that all lines share gives exact results.
+* A line of more than ``SPLIT`` words is dealt to parts by a hash of its words. If two lines are similar, two of their
+  parts are (not all parts can differ by more than the whole does), so parts meet in place of lines, and no filter has to
+  grow with a line. A line that others with more parts may match is dealt that way, too.
 * Prefix filter: similar lines share one of their ``n - ceil(t n) + 1`` rarest
   words, so lines meet by those (but not by words that occur once). Length and
-  positional filters follow, and a bit parity of the words bounds how many differ.
+  positional filters follow, and a bit parity of the words bounds how many differ; long lines
+  carry a wider one, as the bound has to grow with the line.
 * The lines that share a word are read in their order, each held against those
-  before it. Where two of those are very near, the rest is put off, so near copies
-  of one line never meet all by all; a line that then is not matched after all
-  meets the rest in a second round.
-* A task holds ``HELD`` lines of one word at most. A word that brings together
-  more is joined by Spark instead, which splits such a key.
-* Candidates are verified on their real words, read again from the documents. A
-  bitmap of the lines asked for keeps other lines out of that shuffle. A line is
-  held against the earliest line it met first, and against others only if counts of
-  words by bins leave room for the words they would have to share.
+  before it, up to the first that looks very near. A line sends on ``LIKELIEST`` candidates for
+  each of its words at most. So rows grow with the lines, however many are alike.
+* Candidates are verified on their words, the likeliest first. A line that none of them matches although others may is open. Open lines meet once
+  more, by parities wide enough (``WIDE`` bits a word) to leave hardly any false candidate; what is open even then is verified against
+  all of its candidates.
+* A task holds ``HELD`` lines of one word at most. The lines of a word that has
+  more are dealt to blocks, and each two blocks meet as a list of their own.
 
 Words are hashed to 32 bits until they are verified; words that fall together
 can only bring more candidates, never lose one. A line is no candidate of its own.
 
 Defined results: null texts stay null. Rows that repeat a key and a text are one
 document, and get the same result; other rows of one key go in the order of a
-hash of their text. Rows without a key come last. A document none of whose lines
-stays has an empty text. Lines are parted by "\\n" only, and are kept as they are.
+hash of their text. Rows without a key come last, ordered by such a hash. A document none of whose lines
+stays has an empty text. Lines are parted by "\\n" only, and are kept as they are. Columns other than key and text are carried
+in one struct, so they may have any name but ``n_lines`` and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -50,31 +53,35 @@ from tidemark.llm.common import SLICE_ROWS, arrow_map, ship, utf8, written
 
 #: Similarity from which a line matches, as a fraction.
 THRESHOLD = (4, 5)
-COUNTERS = 1 << 22
-BITMAP_BITS = 1 << 25
-#: Entries of a counter or bitmap that travel together.
+LEAST_COUNTERS, MOST_COUNTERS = 1 << 16, 1 << 24
+#: Counters that travel together.
 BLOCK = 1 << 16
 #: Lines that share a word and are held by one task at most.
-HELD = 1 << 16
+HELD = 1 << 20
+#: Candidates that a line sends on for one word.
+LIKELIEST = 16
+#: Keys of a semi join (two longs) that are broadcast at most, some 64 MB.
+BROADCAST_ROWS = 1 << 20
+#: Rows whose lists are worked off together.
+MET_ROWS = 1 << 18
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
 #: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
-SIZE_BITS = 12
+SIZE_BITS = 16
 LONGEST = (1 << SIZE_BITS) - 1
-#: Very near lines before a line, after which it meets no more in the first round, and
-#: the parity bits that very near lines differ in at most.
-NEAR = 4
-NEAR_BITS = 16
 
 #: The parity of a line's words has two longs. A word turns one of ``PARITY_BITS`` bits,
 #: which tell long lines apart, and up to three of the 16 bits above them: one word put in
 #: the place of another seldom leaves all of these as they were, however short the line.
 PARITY_BITS = 112
 SINGLE = 48
-#: Bins in which the words of a line are counted, to bound what two lines share.
-BINS = 128
+#: Words of a line that meets as it is.
+SPLIT = 512
+#: Wide parities: (lines of more words, bits a word at least, bits at most), of first and second meeting.
+NARROW_LINES = (160, 1.5, 1 << 10)
+WIDE = (0, 8, 1 << 15)
 #: Lines whose words are ordered at once.
-BATCH_LINES = 1 << 20
+BATCH_LINES = 1 << 18
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,33 +115,27 @@ def hashes(words: list[list[bytes]]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, flat), np.int64, sum(map(len, words)))
 
 
-# Bounded tables of all lines
+# Counts of all words
 
 
 def gathered(
     df: DataFrame,
     places: Callable[[pa.RecordBatch], np.ndarray],
     size: int,
-    kind: type,
     finish: Callable[[np.ndarray], np.ndarray],
 ) -> np.ndarray:
-    """How often ``places`` names each of ``size`` entries, over all rows, through ``finish`` (to bytes).
+    """How often ``places`` names each of ``size`` entries, over all rows, through ``finish`` (to a byte each).
 
-    A task counts in one array of ``kind`` (in bytes: whether, not how often) and
-    hands it on by blocks; blocks are added up by tasks, so the driver gets what
-    ``finish`` makes of each.
+    A task counts in one array and hands it on by blocks; blocks are added up by
+    tasks, so the driver gets what ``finish`` makes of each.
     """
     ship(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, kind)
+        counts = np.zeros(size, np.uint32)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS * 16):
-                found = places(batch.slice(at, SLICE_ROWS * 16))
-                if kind is np.uint8:
-                    counts[found] = 1
-                else:
-                    np.add.at(counts, found, kind(1))
+                np.add.at(counts, places(batch.slice(at, SLICE_ROWS * 16)), np.uint32(1))
         for block in range(0, size, BLOCK):
             part = counts[block : block + BLOCK]
             if part.any():
@@ -147,11 +148,11 @@ def gathered(
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                counts = np.frombuffer(zlib.decompress(part), kind)
+                counts = np.frombuffer(zlib.decompress(part), np.uint32)
                 if block in held:
-                    np.maximum(held[block], counts, held[block]) if kind is np.uint8 else np.add(held[block], counts, held[block])
+                    held[block] += counts
                 else:
-                    held[block] = counts.astype(kind if kind is np.uint8 else np.uint64)
+                    held[block] = counts.astype(np.uint64)
         for block, counts in held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([finish(counts).tobytes()], pa.binary())],
@@ -160,10 +161,9 @@ def gathered(
 
     schema = "block long, counts binary"
     blocks = df.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect()
-    width = len(finish(np.zeros(BLOCK, kind)))
-    out = np.zeros(size // BLOCK * width, np.uint8)
+    out = np.zeros(size, np.uint8)
     for row in blocks:
-        out[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["counts"], np.uint8)
+        out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.uint8)
     return out
 
 
@@ -177,33 +177,15 @@ def rarity_class(counts: np.ndarray) -> np.ndarray:
 ONCE = 1
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The rarity class of each counter: words are counted by hash over all lines."""
+def rarity(lines: DataFrame) -> np.ndarray:
+    """The rarity class of each counter: words are counted by hash over all distinct lines."""
+    words = lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    size = min(max(LEAST_COUNTERS, 1 << max(words // 4, 1).bit_length()), MOST_COUNTERS)
 
     def places(batch: pa.RecordBatch) -> np.ndarray:
-        return hashes([t.lower().split() for t in utf8(batch.column(0)) if t]) & (COUNTERS - 1)
-
-    return gathered(docs.select("text"), places, COUNTERS, np.uint32, rarity_class)
-
-
-def line_bits(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    mixed = (docs.astype(np.uint64) * _MIX ^ lines.astype(np.uint64)) * _MIX
-    return ((mixed >> np.uint64(20)) & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+        return hashes([w.split() for w in batch.column(0).to_pylist()]) & (size - 1)
 
-
-def bitmap(lines: DataFrame) -> np.ndarray:
-    """A bounded bitmap in which every (doc, line) of ``lines`` is set."""
-
-    def places(batch: pa.RecordBatch) -> np.ndarray:
-        return line_bits(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
-
-    return gathered(lines.select("doc", "line"), places, BITMAP_BITS, np.uint8, np.packbits)
-
-
-def in_bitmap(found: list[tuple[int, int, list[bytes]]], bits: np.ndarray) -> list[tuple[int, int, list[bytes]]]:
-    at = line_bits(np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
-    asked = bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
-    return [f for f, a in zip(found, asked.tolist()) if a]
+    return gathered(lines.select("words"), places, size, rarity_class)
 
 
 # The join
@@ -214,7 +196,7 @@ def ordered(words: list[list[bytes]], classes: np.ndarray) -> tuple[np.ndarray,
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     raw = hashes(words)
     keys = np.repeat(np.arange(len(words), dtype=np.int64), lengths) << 40
-    keys |= classes[raw & (COUNTERS - 1)].astype(np.int64) << 32
+    keys |= classes[raw & (len(classes) - 1)].astype(np.int64) << 32
     keys |= raw
     keys.sort()
     places = np.arange(len(keys))
@@ -229,59 +211,112 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 LINE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line", T.LongType())])
-HASHED = T.StructType([T.StructField("hash_a", T.LongType()), T.StructField("hash_b", T.LongType()), *LINE.fields])
+HASHED = T.StructType(
+    [
+        T.StructField("hash_a", T.LongType()),
+        T.StructField("hash_b", T.LongType()),
+        *LINE.fields,
+        T.StructField("n", T.LongType()),
+        T.StructField("words", T.BinaryType()),
+    ]
+)
 PREFIX = T.StructType(
     [
         T.StructField("pack", T.LongType()),
         *LINE.fields,
         T.StructField("parity_a", T.LongType()),
         T.StructField("parity_b", T.LongType()),
+        T.StructField("wide", T.BinaryType()),
     ]
 )
 
 
-def line_map(docs: DataFrame, each: Callable[[list], dict], schema: T.StructType) -> DataFrame:
-    """``each`` on the lines of some documents at a time; it returns arrays by name."""
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """``doc, line, n, words`` of each distinct line, at its first place, from ``doc, text_hash, text``."""
     ship(docs.sparkSession)
-    names = schema.fieldNames()
+    names = HASHED.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 found = list(lines_of(batch.slice(at, SLICE_ROWS)))
                 for start in range(0, len(found), BATCH_LINES):
-                    out = each(found[start : start + BATCH_LINES])
-                    yield pa.RecordBatch.from_arrays([pa.array(out[n]) for n in names], names=names)
-
-    return docs.mapInArrow(run, schema)
-
-
-def first_lines(docs: DataFrame) -> DataFrame:
-    """``doc, line`` of the first of each set of equal lines."""
+                    part = found[start : start + BATCH_LINES]
+                    words = [b" ".join(f[2]) for f in part]
+                    pairs = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.int64).reshape(-1, 2)
+                    numbers = [np.array(c, np.int64) for c in zip(*((d, i, len(w)) for d, i, w in part))]
+                    arrays = [pairs[:, 0], pairs[:, 1], *numbers]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(words, pa.binary())], names=names)
+
+    first = F.min(F.struct("doc", "line", "n", "words")).alias("first")
+    found = docs.mapInArrow(run, HASHED).groupBy("hash_a", "hash_b").agg(first)
+    return written(found.select("first.*"), "distinct-lines")
+
+
+def wide_parity(mixed: np.ndarray, starts: np.ndarray, sizes: tuple[int, float, int]) -> list[bytes | None]:
+    """For each line of more words than given (that is filtered) a parity of 256 bits or more, a power of two."""
+    beyond, each, most = sizes
+    n = np.diff(starts)
+    out: list[bytes | None] = [None] * len(n)
+    bits = np.minimum(most, 1 << np.ceil(np.log2(np.maximum(256, n * each))).astype(np.int64))
+    carries = (n > beyond) & (n < LONGEST)
+    for width in np.unique(bits[carries]).tolist():
+        lines = np.flatnonzero(carries & (bits == width))
+        step = max(1, (1 << 24) // width)
+        for low in range(0, len(lines), step):
+            some = lines[low : low + step]
+            at = np.repeat(starts[some] - np.r_[0, np.cumsum(n[some])[:-1]], n[some]) + np.arange(n[some].sum())
+            bit = (mixed[at] >> np.uint64(20)).astype(np.int64) & (width - 1)
+            turned = np.bincount(np.repeat(np.arange(len(some)), n[some]) * width + bit, minlength=len(some) * width) & 1
+            packed = np.packbits(turned.astype(np.uint8).reshape(-1, width), axis=1, bitorder="little")
+            for line, row in zip(some.tolist(), packed):
+                out[line] = row.tobytes()
+    return out
 
-    def each(found: list) -> dict:
-        import xxhash
 
-        digests = b"".join(xxhash.xxh3_128_digest(b" ".join(w)) for _, _, w in found)
-        pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
-        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
-        return {"hash_a": pairs[:, 0], "hash_b": pairs[:, 1], "doc": docs_, "line": lines}
+def parts_of(n: int) -> int:
+    """Into how many parts a line of so many words is dealt, a power of two."""
+    return 1 << max(0, -(-n // SPLIT) - 1).bit_length()
 
-    first = F.min(F.struct("doc", "line")).alias("first")
-    return line_map(docs, each, HASHED).groupBy("hash_a", "hash_b").agg(first).select("first.*")
 
+def dealt(mixed: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Long lines in parts: the places of words by part, each part's line and number of parts, and where each part begins.
 
-def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> DataFrame:
-    """``pack, doc, line, parity_a, parity_b``: the rarest words of every first line."""
-    shared = docs.sparkSession.sparkContext.broadcast((classes, firsts))
+    ``starts`` are those of lines. A line is dealt by its own number of words and by the most that a similar line may have.
+    """
+    top, bottom = THRESHOLD
+    n = np.diff(starts)
+    most = bottom * n // top
+    short = np.flatnonzero(most <= SPLIT)
+    took = [np.repeat(starts[short] - np.r_[0, np.cumsum(n[short])[:-1]], n[short]) + np.arange(n[short].sum())] if len(short) else []
+    owner, parts, sizes = [short], [np.ones(len(short), np.int64)], [n[short]]
+    for line in np.flatnonzero(most > SPLIT).tolist():
+        places = np.arange(starts[line], starts[line + 1])
+        spread = ((mixed[places] ^ (mixed[places] >> np.uint64(29))) * _MIX >> np.uint64(24)).astype(np.int64)
+        for count in {parts_of(int(n[line])), parts_of(int(most[line]))}:
+            part = spread & (count - 1)
+            held = np.bincount(part, minlength=count)
+            took.append(places[np.argsort(part, kind="stable")])
+            owner.append(np.full((held > 0).sum(), line))
+            parts.append(np.full((held > 0).sum(), count))
+            sizes.append(held[held > 0])
+    begin = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    return np.concatenate(took) if took else np.empty(0, np.int64), np.concatenate(owner), np.concatenate(parts), begin
+
+
+def prefix_rows(lines: DataFrame, classes: np.ndarray, sizes: tuple[int, float, int]) -> DataFrame:
+    """``pack, doc, line, parity_a, parity_b, wide``: the rarest words of every line, or of every part of a long one."""
+    shared = lines.sparkSession.sparkContext.broadcast(classes)
 
-    def each(found: list) -> dict:
-        classes, firsts = shared.value
-        found = in_bitmap(found, firsts)
-        words = [w for _, _, w in found]
-        raw, repeats, starts = ordered(words, classes)
-        n = np.diff(starts)
+    def each(batch: pa.RecordBatch) -> dict:
+        classes = shared.value
+        raw, repeats, starts = ordered([w.split() for w in batch.column("words").to_pylist()], classes)
         mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
+        took, owner, parts, starts = dealt(mixed, starts)
+        raw, mixed = raw[took], mixed[took]
+        n = np.diff(starts)
         bit = (mixed >> np.uint64(32)) % np.uint64(PARITY_BITS)
         one = np.uint64(1) << (bit & np.uint64(63))
         low, high = np.where(bit < 64, one, np.uint64(0)), np.where(bit < 64, np.uint64(0), one)
@@ -296,108 +331,165 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, firsts: np.ndarray) -> Dat
         line = np.repeat(np.arange(len(n)), length)
         place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
         at = place + starts[:-1][line]
-        met = classes[raw[at] & (COUNTERS - 1)] > ONCE
+        met = classes[raw[at] & (len(classes) - 1)] > ONCE
         line, place, at = line[met], place[met], at[met]
-        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+        wide = pa.array(wide_parity(mixed, starts, sizes), pa.binary())
+        # parts of lines dealt alike meet, and no others
+        salted = mixed[at] ^ ((parts[line] - 1).astype(np.uint64) * _MIX)
         return {
-            "pack": (mixed[at] >> np.uint64(33)).astype(np.int64) << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST),
-            "doc": docs_[line],
-            "line": lines[line],
-            "parity_a": parity[0][line],
-            "parity_b": parity[1][line],
+            "pack": (salted >> np.uint64(33)).astype(np.int64) << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST),
+            "doc": batch.column("doc").take(pa.array(owner[line])),
+            "line": batch.column("line").take(pa.array(owner[line])),
+            "parity_a": pa.array(parity[0][line]),
+            "parity_b": pa.array(parity[1][line]),
+            "wide": wide.take(pa.array(line)),
         }
 
-    return line_map(docs, each, PREFIX)
-
-
-def matches(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """For rows met by one word (pack and parity): whether the filters let them through, and whether they look very near."""
-    top, bottom = THRESHOLD
-    size_a, size_b = a[0] >> SIZE_BITS & LONGEST, b[0] >> SIZE_BITS & LONGEST
-    place_a, place_b = a[0] & LONGEST, b[0] & LONGEST
-    total = size_a + size_b
-    needed = -(-top * total // (top + bottom))
-    low, high = ((x ^ y).view(np.uint64) for x, y in zip(a[1:], b[1:]))
-    single = high & np.uint64((1 << SINGLE) - 1)
-    differ = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(single)
-    triple = np.bitwise_count(high >> np.uint64(SINGLE)).astype(np.int64)
-    through = (
-        (bottom * np.minimum(size_a, size_b) >= top * np.maximum(size_a, size_b))
-        & (np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b) >= needed)
-        & (differ <= total - 2 * needed)
-        & (triple <= 3 * (total - 2 * needed))
-    )
-    through |= (size_a == LONGEST) | (size_b == LONGEST)
-    return through, through & (2 * differ <= total - 2 * needed) & (differ <= NEAR_BITS)
+    return arrow_map(lines.select("doc", "line", "words"), each, PREFIX, rows=1 << 12)
+
+
+class Met:
+    """The lines of some lists, by row: what the filters need of them."""
+
+    def __init__(self, part: pa.Table) -> None:
+        pack = part.column("pack").to_numpy()
+        self.size = (pack >> SIZE_BITS & LONGEST).astype(np.int32)
+        self.place = (pack & LONGEST).astype(np.int32)
+        self.parity = np.stack([part.column(c).to_numpy() for c in ("parity_a", "parity_b")], axis=1).view(np.uint64)
+        self.doc, self.line = (part.column(c).to_numpy() for c in ("doc", "line"))
+        wide = part.column("wide").combine_chunks()
+        offsets = wide.buffers()[1]
+        ends = np.frombuffer(offsets, np.int32)[wide.offset : wide.offset + len(wide) + 1].astype(np.int64)
+        self.wide_at, self.wide_size = ends[:-1], np.diff(ends)
+        self.wide = np.frombuffer(wide.buffers()[2] or b"", np.uint8)
+
+    def wide_differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits wide parities differ at least; the wider of two is folded. Rows without one differ in none."""
+        out = np.zeros(len(a), np.int64)
+        width = self.wide_size[a], self.wide_size[b]
+        both = np.flatnonzero((width[0] > 0) & (width[1] > 0))
+        for wide_a, wide_b in np.unique(np.stack([w[both] for w in width], axis=1), axis=0).tolist():
+            pick = both[(width[0][both] == wide_a) & (width[1][both] == wide_b)]
+            step = max(1, (1 << 24) // max(wide_a, wide_b))
+            for low in range(0, len(pick), step):
+                some = pick[low : low + step]
+                bits = [
+                    np.bitwise_xor.reduce(self.wide[self.wide_at[x[some], None] + np.arange(w)].reshape(len(some), -1, min(wide_a, wide_b)), axis=1)
+                    for x, w in ((a, wide_a), (b, wide_b))
+                ]
+                out[some] = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1)
+        return out
+
+    def through(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the pairs of rows may be similar; how many words look different in them, and how many may be."""
+        top, bottom = THRESHOLD
+        size_a, size_b = self.size[a], self.size[b]
+        long = (size_a == LONGEST) | (size_b == LONGEST)
+        keep = np.flatnonzero((bottom * np.minimum(size_a, size_b) >= top * np.maximum(size_a, size_b)) | long)
+        # words of one line that fall together, and repeated rows, bring a line to itself
+        keep = keep[(self.line[a[keep]] != self.line[b[keep]]) | (self.doc[a[keep]] != self.doc[b[keep]])]
+        size_a, size_b, long = size_a[keep], size_b[keep], long[keep]
+        total = (size_a + size_b).astype(np.int64)
+        needed = -(-top * total // (top + bottom))
+        place_a, place_b = self.place[a[keep]], self.place[b[keep]]
+        fits = (np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b) >= needed) | long
+        keep, long, most = keep[fits], long[fits], (total - 2 * needed)[fits]
+        apart = self.parity[a[keep]] ^ self.parity[b[keep]]
+        triple = np.bitwise_count(apart[:, 1] >> np.uint64(SINGLE)).astype(np.int64)
+        apart[:, 1] &= np.uint64((1 << SINGLE) - 1)
+        differ = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+        fits = ((differ <= most) & (triple <= 3 * most)) | long
+        keep, long, most, differ = keep[fits], long[fits], most[fits], differ[fits]
+        differ = np.maximum(differ, self.wide_differ(a[keep], b[keep]))
+        fits = (differ <= most) | long
+        return keep[fits], differ[fits], np.where(long, -1, most)[fits]
 
 
 PAIR = T.StructType(
-    [*(T.StructField(c, T.LongType()) for c in ("doc", "line", "a_doc", "a_line")), T.StructField("more", T.BooleanType()), T.StructField("full", T.LongType())]
+    [
+        *(T.StructField(c, T.LongType()) for c in ("doc", "line", "differ", "a_doc", "a_line")),
+        T.StructField("more", T.BooleanType()),
+        T.StructField("full", T.LongType()),
+    ]
 )
-
-
-MARKS = ("pack", "parity_a", "parity_b")
 ENDS = ("doc", "line", "a_doc", "a_line")
 
 
-def near_pairs(rows: DataFrame, near: int | None) -> DataFrame:
-    """``doc, line, a_doc, a_line, more, full``: lines with those before them that share a word and may match.
+def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = None) -> DataFrame:
+    """``doc, line, differ, a_doc, a_line, more, full``: of the lines before a line that share a word and may match, the likeliest.
 
-    After as many very near ones as ``near`` says (None: never) a line meets no more by that
-    word, and ``more`` says so. A row with ``full`` names a word of more than
-    ``HELD`` lines, which has no pairs here.
+    A line goes on to the first that looks very near (half the words allowed to differ do), and takes the ``LIKELIEST`` with the
+    fewest different words; ``more`` says that others may match as well. With ``every``
+    all that may match are returned. A list is the rows of one ``word`` and ``tile``. A row with ``full`` names a word of more than
+    ``held_lines`` (None: any number) rows, which has no pairs here. With a column ``open`` only such lines are held against others.
     """
-
-    def pairs(columns: list[np.ndarray]) -> dict:
-        doc, line, *marks = columns
-        word = marks[0] >> 2 * SIZE_BITS
-        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
-        active, seen = np.flatnonzero(place), np.zeros(len(word), np.int64)
-        limit = near or len(word) + 1
+    asking = "open" in rows.columns
+
+    def pairs(part: pa.Table, starts: np.ndarray) -> list[pa.Array]:
+        met = Met(part)
+        size = part.num_rows
+        place = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
+        active = np.flatnonzero((place > 0) & part.column("open").to_numpy(zero_copy_only=False)) if asking else np.flatnonzero(place)
+        stopped = np.zeros(size, bool)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = 0
         while len(active):
-            earlier = active - place[active] + step
-            through, close = matches([m[earlier] for m in marks], [m[active] for m in marks])
-            # words of one line that fall together, and repeated rows, bring a line to itself
-            other = (doc[earlier] != doc[active]) | (line[earlier] != line[active])
-            through, close = through & other, close & other
-            seen[active] += close
+            before = active - place[active] + step
+            at, differ, most = met.through(before, active)
             step += 1
-            stopped = seen[active] >= limit
-            left = place[active] > step
-            found.append((active[through], earlier[through], (stopped & left)[through]))
-            active = active[left & ~stopped]
-        b, a, more = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-        return {"doc": doc[b], "line": line[b], "a_doc": doc[a], "a_line": line[a], "more": more.astype(bool)}
+            found.append((active[at], before[at], differ))
+            stay = place[active] > step
+            if not every:
+                near = at[2 * differ <= most]
+                stopped[active[near[stay[near]]]] = True
+                stay[near] = False
+            active = active[stay]
+        b, a, differ = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+        more = np.zeros(len(b), bool)
+        if not every and len(b):
+            order = np.lexsort((a, differ, b))
+            b, a, differ = b[order], a[order], differ[order]
+            first = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
+            rank = np.arange(len(b)) - np.repeat(first, np.diff(np.r_[first, len(b)]))
+            stopped[b[rank >= LIKELIEST]] = True
+            keep = rank < LIKELIEST
+            b, a, differ = b[keep], a[keep], differ[keep]
+            more = stopped[b]
+        columns = [met.doc[b], met.line[b], differ, met.doc[a], met.line[a], more]
+        return [*map(pa.array, columns), pa.nulls(len(b), pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64) for _ in range(2 + len(MARKS))]
+        held: list[pa.RecordBatch] = []
         full: int | None = None
+        new = 0
         for batch in chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(c).to_numpy() for c in ("doc", "line", *MARKS)]
-                held = [np.concatenate(x) for x in zip(held, new)]
-            words = held[2] >> 2 * SIZE_BITS
+                held.append(batch)
+                new += batch.num_rows
+            if not held or (batch is not None and new < MET_ROWS):
+                continue
+            new = 0
+            part = pa.Table.from_batches(held).combine_chunks()
+            word, tile = part.column("word").to_numpy(), part.column("tile").to_numpy()
             if full is not None:  # the rest of a word that was given up
-                rest = int(np.searchsorted(words, full, "right"))
-                held, words = [x[rest:] for x in held], words[rest:]
-            # the last word may go on in the next batch
-            cut = int(np.searchsorted(words, words[-1])) if batch is not None and len(words) else len(words)
+                rest = int(np.searchsorted(word, full, "right"))
+                part, word, tile = part.slice(rest), word[rest:], tile[rest:]
+            starts = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (tile[1:] != tile[:-1])]) if len(word) else np.empty(0, np.int64)
+            # the last list may go on in the next batch
+            cut = int(starts[-1]) if batch is not None and len(starts) else len(word)
             if cut:
-                out = pairs([x[:cut] for x in held])
-                n = len(out["doc"])
-                arrays = [pa.array(v) for v in out.values()]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(n, pa.int64())], names=PAIR.fieldNames())
-                held, words = [x[cut:] for x in held], words[cut:]
-            if len(words) > HELD:
-                full = int(words[0])
-                row = [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.bool_()), pa.array([full])]
+                yield pa.RecordBatch.from_arrays(pairs(part.slice(0, cut).combine_chunks(), starts[starts < cut]), names=PAIR.fieldNames())
+            part, word = part.slice(cut), word[cut:]
+            if held_lines is not None and len(word) > held_lines:
+                full = int(word[0])
+                row = [pa.nulls(1, pa.int64())] * 5 + [pa.nulls(1, pa.bool_()), pa.array([full])]
                 yield pa.RecordBatch.from_arrays(row, names=PAIR.fieldNames())
-                held = [x[:0] for x in held]
+                part = part.slice(part.num_rows)
+            held = part.to_batches() if part.num_rows else []
 
-    dealt = rows.select("doc", "line", *MARKS).repartition(_word()).sortWithinPartitions(_word(), "doc", "line")
+    tiled = rows if "tile" in rows.columns else rows.withColumn("tile", F.lit(0).cast("long"))
+    order = ["word", "tile", "doc", "line"]
+    dealt = tiled.withColumn("word", _word()).repartition("word", "tile").sortWithinPartitions(*order)
     return dealt.mapInArrow(run, PAIR)
 
 
@@ -405,24 +497,24 @@ def _word() -> Column:
     return F.shiftright("pack", 2 * SIZE_BITS)
 
 
-def could_match() -> Column:
-    """Length, positional and parity filter on rows met by one word, the earlier one's columns named ``a_...``."""
-    top, bottom = THRESHOLD
-    size = lambda p: f"(shiftright({p}, {SIZE_BITS}) & {LONGEST})"
-    place = lambda p: f"({p} & {LONGEST})"
-    a, b = "a_pack", "pack"
-    total = f"({size(a)} + {size(b)})"
-    needed = f"(({top} * {total} + {top + bottom - 1}) div {top + bottom})"
-    left = f"least({size(a)} - {place(a)}, {size(b)} - {place(b)})"
-    differ = f"bit_count(a_parity_a ^ parity_a) + bit_count((a_parity_b ^ parity_b) & {(1 << SINGLE) - 1}L)"
-    triple = f"bit_count(shiftrightunsigned(a_parity_b ^ parity_b, {SINGLE}))"
-    return F.expr(
-        f"""{size(a)} = {LONGEST} OR {size(b)} = {LONGEST} OR (
-            {bottom} * least({size(a)}, {size(b)}) >= {top} * greatest({size(a)}, {size(b)})
-            AND least({place(a)}, {place(b)}) + {left} >= {needed}
-            AND {differ} <= {total} - 2 * {needed}
-            AND {triple} <= 3 * ({total} - 2 * {needed}))"""
-    )
+def tiles(rows: DataFrame, full: DataFrame) -> DataFrame:
+    """The rows of the words ``full`` in blocks of about ``HELD``, each two blocks (and each with itself) a tile."""
+    mine = rows.withColumn("word", _word()).join(full.select(F.col("full").alias("word")), "word", "left_semi")
+    blocks = mine.groupBy("word").agg(F.ceil(F.count("*") / HELD).alias("blocks"))
+    block, other = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")), F.col("other")
+    spread = mine.join(blocks, "word").select("*", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    tile = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    return spread.withColumn("tile", tile).drop("word", "blocks", "block", "other")
+
+
+def candidates(rows: Callable[[], DataFrame], every: bool = False) -> DataFrame:
+    """All that ``near_pairs`` gives, words of more than ``HELD`` lines included."""
+    met = written(near_pairs(rows(), every, HELD), "met")
+    found, full = met.where("full IS NULL").drop("full"), met.where("full IS NOT NULL")
+    if not full.isEmpty():
+        # of a word that was given up some pairs may have come before
+        found = found.unionByName(written(near_pairs(tiles(rows(), full), every), "met-tiles").drop("full"))
+    return found
 
 
 def similar(a: list[bytes], b: list[bytes]) -> bool:
@@ -431,41 +523,17 @@ def similar(a: list[bytes], b: list[bytes]) -> bool:
     return bottom * shared >= top * (len(a) + len(b) - shared)
 
 
-def binned(words: list[list[bytes]]) -> list[bytes]:
-    """How many words of each line fall into each of ``BINS``, a byte each, 255 for that and more."""
-    at = np.repeat(np.arange(len(words), dtype=np.int64) * BINS, np.fromiter(map(len, words), np.int64, len(words)))
-    counts = np.bincount(at + hashes(words) % BINS, minlength=len(words) * BINS)
-    return [row.tobytes() for row in np.minimum(counts, 255).astype(np.uint8).reshape(-1, BINS)]
-
-
-def bins_match(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether lines of these bins (rows) can be similar: they share at most the lesser count of each bin."""
-    top, bottom = THRESHOLD
-    shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-    total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-    return (bottom * shared >= top * (total - shared)) | (a == 255).any(axis=1) | (b == 255).any(axis=1)
+def pick(lines: DataFrame, some: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of ``lines`` that a written table names; up to ``BROADCAST_ROWS`` names go to every task, and no line is shuffled."""
+    return lines.join(F.broadcast(some) if some.count() <= BROADCAST_ROWS else some, by, "left_semi")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``doc, line`` of the later lines of the pairs (``doc, line, a_doc, a_line``) that really are similar."""
-    pairs = written(pairs.distinct(), "candidates")
-    if pairs.isEmpty():
-        return pairs.select("doc", "line")
-    ends_of_pair = pairs.columns
+def really(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc, line`` of the later lines of the pairs (``doc, line, a_doc, a_line``, distinct) that are similar by their words."""
+    pairs = written(pairs, "candidates")
     ends = pairs.select("doc", "line").union(pairs.select("a_doc", "a_line")).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ends))
-    schema = T.StructType([*LINE.fields, T.StructField("words", T.BinaryType()), T.StructField("bins", T.BinaryType())])
-
-    def each(found: list) -> dict:
-        found = in_bitmap(found, shared.value)
-        docs_, lines = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
-        words = [f[2] for f in found]
-        bins = pa.array(binned(words), pa.binary())
-        return {"doc": docs_, "line": lines, "words": pa.array([b" ".join(w) for w in words], pa.binary()), "bins": bins}
-
-    lines = line_map(docs, each, schema).join(ends, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"])
-    lines = written(lines, "candidate-lines")
-    earlier = lines.select(*[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "words", "bins")])
+    asked = written(pick(lines, written(ends, "candidate-ends"), ["doc", "line"]).select("doc", "line", "words"), "candidate-lines")
+    earlier = asked.select(*[F.col(c).alias(f"a_{c}") for c in ("doc", "line", "words")])
 
     def check(batch: pa.RecordBatch) -> dict:
         names = ("doc", "line", "words", "a_words")
@@ -473,60 +541,53 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         hits = [(doc, line) for doc, line, b, a in rows if similar(a.split(), b.split())]
         return {"doc": [h[0] for h in hits], "line": [h[1] for h in hits]}
 
-    def may(batch: pa.RecordBatch) -> dict:
-        bins = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("bins", "a_bins")]
-        fits = pa.array(bins_match(*bins))
-        return {c: batch.column(c).filter(fits) for c in ends_of_pair}
-
-    def near_enough(some: DataFrame) -> DataFrame:
-        both = some.join(lines.drop("words"), ["doc", "line"]).join(earlier.drop("a_words"), ["a_doc", "a_line"])
-        return written(arrow_map(both.select(*ends_of_pair, "bins", "a_bins"), may, pairs.schema), "bounded")
+    both = pairs.join(asked, ["doc", "line"]).join(earlier, ["a_doc", "a_line"])
+    return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
 
-    def really(some: DataFrame) -> DataFrame:
-        both = some.join(lines.drop("bins"), ["doc", "line"]).join(earlier.drop("a_bins"), ["a_doc", "a_line"])
-        return written(arrow_map(both.select("doc", "line", "words", "a_words"), check, LINE).distinct(), "matches")
 
-    # most lines that match at all match the first line they meet
-    least = pairs.groupBy("doc", "line").agg(F.min(F.struct("a_doc", "a_line")).alias("a")).select("doc", "line", "a.*")
-    gone = really(least)
-    rest = pairs.join(gone, ["doc", "line"], "left_anti").join(least, pairs.columns, "left_anti")
-    return gone.union(really(near_enough(rest)))
-
-
-def joined_pairs(rows: DataFrame, full: DataFrame, later: DataFrame | None = None) -> DataFrame:
-    """``doc, line, a_doc, a_line``: lines (of ``later`` only, if given) with those before them, by the words ``full``."""
-    held = rows.join(full, "word", "left_semi")
-    early = held.select(*[F.col(c).alias(f"a_{c}") for c in ("word", "doc", "line", *MARKS)])
-    if later is not None:
-        held = held.join(later, ["doc", "line"], "left_semi")
-    before = F.expr("a_doc < doc OR (a_doc = doc AND a_line < line)")
-    return held.join(early, (F.col("word") == F.col("a_word")) & before & could_match()).select(*ENDS)
+def matched(lines: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The later lines that match one of their candidates, and those that don't although there are more."""
+    grouped = met.groupBy("doc", "line").agg(F.min(F.struct("differ", "a_doc", "a_line")).alias("best"), F.max("more").alias("more"))
+    best = written(grouped.select("doc", "line", "best.a_doc", "best.a_line", "more"), "likeliest")
+    gone = really(lines, best.select(*ENDS))  # most lines that match at all match the likeliest
+    missed = best.join(gone, ["doc", "line"], "left_anti")
+    others = met.select(*ENDS).join(missed.select("doc", "line"), ["doc", "line"], "left_semi").distinct()
+    gone = gone.unionByName(really(lines, others.join(missed.select(*ENDS), list(ENDS), "left_anti")))
+    still = missed.where("more").select("doc", "line").join(gone, ["doc", "line"], "left_anti")
+    return gone, written(still, "open-lines")
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
-    firsts = written(first_lines(docs), "first-lines")
-    rows = prefix_rows(docs, rarity(docs), bitmap(firsts))
-    met = written(near_pairs(rows, NEAR), "met")
-    found = met.where("full IS NULL").select(*ENDS)
-    rows = rows.withColumn("word", _word())
-    full = met.where("full IS NOT NULL").select(F.col("full").alias("word"))
-    if not full.isEmpty():
-        found = found.union(joined_pairs(rows, full))
-    gone = verified(docs, found)
-    open_ = written(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "put-off")
-    if not open_.isEmpty():
-        words = rows.join(open_, ["doc", "line"], "left_semi").select("word").distinct().join(full, "word", "left_anti")
-        again = near_pairs(rows.join(words, "word", "left_semi"), None)
-        again = again.join(open_.withColumn("open", F.lit(True)), ["doc", "line"], "left")
-        again = written(again.where("open OR full IS NOT NULL"), "met-again")
-        rest = again.where("full IS NULL").select(*ENDS)
-        # batches fall otherwise here: a word met in task above may be given up now
-        full = again.where("full IS NOT NULL").select(F.col("full").alias("word"))
-        if not full.isEmpty():
-            rest = rest.union(joined_pairs(rows, full, open_))
-        gone = gone.union(verified(docs, rest))
-    return firsts.join(gone.distinct(), ["doc", "line"], "left_anti")
+    lines = distinct_lines(docs)
+    classes = rarity(lines)
+    gone, still = matched(lines, candidates(lambda: prefix_rows(lines, classes, NARROW_LINES)))
+    if not still.isEmpty():
+        rows = again(lines, classes, still)
+        new, still = matched(lines, candidates(lambda: _marked(rows, still)))
+        gone = gone.unionByName(new)
+        if not still.isEmpty():
+            last = candidates(lambda: _marked(rows, still), True).select(*ENDS).distinct()
+            gone = gone.unionByName(really(lines, last))
+    return lines.select("doc", "line").join(gone.distinct(), ["doc", "line"], "left_anti")
+
+
+def again(lines: DataFrame, classes: np.ndarray, still: DataFrame) -> DataFrame:
+    """The rows of the words of open lines, with wide parities."""
+    asked = pick(lines, still, ["doc", "line"])
+    words = prefix_rows(asked, classes, NARROW_LINES).select(_word().alias("word")).distinct()
+    words = written(words, "open-words")
+    # lines are picked by narrow rows, so that wide ones are made of few lines only
+    narrow = prefix_rows(lines, classes, (LONGEST, 1, 256)).select("doc", "line", _word().alias("word"))
+    picked = written(pick(narrow, words, ["word"]).select("doc", "line").distinct(), "open-met")
+    some = written(pick(lines, picked, ["doc", "line"]), "open-met-lines")
+    wide = prefix_rows(some, classes, WIDE).withColumn("word", _word())
+    return written(pick(wide, words, ["word"]).drop("word"), "open-rows")
+
+
+def _marked(rows: DataFrame, still: DataFrame) -> DataFrame:
+    marked = rows.join(still.withColumn("open", F.lit(True)), ["doc", "line"], "left")
+    return marked.withColumn("open", F.coalesce("open", F.lit(False)))
 
 
 STAYED = T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
