@@ -10,10 +10,15 @@ as is every text if nothing was learned. Equal counts rank by code points, equal
 distances go to the smaller language code. Repeated rows are learned from as
 often as they occur. Null languages are not learned from. Profiles of more than
 ``MAX_LANGUAGES`` languages are refused with an error, as every task holds them.
+Texts of any length are read whole, by blocks whose counts add up. Other columns may have any name, but
+``lang_pred`` and ``score`` are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +30,9 @@ from tidemark.llm.common import arrow_map
 #: N-grams of a profile, and of a document that are compared with it.
 PROFILE = 300
 MAX_LANGUAGES = 8192
+#: Characters whose n-grams are made at once, and n-grams that are held before they are counted.
+BLOCK = 1 << 18
+HELD = 1 << 20
 UNDETERMINED = "und"
 
 _BITS = 21  # of a code point
@@ -38,26 +46,57 @@ def _is_letter() -> np.ndarray:
     return _letters
 
 
-def ngrams(text: str | None) -> np.ndarray:
-    """The n-grams of a text as numbers, repeats included.
+def ngrams(text: str | None, block: int = BLOCK) -> Iterator[np.ndarray]:
+    """The n-grams of a text as numbers, repeats included, of ``block`` characters at a time.
 
     Letters are lower-cased; a run of anything else is one 0, which marks the
     ends of words; n-grams never have it in the middle.
     """
     if not text:
-        return np.empty(0, np.int64)
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    points = np.where(_is_letter()[points], points, 0)
-    points = np.concatenate(([0], points, [0]))
-    points = points[(points != 0) | np.concatenate(([True], points[:-1] != 0))]
-    pairs = points[:-1] << _BITS | points[1:]
-    triples = (pairs[:-1] << _BITS | points[2:])[points[1:-1] != 0]
-    return np.concatenate((points[points != 0], pairs, triples)) if len(points) > 2 else np.empty(0, np.int64)
-
-
-def ranked(grams: np.ndarray) -> np.ndarray:
-    """The most frequent n-grams, most frequent first, ties by number."""
-    values, counts = np.unique(grams, return_counts=True)
+        return
+    lowered = text.lower()
+    held = np.zeros(1, np.int64)  # the last two points before the block
+    for at in range(0, len(lowered) + 1, block):
+        points = np.frombuffer(lowered[at : at + block].encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        points = np.where(_is_letter()[points], points, 0)
+        if at + block > len(lowered):
+            points = np.append(points, 0)
+        points = points[(points != 0) | (np.concatenate((held[-1:], points[:-1])) != 0)]
+        both = np.concatenate((held, points))
+        pairs = both[:-1] << _BITS | both[1:]
+        triples = (pairs[:-1] << _BITS | both[2:])[both[1:-1] != 0]
+        yield np.concatenate((points[points != 0], pairs[len(held) - 1 :], triples))
+        held = both[-2:]
+
+
+def counted(grams: Iterable[np.ndarray], most: int = HELD) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams in order with their numbers; ``most`` and one block are held uncounted."""
+    values, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    held: list[np.ndarray] = []
+
+    def add() -> tuple[np.ndarray, np.ndarray]:
+        new, times = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        if not len(values):
+            return new, times
+        both, at = np.unique(np.concatenate((values, new)), return_inverse=True)
+        total = np.zeros(len(both), np.int64)
+        np.add.at(total, at, np.concatenate((counts, times)))
+        return both, total
+
+    waiting = 0
+    for part in grams:
+        held.append(part)
+        waiting += len(part)
+        if waiting >= most:
+            values, counts = add()
+            waiting = 0
+    return add() if held else (values, counts)
+
+
+def ranked(text: str | None) -> np.ndarray:
+    """The most frequent n-grams of a text, most frequent first, ties by number."""
+    values, counts = counted(ngrams(text))
     return values[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
@@ -73,7 +112,7 @@ class Profiles:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and 1 - distance / greatest distance."""
-        return self.nearest(ranked(ngrams(text)))
+        return self.nearest(ranked(text))
 
     def nearest(self, mine: np.ndarray) -> tuple[str, float]:
         """Language and score of ranked n-grams."""
@@ -96,10 +135,10 @@ def profile_counts(docs: DataFrame, lang: str = "lang", column: str = "text") ->
     )
 
     def each(batch: pa.RecordBatch) -> dict:
-        by: dict[str, list[np.ndarray]] = {}
+        by: dict[str, list[str | None]] = {}
         for code, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            by.setdefault(code, []).append(ngrams(text))
-        parts = [(code, *np.unique(np.concatenate(arrays), return_counts=True)) for code, arrays in by.items()]
+            by.setdefault(code, []).append(text)
+        parts = [(code, *counted(chain.from_iterable(map(ngrams, texts)))) for code, texts in by.items()]
         return {
             "lang": [code for code, grams, _ in parts for _ in range(len(grams))],
             "gram": pa.array(np.concatenate([g for _, g, _ in parts])),
@@ -113,8 +152,9 @@ def profile_counts(docs: DataFrame, lang: str = "lang", column: str = "text") ->
 def learn(docs: DataFrame, lang: str = "lang", column: str = "text") -> Profiles:
     """The profiles of ``docs``: one job; at most ``PROFILE`` rows a language reach the driver."""
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    top = profile_counts(docs, lang, column).withColumn("place", F.row_number().over(order) - 1)
-    rows = top.where(F.col("place") < PROFILE).select("lang", "gram", "place").limit(PROFILE * MAX_LANGUAGES + 1).collect()
+    top = profile_counts(docs, lang, column).withColumn("place", F.row_number().over(order))
+    # in this form the limit is known to the planner, and a task sends on a language's first rows only
+    rows = top.where(F.col("place") <= PROFILE).select("lang", "gram", F.col("place") - 1).limit(PROFILE * MAX_LANGUAGES + 1).collect()
     if len(rows) > PROFILE * MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return Profiles([tuple(r) for r in rows])
@@ -137,7 +177,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def each(batch: pa.RecordBatch) -> dict:
-        grams = [ranked(ngrams(t)) for t in batch.column("__text").to_pylist()]
+        grams = [ranked(t) for t in batch.column("__text").to_pylist()]
         found = [shared.value.nearest(g) for g in grams]
         out = {c: batch.column(c) for c in kept} | {c: [len(g) for g in grams] for c in counts}
         return out | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
