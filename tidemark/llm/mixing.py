@@ -14,14 +14,16 @@ document at most.
 
 Defined results: null texts have no words, whatever they are repeated. Null sources are one source, the last. A source
 without words has target 0. Documents of equal hashes go in the order of their
-key, and rows equal in all are exchangeable, so reruns agree.
+key, and rows equal in all are exchangeable, so reruns agree. Rows without a key are told apart by a hash of their
+text, in the draw and in ``mix``. Rows that share key, source and text are taken equally often. Further columns are carried in
+one struct and may have any name. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,22 +37,29 @@ BUCKETS = 4096
 TOLERANCE = 1e-12
 
 
+def _mark(column: str) -> Column:
+    """What tells texts of one key, or of none, apart."""
+    return F.xxhash64(F.col(column)).alias("mark")
+
+
 def sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", column: str = "text", seed: int = SEED) -> DataFrame:
-    """``key, source, size, draw, bucket`` per row: words, seeded hash, part of the hash."""
+    """``key, source, mark, size, draw, bucket`` per row: hash of the text, words, seeded hash, part of the hash."""
     schema = T.StructType(
         [
             T.StructField("key", docs.schema[key].dataType),
             T.StructField("source", docs.schema[source].dataType),
+            T.StructField("mark", T.LongType()),
             T.StructField("size", T.LongType()),
         ]
     )
 
     def each(batch: pa.RecordBatch) -> dict:
         found = pc.count_substring_regex(batch.column("text"), r"[^\x20\x09-\x0D]+")
-        return {"key": batch.column("key"), "source": batch.column("source"), "size": pc.fill_null(found, 0).cast(pa.int64())}
+        same = {c: batch.column(c) for c in ("key", "source", "mark")}
+        return same | {"size": pc.fill_null(found, 0).cast(pa.int64())}
 
-    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(column).alias("text"))
-    draw = F.xxhash64(F.lit(seed), F.col("key"))
+    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), _mark(column), F.col(column).alias("text"))
+    draw = F.xxhash64(F.lit(seed), F.col("key"), F.when(F.col("key").isNull(), F.col("mark")))
     return arrow_map(rows, each, schema).withColumn("draw", draw).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)))
 
 
@@ -113,25 +122,27 @@ def plan(sized: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def repetitions(docs: DataFrame, key: str = "doc_id", source: str = "source", column: str = "text", seed: int = SEED) -> DataFrame:
-    """Per row ``key, source, size, source_size, target, times``: how often the mix takes the document."""
+    """Per row ``key, source, mark, size, source_size, target, times``: how often the mix takes the document."""
     sized = written(sizes(docs, key, source, column, seed), "sizes")
     planned = written(plan(sized, targets(sized)), "mix-plan").withColumnRenamed("source", "__source")
     rows = sized.join(planned, F.col("source").eqNullSafe(F.col("__source")))
     # extra: whether the document is in the sample
     inside = rows.where(F.col("bucket") != F.col("last_bucket"))
     inside = inside.withColumn("extra", F.col("bucket") < F.col("last_bucket"))
-    order = Window.partitionBy("source").orderBy("draw", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source").orderBy("draw", "key", "mark").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where(F.col("bucket") == F.col("last_bucket"))
     reached = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2
     edge = edge.withColumn("extra", reached <= F.col("rest"))
     times = F.col("whole") + (F.col("extra") & (F.col("rest") > 0)).cast("int")
-    return inside.unionByName(edge).select("key", "source", "size", "source_size", "target", times.cast("int").alias("times"))
+    return inside.unionByName(edge).select("key", "source", "mark", "size", "source_size", "target", times.cast("int").alias("times"))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", column: str = "text", seed: int = SEED) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; rows that share key and source are taken equally often."""
+    """``docs`` with each row as often as the mix takes it; rows that share key, source and text are taken equally often."""
     found = repetitions(docs, key, source, column, seed)
-    times = found.groupBy(F.col("key").alias("__key"), F.col("source").alias("__source")).agg(F.max("times").alias("__times"))
-    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(source).eqNullSafe(F.col("__source"))
-    taken = docs.join(times.where("__times > 0"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return taken.select(*docs.columns)
+    times = found.groupBy("key", "source", "mark").agg(F.max("times").alias("times")).where("times > 0")
+    times = times.select(*[F.col(c).alias(f"its_{c}") for c in times.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(source).alias("source"), _mark(column))
+    same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("key", "source", "mark")]
+    taken = rows.join(times, same[0] & same[1] & same[2]).select("row", F.explode(F.sequence(F.lit(1), F.col("its_times"))))
+    return taken.select("row.*")

@@ -18,7 +18,8 @@ fingerprint and never paired. Links give connected components.
 
 Defined results: a null or empty text has fingerprint 0 and is linked like any
 other. Repeated rows each get a row. NULL keys are members; a component without
-any key has the id NULL. Texts of any length are read whole.
+any key has the id NULL. Texts of any length are read whole. Only key and text are read; ``keep_one`` carries the
+other columns, of any name.
 """
 
 from __future__ import annotations
@@ -57,13 +58,15 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``key, fp`` per row."""
-    schema = T.StructType([docs.schema[key], T.StructField("fp", T.LongType())])
+    """``key, mark, fp`` per row; ``mark`` is a hash of the text."""
+    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("mark", "fp"))])
 
     def each(batch: pa.RecordBatch) -> dict:
-        return {key: batch.column(key), "fp": [fingerprint(t, shingle) for t in utf8(batch.column("__text"))]}
+        same = {c: batch.column(c) for c in ("key", "mark")}
+        return same | {"fp": [fingerprint(t, shingle) for t in utf8(batch.column("text"))]}
 
-    return arrow_map(docs.select(key, F.col(column).alias("__text")), each, schema)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(column).alias("mark"), F.col(column).alias("text"))
+    return arrow_map(rows, each, schema)
 
 
 def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
@@ -97,28 +100,39 @@ def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
     return ball.hint("merge").join(table, (ball["key"] == table["key"]) & near & once & (F.col("a") != F.col("b"))).select("a", "b")
 
 
-def groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``key, fp, component_id`` per row: the smallest key that links lead to, its own included."""
+def members(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """``key, mark, fp, component, component_id`` per row: its component, and the smallest key in that."""
     marked = written(fingerprints(docs, shingle, key, column), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min(key).alias("least")), "fingerprint-classes")
+    classes = written(marked.groupBy("fp").agg(F.min("key").alias("least")), "fingerprint-classes")
     linked = components(links(classes.select("fp"), max_distance), "a", "b")
     labelled = classes.join(linked, classes["fp"] == linked["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     labelled = written(labelled, "fingerprint-components")
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(ids, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, "fp", "component_id")
+    return marked.join(labelled.join(ids, "component").select("fp", "component", "component_id"), "fp")
+
+
+def groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """``key, fp, component_id`` per row: the smallest key that links lead to, its own included."""
+    return members(docs, shingle, max_distance, key, column).select(F.col("key").alias(key), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``docs`` without those whose component has a smaller key; of rows that share that key the first text stays.
+    """One document of each component: the one with the smallest key, without keys the one with the smallest hash of its text.
 
-    Documents without a key are kept: nothing can name another as their first.
+    Of rows that share key and text the first by a hash of the whole row stays. Columns may have any name.
     """
-    found = groups(docs, shingle, max_distance, key, column)
-    stay = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("__key")).distinct()
-    kept = docs.join(stay, docs[key] == stay["__key"], "left_semi")
-    place = F.row_number().over(Window.partitionBy(key).orderBy(column))
-    first = kept.withColumn("__place", place).where("__place = 1").drop("__place")
-    return first.unionByName(docs.where(F.col(key).isNull()))
+    found = members(docs, shingle, max_distance, key, column)
+    place = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("mark"))
+    first = found.groupBy("component").agg(F.min(place).alias("first")).select("first.key", "first.mark")
+    # how many rows share the place of a first one; only those are put in order
+    shared = found.groupBy("key", "mark").agg(F.count("*").alias("n"))
+    same = lambda a, b: a["key"].eqNullSafe(b["key"]) & (a["mark"] == b["mark"])
+    first = written(first.alias("f").join(shared.alias("s"), F.expr("f.key <=> s.key AND f.mark = s.mark")).select("f.*", "n"), "first-of-group")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.xxhash64(column).alias("mark"))
+    once, more = first.where("n = 1"), first.where("n > 1")
+    alone = rows.join(once, same(rows, once), "left_semi")
+    order = Window.partitionBy("key", "mark").orderBy(F.xxhash64("row"))
+    several = rows.join(more, same(rows, more), "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return alone.select("row.*").unionByName(several.select("row.*"))
