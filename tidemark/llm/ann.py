@@ -16,8 +16,8 @@ than d_k with a probability of 1 - ``CONFIDENCE`` at most, and the search stops.
 * A task has one block and one slice of its queries (``QUERY_ROWS``).
 
 Defined results: vectors that are null, zero, or hold a null or a non-finite
-component take no part, nor do those of another length than most (of equally
-many, the longest). Distances are Euclidean in double precision on the original
+component take no part, nor do those of another length than most of the table (of equally
+many, the longest). Only key and vector are read. Distances are Euclidean in double precision on the original
 vectors, ties go to the smaller id. Rows that share an id are candidates and
 queries alike, the nearest of them counts, and none is a neighbour of its own id.
 """
@@ -166,12 +166,17 @@ class Block:
         return list(zip(best_d.tolist(), best_i.tolist()))
 
 
-def clean(df: DataFrame, key: str, column: str) -> tuple[DataFrame, int, int]:
-    """``id, vector`` of the vectors that take part, their number and length."""
+def usable(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``id, vector`` of the vectors without a null, zero or non-finite one."""
     x = F.col("vector")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vector"))
-    rows = rows.where(F.col("id").isNotNull() & x.isNotNull()).where(finite & F.exists(x, lambda v: v != 0))
+    return rows.where(F.col("id").isNotNull() & x.isNotNull()).where(finite & F.exists(x, lambda v: v != 0))
+
+
+def clean(df: DataFrame, key: str, column: str) -> tuple[DataFrame, int, int]:
+    """``id, vector`` of the vectors that take part, their number and length."""
+    rows = usable(df, key, column)
     first = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.col("count").desc(), F.col("dim").desc()).first()
     if first is None:
         return rows, 0, 0
@@ -227,14 +232,20 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     """``query_id, rank, vec_id, score``: the k nearest rows of ``df`` for each row of ``queries``."""
     spark = df.sparkSession
     rows, total, dim = clean(df, key, column)
-    asked, n_asked, asked_dim = clean(queries, key, column)
+    # the table decides on the length, so that odd queries don't keep the others from theirs
+    asked = usable(queries, key, column).where(F.size("vector") == dim)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    if not total or not n_asked or asked_dim != dim:
+    if not total or asked.isEmpty():
         return spark.createDataFrame([], NEAR).select(
             "query_id", F.lit(0).alias("rank"), "vec_id", "score"
         )
-    sample = rows.orderBy(F.xxhash64(F.lit(0), F.col("id"))).limit(SAMPLE_ROWS).select("vector").toArrow()
-    points = _matrix(sample.column("vector").combine_chunks(), dim) @ directions(dim)
+    def project(batch: pa.RecordBatch) -> dict:
+        projected = _matrix(batch.column("vector"), dim) @ directions(dim)
+        return {"vector": pa.FixedSizeListArray.from_arrays(pa.array(projected.ravel()), PROJECTIONS)}
+
+    picked = rows.orderBy(F.xxhash64(F.lit(0), F.col("id"))).limit(SAMPLE_ROWS).select("vector")
+    sample = arrow_map(picked, project, T.StructType([rows.schema["vector"]])).toArrow()  # a few numbers a row
+    points = _matrix(sample.column("vector").combine_chunks(), PROJECTIONS)
     leaf_rows = max(CELL_SAMPLE, math.ceil(len(points) * BLOCK_ROWS / total))
     tree = spark.sparkContext.broadcast(Tree(points, leaf_rows, tight=False))
     with_cell = T.StructType([*rows.schema.fields, T.StructField("cell", T.IntegerType())])
