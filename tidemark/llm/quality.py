@@ -8,9 +8,8 @@ Above 1 it is rejected. The guards: a histogram of fewer than ``MIN_CHARS``
 characters or ``MIN_WORDS`` words is not judged, as its distance is mostly noise.
 
 A language has a reference if it has enough text, however small its share: at least
-``MIN_REFERENCE_WORDS`` words, of which no document has more than
-``MAX_DOCUMENT_SHARE`` (one long document of junk would make a reference that
-rejects the rest). A document of a language without one is not judged by the
+``MIN_REFERENCE_WORDS`` words. A document with more than ``MAX_DOCUMENT_SHARE`` of its language's words is left out of
+the reference (one long document of junk would make one that rejects the rest), and judged by it like any other. A document of a language without one is not judged by the
 references of others. More than ``MAX_LANGUAGES`` references are refused with an
 error, as every task holds them.
 
@@ -27,6 +26,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +49,6 @@ BASE_MIN_WORDS = 50
 BASE_MAX_REPEATED = 50  # per cent of the words
 
 CLASSES = ("Ll", "Lu", "L", "N", "P", "S", "space", "other")
-LONGEST = len(CLASSES)
 _WHITE = (9, 10, 11, 12, 13, 32)
 _CONTINUATION = bytes(range(128, 192))  # of UTF-8
 _class_of: np.ndarray | None = None
@@ -152,8 +151,23 @@ class References:
         )
 
 
-def _counts(docs: DataFrame, lang: str, column: str) -> DataFrame:
-    """``lang, class, word, n``: a language's words (``class`` is NULL), classes of characters, and at ``LONGEST`` the words of its longest text."""
+def _longest(known: DataFrame) -> dict[str, float]:
+    """For each language the most words a document of its reference may have, from all documents' sizes."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("n", T.LongType())])
+
+    def each(batch: pa.RecordBatch) -> dict:
+        found = pc.count_substring_regex(batch.column("text"), r"[^\x20\x09-\x0D]+")
+        return {"lang": batch.column("lang"), "n": pc.fill_null(found, 0).cast(pa.int64())}
+
+    totals = arrow_map(known, each, schema).groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_REFERENCE_WORDS)
+    rows = totals.limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    return {r["lang"]: r["n"] * MAX_DOCUMENT_SHARE for r in rows}
+
+
+def _counts(known: DataFrame, longest: dict[str, float]) -> DataFrame:
+    """``lang, class, word, n``: a language's words (``class`` is NULL) and classes of characters, of texts that aren't too long for it."""
     schema = T.StructType(
         [
             T.StructField("lang", T.StringType()),
@@ -162,38 +176,30 @@ def _counts(docs: DataFrame, lang: str, column: str) -> DataFrame:
             T.StructField("n", T.LongType()),
         ]
     )
+    shared = known.sparkSession.sparkContext.broadcast(longest)
 
     def each(batch: pa.RecordBatch) -> dict:
         words: dict[str, Counter] = {}
         classes: dict[str, np.ndarray] = {}
-        longest: dict[str, int] = {}
         for code, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text"))):
-            if text:
+            if text and code in shared.value:
                 listed = lower_words(text)
-                words.setdefault(code, Counter()).update(listed)
-                longest[code] = max(longest.get(code, 0), len(listed))
-                classes[code] = classes.get(code, 0) + class_counts(text)
+                if len(listed) <= shared.value[code]:
+                    words.setdefault(code, Counter()).update(listed)
+                    classes[code] = classes.get(code, 0) + class_counts(text)
         rows = [(code, None, w, n) for code, held in words.items() for w, n in held.items()]
         rows += [(code, i, None, int(n)) for code, held in classes.items() for i, n in enumerate(held)]
-        rows += [(code, LONGEST, None, n) for code, n in longest.items()]
         return dict(zip(schema.fieldNames(), map(list, zip(*rows)))) if rows else {c: [] for c in schema.fieldNames()}
 
-    known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(column).alias("text"))
-    return arrow_map(known, each, schema).groupBy("lang", "class", "word").agg(
-        F.when(F.col("class") == LONGEST, F.max("n")).otherwise(F.sum("n")).alias("n")
-    )
+    return arrow_map(known, each, schema).groupBy("lang", "class", "word").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, lang: str = "lang", column: str = "text") -> References:
     """References of the languages that have enough text."""
-    counts = written(_counts(docs, lang, column), "quality-counts")
-    held = counts.groupBy("lang").agg(
-        F.sum(F.when(F.col("class").isNull(), F.col("n"))).alias("n"), F.max(F.when(F.col("class") == LONGEST, F.col("n"))).alias("longest")
-    )
-    big = held.where((F.col("n") >= MIN_REFERENCE_WORDS) & (F.col("longest") <= F.col("n") * MAX_DOCUMENT_SHARE))
-    totals = {r["lang"]: r["n"] for r in big.limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(column).alias("text"))
+    counts = written(_counts(known, _longest(known)), "quality-counts")
+    held = counts.where(F.col("class").isNull()).groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = {r["lang"]: r["n"] for r in held.where(F.col("n") >= MIN_REFERENCE_WORDS).collect()}
     langs = list(totals)
     counts = counts.where(F.col("lang").isin(langs))
     of_words = counts.where(F.col("class").isNull())
@@ -203,7 +209,7 @@ def learn(docs: DataFrame, lang: str = "lang", column: str = "text") -> Referenc
     for r in top.select("lang", "word", "n").collect():
         words[r["lang"]].append((bytes(r["word"]), r["n"]))
     classes = {code: np.zeros(len(CLASSES)) for code in langs}
-    for r in counts.where(F.col("class") < LONGEST).collect():
+    for r in counts.where(F.col("class").isNotNull()).collect():
         classes[r["lang"]][r["class"]] = r["n"]
     return References(classes, words, totals)
 
