@@ -49,7 +49,7 @@ DOCS = T.StructType(
 )
 
 #: Columns that operators and stages use for themselves.
-CLASHING = ["n_tokens", "score", "ids", "size", "key", "row", "line", "doc", "fp", "__doc", "__key", "times", "n_lines", "held_out"]
+CLASHING = ["__place", "__copy", "__source", "__times", "mark", "n", "place", "row", "its_key", "component", "n_tokens", "score", "ids", "size", "key", "line", "doc", "fp", "__doc", "__key", "times", "n_lines", "held_out"]
 
 
 @pytest.fixture(scope="session")

@@ -13,7 +13,7 @@ plus one. The same counts give the base score, an add-one unigram of words.
 All that depends on a word alone is worked out once per distinct word of the
 corpus, in a table of words: its training count and its log-probability. Words
 with a share of 1 / ``FREQUENT`` of all tokens, at most that many, go to every
-task (words above ``FREQUENT_BYTES`` do not, so their size is bounded). The rest
+task (words above ``FREQUENT_BYTES`` as digests, so their size is bounded). The rest
 are joined by word; no word that is left has more rows than that share.
 
 Defined results: null texts are empty, just an end. Rows without a key train.
@@ -23,6 +23,7 @@ as often as they occur. Words of any length are scored whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 
@@ -110,6 +111,11 @@ def _lattice(weights: dict[str, float]) -> Lattice:
     return _built[0][1]
 
 
+def known_as(word: bytes) -> bytes:
+    """A word itself, or a digest in place of a very long one; words hold no space."""
+    return word if len(word) <= FREQUENT_BYTES else b" " + hashlib.blake2b(word, digest_size=32).digest()
+
+
 WORD_COUNTS = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
 
 
@@ -150,14 +156,15 @@ def fit(counts: DataFrame, n_ends: int, path: str) -> dict[str, float]:
 
 
 def word_table(counts: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """``word, n, ln``: the words with their log-probability."""
+    """``word, n, ln``: the words (as ``known_as`` has them) with their log-probability."""
     shared = counts.sparkSession.sparkContext.broadcast(weights)
     schema = T.StructType([*WORD_COUNTS.fields, T.StructField("ln", T.DoubleType())])
 
     def each(batch: pa.RecordBatch) -> dict:
         model = _lattice(shared.value)
-        words = batch.column("word")
-        return {"word": words, "n": batch.column("n"), "ln": [model.word(w.decode("utf-8", "replace")) for w in words.to_pylist()]}
+        words = batch.column("word").to_pylist()
+        scores = [model.word(w.decode("utf-8", "replace")) for w in words]
+        return {"word": list(map(known_as, words)), "n": batch.column("n"), "ln": scores}
 
     return arrow_map(counts, each, schema)
 
@@ -180,7 +187,7 @@ def score(docs: DataFrame, held_out: Column, path: str, key: str = "doc_id", col
     base = total + distinct + (1 if ends else 0) + 1
     weights = fit(counts, ends, path)
     words = written(word_table(counts, weights), "words")
-    often = (F.col("n") * FREQUENT >= total) & (F.col("n") > 0) & (F.octet_length("word") <= FREQUENT_BYTES)
+    often = (F.col("n") * FREQUENT >= total) & (F.col("n") > 0)
     frequent = {bytes(w): (math.log10((n + 1) / base), ln / math.log(10)) for w, n, ln in words.where(often).collect()}
     shared = spark.sparkContext.broadcast(frequent)
     end_base, end_score = math.log10((ends + 1) / base), weights[END] / math.log(10)
@@ -204,9 +211,10 @@ def score(docs: DataFrame, held_out: Column, path: str, key: str = "doc_id", col
             n_tokens, n_known, in_base, in_score, rare = 1, int(ends > 0), end_base, end_score, []
             for word, times in held.items():
                 n_tokens += times
-                found = known.get(word)
+                name = word if len(word) <= FREQUENT_BYTES else known_as(word)
+                found = known.get(name)
                 if found is None:
-                    rare.append((word, times))
+                    rare.append((name, times))
                 else:
                     n_known += times
                     in_base += times * found[0]
