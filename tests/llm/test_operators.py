@@ -74,6 +74,50 @@ def test_chunks_compose(monkeypatch, chunk):
         assert one.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+def test_maps_compose_in_any_order():
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    one = token_counts.compiled(path)
+    rng = random.Random(3)
+    for _ in range(400):
+        text = "".join(rng.choices(["'", "s", "r", "e", " ", "  ", "\n", "the", "1", "!", "é", "日本", "ll"], k=rng.randint(1, 14)))
+        cuts = sorted(rng.sample(range(1, len(text)), min(len(text) - 1, rng.randint(0, 5))))
+        pieces = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        maps = [one.chunk_map(p) for p in pieces]
+        while len(maps) > 1:
+            i = rng.randrange(len(maps) - 1)
+            maps[i : i + 2] = [one.compose(maps[i], maps[i + 1])]
+        assert maps[0] == one.chunk_map(text), (text, pieces)
+        assert one.total(maps[0]) == one.count(text)
+
+
+def test_transitions_carry_counts():
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    one = token_counts.Transducer(path)
+    word = b" unbelievable"
+    assert one.count_pre_token(word) == one.count_pre_token(word)
+    state, total = 0, 0
+    for byte in word:
+        state, added = one.go[state << 8 | byte]
+        total += added
+    assert total == one.count_pre_token(word) == one.states[state][0]
+
+
+def test_long_texts_are_composed_over_rows(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(path)
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(["'", "s", "'re", " ", "  ", "\n", "the", " of", "1", "é", "日本", "<|endoftext|>", "r"], k=400)) for _ in range(12)]
+    texts += ["x" * 500, "", None, "<|endoftext|>" * 9, "short", " " * 300, "'r" + " " * 60 + "'l"]
+    monkeypatch.setattr(token_counts, "LONG", 40)
+    monkeypatch.setattr(token_counts, "CHUNK", 7)
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0])], "doc_id long, text string").repartition(3)
+    got = token_counts.count_tokens(df, path).collect()
+    want = [(i, len((t or "").encode()), n, n > 1024) for i, t in [*enumerate(texts), (None, texts[0])] for n in [len(library.encode(t or "", add_special_tokens=False).ids)]]
+    assert multiset(map(tuple, got)) == multiset(want)
+
+
 def test_bpe_encodes_as_the_library_and_decodes(docs, rows, no_docs):
     import tiktoken
 

@@ -5,19 +5,20 @@ Two deterministic machines read a text:
 * the pre-tokenizer, a table over classes of characters. A transition names the
   places (this character, the one before) where a pre-token begins, so the one
   character of look-ahead that white space needs is delayed output;
-* the merges, a tree of byte prefixes that is compiled as texts ask for it. A
-  transition carries the number of tokens it adds (or takes back, where bytes
-  merge into fewer tokens). The tokens of a prefix end in the one token that
+* the merges, whose transitions (state, byte) -> (state, tokens added) are compiled from the vocabulary as texts ask
+  for them; where bytes merge into fewer tokens a transition takes tokens back. A state is a prefix of a
+  pre-token. Its tokens end in the one token that
   stands in a valid pair with the last token of the prefix before it, so a new
   state follows from earlier states of its path without running the merges.
 
-A text is read in chunks. White space after something else always begins a
-pre-token, so a chunk maps the state it is entered in to (what it adds to the
-open part, tokens of its closed middle, open part it leaves). Such maps compose
-associatively; ``scan`` composes them as a parallel prefix scan does.
+A text is read in chunks. A chunk's map gives, for every state of the pre-tokenizer in which it may
+be entered, what it adds to the open pre-token, the tokens of the pre-tokens it closes, the one it leaves open, and the state it is left
+in. White space after something else always begins a pre-token, so all entries share the rest of the chunk from the first such place on.
+Maps compose associatively; ``scan`` composes neighbours as a parallel prefix scan does. A text of more than ``LONG`` bytes is
+dealt to rows of ``CHUNK`` characters, mapped by any tasks and composed by text; only maps meet.
 
 Null texts are empty and have no tokens. Rows are independent, so repeated rows
-and empty tables need no rule. Texts of any length are read whole.
+and empty tables need no rule. Texts of any length are read whole. Only key and text are read.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +37,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_map
 
-#: Characters that one state map covers.
+#: Characters that one state map covers, and bytes of a text from which on its chunks are rows.
 CHUNK = 1 << 16
+LONG = 1 << 24
 #: Units (white space and what follows it) with known counts, and states of the tree, that a worker keeps.
 CACHED_UNITS = 1 << 20
 CACHED_LENGTH = 64
@@ -94,15 +97,22 @@ def _step(state: int, cls: int) -> tuple[int, tuple[int, ...]]:
 TABLE = [[_step(state, cls) for cls in range(10)] for state in range(10)]
 
 
-class ChunkMap(NamedTuple):
-    """What a chunk does: joins ``head`` to the open part, adds ``count``, leaves ``tail`` open.
+class Entry(NamedTuple):
+    """What a chunk does if it is entered in one state.
 
-    ``tail`` is None if nothing in the chunk closes the open part.
+    With ``back`` a pre-token begins at the last character before the chunk. ``join`` goes on the open pre-token; ``count``
+    are the tokens of those closed after it; ``tail`` is the one left open, None if ``join`` is all of the chunk; ``state`` is the one it is left in.
     """
 
-    head: str
+    back: bool
+    join: str
     count: int
     tail: str | None
+    state: int
+
+
+#: An entry for each state in which a chunk may be entered (for a first chunk: ``BEGIN`` alone).
+ChunkMap = dict[int, Entry]
 
 
 class Units(dict):
@@ -161,8 +171,10 @@ class Transducer:
         self.classes |= dict.fromkeys("stmd", ENDS)
         self.spines: tuple[dict, dict] = ({}, {})
         self.whole: dict[bytes, bool] = {}
-        #: State after each prefix of a pre-token: its number of tokens, and the last of them.
-        self.states: dict[bytes, tuple[int, bytes]] = {b"": (0, b"")}
+        #: Transitions of the merges, by state and byte: the next state, and the tokens it adds.
+        self.go: dict[int, tuple[int, int]] = {}
+        #: Of each state: its number of tokens, and the last of them.
+        self.states: list[tuple[int, bytes]] = [(0, b"")]
         self.units = Units(self.count_unit)
 
     def class_of(self, char: str) -> int:
@@ -177,13 +189,18 @@ class Transducer:
             self.classes[char] = cls
         return cls
 
-    def pre_tokens(self, text: str) -> list[str]:
-        state, starts, known = BEGIN, [], self.classes.get
+    def run(self, state: int, text: str) -> tuple[int, list[int]]:
+        """The state after a text, and the places in it (-1: before it) where pre-tokens begin."""
+        starts, known = [], self.classes.get
         for i, char in enumerate(text):
             cls = known(char)
             state, cuts = TABLE[state][self.class_of(char) if cls is None else cls]
             for c in cuts:
                 starts.append(i + c)
+        return state, starts
+
+    def pre_tokens(self, text: str) -> list[str]:
+        state, starts = self.run(BEGIN, text)
         if state in (QUOTE_RV, QUOTE_L):
             starts.append(len(text) - 1)
         places = sorted({*starts, len(text)})
@@ -246,29 +263,47 @@ class Transducer:
                 j += 1
 
     def count_pre_token(self, raw: bytes) -> int:
+        """Tokens of a pre-token: the sum over its transitions."""
+        state, total, go = 0, 0, self.go.get
+        for at, byte in enumerate(raw):
+            step = go(state << 8 | byte)
+            if step is None:
+                return total + self.compile(raw, at)
+            state, added = step
+            total += added
+        return total
+
+    def compile(self, raw: bytes, at: int) -> int:
+        """Tokens that ``raw`` adds from place ``at`` on, where its first unknown transition is; transitions are kept up to a size."""
         states, vocabulary = self.states, self.vocabulary
-        known = min(len(raw), CACHED_LENGTH)
-        while raw[:known] not in states:
-            known -= 1
-        after, first = [states[raw[:known]]], known  # the states from place `first` on
-        for end in range(known + 1, len(raw) + 1):
+        path = [0]
+        for byte in raw[:at]:
+            path.append(self.go[path[-1] << 8 | byte][0])
+        first = max(0, at - self.longest)
+        after = [states[s] for s in path[first:]]  # the counts and last tokens from place `first` on
+        before, kept = after[-1][0], path[-1]
+        for end in range(at + 1, len(raw) + 1):
             for start in range(max(0, end - self.longest), end):
                 token = raw[start:end]
                 if token in vocabulary:
-                    count, last = states[raw[:start]] if start < known else after[start - first]
+                    count, last = after[start - first]
                     if self.is_valid(last, token):
                         break
             else:
                 raise ValueError(f"no token ends {raw[:end]!r}")
-            state = (count + 1, token)
-            if end <= CACHED_LENGTH and len(states) < TREE_STATES and len(after) == end - known:
-                states[raw[:end]] = state
-            after.append(state)
+            found = (count + 1, token)
+            if kept is not None and end <= CACHED_LENGTH and len(states) < TREE_STATES:
+                self.go[kept << 8 | raw[end - 1]] = len(states), found[0] - after[-1][0]
+                kept = len(states)
+                states.append(found)
+            else:
+                kept = None
+            after.append(found)
             if len(after) > 8 * self.longest:  # states further back are not asked for
                 drop = len(after) - self.longest - 1
                 del after[:drop]
                 first += drop
-        return after[-1][0]
+        return after[-1][0] - before
 
     def count_unit(self, unit: str) -> int:
         """Tokens of a text that begins where a pre-token begins, and after which one ends."""
@@ -277,27 +312,54 @@ class Transducer:
     def count_closed(self, text: str) -> int:
         return sum(map(self.units.__getitem__, _UNITS(text)))
 
-    def chunk_map(self, chunk: str) -> ChunkMap:
-        first = _SAFE.search(chunk)
-        if first is None:
-            return ChunkMap(chunk, 0, None)
-        at = first.start()
-        last = len(chunk) - len(_UNITS(chunk[at:])[-1])
-        return ChunkMap(chunk[:at], self.count_closed(chunk[at:last]), chunk[last:])
+    def tokens(self, pre_token: str) -> int:
+        return self.count_pre_token(pre_token.encode()) if pre_token else 0
+
+    def chunk_map(self, chunk: str, entries: Iterable[int] = range(10)) -> ChunkMap:
+        """The map of a chunk (not empty), for some entries or all."""
+        safe = _SAFE.search(chunk)
+        at = len(chunk) if safe is None else safe.start()
+        count, tail, left = 0, None, None
+        if safe is not None:  # from here on all entries are in one state
+            last = len(chunk) - len(_UNITS(chunk[at:])[-1])
+            left, starts = self.run(BEGIN, chunk[last:])
+            places = [last + p for p in starts]
+            count = self.count_closed(chunk[at:last]) + sum(self.tokens(chunk[a:b]) for a, b in zip(places, places[1:]))
+            tail = chunk[places[-1] :]
+        out = {}
+        for state in entries:
+            after, starts = self.run(state, chunk[: at + 1] if safe is not None else chunk)
+            places = sorted({p for p in starts if p >= 0})
+            back = -1 in starts
+            closed = sum(self.tokens(chunk[a:b]) for a, b in zip(places, places[1:]))
+            if safe is not None:
+                out[state] = Entry(back, chunk[: places[0]], closed + count, tail, left)
+            elif places:
+                out[state] = Entry(back, chunk[: places[0]], closed, chunk[places[-1] :], after)
+            else:
+                out[state] = Entry(back, chunk, 0, None, after)
+        return out
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        """The map of both chunks; where open parts meet, a safe place may lie at the seam."""
-        if a.tail is not None and b.tail is not None:
-            return ChunkMap(a.head, a.count + self.count_closed(a.tail + b.head) + b.count, b.tail)
-        seam = self.chunk_map((a.head if a.tail is None else a.tail) + b.head)
-        if a.tail is None and b.tail is None:
-            return seam
-        if b.tail is None:
-            if seam.tail is None:
-                return ChunkMap(a.head, a.count, seam.head)
-            return ChunkMap(a.head, a.count + self.count_closed(seam.head) + seam.count, seam.tail)
-        closed = 0 if seam.tail is None else seam.count + self.count_closed(seam.tail)
-        return ChunkMap(seam.head, closed + b.count, b.tail)
+        """The map of both chunks, entered as the first is."""
+        out = {}
+        for state, one in a.items():
+            two = b[one.state]
+            held = one.join if one.tail is None else one.tail  # what is open where the chunks meet
+            if one.tail is None and not two.back:
+                out[state] = Entry(one.back, held + two.join, two.count, two.tail, two.state)
+                continue
+            join = one.join if one.tail is not None else held[:-1]
+            count = one.count
+            if two.back:
+                if one.tail is not None:
+                    count += self.tokens(held[:-1])
+                held = held[-1:]
+            if two.tail is None:
+                out[state] = Entry(one.back, join, count, held + two.join, two.state)
+            else:
+                out[state] = Entry(one.back, join, count + self.tokens(held + two.join) + two.count, two.tail, two.state)
+        return out
 
     def scan(self, maps: list[ChunkMap]) -> ChunkMap:
         """All maps composed, neighbours first; their order stays."""
@@ -305,19 +367,26 @@ class Transducer:
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
         return maps[0]
 
+    def total(self, whole: ChunkMap) -> int:
+        """Tokens of a text with this map."""
+        one = whole[BEGIN]
+        if one.state in (QUOTE_RV, QUOTE_L):  # no contraction after all
+            return one.count + self.tokens(one.tail[:-1]) + self.tokens(one.tail[-1:])
+        return one.count + self.tokens(one.tail)
+
     def count_ordinary(self, text: str) -> int:
-        if len(text) <= CHUNK:
-            return self.count_closed(text)
-        whole = self.scan([self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)])
-        return self.count_closed(whole.head) + whole.count + (self.count_closed(whole.tail) if whole.tail else 0)
+        maps = [self.chunk_map(text[i : i + CHUNK], range(10) if i else (BEGIN,)) for i in range(0, len(text), CHUNK)]
+        return self.total(self.scan(maps))
+
+    def parts(self, text: str) -> list[str]:
+        """The text between special tokens."""
+        return [text] if self.special is None else self.special.split(text)
 
     def count(self, text: str | None) -> int:
         """Tokens of a text; a special token's text counts as that one token."""
         if not text:
             return 0
-        if self.special is None:
-            return self.count_ordinary(text)
-        parts = self.special.split(text)
+        parts = self.parts(text)
         return len(parts) - 1 + sum(map(self.count_ordinary, filter(None, parts)))
 
 
@@ -353,4 +422,60 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
 
     text = F.col(column)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-    return arrow_map(docs.select(key, text.alias("__text"), size.alias("__bytes")), each, schema)
+    rows = docs.select(key, text.alias("__text"), size.alias("__bytes"))
+    short, long = rows.where(F.col("__bytes") <= LONG), rows.where(F.col("__bytes") > LONG)
+    return arrow_map(short, each, schema).unionByName(_count_long(long, path, limit, key, schema))
+
+
+ENTRIES = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("entered", T.IntegerType()),
+            T.StructField("back", T.BooleanType()),
+            T.StructField("join", T.StringType()),
+            T.StructField("count", T.LongType()),
+            T.StructField("tail", T.StringType()),
+            T.StructField("state", T.IntegerType()),
+        ]
+    )
+)
+
+
+def _count_long(rows: DataFrame, path: str, limit: int, key: str, schema: T.StructType) -> DataFrame:
+    """Very long texts: their chunks are rows, mapped by any task; the maps of one text are composed in order."""
+    numbered = rows.withColumn("__row", F.monotonically_increasing_id())
+    head = [T.StructField("__row", T.LongType()), schema[key], *(T.StructField(c, T.LongType()) for c in ("__bytes", "__part", "__at"))]
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        one = compiled(path)
+        out: dict[str, list] = {f.name: [] for f in head} | {"__chunk": []}
+        for row, its_key, size, text in zip(*(batch.column(c).to_pylist() for c in ("__row", key, "__bytes", "__text"))):
+            for part, between in enumerate(one.parts(text)):
+                for at in range(0, max(len(between), 1), CHUNK):
+                    for name, value in zip(out, (row, its_key, size, part, at, between[at : at + CHUNK])):
+                        out[name].append(value)
+        return out
+
+    chunks = arrow_map(numbered, cut, T.StructType([*head, T.StructField("__chunk", T.StringType())]), rows=1)
+
+    def mapped(batch: pa.RecordBatch) -> dict:
+        one = compiled(path)
+        maps = [
+            [] if not chunk else [{"entered": s, **e._asdict()} for s, e in one.chunk_map(chunk, range(10) if at else (BEGIN,)).items()]
+            for at, chunk in zip(batch.column("__at").to_pylist(), batch.column("__chunk").to_pylist())
+        ]
+        return {f.name: batch.column(f.name) for f in head} | {"__map": maps}
+
+    dealt = chunks.repartition("__row", "__part", "__at")
+    maps = arrow_map(dealt, mapped, T.StructType([*head, T.StructField("__map", ENTRIES)]))
+
+    def composed(group: pd.DataFrame) -> pd.DataFrame:
+        one = compiled(path)
+        total = group["__part"].nunique() - 1
+        for _, part in group.sort_values("__at").groupby("__part"):
+            found = [{e.pop("entered"): Entry(**e) for e in map(dict, entries)} for entries in part["__map"] if len(entries)]
+            total += one.total(one.scan(found)) if found else 0
+        first = group.iloc[0]
+        return pd.DataFrame({key: [first[key]], "n_bytes": [first["__bytes"]], "n_tokens": [total], "over_limit": [total > limit]})
+
+    return maps.groupBy("__row").applyInPandas(composed, schema)
