@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import files
 from tidemark.llm import language_id, line_dedup, mixing, simhash
 from tidemark.llm.queries import bpe_round_trip
-from tidemark.staging import named_or_local, new_folder
+from tidemark.staging import job_folder, named_or_local, new_folder
 
 #: A text with a whole ranking of n-grams is of no known language below this score (1 -
 #: out-of-place distance). Shorter texts are not judged by it: few of their n-grams may be
@@ -45,7 +46,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays."""
+    """Of documents whose fingerprints are linked one stays: the one with the smallest doc_id."""
     named_or_local(spark)
     return simhash.keep_one(docs, shingle=3, max_distance=3)
 
@@ -75,11 +76,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each on the table that the one before wrote."""
+    """All stages over ``documents``, each on the table that the one before wrote.
+
+    What a stage stages for itself is removed when it has written, and so is the table before; only the
+    last stage's table stays.
+    """
     named_or_local(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_folder(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with job_folder(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            files.delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
