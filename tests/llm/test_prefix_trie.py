@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -141,7 +142,11 @@ def test_query(spark, tmp_path):
     got = queries.op11_prefix_trie(spark, f"file://{tmp_path}")
     names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     assert got.columns == names and [t for _, t in got.dtypes] == ["bigint"] * 7 + ["string"]
-    assert sorted(repr(tuple(r)) for r in got.collect()) == brute(rows)
+    got = sorted(repr(tuple(r)) for r in got.collect())
+    assert got == brute(rows)
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+        assert sorted(map(repr, con.execute(queries.ORACLE["op11_prefix_trie"]).fetchall())) == got
 
 
 def test_empty_tables(spark):

@@ -104,6 +104,52 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.rebuilt(turns))
 
 
+#: The CRC of a conversation's id is worked out bit by bit, over the bytes of its decimal digits.
+PREFIX_TRIE_SQL = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+    SELECT conv_id, count(*) AS n, xor(4294967295, list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda crc, byte: list_reduce(
+                   list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                   lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 9 AS h
+    FROM turns GROUP BY conv_id
+), convs AS (
+    SELECT c.conv_id, c.h, c.conv_id - c.conv_id % 5 AS base, least(c.h, coalesce(b.n, 0)) AS given
+    FROM sizes c LEFT JOIN sizes b ON b.conv_id = c.conv_id - c.conv_id % 5
+), paths AS (
+    SELECT conv_id, pos + 1 AS depth, role, text FROM convs c JOIN (SELECT conv_id AS base, pos, role, text FROM turns) t USING (base) WHERE pos < h
+    UNION ALL
+    SELECT conv_id, given + pos - h + 1, role, text FROM convs JOIN turns USING (conv_id) WHERE pos >= h
+), members AS (
+    SELECT conv_id, depth, octet_length(encode(text)) AS size,
+           string_agg(md5(concat(length(role), ':', role, text)), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+           depth = max(depth) OVER (PARTITION BY conv_id) AS ended
+    FROM paths
+    UNION ALL
+    SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM paths) FROM convs
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+    FROM members GROUP BY path, depth
+), children AS (
+    SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), subtrees AS (
+    SELECT left(path, CAST(32 * d AS BIGINT)) AS path, sum(saved) AS saved_tokens, sum(CAST(n_children = 0 AS INTEGER)) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees s USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)
+"""
+
+
 def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vector_dedup.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
     kept = F.col("id").eqNullSafe(F.col("component_id"))
@@ -164,4 +210,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_ranked_search,
     )
 }
-ORACLE: dict[str, str] = {"op13_ranked_search": RANKED_SEARCH_SQL}
+ORACLE: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE_SQL, "op13_ranked_search": RANKED_SEARCH_SQL}
