@@ -559,6 +559,39 @@ def test_ngrams_by_blocks():
             assert dict(zip(values.tolist(), counts.tolist())) == whole and values.tolist() == sorted(whole)
 
 
+def test_long_texts_need_little_memory():
+    """Language ID: a text of 50 MB, and 256 of 250 KB in one slice, in under 1 GB."""
+    script = """
+import resource, sys
+import numpy as np
+from tidemark.llm import language_id
+words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(900)]
+line = " ".join(words) + " "
+long = line * (50_000_000 // len(line))
+assert len(language_id.ranked(long)) == 300
+texts = [line * (250_000 // len(line)) for _ in range(256)]
+from itertools import chain
+values, counts = language_id.counted(chain.from_iterable(map(language_id.ngrams, texts)))
+assert counts.sum() > 64_000_000
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 1024
+
+
+def test_classes_are_counted_by_blocks():
+    text = "Aé日\U0001f642 1-+\n".encode() * 50
+    whole = quality.class_counts(text)
+    assert whole.sum() == 9 * 50
+    assert all((quality.class_counts(text, block) == whole).all() for block in (1, 2, 3, 5, 64))
+
+
 def test_a_long_document_leaves_the_reference_as_it_is(spark, monkeypatch):
     monkeypatch.setattr(quality, "MIN_REFERENCE_WORDS", 1000)
     rng = random.Random(4)

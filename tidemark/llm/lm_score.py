@@ -18,7 +18,8 @@ are joined by word; no word that is left has more rows than that share.
 
 Defined results: null texts are empty, just an end. Rows without a key train.
 Without training rows every token is unknown. Repeated rows count and are scored
-as often as they occur. Words of any length are scored whole.
+as often as they occur. Words and texts of any length are scored whole. Only the key, the text and what ``held_out``
+names are read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ error, as every task holds them.
 
 Defined results: null texts have no words and fail the base rules. Words of
 equal counts rank by their bytes. Repeated rows count as often as they occur.
-Documents without a language are held against every reference.
+Documents without a language are held against every reference. Only key, text and language are read, so other
+columns may have any name. Texts of any length are read whole; a task needs some fifteen times the longest for its words.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ MIN_REFERENCE_WORDS = 10_000
 MAX_DOCUMENT_SHARE = 1 / 16
 MAX_LANGUAGES = 8192
 MIN_CHARS = 200
+#: Bytes of a text whose characters are told apart at once.
+BLOCK = 1 << 20
 MIN_WORDS = 100
 #: Limits of the two distances.
 MAX_CLASS_DISTANCE = 0.21
@@ -70,9 +73,17 @@ def _classes() -> np.ndarray:
     return _class_of
 
 
-def class_counts(text: bytes) -> np.ndarray:
-    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    return np.bincount(_classes()[points], minlength=len(CLASSES))
+def class_counts(text: bytes, block: int = BLOCK) -> np.ndarray:
+    """How many characters fall into each class, ``block`` bytes at a time."""
+    counts, at = np.zeros(len(CLASSES), np.int64), 0
+    while at < len(text):
+        end = min(at + block, len(text))
+        while end < len(text) and text[end] & 0xC0 == 0x80:  # inside a character
+            end += 1
+        points = np.frombuffer(text[at:end].decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        counts += np.bincount(_classes()[points], minlength=len(CLASSES))
+        at = end
+    return counts
 
 
 def repeated_words(listed: list[bytes]) -> int:
