@@ -249,17 +249,7 @@ def latest_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON files by folder: at two depths, beside Parquet files and a folder whose name goes on."""
-    parent = new_folder(spark, "listing")
-    events = table(spark, sf_dir, "events")
-
-    def write(unit: str, fmt: str, folder: str) -> None:
-        dated = events.withColumn("day", F.date_format("ts", unit)).repartition(16, "day")
-        dated.write.partitionBy("day").format(fmt).save(f"{parent}/{folder}")
-
-    write("yyyyMMdd", "json", "events/a/deep")
-    write("yyyyMM", "json", "events/flat")
-    write("yyyy", "parquet", "events/other")
-    write("yyyy", "json", "events-old")
+    parent = derive.event_files(spark, sf_dir)
     found = F.regexp_extract("path", "/([a-z]+)/day=", 1), F.regexp_extract("path", "/day=([0-9]+)/", 1)
     listing = list_files(spark, f"{parent}/events", "json")
     return listing.groupBy(found[0].alias("folder"), found[1].alias("day")).agg(F.count("*").alias("n_files"))

@@ -215,6 +215,18 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(F.col("user_id").cast("string").alias("parent_id"), F.col("user_id").alias("parent_ord"), "offset", items.alias("items"))
 
 
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the events in files by day, month and year, in folders of several depths and two formats."""
+    events = table(spark, sf_dir, "events")
+
+    def write(path: str) -> None:
+        for unit, fmt, folder in (("yyyyMMdd", "json", "events/a/deep"), ("yyyyMM", "json", "events/flat"), ("yyyy", "parquet", "events/other"), ("yyyy", "json", "events-old")):
+            dated = events.withColumn("day", F.date_format("ts", unit)).repartition(16, "day")
+            dated.write.partitionBy("day").format(fmt).save(f"{path}/{folder}")
+
+    return _written(spark, sf_dir, "listing", write)
+
+
 def event_documents(spark: SparkSession, sf_dir: str, n: int = 4) -> list[str]:
     """``n`` files, each one line with an array of a null and a share of the events, written row by row."""
     item = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("props")))
