@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 
@@ -66,16 +67,21 @@ def part(spark: SparkSession, file: str, offset: int, n: int) -> bytes:
         stream.close()
 
 
-def walk(spark: SparkSession, folder: str) -> Iterator[tuple[str, int, int]]:
+def walk(
+    spark: SparkSession, folder: str, wanted: Callable[[JavaObject], bool] = lambda status: True
+) -> Iterator[tuple[str, int, int]]:
     """Path, modification time (ms) and length of every file below a folder, one at a time.
 
-    As for all Spark sources, what starts with ``_`` or ``.`` is passed over, folders with all below them.
+    As for all Spark sources, what starts with ``_`` or ``.`` is passed over, folders with all below them. Of a
+    file whose status isn't ``wanted`` nothing more is asked.
     """
     fs, path = _path(spark, folder)
     root = fs.makeQualified(path).toString().rstrip("/")
     found = fs.listFiles(path, True)
     while found.hasNext():
         status = found.next()
+        if not wanted(status):
+            continue
         name = status.getPath().toString()
         inner = name[len(root) + 1 :].split("/") if name.startswith(f"{root}/") else [name.rsplit("/", 1)[-1]]
         if not any(part.startswith(("_", ".")) for part in inner):

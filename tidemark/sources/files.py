@@ -56,8 +56,8 @@ def list_files(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame
     found = listing.select("path", "modificationTime", "length")
     empty = [
         (path, datetime.fromtimestamp(at / 1000, timezone.utc), 0)
-        for path, at, length in files.walk(spark, folder)
-        if length == 0 and path.endswith(f".{fmt}")
+        for path, at, _ in files.walk(spark, folder, lambda status: status.getLen() == 0)
+        if path.endswith(f".{fmt}")
     ]
     return found.union(spark.createDataFrame(empty, found.schema)) if empty else found
 
@@ -75,9 +75,8 @@ def latest_file(spark: SparkSession, folder: str, fmt: str = "json") -> str:
     check_format(fmt)
     best: tuple[int, str, int] | None = None
     if files.exists(spark, folder):
-        for path, at, length in files.walk(spark, folder):
-            later = best is None or at > best[0] or (at == best[0] and path < best[1])
-            if later and path.endswith(f".{fmt}"):
+        for path, at, length in files.walk(spark, folder, lambda status: best is None or status.getModificationTime() >= best[0]):
+            if path.endswith(f".{fmt}") and (best is None or at > best[0] or path < best[1]):
                 best = at, path, length
     if best is None:
         raise NoSnapshotError(f"no {fmt} snapshot in {folder}")
