@@ -420,10 +420,10 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
 
     A line goes on to the first that looks very near (half the words allowed to differ do), and takes the ``LIKELIEST`` with the
     fewest different words; ``more`` says that others may match as well. With ``every``
-    all that may match are returned. A list is the rows of one ``word`` and ``tile``. A row with ``full`` names a word of more than
+    all that may match are returned. A list is the rows of one word, and of one ``tile`` if there is such a column. A row with ``full`` names a word of more than
     ``held_lines`` (None: any number) rows, which has no pairs here. With a column ``open`` only such lines are held against others.
     """
-    asking = "open" in rows.columns
+    asking, tiled = "open" in rows.columns, "tile" in rows.columns
 
     def pairs(part: pa.Table, starts: np.ndarray) -> list[pa.Array]:
         met = Met(part)
@@ -470,7 +470,8 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
                 continue
             new = 0
             part = pa.Table.from_batches(held).combine_chunks()
-            word, tile = part.column("word").to_numpy(), part.column("tile").to_numpy()
+            word = part.column("pack").to_numpy() >> 2 * SIZE_BITS
+            tile = part.column("tile").to_numpy() if tiled else np.zeros(len(word), np.int64)
             if full is not None:  # the rest of a word that was given up
                 rest = int(np.searchsorted(word, full, "right"))
                 part, word, tile = part.slice(rest), word[rest:], tile[rest:]
@@ -487,10 +488,8 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
                 part = part.slice(part.num_rows)
             held = part.to_batches() if part.num_rows else []
 
-    tiled = rows if "tile" in rows.columns else rows.withColumn("tile", F.lit(0).cast("long"))
-    order = ["word", "tile", "doc", "line"]
-    dealt = tiled.withColumn("word", _word()).repartition("word", "tile").sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, PAIR)
+    by = [_word(), *(["tile"] if tiled else [])]
+    return rows.repartition(*by).sortWithinPartitions(*by, "doc", "line").mapInArrow(run, PAIR)
 
 
 def _word() -> Column:
