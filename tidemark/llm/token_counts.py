@@ -40,7 +40,7 @@ from tidemark.llm.common import arrow_map
 #: Characters that one state map covers, and bytes of a text from which on its chunks are rows.
 CHUNK = 1 << 16
 LONG = 1 << 24
-#: Units (white space and what follows it) with known counts, and states of the tree, that a worker keeps.
+#: Units (white space and what follows it) and pre-tokens with known counts, and states of the merges, that a worker keeps.
 CACHED_UNITS = 1 << 20
 CACHED_LENGTH = 64
 TREE_STATES = 1 << 19
@@ -176,6 +176,7 @@ class Transducer:
         #: Of each state: its number of tokens, and the last of them.
         self.states: list[tuple[int, bytes]] = [(0, b"")]
         self.units = Units(self.count_unit)
+        self.known = Units(lambda pre_token: self.count_pre_token(pre_token.encode()))
 
     def class_of(self, char: str) -> int:
         """The class of a character, as the library's own tables have it."""
@@ -265,20 +266,22 @@ class Transducer:
     def count_pre_token(self, raw: bytes) -> int:
         """Tokens of a pre-token: the sum over its transitions."""
         state, total, go = 0, 0, self.go.get
+        path = [0]
         for at, byte in enumerate(raw):
             step = go(state << 8 | byte)
             if step is None:
-                return total + self.compile(raw, at)
+                return total + self.compile(raw, at, path)
             state, added = step
             total += added
+            path.append(state)
         return total
 
-    def compile(self, raw: bytes, at: int) -> int:
-        """Tokens that ``raw`` adds from place ``at`` on, where its first unknown transition is; transitions are kept up to a size."""
+    def compile(self, raw: bytes, at: int, path: list[int]) -> int:
+        """Tokens that ``raw`` adds from place ``at`` on, where its first unknown transition is; transitions are kept up to a size.
+
+        ``path``: the states up to there.
+        """
         states, vocabulary = self.states, self.vocabulary
-        path = [0]
-        for byte in raw[:at]:
-            path.append(self.go[path[-1] << 8 | byte][0])
         first = max(0, at - self.longest)
         after = [states[s] for s in path[first:]]  # the counts and last tokens from place `first` on
         before, kept = after[-1][0], path[-1]
@@ -307,13 +310,10 @@ class Transducer:
 
     def count_unit(self, unit: str) -> int:
         """Tokens of a text that begins where a pre-token begins, and after which one ends."""
-        return sum([self.count_pre_token(p.encode()) for p in self.pre_tokens(unit)])
-
-    def count_closed(self, text: str) -> int:
-        return sum(map(self.units.__getitem__, _UNITS(text)))
+        return sum([self.known[p] for p in self.pre_tokens(unit)])
 
     def tokens(self, pre_token: str) -> int:
-        return self.count_pre_token(pre_token.encode()) if pre_token else 0
+        return self.known[pre_token] if pre_token else 0
 
     def chunk_map(self, chunk: str, entries: Iterable[int] = range(10)) -> ChunkMap:
         """The map of a chunk (not empty), for some entries or all."""
@@ -321,10 +321,11 @@ class Transducer:
         at = len(chunk) if safe is None else safe.start()
         count, tail, left = 0, None, None
         if safe is not None:  # from here on all entries are in one state
-            last = len(chunk) - len(_UNITS(chunk[at:])[-1])
+            units = _UNITS(chunk[at:])
+            last = len(chunk) - len(units.pop())
             left, starts = self.run(BEGIN, chunk[last:])
             places = [last + p for p in starts]
-            count = self.count_closed(chunk[at:last]) + sum(self.tokens(chunk[a:b]) for a, b in zip(places, places[1:]))
+            count = sum(map(self.units.__getitem__, units)) + sum(self.tokens(chunk[a:b]) for a, b in zip(places, places[1:]))
             tail = chunk[places[-1] :]
         out = {}
         for state in entries:
