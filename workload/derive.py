@@ -9,7 +9,8 @@ a page of tracks of its own. About a third of all tracks share one name. The
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -215,14 +216,32 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(F.col("user_id").cast("string").alias("parent_id"), F.col("user_id").alias("parent_ord"), "offset", items.alias("items"))
 
 
+#: Files a task may have open when it writes by day; with 0, Spark's default, all rows of a task are sorted first.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _many_open_files(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, "64")
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
+
+
 def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with the events in files by day, month and year, in folders of several depths and two formats."""
+    """A folder with the events in files by day, month and year, in folders of several depths and two formats.
+
+    A day is one file, hence one task; its rows stream into the file, none are sorted.
+    """
     events = table(spark, sf_dir, "events")
 
     def write(path: str) -> None:
         for unit, fmt, folder in (("yyyyMMdd", "json", "events/a/deep"), ("yyyyMM", "json", "events/flat"), ("yyyy", "parquet", "events/other"), ("yyyy", "json", "events-old")):
             dated = events.withColumn("day", F.date_format("ts", unit)).repartition(16, "day")
-            dated.write.partitionBy("day").format(fmt).save(f"{path}/{folder}")
+            with _many_open_files(spark):
+                dated.write.partitionBy("day").format(fmt).save(f"{path}/{folder}")
 
     return _written(spark, sf_dir, "listing", write)
 
