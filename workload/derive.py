@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -161,10 +162,10 @@ def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{RELEASE_DATE} AS release_date")
 
 
-def _numbered(pages: DataFrame, *order: str) -> DataFrame:
-    """Pages with the offsets a paging loop gives them: 0, ``LIMIT``, and so on for each parent."""
-    place = F.row_number().over(Window.partitionBy("parent_id").orderBy(*order)) - 1
-    return pages.withColumn("offset", (place * LIMIT).cast("bigint"))
+def _numbered(rows: DataFrame, parent: str, *order: str) -> DataFrame:
+    """Rows with the ``offset`` a paging loop gives their page: 0, ``LIMIT``, and so on for each parent."""
+    place = F.row_number().over(Window.partitionBy(parent).orderBy(*order)) - 1
+    return rows.withColumn("offset", (place * LIMIT).cast("bigint"))
 
 
 _found: dict[tuple[str, str, str], str] = {}
@@ -182,23 +183,23 @@ def _written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
 
 def json_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Folders of album and track pages as JSON Lines, with true offsets and a field of albums that no schema names."""
+    # The rows are numbered, then made into pages: only columns of the table move.
     priority = F.expr("named_struct('rank', cast(substr(o_orderpriority, 1, 1) AS bigint))")
-    albums = spread(table(spark, sf_dir, "orders")).selectExpr(
-        "cast(o_custkey AS string) AS parent_id", "o_custkey AS parent_ord", "o_orderkey", "o_orderpriority", f"{ALBUM_ITEMS} AS items"
+    albums = _numbered(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey").selectExpr(
+        "cast(o_custkey AS string) AS parent_id", "o_custkey AS parent_ord", "offset", "o_orderpriority", f"{ALBUM_ITEMS} AS items"
     )
-    albums = albums.withColumn("items", F.transform("items", lambda item: item.withField("priority", priority)))
-    albums = _numbered(albums, "o_orderkey").drop("o_orderkey", "o_orderpriority")
+    albums = albums.withColumn("items", F.transform("items", lambda item: item.withField("priority", priority))).drop("o_orderpriority")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    tracks = spread(table(spark, sf_dir, "lineitem")).selectExpr(
-        "cast(l_orderkey AS string) AS parent_id", "l_orderkey AS parent_ord", f"{TRACK_ITEMS} AS items", *order
+    tracks = _numbered(table(spark, sf_dir, "lineitem"), "l_orderkey", *order).selectExpr(
+        "cast(l_orderkey AS string) AS parent_id", "l_orderkey AS parent_ord", "offset", f"{TRACK_ITEMS} AS items"
     )
-    tracks = _numbered(tracks, *order).drop(*order)
     collected = table(spark, sf_dir, "customer").selectExpr(
         "concat('collection-', c_custkey) AS parent_id", "c_custkey AS parent_ord", f"{COLLECTION_ITEMS} AS items", "0L AS offset"
     )
+    packed = {"compression": "gzip"}
     return (
-        _written(spark, sf_dir, "album-json", albums.write.json),
-        _written(spark, sf_dir, "track-json", tracks.unionByName(collected).write.json),
+        _written(spark, sf_dir, "album-json", partial(albums.write.json, **packed)),
+        _written(spark, sf_dir, "track-json", partial(tracks.unionByName(collected).write.json, **packed)),
     )
 
 
