@@ -47,3 +47,10 @@ def test_found_pages_are_packed_and_numbered(spark, base):
         assert names and all(name.endswith(".json.gz") for name in names)
         found = spark.read.json(folder).where("parent_id NOT LIKE 'collection%'").groupBy("parent_id").agg(F.sort_array(F.collect_list("offset")).alias("o"))
         assert [r.o for r in found.collect()] == [list(range(0, 2 * each, 2))] * parents
+
+
+def test_pages_of_a_table_are_derived_not_written(spark, base, tmp_path):
+    """Pages over a driver table are an expression: what reads them leaves no copy in the shared folder."""
+    orders = spark.range(4).selectExpr("id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice", "'1-URGENT' AS o_orderpriority", "timestamp '2024-02-03' AS o_orderdate")
+    got = derive.album_pages(spark, tables(spark, base, orders=orders))
+    assert got.count() == 4 and all("orders.parquet" in name for name in got.inputFiles())

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans import bronze_bytes, land, run, silver_albums, silver_tracks
+from tidemark.operators import item_fields
+from tidemark.plans import bronze_bytes, bronze_text_bytes, land, run, silver_albums, silver_tracks
 from tidemark.plans.datasets import side_by_side
 from tidemark.plans.jobs import ALBUM_COLUMNS, TRACK_COLUMNS
 from tidemark.session import PARALLELISM_FIRST, SHUFFLE_PARTITIONS, settings_for
@@ -293,3 +294,31 @@ def test_command_line(spark, base, capsys, fmt):
     out = capsys.readouterr().out
     assert "albums: 4 rows in snapshot 20240101_000000" in out and "tracks: 4 rows" in out
     assert read(spark, base, "albums").count() == 3
+
+
+def test_raw_records_are_landed_packed(spark, base, tmp_path):
+    albums, tracks = bodies("x")
+    for stamp, packed in (("20240101_000000", False), ("20240102_000000", True)):
+        land(pages(spark, schemas.ALBUM, albums, 2), pages(spark, schemas.TRACK, tracks, 2), base, stamp, 2, 2, packed=packed)
+    land_bodies(spark, base, "20240103_000000")
+    found = {}
+    for stamp in ("20240101_000000", "20240102_000000", "20240103_000000"):
+        table = table_path(base, "bronze", "tracks")
+        found[stamp] = {name.endswith(".json.gz") for name, _ in manifest(spark, table, stamp)["files"]}
+        rows = sorted(map(str, read_raw(spark, table, schemas.TRACK, "album_id", stamp).collect()))
+        assert stamp != "20240102_000000" or rows == before
+        before = rows
+    assert list(found.values()) == [{False}, {True}, {True}]
+    assert bronze_text_bytes(spark, base) == 10 * bronze_bytes(spark, base)
+
+
+def test_keys_of_albums_move_without_their_bodies(spark, base):
+    """What the tracks need of an album is two strings, of structs as of VARIANT items."""
+    albums, _ = bodies("x")
+    given = pages(spark, schemas.ALBUM, albums, 2)
+    given.write.json(f"{base}/pages")
+    for found in (given, read_pages(spark, f"{base}/pages")):
+        narrow = item_fields(found, ["id", "album_group"])
+        assert narrow.schema["items"].dataType.elementType.names == ["id", "album_group"]
+        want = [[(x["id"], x["album_group"]) for x in r["items"]] for r in given.orderBy("parent_id", "offset").collect()]
+        assert [[tuple(x) for x in r["items"]] for r in narrow.orderBy("parent_id", "offset").collect()] == want

@@ -288,3 +288,21 @@ def test_copies_of_one_page_are_split(spark):
                 spark.conf.set(key, value)
     assert "skewed" in plan
     assert len(ids) == 30000 == len(set(ids))
+
+
+def test_bodies_no_parent_wants_are_held_back(spark, monkeypatch):
+    """The bitmap loses no page of a wanted parent, and most others don't reach the join."""
+    pages = spark.range(4000).selectExpr(
+        "CASE WHEN id % 5 > 0 THEN concat('p', id) END AS parent_id", "0L AS parent_ord", "0L AS offset", "array(named_struct('id', string(id))) AS items"
+    )
+    wanted = pages.where("parent_id LIKE '%7'").select("parent_id")
+    wanted = wanted.union(wanted.limit(1))
+    assert paging.held_back(pages, wanted).count() == 4000
+    monkeypatch.setattr(paging, "FEW_WANTED", 0)
+    for blocks in (4096, 1):
+        monkeypatch.setattr(paging, "MOST_BLOCKS", blocks)
+        got = paging.held_back(pages, wanted)
+        assert got.columns == pages.columns and 400 <= got.count() < 600
+        assert got.where("parent_id LIKE '%7'").count() == 400
+    listed = wanted.distinct().selectExpr("parent_id AS id", "array(0L) AS parent_ord", "0L AS page_offset", "0L AS pos")
+    assert merge_child_pages(listed, pages, 1).count() == 400

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tidemark import files
-from tidemark.plans import bronze_bytes, land, run
+from tidemark.plans import bronze_text_bytes, land, run
 from tidemark.plans.jobs import ALBUM_PAGE_LIMIT, TRACK_PAGE_LIMIT
 from tidemark.session import SHUFFLE_PARTITIONS, build_session, settings_for
 from tidemark.sources import read_pages, snapshot_id
@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
             sized=bool(args.file_bytes),
         )
     else:
-        _fit(spark, bronze_bytes(spark, args.base), args.file_bytes)
+        _fit(spark, bronze_text_bytes(spark, args.base), args.file_bytes)
         rows = run(spark, args.base, stamp, args.strict, args.date_format, bool(args.file_bytes))
     for name, n in rows.items():
         print(f"{name}: {n} rows in snapshot {stamp}")

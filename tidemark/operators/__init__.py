@@ -11,6 +11,7 @@ from tidemark.operators.paging import (
 )
 from tidemark.operators.shaping import (
     flatten,
+    item_fields,
     json_items,
     record_field,
     rename,
@@ -24,6 +25,7 @@ __all__ = [
     "attach_parent_key",
     "attach_whole",
     "flatten",
+    "item_fields",
     "json_items",
     "keep_first",
     "merge_child_pages",

@@ -13,7 +13,8 @@ page sizes decide first, and the bodies move only if they must:
    whether all pages up to it are there, are aggregates of that table.
 2. The outcome is staged as a table when the frame is built, so Catalyst knows its size: it is broadcast if it is under
    ``spark.sql.autoBroadcastJoinThreshold``, and bodies are not shuffled at all;
-   otherwise the join is by (parent, run), which splits a hot parent.
+   otherwise the join is by (parent, run), which splits a hot parent. Before that join a bitmap of the wanted
+   parents (at most ``MOST_BLOCKS`` blocks of 4 KB) holds back most bodies that no parent wants.
 
 So pages are read twice: their sizes once, their bodies once.
 """
@@ -32,6 +33,9 @@ from tidemark.staging import staged
 
 RUN_PAGES = 4096
 
+# Bits in a block, which ``bitmap_construct_agg`` fixes, and most blocks: 16 MB. Up to ``FEW_WANTED`` parents are not worth a bitmap.
+BLOCK_BITS, MOST_BLOCKS, FEW_WANTED = 32768, 4096, 100_000
+
 # Page sizes of the two requests, and the album groups asked for.
 ALBUM_PAGE_LIMIT = 10
 TRACK_PAGE_LIMIT = 50
@@ -119,6 +123,28 @@ def _stopped(pages: DataFrame, limit: int, whole: bool) -> DataFrame:
     return stopped
 
 
+def _bit(blocks: int) -> tuple[Column, Column]:
+    """Block and place in it of a page's parent, in a bitmap of so many blocks."""
+    bit = F.pmod(F.xxhash64("parent_id"), F.lit(blocks * BLOCK_BITS))
+    return F.floor(bit / BLOCK_BITS).alias("block"), (bit % BLOCK_BITS).alias("bit")
+
+
+def held_back(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pages`` without most of those whose ``parent_id`` is not in ``wanted``; all others stay.
+
+    One bit for each parent, eight bits a parent as long as the blocks last; past these it holds back less.
+    """
+    n = wanted.count()
+    if n <= FEW_WANTED:
+        return pages
+    blocks = min(MOST_BLOCKS, -(-8 * n // BLOCK_BITS))
+    block, bit = _bit(blocks)
+    bits = wanted.select(block, bit).distinct().groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("1 << CAST(bit % 8 AS INT)").bitwiseAND(byte) != 0
+    return pages.select("*", block, bit).join(F.broadcast(bits), "block").where(is_set).select(*[F.col(quoted(c)) for c in pages.columns])
+
+
 def require_whole(pages: DataFrame, limit: int) -> None:
     """Raise if a page is missing before its parent's stop; ``merge_pages(..., whole=True)`` does so in its own pass."""
     _stopped(_of_one_source(pages), limit, True)
@@ -149,23 +175,33 @@ def _of_one_source(pages: DataFrame) -> DataFrame:
     return pages.withColumns({c: v for c, v in defaults.items() if c not in pages.columns})
 
 
+def page_cut(pages: DataFrame, limit: int, whole: bool = False) -> DataFrame:
+    """Runs with pages past their parent's stop, staged: none, for a source that was read to its end and no further."""
+    return staged(
+        _stopped(_of_one_source(pages), limit, whole)
+        .where(F.col("last_offset") > F.col("stop_offset"))
+        .select(F.col("parent_id").alias("cut_id"), F.col("run").alias("cut_run"), "stop_offset")
+    )
+
+
 def merge_pages(
-    pages: DataFrame, limit: int, attach_as: str | None = None, whole: bool = False, records: bool = False
+    pages: DataFrame,
+    limit: int,
+    attach_as: str | None = None,
+    whole: bool = False,
+    records: bool = False,
+    cut: DataFrame | None = None,
 ) -> DataFrame:
     """The items of every parent's pages, up to its first empty or short page.
 
     ``pages`` has ``offset`` and ``items``, and unless it is of one source
     ``parent_id`` and ``parent_ord``, the parent's place among the sources.
     ``whole`` raises if a page before that is missing; ``records`` gives items as ``attach_whole`` does.
+    ``cut`` is the ``page_cut`` of these pages, if it is at hand.
     """
+    if cut is None:
+        cut = page_cut(pages, limit, whole)
     pages = _of_one_source(pages)
-    # Only runs with pages past the stop are listed: none, for a source that
-    # was read to its end and no further.
-    cut = staged(
-        _stopped(pages, limit, whole)
-        .where(F.col("last_offset") > F.col("stop_offset"))
-        .select(F.col("parent_id").alias("cut_id"), F.col("run").alias("cut_run"), "stop_offset")
-    )
     same_run = F.col("parent_id").eqNullSafe(F.col("cut_id")) & (_run(limit) == F.col("cut_run"))
     kept = (
         pages.join(cut, same_run, "left")
@@ -200,7 +236,7 @@ def merge_child_pages(
         .select("parent_id", "run", "stop_offset", "parent_ord")
     )
     kept = (
-        pages.select("parent_id", "offset", "items", _run(limit).alias("run"))
+        held_back(pages.select("parent_id", "offset", "items", _run(limit).alias("run")), wanted)
         .join(wanted, ["parent_id", "run"])
         .where(F.col("stop_offset").isNull() | (F.col("offset") <= F.col("stop_offset")))
     )

@@ -21,10 +21,21 @@ def quoted(name: str) -> str:
 
 def record_field(df: DataFrame, name: str, record: str = "record", kind: str = "string") -> Column:
     """A field of the column ``record``, a struct or a VARIANT; NULL where a VARIANT lacks it."""
-    if isinstance(df.schema[record].dataType, T.VariantType):
+    return _field(F.col(quoted(record)), df.schema[record].dataType, name, kind)
+
+
+def _field(record: Column, of: T.DataType, name: str, kind: str = "string") -> Column:
+    if isinstance(of, T.VariantType):
         escaped = name.replace("\\", "\\\\").replace('"', '\\"')
-        return F.variant_get(F.col(quoted(record)), f'$["{escaped}"]', kind)
-    return F.col(quoted(record)).getField(name).cast(kind)
+        return F.variant_get(record, f'$["{escaped}"]', kind)
+    return record.getField(name).cast(kind)
+
+
+def item_fields(pages: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``pages`` whose items are structs of these fields only, as strings; as many items as before."""
+    of = pages.schema["items"].dataType.elementType
+    narrow = F.transform("items", lambda item: F.struct(*[_field(item, of, n).alias(n) for n in names]))
+    return pages.withColumn("items", narrow)
 
 
 def _marked(text: Column) -> Column:

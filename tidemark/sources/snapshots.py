@@ -126,13 +126,17 @@ def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, sized: bool, *
     return rows
 
 
-def write_raw(df: DataFrame, base: str, name: str, snapshot_ts: str, sized: bool = False) -> int:
+def write_raw(
+    df: DataFrame, base: str, name: str, snapshot_ts: str, sized: bool = False, packed: bool = False
+) -> int:
     """Land ``df`` as JSON Lines (UTF-8) under bronze; returns the row count.
 
+    ``packed`` writes them as gzip, a tenth of the bytes; such a file is read by one task, so there are as many readers as writers.
     ``sized`` deals the rows anew before they are written, so that every file is of about the size the session advises
     for a partition (``settings_for(..., file_bytes)``): small tasks are merged and skewed ones split by adaptive execution.
     """
-    return _write(df, table_path(base, BRONZE, name), snapshot_ts, "json", sized, encoding="UTF-8")
+    options = {"compression": "gzip"} if packed else {}
+    return _write(df, table_path(base, BRONZE, name), snapshot_ts, "json", sized, encoding="UTF-8", **options)
 
 
 def write_parquet(df: DataFrame, base: str, name: str, snapshot_ts: str, sized: bool = False) -> int:

@@ -61,15 +61,15 @@ def job_folder(spark: SparkSession) -> Iterator[str]:
         files.delete(spark, folder)
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, packed: bool = False) -> DataFrame:
     """``df`` written once as Parquet and read back.
 
     The lineage ends here, so a lost executor costs no recomputation above this
     point, and the optimizer sees the table's size when it picks a join. The
     files are plain (no compression, no dictionary), so their size is that of
-    the values, and a broadcast is bounded by it.
+    the values, and a broadcast is bounded by it; ``packed`` ones are a third, for tables that grow with the input.
     """
     path = new_folder(df.sparkSession, "staged")
-    plain = {"compression": "none", "parquet.enable.dictionary": "false"}
-    df.write.options(**plain).parquet(path)
+    options = {"compression": "zstd"} if packed else {"compression": "none", "parquet.enable.dictionary": "false"}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,9 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt over the cores; a driver table is one row group, hence one task to scan."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+#: Tables up to this size are dealt over the cores; larger ones have row groups for many tasks.
+FEW_BYTES = 16 << 20
+
+
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table dealt over the cores if it is small; then it is one row group, hence one task to scan."""
+    rows = table(spark, sf_dir, name)
+    if files.total_size(spark, f"{files.literal(sf_dir)}/{name}.parquet") > FEW_BYTES:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 RELEASE_DATE = """
@@ -101,34 +108,17 @@ COLLECTION_ITEMS = """
         'album_id', concat('not ', c_custkey)))"""
 
 
-_landed: dict[tuple[str, str, str], str] = {}
-
-
-def landed(spark: SparkSession, sf_dir: str, name: str, pages: DataFrame) -> DataFrame:
-    """``pages`` as they would be found in storage: written once per session, then read.
-
-    So ``items`` is a column of a file, not an expression over the driver table.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _landed:
-        path = new_folder(spark, name)
-        pages.write.parquet(path)
-        _landed[key] = path
-    return spark.read.schema(pages.schema).parquet(_landed[key])
-
-
 def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "orders")).selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "cast(o_custkey AS string) AS parent_id",
         "o_custkey AS parent_ord",
         "o_orderkey AS offset",
         f"{ALBUM_ITEMS} AS items",
     )
-    return landed(spark, sf_dir, "album-pages", pages)
 
 
 def track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    pages = spread(spark, sf_dir, "lineitem").selectExpr(
         "cast(l_orderkey AS string) AS parent_id",
         "l_orderkey AS parent_ord",
         "cast(l_linenumber AS bigint) AS offset",
@@ -140,15 +130,14 @@ def track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "0L AS offset",
         f"{COLLECTION_ITEMS} AS items",
     )
-    pages = pages.union(collected)
-    return landed(spark, sf_dir, "track-pages", pages)
+    return pages.union(collected)
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document per line item: an array, a wrapped array, or one record."""
     first = "named_struct('id', cast(l_partkey AS string), 'n', cast(l_quantity AS bigint))"
     second = "named_struct('id', concat('s', l_suppkey), 'n', cast(l_linenumber AS bigint))"
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    return spread(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",
         f"""CASE l_returnflag
@@ -205,7 +194,7 @@ def json_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of one event, two to a page, of their user; an event keeps its props, and fields of its own."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread(spark, sf_dir, "events")
     item = F.struct(
         "event_id", "value", F.parse_json("props").alias("props"), F.struct(F.col("user_id").alias("by"), F.col("event_type").alias("as")).alias("seen")
     )
