@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -303,6 +304,83 @@ def lines_with_others(lines, times):
     return [(i, " ".join(line)) for i, line in enumerate([*lines, *fill])]
 
 
+def test_lines_are_parted_and_hashed_as_by_python():
+    rng = random.Random(8)
+    parts = ["a", "B", "é", "x" * 30, " ", "\t", "\n", "\n", "\r", "\x0b", "\x0c", "\x1c", "Zq"]
+    for _ in range(200):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choices(parts, k=rng.choice([0, 1, 3, 40, 300]))) for _ in range(rng.randrange(6))]
+        arrays = [pa.array(range(len(texts)), pa.int64()), pa.array(range(7, 7 + len(texts)), pa.int64()), pa.array(texts, pa.string())]
+        want = [
+            (doc, (7 + doc) << line_dedup.LINE_BITS | number, len(line.split()), b" ".join(line.split()))
+            for doc, text in enumerate(texts)
+            for number, line in enumerate((text or "").encode().lower().split(b"\n"))
+            if line.split()
+        ]
+        doc, line, n, words = line_dedup.lines_of(pa.RecordBatch.from_arrays(arrays, names=["doc", "text_hash", "text"]))
+        assert list(zip(doc.tolist(), line.tolist(), n.tolist(), words.to_pylist())) == want
+        rest = words.slice(len(words) // 3)
+        found, sizes = line_dedup.hashed(rest)
+        split = [w.split() for w in rest.to_pylist()]
+        assert found.tolist() == line_dedup.hashes(split).tolist() and sizes.tolist() == [len(w) for w in split]
+
+
+@pytest.mark.parametrize("most", [None, 3, 1 << 16])
+def test_packed_rows_meet_as_rows_do(spark, monkeypatch, most):
+    """The same pairs, in a tenth of the rows; words of too many lines are named."""
+    rng = random.Random(10)
+    words = [f"u{i}" for i in range(500)]
+    texts = [" ".join(rng.choices(words, k=rng.choice([3, 8, 30, 400]))) for _ in range(300)]
+    for i in range(300):
+        line = texts[i].split()
+        line[rng.randrange(len(line))] = "other"
+        texts.append(" ".join(line))
+    monkeypatch.setattr(line_dedup, "MET_ROWS", 1 << 10)
+    docs = spark.createDataFrame([(i, "\n".join(texts[2 * i : 2 * i + 2])) for i in range(300)], "doc_id long, text string").coalesce(2)
+    lines = line_dedup.distinct_lines(line_dedup.keyed(docs, "doc_id", "text"))
+    classes = line_dedup.rarity(lines)
+    monkeypatch.setattr(line_dedup, "BUCKETS", (16, 16))
+    rows, packed = (make(lines, classes, (160, 1.5, 1 << 10)) for make in (line_dedup.prefix_rows, line_dedup.packed_rows))
+    assert packed.count() * 10 < rows.count()
+    by_word = rows.groupBy(line_dedup._word().alias("word")).count().collect()
+    many = {r.word for r in by_word if most is not None and r["count"] > most}
+    few = rows.where(~line_dedup._word().isin(list(many))) if many else rows
+    want, got = (line_dedup.near_pairs(x, False, m).collect() for x, m in ((few, None), (packed, most)))
+    assert {r.full for r in got if r.full is not None} == many and (most != 3 or many)
+    assert multiset(r for r in got if r.full is None) == multiset(want) and want
+
+
+def test_the_second_meeting_makes_rows_of_open_words_only(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"u{rng.randrange(3000)}" for _ in range(rng.choice([8, 30, 700]))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup.distinct_lines(line_dedup.keyed(docs, "doc_id", "text"))
+    classes = line_dedup.rarity(lines)
+    still = lines.where("doc < 3").select("doc", "line")
+    whole = line_dedup.prefix_rows(lines, classes, line_dedup.WIDE).withColumn("word", line_dedup._word())
+    asked = whole.join(still, ["doc", "line"], "left_semi").select("word")
+    want = whole.join(asked, "word", "left_semi").drop("word").collect()
+    got = line_dedup.again(lines, classes, still)
+    assert multiset(got.select(*whole.drop("word").columns).collect()) == multiset(whole.join(asked, "word", "left_semi").drop("word").collect())
+    assert 0 < len(want) < whole.count() / 2
+
+
+def test_a_bucket_of_too_many_rows_gives_up_words():
+    held = line_dedup.Held(2)
+    held.limit = 10
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        word = np.sort(rng.integers(0, 12, 4))
+        fixed = np.zeros((4, len(line_dedup.FIXED) + 1), np.int64)
+        fixed[:, 0], fixed[:, -1] = word << 2 * line_dedup.SIZE_BITS, word
+        held.add(fixed.view(np.uint8).T.tobytes(), b"".join(bytes([w] * w) for w in word.tolist()))
+        assert held.new_rows <= 10
+    held.settle()
+    rows = np.concatenate([f for f, _ in held.whole])
+    wide = np.concatenate([w for _, w in held.whole])
+    assert held.given and not set(held.given) & set((rows[:, 0] >> 2 * line_dedup.SIZE_BITS).tolist())
+    assert wide.tolist() == [w for w in rows[:, -1].tolist() for _ in range(w)]
+
+
 def test_line_dedup_holds_no_line_against_itself(spark):
     import numpy
 

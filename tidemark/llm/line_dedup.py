@@ -69,6 +69,8 @@ LINE_BITS, TEXT_BITS = 28, 35
 #: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
 SIZE_BITS = 16
 LONGEST = (1 << SIZE_BITS) - 1
+#: Steps of length from a number of words to its double, and how far similar lines are apart at most.
+LENGTHS, SIMILAR_LENGTHS = 16, 6
 
 #: The parity of a line's words has two longs. A word turns one of ``PARITY_BITS`` bits,
 #: which tell long lines apart, and up to three of the 16 bits above them: one word put in
@@ -80,10 +82,16 @@ SPLIT = 512
 #: Wide parities: (lines of more words, bits a word at least, bits at most), of first and second meeting.
 NARROW_LINES = (160, 1.5, 1 << 10)
 WIDE = (0, 8, 1 << 15)
-#: Lines whose words are ordered at once.
-BATCH_LINES = 1 << 18
+#: Bytes of text that are parted into lines at once (or one text).
+TEXT_BYTES = 1 << 20
+#: Bytes of a word whose hash is looked up; longer words are hashed one by one.
+WORD_BYTES = 24
+#: Rows of a bucket of prefix words, on the average, and buckets at least and at most.
+BUCKET_ROWS = 1 << 16
+BUCKETS = 1 << 9, 1 << 14
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def _doc(key: str) -> Column:
@@ -100,14 +108,77 @@ def keyed(docs: DataFrame, key: str, column: str) -> DataFrame:
     return docs.select(_doc(key).alias("doc"), _text_hash(column).alias("text_hash"), F.col(column).alias("text"))
 
 
-def lines_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Document, identity (text hash and line number) and words of every line that has words."""
-    columns = (batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist(), utf8(batch.column("text")))
-    for doc, text_hash, text in zip(*columns):
-        for number, line in enumerate(text.lower().split(b"\n") if text else ()):
-            words = line.split()
-            if words:
-                yield doc, text_hash << LINE_BITS | number, words
+def lines_of(docs: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.BinaryArray]:
+    """Document, identity (text hash and line number), number of words and words (a space apart) of every line that has words."""
+    texts = [text or b"" for text in utf8(docs.column("text"))]
+    text = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    gap = _IS_SPACE[text]
+    begins = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
+    ends = np.flatnonzero(gap & np.r_[False, ~gap[:-1]])
+    breaks = np.flatnonzero(text == ord("\n"))
+    line = np.searchsorted(breaks, begins)
+    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(line) else np.empty(0, np.int64)
+    # of each run of white space inside a line one byte stays
+    keep = ~gap
+    keep[np.delete(ends, first - 1)] = True
+    stay = text[keep]
+    stay[gap[keep]] = ord(" ")
+    n = np.diff(np.r_[first, len(line)])
+    size = np.add.reduceat(ends - begins, first) + n - 1 if len(first) else n
+    offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(stay)])
+    at = np.cumsum([0, *map(len, texts)])[:-1] + np.arange(len(texts))
+    head = np.searchsorted(breaks, at)
+    doc = np.searchsorted(head, line[first], "right") - 1
+    identity = docs.column("text_hash").to_numpy()[doc] << LINE_BITS | line[first] - head[doc]
+    return docs.column("doc").to_numpy()[doc], identity, n, words
+
+
+def slices(docs: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of up to ``TEXT_BYTES`` of text, or one row."""
+    size = docs.column("text").cast(pa.binary())
+    ends = np.cumsum([len(text or b"") for text in size.to_pylist()])
+    at = 0
+    while at < docs.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, "right")))
+        yield docs.slice(at, end - at)
+        at = end
+
+
+#: A CRC is linear: what each byte adds is looked up by how far it is from its word's end, what the length adds by the length.
+_NULLS = np.array([zlib.crc32(bytes(k)) for k in range(WORD_BYTES + 1)], np.uint32)
+_ADDS = np.array([[zlib.crc32(bytes([b, *bytes(k)])) for b in range(256)] for k in range(WORD_BYTES)], np.uint32) ^ _NULLS[1:, None]
+
+
+def hashed(lines: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """CRC-32 of the words of lines (a space apart), as ``hashes`` gives them, and the number of words of each."""
+    if not len(lines):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    offsets = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1].astype(np.int64)
+    text = np.frombuffer(lines.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    gap = np.zeros(len(text) + 1, bool)
+    gap[:-1] = text == ord(" ")
+    begin = np.r_[False, gap[:-1]]
+    begin[offsets[:-1]] = True
+    gap[offsets[1:]] = True
+    begins, ends = np.flatnonzero(begin), np.flatnonzero(gap)
+    length = ends - begins
+    short = np.minimum(length, WORD_BYTES).astype(np.uint8)
+    order = np.argsort(short, kind="stable")[::-1]
+    last = ends[order] - 1
+    found = _NULLS[short[order]]
+    counts = len(order) - np.cumsum(np.bincount(short, minlength=WORD_BYTES + 1))
+    for k in range(WORD_BYTES):
+        some = int(counts[k])
+        if not some:
+            break
+        found[:some] ^= _ADDS[k].take(text.take(last[:some] - k))
+    out = np.empty(len(order), np.int64)
+    out[order] = found
+    for at in np.flatnonzero(length > WORD_BYTES).tolist():
+        out[at] = zlib.crc32(text[begins[at] : ends[at]])
+    return out, np.diff(np.searchsorted(begins, offsets))
 
 
 def hashes(words: list[list[bytes]]) -> np.ndarray:
@@ -138,21 +209,19 @@ def gathered(
                 np.add.at(counts, places(batch.slice(at, SLICE_ROWS * 16)), np.uint32(1))
         for block in range(0, size, BLOCK):
             part = counts[block : block + BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block // BLOCK], pa.int64()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
-                    names=["block", "counts"],
-                )
+            held = np.flatnonzero(part)
+            if len(held):
+                packed = held.astype(np.uint16).tobytes() + part[held].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block // BLOCK], pa.int64()), pa.array([packed], pa.binary())], names=["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                counts = np.frombuffer(zlib.decompress(part), np.uint32)
-                if block in held:
-                    held[block] += counts
-                else:
-                    held[block] = counts.astype(np.uint64)
+                n = len(part) // 6
+                if block not in held:
+                    held[block] = np.zeros(BLOCK, np.uint64)
+                held[block][np.frombuffer(part, np.uint16, n)] += np.frombuffer(part, np.uint32, n, 2 * n)
         for block, counts in held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([finish(counts).tobytes()], pa.binary())],
@@ -183,7 +252,7 @@ def rarity(lines: DataFrame) -> np.ndarray:
     size = min(max(LEAST_COUNTERS, 1 << max(words // 4, 1).bit_length()), MOST_COUNTERS)
 
     def places(batch: pa.RecordBatch) -> np.ndarray:
-        return hashes([w.split() for w in batch.column(0).to_pylist()]) & (size - 1)
+        return hashed(batch.column(0))[0] & (size - 1)
 
     return gathered(lines.select("words"), places, size, rarity_class)
 
@@ -193,9 +262,12 @@ def rarity(lines: DataFrame) -> np.ndarray:
 
 def ordered(words: list[list[bytes]], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes and repeat numbers of lines, each line's rarest first, and where each line begins."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    raw = hashes(words)
-    keys = np.repeat(np.arange(len(words), dtype=np.int64), lengths) << 40
+    return by_rarity(hashes(words), np.fromiter(map(len, words), np.int64, len(words)), classes)
+
+
+def by_rarity(raw: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``ordered`` of hashes and the number of words of each line."""
+    keys = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) << 40
     keys |= classes[raw & (len(classes) - 1)].astype(np.int64) << 32
     keys |= raw
     keys.sort()
@@ -240,15 +312,10 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                found = list(lines_of(batch.slice(at, SLICE_ROWS)))
-                for start in range(0, len(found), BATCH_LINES):
-                    part = found[start : start + BATCH_LINES]
-                    words = [b" ".join(f[2]) for f in part]
-                    pairs = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.int64).reshape(-1, 2)
-                    numbers = [np.array(c, np.int64) for c in zip(*((d, i, len(w)) for d, i, w in part))]
-                    arrays = [pairs[:, 0], pairs[:, 1], *numbers]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(words, pa.binary())], names=names)
+            for part in slices(batch):
+                doc, line, n, words = lines_of(part)
+                pairs = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words.to_pylist())), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (pairs[:, 0], pairs[:, 1], doc, line, n)), words], names=names)
 
     first = F.min(F.struct("doc", "line", "n", "words")).alias("first")
     found = docs.mapInArrow(run, HASHED).groupBy("hash_a", "hash_b").agg(first)
@@ -306,62 +373,154 @@ def dealt(mixed: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(took) if took else np.empty(0, np.int64), np.concatenate(owner), np.concatenate(parts), begin
 
 
-def prefix_rows(lines: DataFrame, classes: np.ndarray, sizes: tuple[int, float, int]) -> DataFrame:
-    """``pack, doc, line, parity_a, parity_b, wide``: the rarest words of every line, or of every part of a long one."""
-    shared = lines.sparkSession.sparkContext.broadcast(classes)
+def prefix(lines: pa.RecordBatch, classes: np.ndarray, sizes: tuple[int, float, int], only: tuple[np.ndarray, np.ndarray] | None = None) -> dict:
+    """Of the rarest words of every line, or of every part of a long one, the columns of ``PREFIX``, ``wide`` by line (or part), those as ``part`` and the words' own hashes.
 
-    def each(batch: pa.RecordBatch) -> dict:
-        classes = shared.value
-        raw, repeats, starts = ordered([w.split() for w in batch.column("words").to_pylist()], classes)
-        mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
-        took, owner, parts, starts = dealt(mixed, starts)
-        raw, mixed = raw[took], mixed[took]
-        n = np.diff(starts)
+    ``only``: these words (sorted; of a row, and by bits of their own hashes whether there are any) and no others. Rows then have no parity.
+    """
+    raw, lengths = hashed(lines.column("words"))
+    if only is not None:
+        has = only[1][raw & (len(only[1]) - 1)]
+        some = np.flatnonzero(np.add.reduceat(has, np.cumsum(lengths) - lengths, dtype=np.int64)) if len(lengths) else lengths
+        some_words = np.zeros(len(lengths), bool)
+        some_words[some] = True
+        raw, lengths, lines = raw[np.repeat(some_words, lengths)], lengths[some], lines.take(pa.array(some))
+    raw, repeats, starts = by_rarity(raw, lengths, classes)
+    mixed = ((raw.astype(np.uint64) | repeats.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) * _MIX
+    took, owner, parts, starts = dealt(mixed, starts)
+    raw, mixed = raw[took], mixed[took]
+    n = np.diff(starts)
+    size = np.minimum(n, LONGEST) << SIZE_BITS
+    length = prefix_length(n)
+    line = np.repeat(np.arange(len(n)), length)
+    place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
+    at = place + starts[:-1][line]
+    met = classes[raw[at] & (len(classes) - 1)] > ONCE
+    line, place, at = line[met], place[met], at[met]
+    # parts of lines dealt alike meet, and no others
+    salted = mixed[at] ^ ((parts[line] - 1).astype(np.uint64) * _MIX)
+    word = (salted >> np.uint64(33)).astype(np.int64)
+    out = {"doc": lines.column("doc").to_numpy()[owner], "line": lines.column("line").to_numpy()[owner]}
+    if only is not None:
+        some = np.flatnonzero(np.isin(word, only[0]))
+        line, place, word, at = line[some], place[some], word[some], at[some]
+    else:
         bit = (mixed >> np.uint64(32)) % np.uint64(PARITY_BITS)
         one = np.uint64(1) << (bit & np.uint64(63))
         low, high = np.where(bit < 64, one, np.uint64(0)), np.where(bit < 64, np.uint64(0), one)
         for shift in (52, 56, 60):
             high ^= np.uint64(1) << ((mixed >> np.uint64(shift) & np.uint64(15)) + np.uint64(SINGLE))
-        parity = [
-            np.bitwise_xor.reduceat(bits, starts[:-1]).view(np.int64) if len(n) else np.empty(0, np.int64)
-            for bits in (low, high)
-        ]
-        size = np.minimum(n, LONGEST) << SIZE_BITS
-        length = prefix_length(n)
-        line = np.repeat(np.arange(len(n)), length)
-        place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
-        at = place + starts[:-1][line]
-        met = classes[raw[at] & (len(classes) - 1)] > ONCE
-        line, place, at = line[met], place[met], at[met]
-        wide = pa.array(wide_parity(mixed, starts, sizes), pa.binary())
-        # parts of lines dealt alike meet, and no others
-        salted = mixed[at] ^ ((parts[line] - 1).astype(np.uint64) * _MIX)
-        return {
-            "pack": (salted >> np.uint64(33)).astype(np.int64) << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST),
-            "doc": batch.column("doc").take(pa.array(owner[line])),
-            "line": batch.column("line").take(pa.array(owner[line])),
-            "parity_a": pa.array(parity[0][line]),
-            "parity_b": pa.array(parity[1][line]),
-            "wide": wide.take(pa.array(line)),
-        }
+        out["parity_a"], out["parity_b"] = (
+            np.bitwise_xor.reduceat(bits, starts[:-1]).view(np.int64) if len(n) else np.empty(0, np.int64) for bits in (low, high)
+        )
+    out = {name: values[line] for name, values in out.items()}
+    out["pack"] = word << 2 * SIZE_BITS | size[line] | np.minimum(place, LONGEST)
+    return out | {"wide": wide_parity(mixed, starts, sizes) if only is None else [], "part": line, "own": raw[at]}
+
 
+def prefix_rows(lines: DataFrame, classes: np.ndarray, sizes: tuple[int, float, int], words: np.ndarray | None = None) -> DataFrame:
+    """``pack, doc, line, parity_a, parity_b, wide``: the rarest words of every line, or of every part of a long one (``words`` only)."""
+    shared = lines.sparkSession.sparkContext.broadcast(classes)
+
+    def each(batch: pa.RecordBatch) -> dict:
+        out = prefix(batch, shared.value, sizes)
+        met = np.arange(len(out["pack"])) if only is None else np.flatnonzero(np.isin(out["pack"] >> 2 * SIZE_BITS, only.value))
+        wide = pa.array(out["wide"], pa.binary()).take(pa.array(out["part"][met]))
+        return {"wide": wide} | {name: pa.array(out[name][met]) for name in FIXED}
+
+    only = None if words is None else lines.sparkSession.sparkContext.broadcast(words)
     return arrow_map(lines.select("doc", "line", "words"), each, PREFIX, rows=1 << 12)
 
 
+#: Rows of prefix words on their way: those of one bucket of words, by column and byte (so that equal bytes stand together), and their wide parities.
+PACKED = T.StructType(
+    [
+        T.StructField("bucket", T.LongType()),
+        T.StructField("rows", T.BinaryType()),
+        T.StructField("wide", T.BinaryType()),
+    ]
+)
+FIXED = ("pack", "doc", "line", "parity_a", "parity_b")
+
+
+def packed_rows(lines: DataFrame, classes: np.ndarray, sizes: tuple[int, float, int]) -> DataFrame:
+    """``prefix_rows`` in buckets: a row for each bucket of words and batch of lines. Buckets grow in number with the words."""
+    words = lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least, most = BUCKETS
+    buckets = min(max(least, 1 << (words // 4 // BUCKET_ROWS).bit_length()), most)
+    shared = lines.sparkSession.sparkContext.broadcast(classes)
+
+    def each(batch: pa.RecordBatch) -> dict:
+        out = prefix(batch, shared.value, sizes)
+        bucket = (out["pack"] >> 2 * SIZE_BITS) & (buckets - 1)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable")
+        sent, starts = np.unique(bucket[order], return_index=True)
+        fixed = np.stack([out[c][order] for c in FIXED], axis=1)
+        wide, part = out["wide"], out["part"][order]
+        carries = np.array([w is not None for w in wide], bool)[part]
+        width = np.zeros(len(part), np.int64)
+        width[carries] = [len(wide[i]) for i in part[carries].tolist()]
+        rows, wides = [], []
+        for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(order)]):
+            both = np.concatenate([fixed[a:b], width[a:b, None]], axis=1)
+            rows.append(both.view(np.uint8).T.tobytes())
+            wides.append(b"".join([wide[i] for i in part[a:b][carries[a:b]].tolist()]))
+        return {"bucket": sent, "rows": rows, "wide": wides}
+
+    return arrow_map(lines.select("doc", "line", "words"), each, PACKED, rows=1 << 14)
+
+
+def open_words(lines: DataFrame, classes: np.ndarray) -> DataFrame:
+    """``word, own``: the prefix words of these lines, and their own hashes."""
+    shared = lines.sparkSession.sparkContext.broadcast(classes)
+
+    def each(batch: pa.RecordBatch) -> dict:
+        out = prefix(batch, shared.value, (LONGEST, 1, 256))
+        return {"word": out["pack"] >> 2 * SIZE_BITS, "own": out["own"]}
+
+    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("own", T.LongType())])
+    return arrow_map(lines.select("doc", "line", "words"), each, schema, rows=1 << 12).distinct()
+
+
+def lines_with(lines: DataFrame, classes: np.ndarray, words: np.ndarray, own: np.ndarray) -> DataFrame:
+    """``doc, line`` of the lines that have one of these prefix words. Lines without a word of such a hash of its own aren't ordered."""
+    bits = np.zeros(1 << 24, bool)
+    bits[own & (len(bits) - 1)] = True
+    shared, wanted = (lines.sparkSession.sparkContext.broadcast(x) for x in (classes, (words, np.packbits(bits))))
+
+    def each(batch: pa.RecordBatch) -> dict:
+        words, bits = wanted.value
+        if "bits" not in unpacked:
+            unpacked["bits"] = np.unpackbits(bits).view(bool)
+        out = prefix(batch, shared.value, (LONGEST, 1, 256), (words, unpacked["bits"]))
+        pairs = np.unique(np.stack([out["doc"], out["line"]], axis=1), axis=0)
+        return {"doc": pairs[:, 0], "line": pairs[:, 1]}
+
+    unpacked: dict[str, np.ndarray] = {}
+    return arrow_map(lines.select("doc", "line", "words"), each, LINE, rows=1 << 12)
+
+
 class Met:
     """The lines of some lists, by row: what the filters need of them."""
 
-    def __init__(self, part: pa.Table) -> None:
-        pack = part.column("pack").to_numpy()
+    def __init__(self, fixed: dict[str, np.ndarray], wide_at: np.ndarray, wide_size: np.ndarray, wide: np.ndarray) -> None:
+        pack = fixed["pack"]
         self.size = (pack >> SIZE_BITS & LONGEST).astype(np.int32)
         self.place = (pack & LONGEST).astype(np.int32)
-        self.parity = np.stack([part.column(c).to_numpy() for c in ("parity_a", "parity_b")], axis=1).view(np.uint64)
-        self.doc, self.line = (part.column(c).to_numpy() for c in ("doc", "line"))
+        self.parity = np.stack([fixed["parity_a"], fixed["parity_b"]], axis=1).view(np.uint64)
+        self.doc, self.line = fixed["doc"], fixed["line"]
+        # what is too long to be filtered looks like any other
+        lengths = np.floor(LENGTHS * np.log2(np.maximum(self.size, 1)))
+        self.lengths = (np.zeros(len(pack)) if (self.size == LONGEST).any() else lengths).astype(np.int16)
+        self.wide_at, self.wide_size, self.wide = wide_at, wide_size, wide
+
+    @classmethod
+    def of_rows(cls, part: pa.Table) -> Met:
         wide = part.column("wide").combine_chunks()
         offsets = wide.buffers()[1]
         ends = np.frombuffer(offsets, np.int32)[wide.offset : wide.offset + len(wide) + 1].astype(np.int64)
-        self.wide_at, self.wide_size = ends[:-1], np.diff(ends)
-        self.wide = np.frombuffer(wide.buffers()[2] or b"", np.uint8)
+        fixed = {c: part.column(c).to_numpy() for c in FIXED}
+        return cls(fixed, ends[:-1], np.diff(ends), np.frombuffer(wide.buffers()[2] or b"", np.uint8))
 
     def wide_differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """In how many bits wide parities differ at least; the wider of two is folded. Rows without one differ in none."""
@@ -405,6 +564,73 @@ class Met:
         return keep[fits], differ[fits], np.where(long, -1, most)[fits]
 
 
+class Held:
+    """Packed rows a task holds: of buckets that are whole, and of the one that is read.
+
+    A word of more than ``most`` rows is given up, and the words of most rows are if a bucket has more than four times as many.
+    """
+
+    def __init__(self, most: int | None) -> None:
+        self.most, self.limit = most, None if most is None else max(4 * most, MET_ROWS)
+        self.rows, self.whole = 0, []
+        self.given: list[int] = []
+        self._begin()
+
+    def _begin(self) -> None:
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.new_rows, self.gone = 0, np.empty(0, np.int64)
+
+    def add(self, rows: bytes, wide: bytes) -> None:
+        width = 8 * (len(FIXED) + 1)
+        fixed = np.ascontiguousarray(np.frombuffer(rows, np.uint8).reshape(width, -1).T).view(np.int64)
+        self.new.append((fixed, np.frombuffer(wide, np.uint8)))
+        self.new_rows += len(fixed)
+        if self.limit is not None and self.new_rows > self.limit:
+            self._give_up(self.limit // 2)
+
+    def _give_up(self, limit: int) -> None:
+        """Leave out the rows of words that have too many, and of others while there are more than ``limit`` rows."""
+        fixed, wide = (np.concatenate(x) for x in zip(*self.new))
+        word = fixed[:, 0] >> 2 * SIZE_BITS
+        words, counts = np.unique(word, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        left = len(word) - np.r_[0, np.cumsum(counts[order])[:-1]]
+        known = np.isin(words[order], self.gone)
+        self.gone = np.union1d(self.gone, words[order][known | (counts[order] > self.most) | (left > limit)])
+        stay = ~np.isin(word, self.gone)
+        if not stay.all():
+            bytes_stay = np.repeat(stay, fixed[:, -1])
+            fixed, wide = fixed[stay], wide[bytes_stay]
+        self.new, self.new_rows = [(fixed, wide)], len(fixed)
+
+    def settle(self) -> None:
+        """The bucket that is read is whole."""
+        if self.new and self.most is not None and (len(self.gone) or self.new_rows > self.most):
+            self._give_up(self.limit)
+        self.whole += self.new
+        self.rows += self.new_rows
+        self.given += self.gone.tolist()
+        self._begin()
+
+    def work_off(self, pairs: Callable) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            fixed, wide = (np.concatenate(x) for x in zip(*self.whole))
+            self.whole, self.rows = [], 0
+            width = fixed[:, -1]
+            wide_at = np.cumsum(width) - width
+            word = fixed[:, 0] >> 2 * SIZE_BITS
+            order = np.lexsort((fixed[:, 2], fixed[:, 1], word))
+            word, fixed = word[order], np.ascontiguousarray(fixed[order].T)
+            met = Met(dict(zip(FIXED, fixed)), wide_at[order], fixed[-1], wide)
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            yield pa.RecordBatch.from_arrays(pairs(met, starts, None), names=PAIR.fieldNames())
+        if self.given:
+            n = len(self.given)
+            row = [pa.nulls(n, pa.int64())] * 5 + [pa.nulls(n, pa.bool_()), pa.array(self.given, pa.int64())]
+            self.given = []
+            yield pa.RecordBatch.from_arrays(row, names=PAIR.fieldNames())
+
+
 PAIR = T.StructType(
     [
         *(T.StructField(c, T.LongType()) for c in ("doc", "line", "differ", "a_doc", "a_line")),
@@ -425,25 +651,36 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
     """
     asking, tiled = "open" in rows.columns, "tile" in rows.columns
 
-    def pairs(part: pa.Table, starts: np.ndarray) -> list[pa.Array]:
-        met = Met(part)
-        size = part.num_rows
+    def pairs(met: Met, starts: np.ndarray, asks: np.ndarray | None) -> list[pa.Array]:
+        size = len(met.size)
         place = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
-        active = np.flatnonzero((place > 0) & part.column("open").to_numpy(zero_copy_only=False)) if asking else np.flatnonzero(place)
+        # lines by their place in a list, the last first: those that go on are always at the front
+        b = np.flatnonzero(place if asks is None else (place > 0) & asks)
+        b = b[np.argsort(-place[b], kind="stable")]
+        left, first = -place[b], b - place[b]
+        lengths = met.lengths[b]
+        going = np.ones(len(b), bool)
         stopped = np.zeros(size, bool)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        step = 0
-        while len(active):
-            before = active - place[active] + step
-            at, differ, most = met.through(before, active)
+        step = done = 0
+        while number := int(np.searchsorted(left, -step)):
+            a = first[:number] + step
             step += 1
-            found.append((active[at], before[at], differ))
-            stay = place[active] > step
+            at = np.flatnonzero(np.abs(met.lengths[a] - lengths[:number]) <= SIMILAR_LENGTHS)
+            at = at[going[at]]
+            if not len(at):
+                continue
+            some, differ, most = met.through(a[at], b[at])
+            at = at[some]
+            found.append((b[at], a[at], differ))
             if not every:
                 near = at[2 * differ <= most]
-                stopped[active[near[stay[near]]]] = True
-                stay[near] = False
-            active = active[stay]
+                stopped[b[near[left[near] < -step]]] = True
+                going[near] = False
+                done += len(near)
+                if done * 8 > number:
+                    b, left, first, lengths = (x[:number][going[:number]] for x in (b, left, first, lengths))
+                    going, done = np.ones(len(b), bool), 0
         b, a, differ = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
         more = np.zeros(len(b), bool)
         if not every and len(b):
@@ -479,7 +716,9 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
             # the last list may go on in the next batch
             cut = int(starts[-1]) if batch is not None and len(starts) else len(word)
             if cut:
-                yield pa.RecordBatch.from_arrays(pairs(part.slice(0, cut).combine_chunks(), starts[starts < cut]), names=PAIR.fieldNames())
+                some = part.slice(0, cut).combine_chunks()
+                asks = some.column("open").to_numpy(zero_copy_only=False) if asking else None
+                yield pa.RecordBatch.from_arrays(pairs(Met.of_rows(some), starts[starts < cut], asks), names=PAIR.fieldNames())
             part, word = part.slice(cut), word[cut:]
             if held_lines is not None and len(word) > held_lines:
                 full = int(word[0])
@@ -488,6 +727,21 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
                 part = part.slice(part.num_rows)
             held = part.to_batches() if part.num_rows else []
 
+    def run_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = chain.from_iterable(zip(*(b.column(c).to_pylist() for c in PACKED.fieldNames())) for b in batches)
+        held, bucket = Held(held_lines), None
+        for at, rows, wide in blobs:
+            if bucket != at:
+                held.settle()
+                if held.rows >= MET_ROWS:
+                    yield from held.work_off(pairs)
+            bucket = at
+            held.add(rows, wide)
+        held.settle()
+        yield from held.work_off(pairs)
+
+    if "bucket" in rows.columns:
+        return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run_packed, PAIR)
     by = [_word(), *(["tile"] if tiled else [])]
     return rows.repartition(*by).sortWithinPartitions(*by, "doc", "line").mapInArrow(run, PAIR)
 
@@ -506,9 +760,9 @@ def tiles(rows: DataFrame, full: DataFrame) -> DataFrame:
     return spread.withColumn("tile", tile).drop("word", "blocks", "block", "other")
 
 
-def candidates(rows: Callable[[], DataFrame], every: bool = False) -> DataFrame:
-    """All that ``near_pairs`` gives, words of more than ``HELD`` lines included."""
-    met = written(near_pairs(rows(), every, HELD), "met")
+def candidates(rows: Callable[[], DataFrame], every: bool = False, packed: DataFrame | None = None) -> DataFrame:
+    """All that ``near_pairs`` gives, words of more than ``HELD`` lines included. ``packed`` are the same rows in buckets."""
+    met = written(near_pairs(rows() if packed is None else packed, every, HELD), "met")
     found, full = met.where("full IS NULL").drop("full"), met.where("full IS NOT NULL")
     if not full.isEmpty():
         # of a word that was given up some pairs may have come before
@@ -560,7 +814,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
     lines = distinct_lines(docs)
     classes = rarity(lines)
-    gone, still = matched(lines, candidates(lambda: prefix_rows(lines, classes, NARROW_LINES)))
+    gone, still = matched(lines, candidates(lambda: prefix_rows(lines, classes, NARROW_LINES), packed=packed_rows(lines, classes, NARROW_LINES)))
     if not still.isEmpty():
         rows = again(lines, classes, still)
         new, still = matched(lines, candidates(lambda: _marked(rows, still)))
@@ -574,12 +828,19 @@ def kept_lines(docs: DataFrame) -> DataFrame:
 def again(lines: DataFrame, classes: np.ndarray, still: DataFrame) -> DataFrame:
     """The rows of the words of open lines, with wide parities."""
     asked = pick(lines, still, ["doc", "line"])
-    words = prefix_rows(asked, classes, NARROW_LINES).select(_word().alias("word")).distinct()
-    words = written(words, "open-words")
+    words = written(open_words(asked, classes), "open-words")
     # lines are picked by narrow rows, so that wide ones are made of few lines only
-    narrow = prefix_rows(lines, classes, (LONGEST, 1, 256)).select("doc", "line", _word().alias("word"))
-    picked = written(pick(narrow, words, ["word"]).select("doc", "line").distinct(), "open-met")
+    few = words.count() <= BROADCAST_ROWS
+    if few:
+        found = words.toArrow()
+        only, own = (np.unique(found.column(c).to_numpy()) for c in ("word", "own"))
+        narrow = lines_with(lines, classes, only, own)
+    else:
+        narrow = pick(prefix_rows(lines, classes, (LONGEST, 1, 256)).select("doc", "line", _word().alias("word")), words, ["word"])
+    picked = written(narrow.select("doc", "line").distinct(), "open-met")
     some = written(pick(lines, picked, ["doc", "line"]), "open-met-lines")
+    if few:
+        return written(prefix_rows(some, classes, WIDE, only), "open-rows")
     wide = prefix_rows(some, classes, WIDE).withColumn("word", _word())
     return written(pick(wide, words, ["word"]).drop("word"), "open-rows")
 
