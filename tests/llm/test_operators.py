@@ -349,6 +349,24 @@ def test_packed_rows_meet_as_rows_do(spark, monkeypatch, most):
     assert multiset(r for r in got if r.full is None) == multiset(want) and want
 
 
+def test_lines_are_placed_once(spark, monkeypatch):
+    """First places with words, other places without; repeated rows have no other places."""
+    monkeypatch.setattr(line_dedup, "SENT_BYTES", 60)
+    monkeypatch.setattr(line_dedup, "TEXT_BYTES", 20)
+    rng = random.Random(13)
+    rows = [(i, "\n".join(rng.choice(["a b", "A  b", "", " ", "c", "d e f", "g" * 40]) for _ in range(4))) for i in range(60)]
+    rows += [rows[5], rows[5], rows[0], (70, None), (71, "only here")]
+    given = line_dedup.keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    places = sorted({(i, n, b" ".join(line.split())) for i, t in rows for n, line in enumerate((t or "").lower().encode().split(b"\n")) if line.split()})
+    first = {}
+    for i, n, line in places:
+        first.setdefault(line, (i, n, len(line.split()), line))
+    low = (1 << line_dedup.LINE_BITS) - 1
+    got = [(r.doc, r.line & low, r.n, r.words and bytes(r.words)) for r in line_dedup.placed_lines(given).collect()]
+    assert sorted(g for g in got if g[2] is not None) == sorted(first.values())
+    assert {g[:2] for g in got if g[2] is None} == {p[:2] for p in places} - {f[:2] for f in first.values()}
+
+
 def test_the_second_meeting_makes_rows_of_open_words_only(spark):
     rng = random.Random(12)
     texts = [" ".join(f"u{rng.randrange(3000)}" for _ in range(rng.choice([8, 30, 700]))) for _ in range(400)]
@@ -360,7 +378,7 @@ def test_the_second_meeting_makes_rows_of_open_words_only(spark):
     asked = whole.join(still, ["doc", "line"], "left_semi").select("word")
     want = whole.join(asked, "word", "left_semi").drop("word").collect()
     got = line_dedup.again(lines, classes, still)
-    assert multiset(got.select(*whole.drop("word").columns).collect()) == multiset(whole.join(asked, "word", "left_semi").drop("word").collect())
+    assert multiset(got.select(*whole.drop("word").columns).collect()) == multiset(want)
     assert 0 < len(want) < whole.count() / 2
 
 

@@ -4,9 +4,9 @@ A line is its words, A-Z lowered, repeats numbered (so "a a" is not "a"). A line
 goes if any line before it has a Jaccard similarity of ``THRESHOLD`` or more with
 it. Lines are ordered by document key, then by place. Lines without words stay.
 
-* Equal lines are met by their 128-bit hash. One table holds each distinct line, at
-  the first of its places (map-side partials, so a line on a third of all rows is a
-  row for each task). All further steps read that table, so copies never meet.
+* Equal lines are met by their 128-bit hash. One table holds each distinct line, at the
+  first of its places (tasks leave out their own copies, so a line on a third of all rows is a
+  row for each ``SENT_BYTES``), and the places of copies. All further steps read the former, so copies never meet.
 * Words are ordered by rarity among distinct lines. Their counts are kept in counters, a sketch
   that grows with the number of words up to ``MOST_COUNTERS``; words that share a counter rank by
   their own hash. Any order that all lines share gives exact results.
@@ -84,6 +84,9 @@ NARROW_LINES = (160, 1.5, 1 << 10)
 WIDE = (0, 8, 1 << 15)
 #: Bytes of text that are parted into lines at once (or one text).
 TEXT_BYTES = 1 << 20
+#: Bytes of lines that are sent on (and received) together, and buckets they are dealt to.
+SENT_BYTES = 1 << 24
+LINE_BUCKETS = 1 << 11
 #: Bytes of a word whose hash is looked up; longer words are hashed one by one.
 WORD_BYTES = 24
 #: Rows of a bucket of prefix words, on the average, and buckets at least and at most.
@@ -283,15 +286,9 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 LINE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line", T.LongType())])
-HASHED = T.StructType(
-    [
-        T.StructField("hash_a", T.LongType()),
-        T.StructField("hash_b", T.LongType()),
-        *LINE.fields,
-        T.StructField("n", T.LongType()),
-        T.StructField("words", T.BinaryType()),
-    ]
-)
+PLACED = T.StructType([*LINE.fields, T.StructField("n", T.LongType()), T.StructField("words", T.BinaryType())])
+#: Lines on their way: those of one bucket of line hashes (hash, place, number of words and bytes by row, and the words), and copies known as such.
+SENT = T.StructType([T.StructField("bucket", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("rows", "words", "copies"))])
 PREFIX = T.StructType(
     [
         T.StructField("pack", T.LongType()),
@@ -303,23 +300,102 @@ PREFIX = T.StructType(
 )
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``doc, line, n, words`` of each distinct line, at its first place, from ``doc, text_hash, text``."""
+class Lines:
+    """Some lines: rows of (hash, hash, doc, line, n), and their words."""
+
+    def __init__(self, rows: list[np.ndarray], words: list[pa.BinaryArray]) -> None:
+        self.rows, self.words = np.concatenate(rows), pa.concat_arrays(words)
+
+    def parted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The rows with the first place of each line, and the rows with its other places."""
+        hash_a, hash_b, doc, line, _ = self.rows.T
+        order = np.lexsort((line, doc, hash_b, hash_a))
+        rows = self.rows[order]
+        new = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+        first = np.r_[True, new][: len(rows)]
+        # a repeated row of the input has its lines at the same places
+        other = ~first & np.r_[False, (rows[1:, 2:4] != rows[:-1, 2:4]).any(axis=1)][: len(rows)]
+        return order[first], order[other]
+
+
+def placed_lines(docs: DataFrame) -> DataFrame:
+    """``doc, line, n, words`` of each distinct line, at its first place, and ``doc, line`` (no ``n``) of its other places, from ``doc, text_hash, text``.
+
+    A task finds what is a copy among its own lines, so a line on a third of all rows is a row for each ``SENT_BYTES`` of text.
+    """
     ship(docs.sparkSession)
-    names = HASHED.fieldNames()
+
+    def send(held: list[tuple[np.ndarray, pa.BinaryArray]]) -> Iterator[pa.RecordBatch]:
+        lines = Lines(*zip(*held))
+        first, other = lines.parted()
+        if not len(first):
+            return
+        bucket = lines.rows[first, 0] & (LINE_BUCKETS - 1)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable")
+        sent, starts = np.unique(bucket[order], return_index=True)
+        words = lines.words.take(pa.array(first[order]))
+        ends = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1]
+        text = memoryview(words.buffers()[2] or b"")
+        rows = np.column_stack([lines.rows[first[order]], np.diff(ends)])
+        parts = list(zip(starts.tolist(), [*starts.tolist()[1:], len(order)]))
+        arrays = [
+            pa.array(sent, pa.int64()),
+            pa.array([rows[a:b].tobytes() for a, b in parts], pa.binary()),
+            pa.array([bytes(text[ends[a] : ends[b]]) for a, b in parts], pa.binary()),
+            pa.array([lines.rows[some, 2:4].tobytes() for some in np.array_split(other, len(parts))], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=SENT.fieldNames())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch):
                 doc, line, n, words = lines_of(part)
                 pairs = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words.to_pylist())), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (pairs[:, 0], pairs[:, 1], doc, line, n)), words], names=names)
+                held.append((np.column_stack([pairs, doc, line, n]), words))
+                size += len(words) and words.buffers()[2].size
+                if size >= SENT_BYTES:
+                    yield from send(held)
+                    held, size = [], 0
+        if held:
+            yield from send(held)
+
+    def work_off(held: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate([np.frombuffer(h[0], np.int64).reshape(-1, 6) for h in held])
+        offsets = pa.py_buffer(np.r_[0, np.cumsum(rows[:, 5])])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, offsets, pa.py_buffer(b"".join(h[1] for h in held))])
+        lines = Lines([rows[:, :5]], [words])
+        first, other = lines.parted()
+        known = np.concatenate([np.frombuffer(h[2], np.int64).reshape(-1, 2) for h in held])
+        doc, line, n = lines.rows[first, 2:].T
+        columns = [pa.array(np.ascontiguousarray(c)) for c in (doc, line, n)]
+        yield pa.RecordBatch.from_arrays([*columns, words.take(pa.array(first)).cast(pa.binary())], names=PLACED.fieldNames())
+        copies = np.concatenate([lines.rows[other, 2:4], known])
+        columns = [pa.array(np.ascontiguousarray(c)) for c in copies.T]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(copies), pa.int64()), pa.nulls(len(copies), pa.binary())], names=PLACED.fieldNames())
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = chain.from_iterable(zip(*(b.column(c).to_pylist() for c in SENT.fieldNames())) for b in batches)
+        held, size, bucket = [], 0, None
+        for at, *blob in blobs:
+            if bucket != at and size >= SENT_BYTES:
+                yield from work_off(held)
+                held, size = [], 0
+            bucket = at
+            held.append(blob)
+            size += sum(map(len, blob))
+        if held:
+            yield from work_off(held)
+
+    sent = docs.mapInArrow(run, SENT).repartition("bucket").sortWithinPartitions("bucket")
+    return written(sent.mapInArrow(meet, PLACED), "placed-lines")
+
 
-    first = F.min(F.struct("doc", "line", "n", "words")).alias("first")
-    found = docs.mapInArrow(run, HASHED).groupBy("hash_a", "hash_b").agg(first)
-    return written(found.select("first.*"), "distinct-lines")
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """``doc, line, n, words`` of each distinct line, at its first place, from ``doc, text_hash, text``."""
+    return placed_lines(docs).where("n IS NOT NULL")
 
 
 def wide_parity(mixed: np.ndarray, starts: np.ndarray, sizes: tuple[int, float, int]) -> list[bytes | None]:
@@ -810,9 +886,10 @@ def matched(lines: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame]:
     return gone, written(still, "open-lines")
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """``doc, line`` of the lines that stay, from ``doc, text_hash, text``."""
-    lines = distinct_lines(docs)
+def gone_lines(docs: DataFrame) -> DataFrame:
+    """``doc, line`` of the lines that go, from ``doc, text_hash, text``."""
+    placed = placed_lines(docs)
+    lines, copies = placed.where("n IS NOT NULL"), placed.where("n IS NULL").select("doc", "line")
     classes = rarity(lines)
     gone, still = matched(lines, candidates(lambda: prefix_rows(lines, classes, NARROW_LINES), packed=packed_rows(lines, classes, NARROW_LINES)))
     if not still.isEmpty():
@@ -822,7 +899,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
         if not still.isEmpty():
             last = candidates(lambda: _marked(rows, still), True).select(*ENDS).distinct()
             gone = gone.unionByName(really(lines, last))
-    return lines.select("doc", "line").join(gone.distinct(), ["doc", "line"], "left_anti")
+    return gone.unionByName(copies)
 
 
 def again(lines: DataFrame, classes: np.ndarray, still: DataFrame) -> DataFrame:
@@ -855,27 +932,27 @@ STAYED = T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_
 
 def dedup(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """``docs`` with ``column`` less its later matches, and ``n_lines`` (with words) and ``n_removed`` in place of such columns."""
-    kept = kept_lines(keyed(docs, key, column))
+    gone = gone_lines(keyed(docs, key, column))
     low = (1 << LINE_BITS) - 1
-    marks = kept.groupBy("doc", F.shiftrightunsigned("line", LINE_BITS).alias("text_hash")).agg(
-        F.collect_list(F.col("line").bitwiseAND(F.lit(low))).alias("kept")
+    marks = gone.groupBy("doc", F.shiftrightunsigned("line", LINE_BITS).alias("text_hash")).agg(
+        F.collect_set(F.col("line").bitwiseAND(F.lit(low))).alias("gone")
     )
     names = [c for c in docs.columns if c not in STAYED.fieldNames()]
     rows = docs.select(F.struct(*names).alias("row"), _doc(key).alias("doc"), _text_hash(column).alias("text_hash"))
-    joined = rows.join(marks, ["doc", "text_hash"], "left").select("row", "kept")
+    joined = rows.join(marks, ["doc", "text_hash"], "left").select("row", "gone")
     schema = T.StructType([*(docs.schema[c] for c in names), *STAYED.fields])
 
     def each(batch: pa.RecordBatch) -> dict:
-        texts, found, gone = [], [], []
+        texts, found, removed = [], [], []
         row = dict(zip(names, batch.column("row").flatten()))
-        for text, stay in zip(utf8(row[column]), batch.column("kept").to_pylist()):
-            stay = set(stay or ())
+        for text, gone in zip(utf8(row[column]), batch.column("gone").to_pylist()):
             lines = text.split(b"\n") if text else []
-            worded = [bool(line.strip(b" \t\n\r\x0b\x0c")) for line in lines]
-            left = [line for i, (line, w) in enumerate(zip(lines, worded)) if not w or i in stay]
-            found.append(sum(worded))
-            gone.append(len(lines) - len(left))
-            texts.append(None if text is None else b"\n".join(left))
-        return row | {column: pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": found, "n_removed": gone}
+            found.append(sum(bool(line.strip(b" \t\n\r\x0b\x0c")) for line in lines))
+            removed.append(len(gone or ()))
+            if gone:
+                gone = set(gone)
+                text = b"\n".join([line for i, line in enumerate(lines) if i not in gone])
+            texts.append(text)
+        return row | {column: pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": found, "n_removed": removed}
 
     return arrow_map(joined, each, schema)
