@@ -382,6 +382,25 @@ def test_the_second_meeting_makes_rows_of_open_words_only(spark):
     assert 0 < len(want) < whole.count() / 2
 
 
+def test_steps_taken_together_find_the_same_pairs(spark, monkeypatch):
+    rng = random.Random(14)
+    texts = []
+    for i in range(400):
+        line = [f"c{k}" for k in range(20)] if i % 2 else [f"d{rng.randrange(60)}" for _ in range(20)]
+        for at in rng.sample(range(20), rng.randrange(6)):
+            line[at] = f"u{rng.randrange(50)}"
+        texts.append(" ".join(line))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup.distinct_lines(line_dedup.keyed(docs, "doc_id", "text"))
+    rows = line_dedup.packed_rows(lines, line_dedup.rarity(lines), line_dedup.NARROW_LINES)
+    for every in (False, True):
+        found = []
+        for pairs in (1, 1 << 15):
+            monkeypatch.setattr(line_dedup, "STEP_PAIRS", pairs)
+            found.append(multiset(line_dedup.near_pairs(rows, every).collect()))
+        assert found[0] == found[1] and found[0]
+
+
 def test_a_bucket_of_too_many_rows_gives_up_words():
     held = line_dedup.Held(2)
     held.limit = 10

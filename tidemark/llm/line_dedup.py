@@ -64,6 +64,8 @@ LIKELIEST = 16
 BROADCAST_ROWS = 1 << 20
 #: Rows whose lists are worked off together.
 MET_ROWS = 1 << 18
+#: Pairs that are looked at together, once fewer lines than that go on.
+STEP_PAIRS = 1 << 15
 #: A line's number and the hash of its text share a long.
 LINE_BITS, TEXT_BITS = 28, 35
 #: A prefix word, the length of its line and its place share a long; longer lines are not filtered.
@@ -740,23 +742,31 @@ def near_pairs(rows: DataFrame, every: bool = False, held_lines: int | None = No
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = done = 0
         while number := int(np.searchsorted(left, -step)):
-            a = first[:number] + step
-            step += 1
-            at = np.flatnonzero(np.abs(met.lengths[a] - lengths[:number]) <= SIMILAR_LENGTHS)
-            at = at[going[at]]
+            # as many steps at once as make some work for an array
+            many = max(1, min(STEP_PAIRS // number, int(-left[0]) - step))
+            a = first[:number, None] + np.arange(step, step + many)
+            fits = going[:number, None] & (a < b[:number, None])
+            fits &= np.abs(met.lengths[np.minimum(a, size - 1)] - lengths[:number, None]) <= SIMILAR_LENGTHS
+            at, k = np.nonzero(fits)
+            step += many
             if not len(at):
                 continue
-            some, differ, most = met.through(a[at], b[at])
-            at = at[some]
-            found.append((b[at], a[at], differ))
-            if not every:
-                near = at[2 * differ <= most]
-                stopped[b[near[left[near] < -step]]] = True
-                going[near] = False
-                done += len(near)
-                if done * 8 > number:
-                    b, left, first, lengths = (x[:number][going[:number]] for x in (b, left, first, lengths))
-                    going, done = np.ones(len(b), bool), 0
+            some, differ, most = met.through(a[at, k], b[at])
+            at, k = at[some], k[some]
+            near = np.flatnonzero(2 * differ <= most)
+            if not every and len(near):
+                nearest = np.full(number, many)
+                np.minimum.at(nearest, at[near], k[near])
+                before = k <= nearest[at]
+                at, k, differ = at[before], k[before], differ[before]
+                ended = np.flatnonzero(nearest < many)
+                stopped[b[ended[nearest[ended] + step - many + 1 < -left[ended]]]] = True
+                going[ended] = False
+                done += len(ended)
+            found.append((b[at], a[at, k], differ))
+            if done * 8 > number:
+                b, left, first, lengths = (x[:number][going[:number]] for x in (b, left, first, lengths))
+                going, done = np.ones(len(b), bool), 0
         b, a, differ = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
         more = np.zeros(len(b), bool)
         if not every and len(b):
