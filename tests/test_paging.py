@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import staging
 from tidemark.operators import merge_child_pages, merge_pages, page_states, paging, require_whole, source_filter, with_stop
+from tidemark.sources import read_pages
 
 PAGES = "parent_id string, parent_ord bigint, offset bigint, items array<struct<id:string,album_id:string>>"
 
@@ -306,3 +308,97 @@ def test_bodies_no_parent_wants_are_held_back(spark, monkeypatch):
         assert got.where("parent_id LIKE '%7'").count() == 400
     listed = wanted.distinct().selectExpr("parent_id AS id", "array(0L) AS parent_ord", "0L AS page_offset", "0L AS pos")
     assert merge_child_pages(listed, pages, 1).count() == 400
+
+
+def variant_pages(spark, tmp_path, sizes_by_parent, limit):
+    """The pages of ``make`` as they are found: JSON Lines, items VARIANT; the last item of a page is a bare string."""
+    lines = [
+        {"parent_id": parent, "parent_ord": o, "offset": i * limit, "items": [f"{parent}-{i}-{j}" if j == n - 1 else {"id": f"{parent}-{i}-{j}"} for j in range(n)]}
+        for o, (parent, sizes) in enumerate(sizes_by_parent.items())
+        for i, n in enumerate(sizes)
+    ]
+    lines += [{"parent_id": None, "offset": 0, "items": [{"id": "of no parent"}]}, {"parent_id": "u", "offset": 0}]
+    random.Random(5).shuffle(lines)
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, lines)))
+    return read_pages(spark, f"file://{tmp_path}/pages.json")
+
+
+def records(df):
+    rows = df.selectExpr("parent_ord", "page_offset", "pos", "album_id", "to_json(record) AS record").collect()
+    return sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_variant_child_pages_are_read_once(spark, tmp_path, monkeypatch, broadcast):
+    """Sizes and bodies are of one staged table, which holds the items of wanted parents."""
+    sizes = CASES | {f"x{k}": [2] * (k % 4) + [1] for k in range(200)}
+    pages = variant_pages(spark, tmp_path, sizes, 2)
+    albums = parents(spark, [("p", [0], 0, 0), ("x7", [0], 0, 1), ("p", [0], 2, 0), ("u", [0], 2, 1), ("none", [0], 4, 0), (None, [0], 4, 1)])
+    plans, staged, before = [], paging.staged, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def seen(df, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, **options)
+
+    monkeypatch.setattr(paging, "staged", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = merge_child_pages(albums, pages, 2, "album_id", whole=True, records=True)
+        found = records(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert [plan.count("FileScan json") for plan in plans] == [1, 0, 0, 0]
+    plain = make(spark, sizes, 2)
+    monkeypatch.setattr(paging, "staged", staged)
+    want = merge_child_pages(albums, plain, 2, "album_id", whole=True).selectExpr("parent_ord", "page_offset", "pos", "album_id", "id")
+    short = [(*r[:4], (json.loads(r[4])["id"] if r[4].startswith("{") else json.loads(r[4]))) for r in found]
+    assert short == sorted(map(tuple, want.collect())) and len(short) == 3 + 3 + 7
+    kept = paging.sized_pages(pages, albums.selectExpr("id AS parent_id"))
+    assert kept.count() == pages.count() and kept.where("n_items > 0 AND items IS NOT NULL").count() < 20
+    assert kept.agg(F.sum("n_items")).first()[0] == sum(map(sum, sizes.values())) + 1
+
+
+def test_variant_child_pages_that_are_missing(spark, tmp_path):
+    """Wholeness is of every parent's pages, wanted or not, and of what was found, not of the items kept."""
+    pages = variant_pages(spark, tmp_path, CASES | {"v": [2, 2, 1]}, 2)
+    albums = parents(spark, [("p", [0], 0, 0)])
+    with pytest.raises(ValueError, match="parent v"):
+        merge_child_pages(albums, pages.where("NOT (parent_id = 'v' AND offset = 2)"), 2, whole=True)
+    assert merge_child_pages(albums, pages.where("NOT (parent_id = 'v' AND offset = 2)"), 2, records=True).count() == 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_stops_of_few_long_parents_are_broadcast(spark, monkeypatch, seed):
+    """Stops and missing pages are the same as where all parents are long; parents of one run are not joined with others."""
+    monkeypatch.setattr(paging, "RUN_PAGES", 3)
+    rng = random.Random(seed)
+    sizes = {f"p{k:02}": [rng.choice([2, 2, 2, 2, 1]) for _ in range(rng.randrange(1, 12))] for k in range(30)}
+    whole = make(spark, sizes, 2).union(make(spark, {"n": [2, 2, 1, 2]}, 2).withColumn("parent_id", F.lit(None).cast("string"))).cache()
+    states = staging.staged(page_states(whole, 2, True))
+    columns = ["parent_id", "run", "stop_offset"]
+    assert sorted(map(str, paging._with_few_stops(states).select(columns).collect())) == sorted(map(str, with_stop(states).select(columns).collect()))
+    left = [whole, whole.where("offset <> 0"), whole.where("offset <> 6 OR parent_id IS NULL")]
+    left += [whole.where(f"NOT (parent_id = '{p}' AND offset = {o})") for p, o in (("p03", 0), ("p07", 2))]
+    said = []
+    for few in (50_000, -1):
+        monkeypatch.setattr(paging, "FEW_RUNS", few)
+        said.append([])
+        for pages in left:
+            try:
+                require_whole(pages, 2)
+                said[-1].append(True)
+            except ValueError:
+                said[-1].append(False)
+    assert said[0] == said[1] and said[0][:2] == [True, False]
+
+
+def test_a_required_field_is_read_once(spark):
+    """A filter does not share what it computes: a VARIANT's field was read for the check and for the filter."""
+    df = spark.createDataFrame([('{"g": "a"}',), ('{"g": "b"}',)], "t string").select(F.parse_json("t").alias("record"))
+    kept = source_filter(df, "g", ("a",), required=True, within="record")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("variant_get") == 1 and kept.count() == 1
+    for text, values in (('{"g": null}', ("a",)), ("{}", ("a", "b")), ("{}", ())):
+        lacking = df.union(spark.createDataFrame([(text,)], "t string").select(F.parse_json("t")))
+        with pytest.raises(Exception, match="record without g"):
+            source_filter(lacking, "g", values, required=True, within="record").collect()

@@ -16,7 +16,9 @@ page sizes decide first, and the bodies move only if they must:
    otherwise the join is by (parent, run), which splits a hot parent. Before that join a bitmap of the wanted
    parents (at most ``MOST_BLOCKS`` blocks of 4 KB) holds back most bodies that no parent wants.
 
-So pages are read twice: their sizes once, their bodies once.
+So pages are read twice: their sizes once, their bodies once. Of VARIANT items no leaf can be read by itself: both
+readings would parse all of them. Child pages with such items are read once, into a staged table of every page's size
+and the items of the pages that the bitmap lets pass (``sized_pages``); both steps are of that table.
 """
 
 from __future__ import annotations
@@ -33,9 +35,12 @@ from tidemark.staging import staged
 
 RUN_PAGES = 4096
 
-# Bits in a block, which ``bitmap_construct_agg`` fixes, and most blocks: 16 MB. Up to ``FEW_WANTED`` parents are not worth a bitmap.
+# Bits in a block and most blocks: 16 MB. Up to ``FEW_WANTED`` parents are not worth a bitmap.
 BLOCK_BITS, MOST_BLOCKS, FEW_WANTED = 32768, 4096, 100_000
 
+# So many runs past their parents' first are few: what is known of their parents is broadcast.
+FEW_RUNS = 50_000
+
 # Page sizes of the two requests, and the album groups asked for.
 ALBUM_PAGE_LIMIT = 10
 TRACK_PAGE_LIMIT = 50
@@ -51,10 +56,13 @@ def source_filter(
 ) -> DataFrame:
     """Keep the records whose ``column`` (or that field of the column ``within``) is one of ``values``; if ``required``, a NULL there raises."""
     value = F.col(quoted(column)) if within is None else record_field(records, column, within)
+    values = tuple(values)
+    refused = F.raise_error(F.lit(f"record without {column}"))
+    if required and values:
+        # The value stands here once: a filter reads a field of a VARIANT as often as it stands in it.
+        return records.where(F.coalesce(value, refused).isin(*values))
     kept = value.isin(*values)
-    if required:
-        kept = F.when(value.isNull(), F.raise_error(F.lit(f"record without {column}"))).otherwise(kept)
-    return records.where(kept)
+    return records.where(F.when(value.isNull(), refused).otherwise(kept) if required else kept)
 
 
 def _page_size(pages: DataFrame, items: str) -> Column:
@@ -72,15 +80,16 @@ def _run(limit: int) -> Column:
     return F.expr(f"CAST(offset AS BIGINT) DIV {limit * RUN_PAGES}")
 
 
-def page_states(pages: DataFrame, limit: int, whole: bool = False) -> DataFrame:
-    """Per parent and run of pages: ``parent_id, run, first_offset, last_offset, short_offset``.
+def page_states(pages: DataFrame, limit: int, whole: bool = False, size: str | None = None) -> DataFrame:
+    """Per parent and run of pages: ``parent_id, run, first_offset, last_offset, short_offset``; ``size`` is a column that holds page sizes.
 
     Offsets advance by ``limit``, so a run is ``RUN_PAGES`` pages; ``short_offset`` is that of its
     first short page. With ``whole`` also ``n``, how many of the run's pages up to its first short one (or its last) are there, copies
     counted once, and ``between``, whether an offset is no multiple of ``limit``.
     """
     offset = F.col("offset")
-    sizes = pages.select("parent_id", offset.cast("bigint").alias("offset"), _page_size(pages, "items").alias("size"))
+    n_items = F.col(size) if size else _page_size(pages, "items")
+    sizes = pages.select("parent_id", offset.cast("bigint").alias("offset"), n_items.alias("size"))
     state = {
         "first_offset": F.min(offset),
         "last_offset": F.max(offset),
@@ -105,44 +114,75 @@ def with_stop(states: DataFrame) -> DataFrame:
 def check_whole(stopped: DataFrame, limit: int) -> None:
     """Raise if a parent lacks a page before its first short page (or its last), or has offsets between pages.
 
-    ``stopped`` is ``with_stop`` of states that count pages. Pages past the stop may be missing.
+    ``stopped`` is ``with_stop`` of states that count pages. Pages past the stop may be missing. A parent's only run
+    (where ``alone`` says so) is judged by itself; of these only what lacks a page is summed with the others.
     """
     upto = F.coalesce("short_offset", "last_offset")
-    needed = stopped.where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset")))
-    summed = needed.groupBy("parent_id").agg(F.max(upto).alias("upto"), F.sum("n").alias("n"), F.max("between").alias("between"))
-    lacking = summed.where((F.col("n") * limit <= F.col("upto")) | F.col("between")).select("parent_id").first()
+    lacks = (F.col("n") * limit <= F.col("upto")) | F.col("between")
+    needed = stopped.where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset"))).withColumn("upto", upto)
+    if "alone" in stopped.columns:
+        needed = needed.where(~F.col("alone") | lacks)
+    summed = needed.groupBy("parent_id").agg(F.max("upto").alias("upto"), F.sum("n").alias("n"), F.max("between").alias("between"))
+    lacking = summed.where(lacks).select("parent_id").first()
     if lacking is not None:
         raise ValueError(f"a page of parent {lacking['parent_id']} is missing, or not at a multiple of {limit}")
 
 
-def _stopped(pages: DataFrame, limit: int, whole: bool) -> DataFrame:
+def _with_few_stops(states: DataFrame) -> DataFrame:
+    """``with_stop`` where few parents have a run but the first: their stops are broadcast, any other's is in its only row, ``alone``."""
+    later = states.where("NOT run <=> 0").select(F.col("parent_id").alias("later_id")).distinct()
+    stops = (
+        states.join(F.broadcast(later), F.col("parent_id").eqNullSafe(F.col("later_id")))
+        .groupBy(F.col("parent_id").alias("stopped_id"))
+        .agg(F.min("short_offset").alias("later_stop"), F.lit(False).alias("is_alone"))
+    )
+    joined = states.join(F.broadcast(stops), F.col("parent_id").eqNullSafe(F.col("stopped_id")), "left")
+    alone = F.coalesce("is_alone", F.lit(True))
+    stop = F.when(alone, F.col("short_offset")).otherwise(F.col("later_stop"))
+    return joined.select(*states.columns, stop.alias("stop_offset"), alone.alias("alone"))
+
+
+def _stopped(pages: DataFrame, limit: int, whole: bool, size: str | None = None) -> DataFrame:
     """The one pass over page sizes, staged, and its stops; raises if ``whole`` and a page is missing."""
-    stopped = with_stop(staged(page_states(pages, limit, whole)))
+    states = staged(page_states(pages, limit, whole, size))
+    few = states.where("NOT run <=> 0").count() <= FEW_RUNS
+    stopped = _with_few_stops(states) if few else with_stop(states)
     if whole:
         check_whole(stopped, limit)
     return stopped
 
 
-def _bit(blocks: int) -> tuple[Column, Column]:
-    """Block and place in it of a page's parent, in a bitmap of so many blocks."""
+def _looked_up(pages: DataFrame, wanted: DataFrame, n: int) -> tuple[DataFrame, Column]:
+    """``pages`` joined to a bitmap of the parents of ``wanted``, which has ``n`` rows, and whether a page's parent is in it.
+
+    One bit for each parent, eight bits a parent as long as the blocks last; past these it holds back less. A block is an array of words.
+    """
+    blocks = max(1, min(MOST_BLOCKS, -(-8 * n // BLOCK_BITS)))
     bit = F.pmod(F.xxhash64("parent_id"), F.lit(blocks * BLOCK_BITS))
-    return F.floor(bit / BLOCK_BITS).alias("block"), (bit % BLOCK_BITS).alias("bit")
+    set_bits = wanted.select(bit.alias("bit")).selectExpr("bit DIV 64 AS word", "shiftleft(1L, CAST(bit % 64 AS INT)) AS bits")
+    no_bits = wanted.sparkSession.range(blocks * BLOCK_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = set_bits.union(no_bits).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"]
+    bits = words.groupBy(F.expr(f"word * 64 DIV {BLOCK_BITS}").alias("block")).agg(in_order.alias("bits"))
+    placed = pages.select("*", bit.alias("bit")).withColumn("block", F.expr(f"bit DIV {BLOCK_BITS}"))
+    is_set = F.expr(f"getbit(get(bits, CAST(bit % {BLOCK_BITS} DIV 64 AS INT)), CAST(bit % 64 AS INT)) = 1")
+    return placed.join(F.broadcast(bits), "block"), is_set
 
 
 def held_back(pages: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``pages`` without most of those whose ``parent_id`` is not in ``wanted``; all others stay.
-
-    One bit for each parent, eight bits a parent as long as the blocks last; past these it holds back less.
-    """
+    """``pages`` without most of those whose ``parent_id`` is not in ``wanted``; all others stay."""
     n = wanted.count()
     if n <= FEW_WANTED:
         return pages
-    blocks = min(MOST_BLOCKS, -(-8 * n // BLOCK_BITS))
-    block, bit = _bit(blocks)
-    bits = wanted.select(block, bit).distinct().groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("1 << CAST(bit % 8 AS INT)").bitwiseAND(byte) != 0
-    return pages.select("*", block, bit).join(F.broadcast(bits), "block").where(is_set).select(*[F.col(quoted(c)) for c in pages.columns])
+    joined, is_set = _looked_up(pages, wanted, n)
+    return joined.where(is_set).select(*[F.col(quoted(c)) for c in pages.columns])
+
+
+def sized_pages(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pages`` read once, staged: ``parent_id, offset, n_items`` of each, and ``items``, NULL for most that no ``parent_id`` of ``wanted`` has."""
+    sized = pages.select("parent_id", "offset", _page_size(pages, "items").alias("n_items"), "items")
+    joined, is_set = _looked_up(sized, wanted, wanted.count())
+    return staged(joined.select("parent_id", "offset", "n_items", F.when(is_set, F.col("items")).alias("items")), packed=True)
 
 
 def require_whole(pages: DataFrame, limit: int) -> None:
@@ -229,14 +269,18 @@ def merge_child_pages(
         F.col("id").alias("parent_id"),
         F.concat("parent_ord", F.array("page_offset", "pos")).alias("parent_ord"),
     )
+    size = None
+    if isinstance(pages.schema["items"].dataType.elementType, T.VariantType):
+        pages, size = sized_pages(pages, listed.select("parent_id")), "n_items"
     wanted = staged(
-        _stopped(pages, limit, whole)
+        _stopped(pages, limit, whole, size)
         .where(F.col("stop_offset").isNull() | (F.col("first_offset") <= F.col("stop_offset")))
         .join(listed, "parent_id")
         .select("parent_id", "run", "stop_offset", "parent_ord")
     )
+    bodies = pages.select("parent_id", "offset", "items", _run(limit).alias("run"))
     kept = (
-        held_back(pages.select("parent_id", "offset", "items", _run(limit).alias("run")), wanted)
+        (bodies if size else held_back(bodies, wanted))
         .join(wanted, ["parent_id", "run"])
         .where(F.col("stop_offset").isNull() | (F.col("offset") <= F.col("stop_offset")))
     )

@@ -159,7 +159,7 @@ def read_pages(
 
     Without ``record`` every field of an item is kept: JSON items are VARIANT values, Parquet ones what the files
     say. Merging reads pages twice, sizes first. From Parquet the first reading is
-    one field; JSON is parsed in full both times.
+    one field; JSON is parsed in full, child pages of VARIANT items once (``merge_child_pages`` stages them).
     """
     if check_format(fmt) == "json":
         return spark.read.schema(schemas.page(record)).option("mode", "FAILFAST").json(path)
