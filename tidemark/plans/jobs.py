@@ -134,16 +134,18 @@ def land(
     """
     spark = album_pages.sparkSession
     with job_folder(spark):
-        cut = page_cut(album_pages, album_limit, whole)
         wanted = tuple(album_groups) if album_groups is not None else None
+        # Sizes of pages, and what the tracks need of an album, are of one small table: the items are read for it once.
+        columns = [c for c in ("parent_id", "parent_ord", "offset", "items") if c in album_pages.columns]
+        narrow = staged(item_fields(album_pages.select(columns), ["id"] if wanted is None else ["id", "album_group"]), packed=True)
+        cut = page_cut(narrow, album_limit, whole)
 
         def merged_albums(pages: DataFrame) -> DataFrame:
             merged = merge_pages(pages, album_limit, records=True, cut=cut)
             return merged if wanted is None else source_filter(merged, "album_group", wanted, required=True, within="record")
 
         albums = merged_albums(album_pages)
-        # What the tracks need of an album is made of its pages before they move, not after.
-        keys = merged_albums(item_fields(album_pages, ["id"] if wanted is None else ["id", "album_group"]))
+        keys = merged_albums(narrow)
         parents = staged(keys.select(*schemas.ORDINAL_COLUMNS, record_field(keys, "id").alias("id")), packed=True)
 
         def tracks() -> int:

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import files
+from tidemark.sources.snapshots import GZIP
 from tidemark.staging import new_folder
 
 LIMIT = 2
@@ -185,10 +185,10 @@ def json_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     collected = table(spark, sf_dir, "customer").selectExpr(
         "concat('collection-', c_custkey) AS parent_id", "c_custkey AS parent_ord", f"{COLLECTION_ITEMS} AS items", "0L AS offset"
     )
-    packed = {"compression": "gzip"}
+    tracks = tracks.unionByName(collected)
     return (
-        _written(spark, sf_dir, "album-json", partial(albums.write.json, **packed)),
-        _written(spark, sf_dir, "track-json", partial(tracks.unionByName(collected).write.json, **packed)),
+        _written(spark, sf_dir, "album-json", lambda path: albums.write.options(**GZIP).json(path)),
+        _written(spark, sf_dir, "track-json", lambda path: tracks.write.options(**GZIP).json(path)),
     )
 
 
