@@ -44,7 +44,10 @@ RELEASE_DATE = """
          WHEN o_orderpriority = '1-URGENT' THEN 'n/a'
          ELSE date_format(o_orderdate, 'yyyy-MM-dd') END"""
 
-ALBUM_ITEMS = f"""
+
+def _album_items(more: str = "") -> str:
+    """The items of a page of albums; ``more`` are further fields, last in each."""
+    return f"""
     slice(array(
         named_struct(
             'id', cast(o_orderkey AS string),
@@ -57,7 +60,7 @@ ALBUM_ITEMS = f"""
             'images', slice(transform(array(640L, 300L, 64L), side -> named_struct(
                 'url', concat('cover-', o_orderkey, '-', side), 'height', side, 'width', side)),
                 1, cast(o_custkey % 4 AS int)),
-            'external_urls', named_struct('spotify', concat('album/', o_orderkey))),
+            'external_urls', named_struct('spotify', concat('album/', o_orderkey)){more}),
         named_struct(
             'id', concat('collection-', o_custkey),
             'name', concat('Collection ', o_orderkey),
@@ -65,10 +68,13 @@ ALBUM_ITEMS = f"""
             'release_date', date_format(o_orderdate, 'yyyy'),
             'album_group', 'single',
             'images', cast(NULL AS array<struct<url:string,height:bigint,width:bigint>>),
-            'external_urls', named_struct('spotify', concat('collection/', o_orderkey)))),
+            'external_urls', named_struct('spotify', concat('collection/', o_orderkey)){more})),
         1, CASE WHEN dayofmonth(o_orderdate) = 31 THEN 0
                 WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 1 ELSE {LIMIT} END)"""
 
+
+ALBUM_ITEMS = _album_items()
+
 TRACK_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 TRACK_ITEMS = f"""
@@ -173,11 +179,10 @@ def _written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
 def json_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Folders of album and track pages as JSON Lines, with true offsets and a field of albums that no schema names."""
     # The rows are numbered, then made into pages: only columns of the table move.
-    priority = F.expr("named_struct('rank', cast(substr(o_orderpriority, 1, 1) AS bigint))")
+    priority = ", 'priority', named_struct('rank', cast(substr(o_orderpriority, 1, 1) AS bigint))"
     albums = _numbered(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey").selectExpr(
-        "cast(o_custkey AS string) AS parent_id", "o_custkey AS parent_ord", "offset", "o_orderpriority", f"{ALBUM_ITEMS} AS items"
+        "cast(o_custkey AS string) AS parent_id", "o_custkey AS parent_ord", "offset", f"{_album_items(priority)} AS items"
     )
-    albums = albums.withColumn("items", F.transform("items", lambda item: item.withField("priority", priority))).drop("o_orderpriority")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     tracks = _numbered(table(spark, sf_dir, "lineitem"), "l_orderkey", *order).selectExpr(
         "cast(l_orderkey AS string) AS parent_id", "l_orderkey AS parent_ord", "offset", f"{TRACK_ITEMS} AS items"
