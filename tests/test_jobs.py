@@ -358,3 +358,29 @@ def test_raw_records_are_packed_lightly(spark, base):
     packed = open(name, "rb").read()
     plain = gzip.decompress(packed)
     assert len(gzip.compress(plain, 6)) * 1.02 < len(packed) < len(gzip.compress(plain, 1)) * 1.02 < len(plain) / 3
+
+
+ODD = ['{"b":1,"a":null,"é\\n\\"":{"z":[1,null,"x\\u0001"],"y":{}},"c":1.10,"d":12345678901234567890123,"f":"ü/"}', "{}", '{"a":{"a":"q"}}']
+
+
+@pytest.mark.parametrize("other", [None, "null", '"text"', "[1,{}]", "5"])
+def test_objects_are_written_as_maps_to_the_same_json(spark, base, monkeypatch, other):
+    """Names of fields aren't made anew for each record; a record that is no object is landed as it is."""
+    from pyspark.sql import types as T
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    rows = spark.createDataFrame([(t,) for t in [*ODD, *([other] if other else [])]], "t string").select(
+        F.array(F.lit(1).cast("bigint")).alias("parent_ord"), F.lit(0).cast("bigint").alias("page_offset"), F.lit(0).cast("bigint").alias("pos"), F.parse_json("t").alias("record")
+    )
+    kinds, save = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, path: kinds.append(type(self._df.schema["record"].dataType)) or save(self, path))
+    assert write_raw(rows, base, "tracks", "1") == rows.count()
+    monkeypatch.undo()
+    assert kinds == [T.MapType] + [T.VariantType] * (other is not None)
+    folder = f"{base.removeprefix('file://')}/bronze/tracks/snapshot_ts=1"
+    assert len([name for name in os.listdir(folder) if name.startswith("attempt-")]) == 1
+    rows.write.json(f"{base}/plain")
+    names = [f"file://{folder}/{name}" for name, _ in manifest(spark, table_path(base, "bronze", "tracks"))["files"]]
+    landed, plain = (sorted(r.value for r in spark.read.text(paths).collect()) for paths in (names, f"{base}/plain"))
+    assert landed == plain and len(landed) == rows.count()
+    assert read_raw(spark, table_path(base, "bronze", "tracks")).count() == rows.count()

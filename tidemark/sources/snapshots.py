@@ -12,7 +12,7 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,19 +110,40 @@ def read_raw(
     return rows.select(*schemas.ORDINAL_COLUMNS, *fields, *([key] if key else []))
 
 
+def _attempt(df: DataFrame, folder: str, fmt: str, sized: bool, counts: dict[str, Column], **options: str) -> tuple[str, dict[str, int]]:
+    """Write ``df`` to a new folder in ``folder``; returns that folder's name, and the counts."""
+    counted, attempt = Observation(), f"attempt-{uuid.uuid4().hex}"
+    # The counts are taken on the way into the write; no second pass.
+    out = df.observe(counted, *[count.alias(name) for name, count in counts.items()])
+    if sized:
+        out = out.hint("rebalance")
+    out.write.format(fmt).options(**options).save(f"{folder}/{attempt}")
+    return attempt, counted.get
+
+
+def _objects(df: DataFrame) -> DataFrame | None:
+    """``df`` with VARIANT records as maps of their fields, NULL where a record is no object; None if it has no such records."""
+    if "record" not in df.columns or not isinstance(df.schema["record"].dataType, T.VariantType):
+        return None
+    return df.withColumn("record", F.try_variant_get("record", "$", "map<string,variant>"))
+
+
 def _write(df: DataFrame, table: str, snapshot_ts: str, fmt: str, sized: bool, **options: str) -> int:
     spark, folder = df.sparkSession, snapshot_path(table, snapshot_ts)
     if files.exists(spark, f"{folder}/{MANIFEST}"):
         raise FileExistsError(f"snapshot {snapshot_ts} of {table} is already complete")
-    counted = Observation()
-    attempt = f"attempt-{uuid.uuid4().hex}"
-    # The count is taken on the way into the write; no second pass.
-    out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if sized:
-        out = out.hint("rebalance")
-    out.write.format(fmt).options(**options).save(f"{folder}/{attempt}")
+    attempt, counts = None, {"rows": F.count(F.lit(1))}
+    # Spark makes the text of each name in a VARIANT anew, at some cost; those of a map are written as they are, to the same JSON.
+    objects = _objects(df) if fmt == "json" else None
+    if objects is not None:
+        attempt, counted = _attempt(objects, folder, fmt, sized, counts | {"others": F.count_if(F.col("record").isNull())}, **options)
+        if counted["others"]:
+            files.delete(spark, f"{folder}/{attempt}")
+            attempt = None
+    if attempt is None:
+        attempt, counted = _attempt(df, folder, fmt, sized, counts, **options)
     written = [(f"{attempt}/{path.rsplit('/', 1)[1]}", size) for path, _, size in files.walk(spark, f"{folder}/{attempt}")]
-    rows = counted.get["rows"]
+    rows = counted["rows"]
     told = {"rows": rows, "bytes": sum(size for _, size in written), "files": sorted(written)}
     if not files.publish(spark, f"{folder}/{MANIFEST}", json.dumps(told)):
         raise FileExistsError(f"snapshot {snapshot_ts} of {table} was completed by another attempt")
